@@ -40,9 +40,8 @@ def disposition_filename(headers: Column) -> Column:
         F.filter(values, lambda v: v.rlike(DISPOSITION_PATTERN)), F.lit(1)
     )
     name = F.regexp_extract(value, DISPOSITION_PATTERN, 2)
-    for leading in ("^UTF-8''", "^utf-8''", '^"', '"$'):
-        name = F.regexp_replace(name, leading, "")
-    return F.when(value.isNotNull(), F.replace(name, F.lit(" "), F.lit("-")))
+    name = F.regexp_replace(name, r"""^(?:UTF-8'')?(?:utf-8'')?"?|"$""", "")
+    return F.replace(name, F.lit(" "), F.lit("-"))
 
 
 def header_filename(headers: Column) -> Column:

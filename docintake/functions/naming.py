@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from docintake.functions.binding import bind
 from docintake.functions.headers import disposition_filename, location_value
 from docintake.functions.uris import decode_part, host_of, path_of, query_of, scheme_of
 
@@ -62,52 +63,79 @@ def insert_query_hash(name: Column, query: Column, content_type: Column) -> Colu
     mark = F.when(
         query.isNotNull(), F.concat(F.lit("."), F.md5(F.concat(F.lit("?"), query)))
     ).otherwise(F.lit(""))
-    extension = content_type_extension(content_type)
-    stem = F.regexp_extract(name, r"^(.*)\.(.*)$", 1)
-    own = F.regexp_extract(name, r"^(.*)\.(.*)$", 2)
-    return (
-        F.when(name == "", F.concat(F.lit("index"), mark, extension))
-        .when(F.contains(name, F.lit(".")), F.concat(stem, mark, F.lit("."), own))
-        .otherwise(F.concat(name, mark, extension))
-    )
 
+    def marked(v: Column) -> Column:
+        extension = content_type_extension(content_type)
+        stem = F.regexp_extract(v["name"], r"^(.*)\.(.*)$", 1)
+        own = F.substring_index(v["name"], ".", -1)
+        return (
+            F.when(v["name"] == "", F.concat(F.lit("index"), v["mark"], extension))
+            .when(
+                F.contains(v["name"], F.lit(".")),
+                F.concat(stem, v["mark"], F.lit("."), own),
+            )
+            .otherwise(F.concat(v["name"], v["mark"], extension))
+        )
+
+    return bind(marked, name=name, mark=mark)
+
+
+def _path_parts(uri: Column, file_name: Column) -> Column:
+    """Decoded parts of the path, an empty path as ``/index.html``, then the given name."""
+
+    def parts(v: Column) -> Column:
+        split = F.transform(F.split(F.regexp_replace(v["path"], "^/", ""), "/"), decode_part)
+        return F.concat(
+            F.when(v["path"] == "", F.array(F.lit("index.html"))).otherwise(split),
+            F.when(file_name.isNotNull(), F.array(file_name)).otherwise(
+                F.array().cast("array<string>")
+            ),
+        )
+
+    return bind(parts, path=path_of(uri))
 
-def _path_parts(uri: Column) -> Column:
-    """Decoded parts of the path; an empty path counts as ``/index.html``."""
-    path = path_of(uri)
-    parts = F.transform(F.split(F.regexp_replace(path, "^/", ""), "/"), decode_part)
-    return F.when(path == "", F.array(F.lit("index.html"))).otherwise(parts)
+
+def _basename(
+    parts: Column, disposition: Column, query: Column, file_name: Column, content_type: Column
+) -> Column:
+    def joined(v: Column) -> Column:
+        last = v["last"]
+        final = (
+            F.when(disposition.isNotNull() & last.isin("", "index.html"), disposition)
+            .when(
+                disposition.isNotNull() & file_name.isNull(),
+                F.concat_ws("/", F.regexp_replace(last, "/$", ""), disposition),
+            )
+            .otherwise(insert_query_hash(last, query, content_type))
+        )
+        folders = F.filter(v["folders"], lambda p: p != "")
+        return tidy_path(
+            F.concat(F.lit("/"), F.concat_ws("/", F.concat(folders, F.array(final))))
+        )
+
+    return bind(
+        joined,
+        last=F.try_element_at(parts, F.lit(-1)),
+        folders=F.slice(parts, F.lit(1), F.size(parts) - 1),
+    )
 
 
 def basename(
     uri: Column, headers: Column, file_name: Column, content_type: Column
 ) -> Column:
     """Path below the host: directories of the URI and the final file name."""
-    parts = _path_parts(uri)
-    parts = F.when(
-        file_name.isNotNull(), F.concat(parts, F.array(file_name))
-    ).otherwise(parts)
-    last = F.try_element_at(parts, F.lit(-1))
-    disposition = disposition_filename(headers)
-    final = (
-        F.when(disposition.isNotNull() & last.isin("", "index.html"), disposition)
-        .when(
-            disposition.isNotNull() & file_name.isNull(),
-            F.concat_ws("/", F.regexp_replace(last, "/$", ""), disposition),
-        )
-        .otherwise(insert_query_hash(last, query_of(uri), content_type))
+    return bind(
+        lambda v: _basename(v["parts"], v["disposition"], v["query"], file_name, content_type),
+        parts=_path_parts(uri, file_name),
+        disposition=disposition_filename(headers),
+        query=query_of(uri),
     )
-    folders = F.filter(F.slice(parts, F.lit(1), F.size(parts) - 1), lambda p: p != "")
-    return tidy_path(F.concat(F.lit("/"), F.concat_ws("/", F.concat(folders, F.array(final)))))
 
 
-def location_part(uri: Column, headers: Column) -> Column:
-    """Host section of the path: own host, or what the Location header makes of it."""
-    own = F.concat(F.lit("/"), _or(host_of(uri), ""))
-    location = location_value(headers)
+def _location_part(host: Column, disposition: Column, location: Column) -> Column:
+    own = F.concat(F.lit("/"), _or(host, ""))
     return (
-        F.when(disposition_filename(headers).isNotNull() | location.isNull(), own)
-        .when(location.isin("", "/"), own)
+        F.when(disposition.isNotNull() | location.isNull() | location.isin("", "/"), own)
         .when(
             location.rlike(r"^[A-Za-z][A-Za-z0-9+.\-]*://"),
             F.concat(F.lit("/"), _or(host_of(location), "")),
@@ -117,6 +145,16 @@ def location_part(uri: Column, headers: Column) -> Column:
     )
 
 
+def location_part(uri: Column, headers: Column) -> Column:
+    """Host section of the path: own host, or what the Location header makes of it."""
+    return bind(
+        lambda v: _location_part(v["host"], v["disposition"], v["location"]),
+        host=host_of(uri),
+        disposition=disposition_filename(headers),
+        location=location_value(headers),
+    )
+
+
 def remote_file_path(
     uri: Column,
     headers: Column,
@@ -128,15 +166,26 @@ def remote_file_path(
     none = F.lit(None).cast("string")
     file_name = none if file_name is None else file_name
     content_type = none if content_type is None else content_type
-    return F.when(
-        uri.isNotNull(),
-        F.concat(
-            F.lit(root.rstrip("/") + "/"),
-            _or(scheme_of(uri), ""),
-            location_part(uri, headers),
-            basename(uri, headers, file_name, content_type),
-        ),
+    prefix = root.rstrip("/") + "/"
+
+    def path(v: Column) -> Column:
+        return F.concat(
+            F.lit(prefix),
+            v["scheme"],
+            _location_part(v["host"], v["disposition"], v["location"]),
+            _basename(v["parts"], v["disposition"], v["query"], file_name, content_type),
+        )
+
+    bound = bind(
+        path,
+        scheme=_or(scheme_of(uri), ""),
+        host=host_of(uri),
+        disposition=disposition_filename(headers),
+        location=location_value(headers),
+        parts=_path_parts(uri, file_name),
+        query=query_of(uri),
     )
+    return F.when(uri.isNotNull(), bound)
 
 
 def shorten_name(uri_path: Column, name: Column) -> Column:

@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from docintake.functions.identity import new_doc_id, uuid_for
+from docintake.functions.identity import fill_uuid, new_doc_id, uuid_for
+from docintake.functions.merging import merge_metadata, merge_tags
 from docintake.schema import ATTRS, CATALOG, META, ORIGIN
 
 COLUMNS = [
@@ -44,7 +45,8 @@ def upsert_catalog(catalog: DataFrame, changes: DataFrame, as_of: Column) -> Dat
     """Set the changed fields on the rows with those ids, in one join by id.
 
     ``changes`` has one row per doc_id with source, origin, tags, metadata, derivative,
-    and attrs and mimetype, which are NULL unless the file moved. Lists are final.
+    and attrs and mimetype, which are NULL unless the file moved. Tags and metadata are
+    put before the stored ones, the origin list replaces the stored one.
     """
     prefixed = changes.select(
         "doc_id",
@@ -70,10 +72,10 @@ def upsert_catalog(catalog: DataFrame, changes: DataFrame, as_of: Column) -> Dat
         changed(F.coalesce("n_derivative", F.lit(False)), "derivative"),
         changed(F.coalesce("derivatives", F.array().cast("array<string>")), "derivatives"),
         changed(F.coalesce("n_attrs", "attrs"), "attrs"),
-        changed(F.col("n_tags"), "tags"),
-        changed(F.col("n_metadata"), "metadata"),
+        changed(merge_tags(F.col("n_tags"), F.col("tags")), "tags"),
+        changed(merge_metadata(F.col("n_metadata"), F.col("metadata")), "metadata"),
         changed(F.col("n_origin"), "origin"),
-        changed(F.coalesce(F.col("uuid"), uuid_for(F.col("doc_id"))), "uuid"),
+        changed(fill_uuid(F.col("uuid"), F.col("doc_id")), "uuid"),
         "rogue_file",
     )
 

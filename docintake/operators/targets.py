@@ -124,17 +124,23 @@ def path_actions(plan: DataFrame, cfg: IntakeConfig = DEFAULT) -> DataFrame:
 def apply_actions(files: DataFrame, actions: DataFrame, payloads: DataFrame) -> DataFrame:
     """File table after the operations; ``payloads`` gives (seq, md5, length, mtime).
 
-    Moved and removed paths go, and of all writes to one path the last one stays.
+    The last operation on a path decides whether and with what content it exists.
     """
     moves = actions.where("op = 'move'").join(payloads, "seq")
-    written = moves.groupBy(F.col("to_path").alias("path")).agg(
-        F.max(F.struct("seq", "md5", "length", "mtime")).alias("w")
-    ).select("path", F.col("w.length").alias("length"), F.col("w.md5").alias("md5"),
-             F.col("w.mtime").alias("mtime"))
-    gone = (
-        actions.where("op IN ('move', 'remove')").select(F.col("from_path").alias("path"))
-        .union(moves.select(F.col("to_path").alias("path")))
-        .distinct()
+    written = moves.select(
+        F.col("to_path").alias("path"), "seq", F.struct("md5", "length", "mtime").alias("content")
+    )
+    gone = actions.where("op IN ('move', 'remove')").select(
+        F.col("from_path").alias("path"), "seq", F.lit(None).alias("content")
+    )
+    last = (
+        written.union(gone)
+        .groupBy("path")
+        .agg(F.max(F.struct("seq", "content"))["content"].alias("content"))
+    )
+    kept = files.select("path", "length", "md5", "mtime").join(last, "path", "left_anti")
+    return kept.unionByName(
+        last.where("content IS NOT NULL").select(
+            "path", "content.length", "content.md5", "content.mtime"
+        )
     )
-    kept = files.select("path", "length", "md5", "mtime").join(gone, "path", "left_anti")
-    return kept.unionByName(written)
