@@ -75,7 +75,7 @@ def match_catalog(
     messages: DataFrame,
     catalog: DataFrame,
     keys: tuple[str, ...] = ("hash", "source"),
-    hot_rows: int = HOT_ROWS,
+    hot_rows: int | None = HOT_ROWS,
 ) -> DataFrame:
     """Count and newest of the catalog rows each message matches.
 

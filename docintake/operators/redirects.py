@@ -46,7 +46,7 @@ def _follow(
     captures: DataFrame,
     statuses: tuple[int, ...],
     max_requests: int,
-    hot_rows: int,
+    hot_rows: int | None,
 ) -> DataFrame:
     """Walk from each distinct URI. Finished walks leave the loop after every hop."""
     facts = captures.select(
@@ -61,8 +61,11 @@ def _follow(
         F.array().cast(f"array<{ORIGIN}>").alias("chain"),
     )
     finished = []
-    for _ in range(max_requests):
-        joined = lookup(walks, facts, "current", spread_by="uri", hot_rows=hot_rows)
+    for hop in range(max_requests):
+        # the starts are distinct; only later stops can be shared by many walks
+        joined = lookup(
+            walks, facts, "current", spread_by="uri", hot_rows=hot_rows if hop else None
+        )
         scheme = scheme_of(F.col("current"))
         is_http = F.coalesce(scheme.isin(*HTTP_SCHEMES), F.lit(False))
         is_ftp = F.coalesce(scheme.isin(*FTP_SCHEMES), F.lit(False))
@@ -109,7 +112,7 @@ def resolve_redirects(
     captures: DataFrame,
     statuses: tuple[int, ...] = RESOLVE_STATUSES,
     max_requests: int = DEFAULT.max_requests,
-    hot_rows: int = HOT_ROWS,
+    hot_rows: int | None = HOT_ROWS,
 ) -> DataFrame:
     """Origin chain of each distinct URI, the canonical origin first, the start last."""
     walked = _follow(uris, captures, statuses, max_requests, hot_rows)
@@ -127,7 +130,7 @@ def follow_to_payload(
     uris: DataFrame,
     captures: DataFrame,
     max_requests: int = DEFAULT.max_requests,
-    hot_rows: int = HOT_ROWS,
+    hot_rows: int | None = HOT_ROWS,
 ) -> DataFrame:
     """Follow any redirect status to a 200 answer; every other end is an error."""
     walked = _follow(uris, captures, FETCH_STATUSES, max_requests, hot_rows)
@@ -146,7 +149,7 @@ def attach_payloads(
     resolved: DataFrame,
     captures: DataFrame,
     cfg: IntakeConfig = DEFAULT,
-    hot_rows: int = HOT_ROWS,
+    hot_rows: int | None = HOT_ROWS,
 ) -> DataFrame:
     """Body facts and paths of the document each resolved URI leads to."""
     canonical = resolved.withColumn("origin", F.try_element_at("chain", F.lit(1))).withColumn(

@@ -32,14 +32,16 @@ def lookup(
     key: str,
     how: str = "left",
     spread_by: str = "seq",
-    hot_rows: int = HOT_ROWS,
+    hot_rows: int | None = HOT_ROWS,
 ) -> DataFrame:
     """Join ``left`` to a side with at most one row per key.
 
     Rows of hot keys are spread over SALTS tasks, and the one right row of each hot
-    key is repeated as often. All other keys meet in an ordinary equi-join.
+    key is repeated as often. All other keys meet in an ordinary equi-join. Hot keys are
+    looked for in a pass over ``left``, which should be a scan or a checkpoint;
+    ``hot_rows=None`` says that it is known to be too small to have any.
     """
-    hot = hot_keys(left, key, hot_rows)
+    hot = [] if hot_rows is None else hot_keys(left, key, hot_rows)
     if not hot:
         return left.join(right, key, how)
 

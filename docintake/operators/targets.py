@@ -62,7 +62,7 @@ def document_targets(found: DataFrame, cfg: IntakeConfig = DEFAULT) -> DataFrame
 
 
 def target_occupancy(
-    targets: DataFrame, files: DataFrame, hot_rows: int = HOT_ROWS
+    targets: DataFrame, files: DataFrame, hot_rows: int | None = HOT_ROWS
 ) -> DataFrame:
     """Add the hash now stored at the target path; a free place counts as the own hash."""
     stored = files.select(F.col("path").alias("target_path"), F.col("md5").alias("stored_hash"))
@@ -86,7 +86,7 @@ def file_action() -> Column:
 
 
 def plan_file_actions(
-    targets: DataFrame, files: DataFrame, hot_rows: int = HOT_ROWS
+    targets: DataFrame, files: DataFrame, hot_rows: int | None = HOT_ROWS
 ) -> DataFrame:
     """Add the occupant of the target and the action that follows from it."""
     return target_occupancy(targets, files, hot_rows).withColumn("action", file_action())

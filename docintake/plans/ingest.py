@@ -47,7 +47,7 @@ from docintake.operators.targets import (
     target_occupancy,
 )
 from docintake.schema import META, ORIGIN
-from docintake.session import cut
+from docintake.session import cut, remove_folder, run_folder
 from docintake.sources.sinks import emit_errors, emit_notifications
 
 
@@ -63,6 +63,11 @@ class IngestResult:
     changed_rows: DataFrame
     deleted: DataFrame
     rounds: int
+    scratch: str
+
+    def release(self) -> None:
+        """Delete the intermediate tables, after everything wanted has been written."""
+        remove_folder(self.outcomes.sparkSession, self.scratch)
 
 
 def _null(kind: str) -> Column:
@@ -74,7 +79,7 @@ def message_facts(
     files: DataFrame,
     captures: DataFrame,
     cfg: IntakeConfig = DEFAULT,
-    hot_rows: int = HOT_ROWS,
+    hot_rows: int | None = HOT_ROWS,
 ) -> DataFrame:
     """Everything about a message that does not depend on the catalog."""
     origins = F.coalesce("origins", F.array().cast(f"array<{ORIGIN}>"))
@@ -206,7 +211,7 @@ def _judge(
     store: DataFrame,
     as_of: Column,
     cfg: IntakeConfig,
-    hot_rows: int,
+    hot_rows: int | None,
 ) -> DataFrame:
     """Outcome, action and effect of each pending message on the current state."""
     reads = single_keys(F.col("hash"), F.col("sources"), F.array("uri"))
@@ -266,6 +271,8 @@ def _judge(
         F.coalesce("static_error", F.when(too_recent, F.lit("run_too_recently")), invalid),
     )
     df = document_targets(df, cfg)
+    if hot_rows is not None:
+        df = cut(df)
     df = target_occupancy(df, store.select("path", "md5"), hot_rows)
     return df.withColumn("action", F.when(F.col("error").isNull(), file_action()))
 
@@ -351,7 +358,7 @@ def _first_by_key(df: DataFrame, keys: str, name: str) -> DataFrame:
     )
 
 
-def _settle(effects: DataFrame, rows: DataFrame, hot_rows: int) -> DataFrame:
+def _settle(effects: DataFrame, rows: DataFrame, hot_rows: int | None) -> DataFrame:
     """Split the judged messages: add ``solo`` and ``blocked`` to each of them."""
     slim = effects.select(
         "seq", "doc_id", "raw", "hash", "sources", "uri", "ok", "action", "consumes",
@@ -463,7 +470,7 @@ def _settle(effects: DataFrame, rows: DataFrame, hot_rows: int) -> DataFrame:
     return df.select("seq", "solo", "blocked", "follows")
 
 
-def _reading_after(df: DataFrame, firsts: DataFrame, hot_rows: int) -> DataFrame:
+def _reading_after(df: DataFrame, firsts: DataFrame, hot_rows: int | None) -> DataFrame:
     """seq of messages that read a key after the seq given for it."""
     read = df.select("seq", F.explode("reads").alias("key"))
     return (
@@ -476,7 +483,7 @@ def _reading_after(df: DataFrame, firsts: DataFrame, hot_rows: int) -> DataFrame
 
 
 def _apply_rows(
-    rows: DataFrame, final: DataFrame, deleted: DataFrame, as_of: Column, hot_rows: int
+    rows: DataFrame, final: DataFrame, deleted: DataFrame, as_of: Column, hot_rows: int | None
 ) -> DataFrame:
     """Catalog slice after the final messages of one round."""
     time = as_of.cast("timestamp_ntz")
@@ -544,6 +551,7 @@ def _apply_store(store: DataFrame, final: DataFrame) -> DataFrame:
     return store.join(gone, "path", "left_anti").unionByName(written)
 
 
+KEYS_PER_MESSAGE = 8
 KEPT = [
     "seq", "raw", "match_source", "temp_path", "target_path", "doc_id", "doc_source",
     "new_source", "hash", "length", "is_new", "creates", "ok", "action", "error", "uri",
@@ -556,7 +564,7 @@ def _run_rounds(
     store: DataFrame,
     as_of: Column,
     cfg: IntakeConfig,
-    hot_rows: int,
+    hot_rows: int | None,
 ) -> tuple[DataFrame, DataFrame, DataFrame, int]:
     pending = cut(facts.drop("tags", "metadata", "derivative", "mtime", "head", "route"))
     done, deletions, rounds = [], [], 0
@@ -663,8 +671,31 @@ def ingest_batch(
     cfg: IntakeConfig = DEFAULT,
     hot_rows: int = HOT_ROWS,
 ) -> IngestResult:
-    """Take in one batch; ``seq`` gives the arrival order and is unique."""
+    """Take in one batch; ``seq`` gives the arrival order and is unique.
+
+    The result reads tables in the checkpoint folder until it is released.
+    """
+    with run_folder(messages.sparkSession) as scratch:
+        return _ingest(
+            messages, files, captures, catalog, mappings, flags, as_of, cfg, hot_rows, scratch
+        )
+
+
+def _ingest(
+    messages: DataFrame,
+    files: DataFrame,
+    captures: DataFrame,
+    catalog: DataFrame,
+    mappings: DataFrame,
+    flags: DataFrame,
+    as_of: Column,
+    cfg: IntakeConfig,
+    hot_rows: int,
+    scratch: str,
+) -> IngestResult:
     facts = cut(message_facts(messages, files, captures, cfg, hot_rows))
+    if facts.count() * KEYS_PER_MESSAGE < hot_rows:
+        hot_rows = None
     start_rows = _slice_catalog(facts, catalog, flags, cfg)
     store = _slice_store(facts, start_rows, files, cfg)
     done, deletions, rows, rounds = _run_rounds(facts, start_rows, store, as_of, cfg, hot_rows)
@@ -728,4 +759,5 @@ def ingest_batch(
         changed_rows=changed_rows,
         deleted=deleted,
         rounds=rounds,
+        scratch=scratch,
     )

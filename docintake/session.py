@@ -2,7 +2,11 @@
 
 from __future__ import annotations
 
+import contextlib
+import contextvars
 import tempfile
+import uuid
+from collections.abc import Iterator
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -11,13 +15,20 @@ SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # call sites of every column expression cost more than the planning itself
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 
-def local_session(cores: str | int = "*", memory: str = "8g", partitions: int = 8) -> SparkSession:
+def local_session(
+    cores: str | int = "*",
+    memory: str = "8g",
+    partitions: int = 8,
+    extra: dict[str, str] | None = None,
+) -> SparkSession:
     """Session for tests and the bench; a cluster brings its own."""
     builder = SparkSession.builder.master(f"local[{cores}]").appName("docintake")
-    for key, value in SETTINGS.items():
+    for key, value in {**SETTINGS, **(extra or {})}.items():
         builder = builder.config(key, value)
     return (
         builder.config("spark.sql.shuffle.partitions", str(partitions))
@@ -48,7 +59,33 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return context.getCheckpointDir()
 
 
+_RUN = contextvars.ContextVar("docintake_run", default="shared")
+
+
+@contextlib.contextmanager
+def run_folder(spark: SparkSession) -> Iterator[str]:
+    """Put the tables :func:`cut` writes inside the block into a folder of their own."""
+    name = uuid.uuid4().hex
+    token = _RUN.set(name)
+    try:
+        yield f"{ensure_checkpoint_dir(spark)}/{name}"
+    finally:
+        _RUN.reset(token)
+
+
+def remove_folder(spark: SparkSession, folder: str) -> None:
+    """Delete a run folder once nothing reads from it any more."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def cut(df: DataFrame) -> DataFrame:
-    """Write ``df`` to the checkpoint folder and read it back, without its lineage."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """Write ``df`` as a table in the checkpoint folder and go on from there.
+
+    Like a checkpoint it ends the lineage and outlives executors. As a table it is read
+    column by column, and its size is known to the planner.
+    """
+    spark = df.sparkSession
+    path = f"{ensure_checkpoint_dir(spark)}/{_RUN.get()}/{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
