@@ -11,7 +11,15 @@ from docintake.config import DEFAULT, FTP_SCHEMES, HTTP_SCHEMES, IntakeConfig
 from docintake.functions.headers import header_content_type, header_filename
 from docintake.functions.mimetypes import detect_mimetype
 from docintake.functions.naming import remote_file_path, shorten_path
-from docintake.functions.uris import host_of, scheme_of, scheme_status
+from docintake.functions.uris import (
+    default_port,
+    host_of,
+    path_of,
+    port_of,
+    scheme_of,
+    scheme_status,
+    userinfo_of,
+)
 from docintake.operators.skew import HOT_ROWS, lookup
 from docintake.schema import HEADERS, META, ORIGIN
 from docintake.session import cut
@@ -70,24 +78,30 @@ def _follow(
         is_http = F.coalesce(scheme.isin(*HTTP_SCHEMES), F.lit(False))
         is_ftp = F.coalesce(scheme.isin(*FTP_SCHEMES), F.lit(False))
         redirected = is_http & F.coalesce(F.col("c_status").isin(*statuses), F.lit(False))
+        origin = F.when(
+            is_ftp,
+            _origin(F.col("current"), F.lit(None), F.lit(None).cast("int")),
+        ).otherwise(_origin(F.col("current"), F.col("c_headers"), F.col("c_status")))
+        visited = F.concat("chain", F.array(origin))
+        # the log answers an address the same way each time, so coming back never ends
+        cycle = F.exists(visited, lambda o: o["uri"] == F.col("c_location"))
         error = (
             F.when(~is_http & ~is_ftp, scheme_status(F.col("current")))
             .when(is_http & F.col("c_status").isNull(), F.lit("not_captured"))
             .when(redirected & F.col("c_location").isNull(), F.lit("unable_to_follow"))
+            .when(redirected & cycle, F.lit("too_many_redirects"))
         )
-        origin = F.when(
-            is_ftp,
-            _origin(F.col("current"), F.lit(None), F.lit(None).cast("int")),
-        ).otherwise(_origin(F.col("current"), F.col("c_headers"), F.col("c_status")))
         step = joined.select(
             "uri",
-            F.when(redirected & error.isNull(), F.col("c_location"))
+            F.when(redirected & (error.isNull() | cycle), F.col("c_location"))
             .otherwise(F.col("current"))
             .alias("current"),
-            F.when(error.isNull() | redirected, F.concat("chain", F.array(origin)))
+            F.when(error.isNull() | redirected, visited)
             .otherwise(F.col("chain"))
             .alias("chain"),
-            F.when(is_http, F.col("c_status")).alias("terminal_status"),
+            F.when(is_http & ~F.coalesce(redirected & cycle, F.lit(False)), F.col("c_status")).alias(
+                "terminal_status"
+            ),
             error.alias("error"),
             (~redirected | error.isNotNull()).alias("done"),
         )
@@ -204,3 +218,20 @@ def attach_payloads(
         F.when(good, detect_mimetype(F.col("head"), F.col("target_path"))).alias("mimetype"),
         "error",
     )
+
+
+def endpoint_profile(starts: DataFrame) -> DataFrame:
+    """Server, port and kind of login of each ftp URI; passwords are never read out."""
+    uri = F.col("uri")
+    scheme = scheme_of(uri)
+    user = F.regexp_extract(userinfo_of(uri), r"^([^:]*)", 1)
+    ftp = starts.where(scheme.isin(*FTP_SCHEMES)).select(
+        scheme.alias("scheme"),
+        host_of(uri).alias("host"),
+        F.coalesce(port_of(uri), default_port(scheme)).cast("bigint").alias("port"),
+        F.coalesce(user, F.lit("anonymous")).alias("login"),
+        path_of(uri).alias("path"),
+    )
+    return ftp.groupBy("scheme", "host", "port", "login").agg(
+        F.count(F.lit(1)).alias("n"), F.min("path").alias("first_path")
+    )

@@ -62,6 +62,8 @@ class IngestResult:
     errors: DataFrame
     changed_rows: DataFrame
     deleted: DataFrame
+    changed_flags: DataFrame
+    deleted_edges: DataFrame
     rounds: int
     scratch: str
 
@@ -744,9 +746,15 @@ def _ingest(
         .groupBy("doc_id")
         .agg(F.max_by("ok", "seq").alias("finished"))
     )
-    new_flags = mark_run_state(flags, started, as_of, cfg).join(deleted, "doc_id", "left_anti")
     zero_new = outcomes.where("is_new AND action = 'ZERO_LENGTH'").select("doc_id")
-    new_flags = new_flags.join(zero_new, "doc_id", "left_anti")
+    no_flag = deleted.union(zero_new)
+    changed_flags = mark_run_state(flags.limit(0), started, as_of, cfg).join(
+        no_flag, "doc_id", "left_anti"
+    )
+    new_flags = mark_run_state(flags, started, as_of, cfg).join(no_flag, "doc_id", "left_anti")
+    deleted_edges = mappings.join(
+        deleted.select(F.col("doc_id").alias("parent")), "parent", "left_semi"
+    ).select("mapping_id")
 
     return IngestResult(
         catalog=new_catalog,
@@ -758,6 +766,8 @@ def _ingest(
         errors=emit_errors(outcomes),
         changed_rows=changed_rows,
         deleted=deleted,
+        changed_flags=changed_flags,
+        deleted_edges=deleted_edges,
         rounds=rounds,
         scratch=scratch,
     )
