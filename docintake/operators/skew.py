@@ -46,16 +46,12 @@ def lookup(
         return left.join(right, key, how)
 
     is_hot = F.coalesce(F.col(key).isin(hot), F.lit(False))
+    none, all_salts = F.array(F.lit(0)), F.sequence(F.lit(0), F.lit(SALTS - 1))
     salted = left.withColumn(
         "_salt",
-        F.when(is_hot, F.pmod(F.xxhash64(F.col(spread_by)), F.lit(SALTS))).otherwise(F.lit(0)),
-    )
-    repeated = right.withColumn(
-        "_salt",
-        F.explode(
-            F.when(is_hot, F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(F.array(F.lit(0)))
-        ).cast("bigint"),
+        F.when(is_hot, F.pmod(F.xxhash64(F.col(spread_by)), F.lit(SALTS)).cast("int")).otherwise(0),
     )
+    repeated = right.withColumn("_salt", F.explode(F.when(is_hot, all_salts).otherwise(none)))
     return salted.join(repeated, [key, "_salt"], how).drop("_salt")
 
 

@@ -18,13 +18,8 @@ from docintake.operators.skew import HOT_ROWS, lookup
 from docintake.schema import ORIGIN
 
 
-def document_targets(found: DataFrame, cfg: IntakeConfig = DEFAULT) -> DataFrame:
-    """Target path, whether the document is in its zone, and its new origins.
-
-    ``found`` has doc_source, doc_origin, msg_origins, chain (NULL for a landing file)
-    and download_target. A download takes over the resolved chain alone unless
-    ``keep_prior_origins`` is set.
-    """
+def target_columns(cfg: IntakeConfig = DEFAULT) -> list[dict[str, Column]]:
+    """Columns :func:`document_targets` adds, in the order they build on each other."""
     consolidated = consolidate_origins(
         F.col("doc_origin"), F.col("chain"), F.col("msg_origins")
     )
@@ -33,11 +28,12 @@ def document_targets(found: DataFrame, cfg: IntakeConfig = DEFAULT) -> DataFrame
     download_origins = chain
     if cfg.keep_prior_origins:
         uris = F.transform(chain, lambda o: o["uri"])
-        prior = F.filter(consolidated, lambda o: F.array_contains(uris, o["uri"]))
+        prior = F.filter(
+            F.col("consolidated"), lambda o: F.array_contains(uris, o["uri"])
+        )
         download_origins = F.array_distinct(F.concat(chain, prior))
 
-    df = found.withColumn("consolidated", consolidated)
-    first = first_remote_origin(F.col("consolidated"))
+    first = F.col("first_remote")
     source = F.col("doc_source")
     target = (
         F.when(downloaded, remote_target_path(source, F.col("download_target"), cfg))
@@ -47,18 +43,27 @@ def document_targets(found: DataFrame, cfg: IntakeConfig = DEFAULT) -> DataFrame
         )
         .otherwise(local_target_path(source, cfg))
     )
-    to_remote = downloaded | first.isNotNull()
-    return (
-        df.withColumn("target_path", target)
-        .withColumn(
-            "in_place",
-            F.when(to_remote, in_zone(source, cfg.remote)).otherwise(in_zone(source, cfg.local)),
-        )
-        .withColumn(
-            "new_origin", F.when(downloaded, download_origins).otherwise(F.col("consolidated"))
-        )
-        .drop("consolidated")
+    in_place = F.when(downloaded | first.isNotNull(), in_zone(source, cfg.remote)).otherwise(
+        in_zone(source, cfg.local)
     )
+    new_origin = F.when(downloaded, download_origins).otherwise(F.col("consolidated"))
+    return [
+        {"consolidated": consolidated},
+        {"first_remote": first_remote_origin(F.col("consolidated"))},
+        {"target_path": target, "in_place": in_place, "new_origin": new_origin},
+    ]
+
+
+def document_targets(found: DataFrame, cfg: IntakeConfig = DEFAULT) -> DataFrame:
+    """Target path, whether the document is in its zone, and its new origins.
+
+    ``found`` has doc_source, doc_origin, msg_origins, chain (NULL for a landing file)
+    and download_target. A download takes over the resolved chain alone unless
+    ``keep_prior_origins`` is set.
+    """
+    for columns in target_columns(cfg):
+        found = found.withColumns(columns)
+    return found.drop("consolidated", "first_remote")
 
 
 def target_occupancy(

@@ -41,9 +41,9 @@ from docintake.operators.redirects import attach_payloads, resolve_redirects
 from docintake.operators.runs import mark_run_state, run_recently
 from docintake.operators.skew import HOT_ROWS, broadcast_if_small, distinct_items, lookup
 from docintake.operators.targets import (
-    document_targets,
     file_action,
     path_actions,
+    target_columns,
     target_occupancy,
 )
 from docintake.schema import META, ORIGIN
@@ -207,58 +207,28 @@ def _slice_store(
     return cut(stored)
 
 
-def _judge(
-    pending: DataFrame,
-    rows: DataFrame,
-    store: DataFrame,
-    as_of: Column,
-    cfg: IntakeConfig,
-    hot_rows: int | None,
-) -> DataFrame:
-    """Outcome, action and effect of each pending message on the current state."""
-    reads = single_keys(F.col("hash"), F.col("sources"), F.array("uri"))
-    index = (
-        rows.select(
-            F.explode(
-                single_keys(F.col("hash"), F.array("source"), origin_uris(F.col("origin")))
-            ).alias("key"),
-            F.struct(
-                "created", "doc_id", "source", "hash", "rogue_file", "started", "origin"
-            ).alias("row"),
-        )
-        .groupBy("key")
-        .agg(F.max("row").alias("newest"))
-    )
-    wanted = pending.where("static_error IS NULL").select("seq", F.explode(reads).alias("key"))
-    best = (
-        lookup(wanted, index, "key", how="inner", hot_rows=hot_rows)
-        .groupBy("seq")
-        .agg(F.max("newest").alias("newest"))
-    )
-    df = pending.join(best, "seq", "left")
+def _rules(as_of: Column, cfg: IntakeConfig) -> dict[str, list[dict[str, Column]]]:
+    """Column expressions of one round, built once for all rounds."""
     time = as_of.cast("timestamp_ntz")
+    empty = F.array().cast("array<string>")
     live = F.col("static_error").isNull()
     same = F.coalesce(F.col("newest.hash") == F.col("hash"), F.lit(False))
 
     def found(field: str) -> Column:
         return F.when(same, F.col(f"newest.{field}"))
 
-    df = (
-        df.withColumn("is_new", live & ~same)
-        .withColumn(
-            "doc_id",
-            F.when(live, F.coalesce(found("doc_id"), new_doc_id(as_of, F.col("seq")))),
-        )
-        .withColumn(
-            "doc_source", F.when(live, F.when(same, found("source")).otherwise(F.col("match_source")))
-        )
-        .withColumn("doc_created", F.when(same, found("created")).otherwise(time))
-        .withColumn("doc_origin", found("origin"))
-        .withColumn("doc_started", found("started"))
-        .withColumn("doc_rogue", found("rogue_file"))
-        .withColumn("doc_hash", F.col("hash"))
-        .drop("newest")
-    )
+    document = {
+        "is_new": live & ~same,
+        "doc_id": F.when(live, F.coalesce(found("doc_id"), new_doc_id(as_of, F.col("seq")))),
+        "doc_source": F.when(
+            live, F.when(same, found("source")).otherwise(F.col("match_source"))
+        ),
+        "doc_created": F.when(same, found("created")).otherwise(time),
+        "doc_origin": found("origin"),
+        "doc_started": found("started"),
+        "doc_rogue": found("rogue_file"),
+        "doc_hash": F.col("hash"),
+    }
     too_recent = run_recently(F.col("doc_started"), as_of, cfg.recent_tolerance)
     invalid = validation_error(
         F.col("verify"),
@@ -268,47 +238,47 @@ def _judge(
         as_of,
         cfg.verify_timeout,
     )
-    df = df.withColumn(
-        "error",
-        F.coalesce("static_error", F.when(too_recent, F.lit("run_too_recently")), invalid),
-    )
-    df = document_targets(df, cfg)
-    if hot_rows is not None:
-        df = cut(df)
-    df = target_occupancy(df, store.select("path", "md5"), hot_rows)
-    return df.withColumn("action", F.when(F.col("error").isNull(), file_action()))
-
+    error = F.coalesce("static_error", F.when(too_recent, F.lit("run_too_recently")), invalid)
 
-def _effects(judged: DataFrame, cfg: IntakeConfig) -> DataFrame:
-    """Keys each message reads, writes and may come to write; all arrays are distinct."""
-    empty = F.array().cast("array<string>")
-    moved = F.coalesce(F.col("action").isin("MOVE", "REPLACE"), F.lit(False))
     accepted = F.col("error").isNull()
+    moved = F.coalesce(F.col("action").isin("MOVE", "REPLACE"), F.lit(False))
     zero = F.coalesce(F.col("action") == "ZERO_LENGTH", F.lit(False))
-    ok = accepted & ~zero & F.coalesce(F.col("action") != "MISSING_TARGET", F.lit(False))
-    live = F.col("static_error").isNull()
-
-    df = (
-        judged.withColumn("ok", ok)
-        .withColumn("new_source", F.when(moved, F.col("target_path")).otherwise(F.col("doc_source")))
-        .withColumn("origin_after", F.when(ok, F.col("new_origin")).otherwise(F.col("doc_origin")))
-        .withColumn("creates", F.col("is_new") & ~zero)
-        .withColumn("deletes_own", live & ~F.col("is_new") & zero)
-        .withColumn(
-            "consumes",
+    effect = {
+        "ok": accepted & ~F.coalesce(
+            F.col("action").isin("ZERO_LENGTH", "MISSING_TARGET"), F.lit(False)
+        ),
+        "new_source": F.when(moved, F.col("target_path")).otherwise(F.col("doc_source")),
+        "creates": F.col("is_new") & ~zero,
+        "deletes_own": live & ~F.col("is_new") & zero,
+        "consumes": (
             F.col("uri").isNull()
             & F.coalesce(F.col("action").isin("MOVE", "REPLACE", "DISCARD"), F.lit(False))
-            & ~(moved & (F.col("temp_path") == F.col("target_path"))),
-        )
-    )
+            & ~(moved & (F.col("temp_path") == F.col("target_path")))
+        ),
+        "target_written": F.when(moved, F.col("target_path")),
+        "file_key": F.when(
+            F.col("uri").isNull() & live, F.array(F.concat(F.lit("F\x01"), "raw"))
+        ).otherwise(empty),
+        "match_keys": F.when(
+            live, single_keys(F.col("hash"), F.col("sources"), F.array("uri"))
+        ).otherwise(empty),
+    }
+    origin_after = {
+        "origin_after": F.when(F.col("ok"), F.col("new_origin")).otherwise(F.col("doc_origin")),
+        "target_read": F.when(F.col("ok"), F.col("target_path")),
+    }
 
     def row_keys(source: str, origin: str) -> Column:
         return single_keys(F.col("hash"), F.array(source), origin_uris(F.col(origin)))
 
-    before = F.when(live & ~F.col("is_new"), row_keys("doc_source", "doc_origin")).otherwise(empty)
-    after = F.when(
-        live & ~zero, row_keys("new_source", "origin_after")
-    ).otherwise(empty)
+    row = {
+        "before": F.when(
+            live & ~F.col("is_new"), row_keys("doc_source", "doc_origin")
+        ).otherwise(empty),
+        "after": F.when(
+            live & ~zero, row_keys("new_source", "origin_after")
+        ).otherwise(empty),
+    }
 
     def first_uri(origin: str) -> Column:
         return first_remote_origin(F.col(origin))["uri"]
@@ -323,35 +293,86 @@ def _effects(judged: DataFrame, cfg: IntakeConfig) -> DataFrame:
     )
     if cfg.keep_prior_origins:
         changes_row = changes_row | ~F.col("doc_origin").eqNullSafe(F.col("origin_after"))
+    before, after = F.col("before"), F.col("after")
     changed_keys = F.when(live & changes_row, F.array_union(before, after)).otherwise(
         F.array_union(F.array_except(before, after), F.array_except(after, before))
     )
-    file_key = F.when(
-        F.col("uri").isNull() & live, F.array(F.concat(F.lit("F\x01"), "raw"))
-    ).otherwise(empty)
-    reads = F.when(
-        live,
-        F.concat(single_keys(F.col("hash"), F.col("sources"), F.array("uri")), file_key),
-    ).otherwise(empty)
-    writes = F.concat(changed_keys, F.when(F.col("consumes"), file_key).otherwise(empty))
+    # origin URIs the document may still come to have
     possible = single_keys(
         _null("string"),
         empty,
         F.concat(origin_uris(F.col("chain")), origin_uris(F.col("msg_origins"))),
     )
-    return (
-        df.withColumn("reads", reads)
-        .withColumn("writes", writes)
-        .withColumn(
-            "touches",
-            F.when(
-                live,
-                F.array_distinct(F.concat(reads, writes, before, after, possible)),
-            ).otherwise(empty),
+    placed_key = F.concat(F.lit("S\x01"), F.col("target_written"))
+    access = {
+        # the stored path, if this message does nothing with it but to place its file there
+        "placed_key": F.when(
+            ~F.array_contains(F.concat("match_keys", before, possible), placed_key), placed_key
+        ),
+        "reads": F.concat("match_keys", "file_key"),
+        "writes": F.concat(
+            changed_keys, F.when(F.col("consumes"), F.col("file_key")).otherwise(empty)
+        ),
+        "touches": F.when(
+            live, F.array_distinct(F.concat("match_keys", "file_key", before, after, possible))
+        ).otherwise(empty),
+    }
+    return {
+        "judge": [document, {"error": error}, *target_columns(cfg)],
+        "act": [
+            {"action": F.when(F.col("error").isNull(), file_action())},
+            effect,
+            origin_after,
+            row,
+            access,
+        ],
+    }
+
+
+def _with(df: DataFrame, steps: list[dict[str, Column]]) -> DataFrame:
+    for columns in steps:
+        df = df.withColumns(columns)
+    return df
+
+
+def _judge(
+    pending: DataFrame,
+    rows: DataFrame,
+    store: DataFrame,
+    rules: dict[str, list[dict[str, Column]]],
+    hot_rows: int | None,
+) -> DataFrame:
+    """Outcome, action and effect of each pending message on the current state.
+
+    Adds the keys each message reads, writes and may come to write.
+    """
+    index = (
+        rows.select(
+            F.explode(
+                single_keys(F.col("hash"), F.array("source"), origin_uris(F.col("origin")))
+            ).alias("key"),
+            F.struct(
+                "created", "doc_id", "source", "hash", "rogue_file", "started", "origin"
+            ).alias("row"),
         )
-        .withColumn("target_read", F.when(ok, F.col("target_path")))
-        .withColumn("target_written", F.when(moved, F.col("target_path")))
+        .groupBy("key")
+        .agg(F.max("row").alias("newest"))
+    )
+    wanted = pending.where("static_error IS NULL").select(
+        "seq",
+        F.explode(single_keys(F.col("hash"), F.col("sources"), F.array("uri"))).alias("key"),
+    )
+    best = (
+        lookup(wanted, index, "key", how="inner", hot_rows=hot_rows)
+        .groupBy("seq")
+        .agg(F.max("newest").alias("newest"))
     )
+    df = _with(pending.join(best, "seq", "left"), rules["judge"])
+    df = df.drop("newest", "consolidated", "first_remote")
+    if hot_rows is not None:
+        df = cut(df)
+    df = target_occupancy(df, store.select("path", "md5"), hot_rows)
+    return _with(df, rules["act"]).drop("file_key", "match_keys", "before", "after")
 
 
 def _first_by_key(df: DataFrame, keys: str, name: str) -> DataFrame:
@@ -360,28 +381,34 @@ def _first_by_key(df: DataFrame, keys: str, name: str) -> DataFrame:
     )
 
 
-def _settle(effects: DataFrame, rows: DataFrame, hot_rows: int | None) -> DataFrame:
-    """Split the judged messages: add ``solo`` and ``blocked`` to each of them."""
+def _settle(
+    effects: DataFrame, rows: DataFrame, hot_rows: int | None
+) -> tuple[DataFrame, int]:
+    """Say of each judged message whether it is blocked, and how many are."""
     slim = effects.select(
         "seq", "doc_id", "raw", "hash", "sources", "uri", "ok", "action", "consumes",
-        "reads", "writes", "touches", "target_path", "target_read", "target_written",
+        "reads", "writes", "touches", "placed_key", "target_path", "target_read", "target_written",
     )
-    spread = slim.select("seq", "reads", "writes", F.explode("touches").alias("key")).select(
+    spread = slim.select(
+        "seq", "reads", "writes", "placed_key", F.explode("touches").alias("key")
+    ).select(
         "seq",
         "key",
+        F.coalesce(F.col("key") == F.col("placed_key"), F.lit(False)).alias("only_placed"),
         F.array_contains("reads", F.col("key")).alias("is_read"),
         F.array_contains("writes", F.col("key")).alias("is_written"),
     )
     per_key = spread.groupBy("key").agg(
         F.min("seq").alias("first"),
         F.max("seq").alias("last"),
+        F.min("only_placed").alias("all_placed"),
         F.min(F.when(F.col("is_written"), F.col("seq"))).alias("first_write"),
     )
     per_seq = (
         lookup(spread, per_key, "key", how="inner", hot_rows=hot_rows)
         .groupBy("seq")
         .agg(
-            F.max(F.col("first") < F.col("last")).alias("shared"),
+            F.max((F.col("first") < F.col("last")) & ~F.col("all_placed")).alias("shared"),
             F.max(
                 F.col("is_read") & F.coalesce(F.col("first_write") < F.col("seq"), F.lit(False))
             ).alias("waits"),
@@ -457,19 +484,21 @@ def _settle(effects: DataFrame, rows: DataFrame, hot_rows: int | None) -> DataFr
         ),
     )
     n_blocked = df.where("blocked").count()
-    while n_blocked:
-        risky = _first_by_key(df.where("blocked"), "touches", "first")
-        late = _reading_after(df.where("NOT blocked"), risky, hot_rows)
-        df = cut(
-            df.join(late, "seq", "left")
-            .withColumn("blocked", F.col("blocked") | F.coalesce("late", F.lit(False)))
-            .drop("late")
-        )
-        now = df.where("blocked").count()
-        if now == n_blocked:
-            break
-        n_blocked = now
-    return df.select("seq", "solo", "blocked", "follows")
+    fresh = df.where("blocked") if n_blocked else None
+    while fresh is not None:
+        risky = _first_by_key(fresh, "touches", "first")
+        late = cut(_reading_after(df.where("NOT blocked"), risky, hot_rows))
+        n_late = late.count()
+        n_blocked += n_late
+        fresh = None
+        if n_late:
+            df = (
+                df.join(late, "seq", "left")
+                .withColumn("blocked", F.col("blocked") | F.coalesce("late", F.lit(False)))
+                .drop("late")
+            )
+            fresh = df.join(late, "seq", "left_semi")
+    return df.select("seq", "solo", "blocked", "follows"), n_blocked
 
 
 def _reading_after(df: DataFrame, firsts: DataFrame, hot_rows: int | None) -> DataFrame:
@@ -499,7 +528,7 @@ def _apply_rows(
         time.alias("started"),
         F.lit(True).alias("is_new"),
     ).withColumn("started", _null("timestamp_ntz"))
-    current = rows.unionByName(created).join(deleted, "doc_id", "left_anti")
+    current = rows.unionByName(created).join(deleted.select("doc_id"), "doc_id", "left_anti")
 
     # a message that changes its document is the last one of it in this round
     latest = final.where("static_error IS NULL").groupBy("doc_id").agg(
@@ -543,7 +572,7 @@ def _apply_rows(
 
 def _apply_store(store: DataFrame, final: DataFrame) -> DataFrame:
     written = (
-        final.where("action IN ('MOVE', 'REPLACE')")
+        final.where("action IN ('MOVE', 'REPLACE') AND temp_path <> target_path")
         .groupBy(F.col("target_path").alias("path"))
         .agg(F.max_by("hash", "seq").alias("md5"))
     )
@@ -567,45 +596,51 @@ def _run_rounds(
     as_of: Column,
     cfg: IntakeConfig,
     hot_rows: int | None,
-) -> tuple[DataFrame, DataFrame, DataFrame, int]:
-    pending = cut(facts.drop("tags", "metadata", "derivative", "mtime", "head", "route"))
-    done, deletions, rounds = [], [], 0
-    while not pending.isEmpty():
+) -> tuple[list[DataFrame], list[DataFrame], DataFrame, int]:
+    rules = _rules(as_of, cfg)
+    pending = facts.drop("tags", "metadata", "derivative", "mtime", "head", "route")
+    columns = pending.columns
+    done, deletions, rounds, n_pending = [], [], 0, None
+    while n_pending != 0:
         rounds += 1
-        effects = cut(_effects(_judge(pending, rows, store, as_of, cfg, hot_rows), cfg))
-        settled = _settle(effects, rows, hot_rows)
-        final = effects.join(settled.where("NOT blocked"), "seq")
+        judged = cut(_judge(pending, rows, store, rules, hot_rows))
+        settled, n_pending = _settle(judged, rows, hot_rows)
         follows = F.col("ok") & F.col("solo") & F.col("follows")
-        final = cut(
-            final.withColumn(
-                "action", F.when(follows, F.lit("REPLACE")).otherwise(F.col("action"))
+        judged = cut(
+            judged.join(settled, "seq")
+            .withColumns(
+                {
+                    "action": F.when(follows, F.lit("REPLACE")).otherwise(F.col("action")),
+                    "new_source": F.when(follows, F.col("target_path")).otherwise(
+                        F.col("new_source")
+                    ),
+                    "consumes": F.col("consumes") | (follows & F.col("uri").isNull()),
+                }
             )
-            .withColumn(
-                "new_source",
-                F.when(follows, F.col("target_path")).otherwise(F.col("new_source")),
-            )
-            .withColumn("consumes", F.col("consumes") | (follows & F.col("uri").isNull()))
+            .drop("reads", "writes", "touches", "placed_key")
         )
+        final = judged.where("NOT blocked")
+        superseded = superseded_rows(rows, final.where("action = 'REPLACE'"))
         deleted = cut(
-            superseded_rows(rows, final.where("action = 'REPLACE'"))
-            .union(final.where("deletes_own").select("doc_id"))
-            .distinct()
+            superseded.withColumn("replaced", F.lit(True))
+            .union(final.where("deletes_own").select("doc_id", F.lit(False)))
+            .groupBy("doc_id")
+            .agg(F.max("replaced").alias("replaced"))
         )
         rows = cut(_apply_rows(rows, final, deleted, as_of, hot_rows))
-        store = cut(_apply_store(store, final))
         done.append(final.select(*KEPT))
         deletions.append(deleted)
+        if n_pending == 0:
+            break
 
-        rest = pending.join(final.select("seq"), "seq", "left_anti")
+        store = cut(_apply_store(store, final))
         used = final.where("consumes").select("raw").distinct().withColumn("used", F.lit(True))
-        pending = cut(
-            lookup(rest, used, "raw", hot_rows=hot_rows)
+        lost = F.col("used") & F.col("uri").isNull() & F.col("static_error").isNull()
+        pending = (
+            lookup(judged.where("blocked").select(columns), used, "raw", hot_rows=hot_rows)
             .withColumn(
                 "static_error",
-                F.when(
-                    F.col("used") & F.col("uri").isNull() & F.col("static_error").isNull(),
-                    F.lit("file_not_found"),
-                ).otherwise(F.col("static_error")),
+                F.when(lost, F.lit("file_not_found")).otherwise(F.col("static_error")),
             )
             .drop("used")
         )
@@ -702,12 +737,11 @@ def _ingest(
     store = _slice_store(facts, start_rows, files, cfg)
     done, deletions, rows, rounds = _run_rounds(facts, start_rows, store, as_of, cfg, hot_rows)
 
-    if done:
-        final = reduce(DataFrame.unionByName, done)
-        deleted = reduce(DataFrame.union, deletions).distinct()
-    else:
-        final = _effects(_judge(facts, start_rows, store, as_of, cfg, hot_rows), cfg).select(*KEPT)
-        deleted = start_rows.select("doc_id").limit(0)
+    final = reduce(DataFrame.unionByName, done)
+    deletions = reduce(DataFrame.union, deletions)
+    deleted = deletions.select("doc_id").distinct()
+    # only a replacement takes the edges of the deleted documents with it
+    parents = deletions.where("replaced").select("doc_id").distinct()
     outcome = F.when(F.col("ok"), F.lit("ok")).otherwise(
         F.coalesce("error", F.lower("action"))
     )
@@ -739,7 +773,7 @@ def _ingest(
         .join(facts.where("derivative").select("seq"), "seq", "left_semi")
         .select("seq", F.col("raw").alias("source"), "doc_id")
     )
-    new_mappings = update_lineage(delete_lineage(mappings, deleted), derived, cfg)
+    new_mappings = update_lineage(delete_lineage(mappings, parents), derived, cfg)
 
     started = (
         outcomes.where("error IS NULL")
@@ -753,7 +787,7 @@ def _ingest(
     )
     new_flags = mark_run_state(flags, started, as_of, cfg).join(no_flag, "doc_id", "left_anti")
     deleted_edges = mappings.join(
-        deleted.select(F.col("doc_id").alias("parent")), "parent", "left_semi"
+        parents.select(F.col("doc_id").alias("parent")), "parent", "left_semi"
     ).select("mapping_id")
 
     return IngestResult(

@@ -260,7 +260,7 @@ SELECT path, seq, 'local' AS zone, md5 FROM (
 QUALIFY row_number() OVER (PARTITION BY path ORDER BY seq DESC) = 1""",
     "emit_notifications": _PLAN
     + """SELECT '{"seq":' || seq || ',"doc_id":"' || found_doc || '","source":"' || target_path || '","hash":"' ||
-  hash || '","consumer":"intake"}' AS value FROM planned WHERE same AND length > 0""",
+  hash || '","consumer":"intake"}' AS value FROM planned WHERE same AND action NOT IN ('ZERO_LENGTH', 'MISSING_TARGET')""",
     "emit_errors": _with(LANDED, CATALOG, MATCHED, TARGETED, _QUALITY)
     + f"""SELECT seq, source, outcome, CASE outcome WHEN 'silent_validation' THEN 'Suppressed exception for Validation'
   WHEN 'rogue_file' THEN 'cannot process rogue file' WHEN 'missing_origin_uri' THEN 'origin has no uri'

@@ -685,9 +685,9 @@ def emit_notifications(spark, sf_dir):
     planned = _plan(spark, sf_dir).where("NOT is_new").select(
         "seq", "doc_id", F.col("target_path").alias("new_source"), "hash",
         F.lit("intake").alias("consumer"),
-        F.when(F.col("action") == "ZERO_LENGTH", F.lit("zero_length")).otherwise("ok").alias(
-            "outcome"
-        ),
+        F.when(F.col("action").isin("ZERO_LENGTH", "MISSING_TARGET"), F.lower("action"))
+        .otherwise("ok")
+        .alias("outcome"),
     )
     return sinks.emit_notifications(planned)
 
