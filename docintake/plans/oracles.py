@@ -469,4 +469,26 @@ WHERE (doc_id % 19 = 0 OR doc_id % 23 = 0) AND doc_id % 5 < 3""",
   CASE WHEN path = {_PLACE} THEN path ELSE path || ' ' || {_PLACE} END AS sources,
   CASE doc_id % 26 WHEN 7 THEN 'missing_origin_uri' WHEN 9 THEN 'invalid_origin_scheme' END AS origin_error,
   CAST(NULL AS VARCHAR) AS static_error FROM landed""",
+    "attach_payloads": _with(CAPTURES, RESOLVED, "ends AS (SELECT stop AS uri FROM resolved WHERE error IS NULL)",
+                             _walk("fetched", "ends", FETCH), PAGED, recursive=True)
+    + f""", joined AS (
+  SELECT r.uri, r.stop AS origin, coalesce(r.error, f.error, CASE WHEN f.ftp THEN 'not_captured'
+      WHEN f.status <> 200 THEN 'bad_status' END) AS problem, l.html, p.*,
+    CASE WHEN p.page_id % 11 = 0 THEN 'page ' || p.page_id || '.pdf' END AS given, r.stop = f.stop AS direct
+  FROM resolved r LEFT JOIN fetched f ON r.error IS NULL AND f.uri = r.stop
+  LEFT JOIN log l ON l.uri = f.stop LEFT JOIN named p ON p.url = f.stop),
+pathed AS (
+  SELECT *, CASE
+    WHEN direct AND given IS NOT NULL THEN scheme || '/' || host || dir || last ||
+      CASE WHEN last = '' THEN '' ELSE '/' END || 'page ' || page_id || mark || '.pdf'
+    WHEN direct THEN scheme || {HOSTED} || dir || {_mark('last', EXTENSION)}
+    WHEN given IS NOT NULL THEN replace(origin, '://', '/') || '/' || given
+    ELSE replace(origin, '://', '/') || {EXTENSION} END AS place
+  FROM joined)
+SELECT uri, CASE WHEN problem IS NULL THEN origin END AS origin_uri,
+  CASE WHEN problem IS NULL THEN 'remote-ingress/' || place END AS temp_path,
+  CASE WHEN problem IS NULL THEN 'remote/' || place END AS target_path,
+  CASE WHEN problem IS NULL THEN md5(html) END AS hash,
+  CASE WHEN problem IS NULL THEN CAST(strlen(html) AS BIGINT) END AS length,
+  CASE WHEN problem IS NULL THEN 'text/html' END AS mimetype, problem IS NULL AS good FROM pathed""",
 }
