@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from docintake.functions.binding import bind
+
 HEAD_BYTES = 64
 
 # Leading bytes (hex) and the type they stand for.
@@ -56,17 +58,7 @@ def _begins(head: Column, digits: str) -> Column:
     return F.startswith(head, F.unhex(F.lit(digits)))
 
 
-def detect_mimetype(head: Column, name: Column) -> Column:
-    """Type by leading bytes, made finer by the extension; plain text if readable."""
-    last = F.substring_index(name, "/", -1)
-    extension = F.when(
-        F.contains(last, F.lit(".")), F.lower(F.substring_index(last, ".", -1))
-    )
-    table = F.create_map(*[F.lit(x) for pair in BY_EXTENSION.items() for x in pair])
-    named = F.try_element_at(table, extension)
-    text = F.lower(F.ltrim(F.decode(F.substring(head, 1, HEAD_BYTES), "ISO-8859-1")))
-    control = F.decode(head, "ISO-8859-1").rlike(r"[\x00-\x08\x0E-\x1A\x1C-\x1F]")
-
+def _decide(head: Column, extension: Column, named: Column, text: Column) -> Column:
     result = F.when(
         _begins(head, ZIP_MAGIC),
         F.when(extension.isin(*ZIP_KINDS), named).otherwise(F.lit("application/zip")),
@@ -75,7 +67,9 @@ def detect_mimetype(head: Column, name: Column) -> Column:
     )
     for digits, kind in MAGIC[:-1]:
         result = result.when(_begins(head, digits), F.lit(kind))
-    html = F.startswith(text, F.lit("<!doctype html")) | F.startswith(text, F.lit("<html"))
+    begin = F.lower(F.ltrim(text))
+    html = F.startswith(begin, F.lit("<!doctype html")) | F.startswith(begin, F.lit("<html"))
+    control = text.rlike(r"[\x00-\x08\x0E-\x1A\x1C-\x1F]")
     digits, kind = MAGIC[-1]
     xml = F.when(extension.isin("svg", "xhtml"), named).otherwise(F.lit(kind))
     return (
@@ -85,3 +79,26 @@ def detect_mimetype(head: Column, name: Column) -> Column:
         .when(head.isNull() | (F.length(head) == 0) | control, F.lit("application/octet-stream"))
         .otherwise(F.lit("text/plain"))
     )
+
+
+def detect_mimetype(head: Column, name: Column) -> Column:
+    """Type by leading bytes, made finer by the extension; plain text if readable."""
+    table = F.create_map(*[F.lit(x) for pair in BY_EXTENSION.items() for x in pair])
+
+    def by_extension(v: Column) -> Column:
+        extension = F.when(
+            F.contains(v["last"], F.lit(".")), F.lower(F.substring_index(v["last"], ".", -1))
+        )
+        return bind(
+            lambda x: _decide(x["head"], x["extension"], x["named"], x["text"]),
+            head=v["head"],
+            extension=extension,
+            named=F.try_element_at(table, extension),
+            text=F.decode(v["head"], "ISO-8859-1"),
+        )
+
+    return bind(
+        by_extension,
+        head=F.substring(head, 1, HEAD_BYTES),
+        last=F.substring_index(name, "/", -1),
+    )

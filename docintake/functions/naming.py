@@ -190,26 +190,48 @@ def remote_file_path(
 
 def shorten_name(uri_path: Column, name: Column) -> Column:
     """Replace names of 256 and more characters by hash, query hash and extension."""
+
+    def short(v: Column) -> Column:
+        rest = v["name"]
+        for piece in (v["stem"], v["extension"], F.lit(".")):
+            rest = F.replace(rest, piece, F.lit(""))
+        return F.concat_ws(
+            ".",
+            F.md5(v["stem"]),
+            F.nullif(rest, F.lit("")),
+            F.nullif(v["extension"], F.lit("")),
+        )
+
+    def parted(v: Column) -> Column:
+        has_dot = F.contains(v["original"], F.lit("."))
+        stem = F.when(has_dot, F.substring_index(v["original"], ".", 1)).otherwise(v["original"])
+        extension = F.when(
+            has_dot, F.lower(F.substring_index(v["original"], ".", -1))
+        ).otherwise("")
+        return F.when(
+            F.length(v["name"]) > LONGEST_NAME,
+            bind(short, stem=stem, extension=extension, name=v["name"]),
+        ).otherwise(v["name"])
+
     original = F.regexp_extract(F.regexp_replace(uri_path, "/+$", ""), r"([^/]*)$", 1)
-    has_dot = F.contains(original, F.lit("."))
-    stem = F.when(has_dot, F.substring_index(original, ".", 1)).otherwise(original)
-    extension = F.when(has_dot, F.lower(F.substring_index(original, ".", -1))).otherwise("")
-    rest = name
-    for piece in (stem, extension, F.lit(".")):
-        rest = F.replace(rest, piece, F.lit(""))
-    short = F.concat_ws(
-        ".",
-        F.md5(stem),
-        F.nullif(rest, F.lit("")),
-        F.nullif(extension, F.lit("")),
-    )
-    return F.when(F.length(name) > LONGEST_NAME, short).otherwise(name)
+    return bind(parted, original=original, name=name)
 
 
 def shorten_path(uri: Column, path: Column) -> Column:
     """Apply :func:`shorten_name` to the last part of a path."""
-    name = F.substring_index(path, "/", -1)
-    short = shorten_name(F.regexp_replace(path_of(uri), "%20", " "), name)
-    return F.when(
-        F.length(name) > LONGEST_NAME, F.replace(path, name, short)
-    ).otherwise(path)
+
+    def shortened(v: Column) -> Column:
+        return F.when(
+            F.length(v["name"]) > LONGEST_NAME,
+            F.replace(v["path"], v["name"], shorten_name(v["uri_path"], v["name"])),
+        ).otherwise(v["path"])
+
+    def named(v: Column) -> Column:
+        return bind(
+            shortened,
+            path=v["path"],
+            uri_path=v["uri_path"],
+            name=F.substring_index(v["path"], "/", -1),
+        )
+
+    return bind(named, path=path, uri_path=F.regexp_replace(path_of(uri), "%20", " "))

@@ -8,6 +8,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from docintake.config import DEFAULT, IntakeConfig
+from docintake.functions.binding import bind
 from docintake.functions.naming import remote_file_path, tidy_path
 
 
@@ -37,7 +38,12 @@ def zone_target_path(src: Column, base: str, cfg: IntakeConfig = DEFAULT) -> Col
     bare = F.regexp_replace(src, f"^{re.escape(cfg.ingress)}/+", "")
     repeated = f"(^|/)(?:{re.escape(cfg.derivatives)}/+)+"
     bare = F.regexp_replace(bare, repeated, f"$1{cfg.derivatives}/")
-    placed = F.when(in_zone(bare, base), bare).otherwise(F.concat(F.lit(f"{base}/"), bare))
+    placed = bind(
+        lambda v: F.when(in_zone(v["bare"], base), v["bare"]).otherwise(
+            F.concat(F.lit(f"{base}/"), v["bare"])
+        ),
+        bare=bare,
+    )
     return tidy_path(placed)
 
 
