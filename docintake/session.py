@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import contextlib
 import contextvars
+import os
+import shutil
 import tempfile
 import uuid
 from collections.abc import Iterator
@@ -59,6 +61,18 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return context.getCheckpointDir()
 
 
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the executors, once per application, for Python code that runs there."""
+    context = spark.sparkContext
+    if getattr(context, "_docintake_shipped", False):
+        return
+    root = os.path.dirname(os.path.abspath(__file__))
+    base = os.path.join(tempfile.mkdtemp(prefix="docintake-"), "docintake")
+    archive = shutil.make_archive(base, "zip", os.path.dirname(root), os.path.basename(root))
+    context.addPyFile(archive)
+    context._docintake_shipped = True
+
+
 _RUN = contextvars.ContextVar("docintake_run", default="shared")
 
 
