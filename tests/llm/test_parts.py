@@ -1,0 +1,274 @@
+"""Parts of the operators by themselves."""
+
+import io
+import random
+import re
+import zipfile
+
+import numpy as np
+import public_tokenizers
+import pyarrow as pa
+import pytest
+from pyspark.sql import functions as F
+
+from docintake.llm import (
+    bytewords, chat, components, decontaminate, packing, pii, simhash, syncmers, tokens, urls, warc,
+)
+from tests.llm import brute
+
+VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
+
+
+def test_word_blocks_find_every_word(monkeypatch):
+    monkeypatch.setattr(bytewords, "BLOCK", 40)
+    kinds = np.zeros(256, np.uint8)
+    kinds[48:58] = kinds[97:123] = kinds[128:] = 1
+    rng = random.Random(1)
+    for _ in range(100):
+        texts = [
+            "".join(rng.choice("ab é  .\n") for _ in range(rng.choice([0, 1, 5, 30, 200, 700])))
+            for _ in range(rng.randint(0, 6))
+        ] + [None]
+        data, offsets = bytewords.text_buffers(pa.array(texts, pa.string()))
+        seen, owned = {}, []
+        for w in bytewords.word_blocks(data, offsets, kinds, overlap=3):
+            h = bytewords.hash_spans(w.data, w.start, w.end)
+            for j, (a, b) in enumerate(zip(w.start, w.end)):
+                key = (int(w.doc[j]), int(w.index[j]))
+                word = (bytes(w.data[a:b]), int(h[j]))
+                assert seen.setdefault(key, word) == word
+                owned += [key] * (j < w.own)
+        want = {
+            (i, k): word.encode()
+            for i, t in enumerate(texts) for k, word in enumerate(re.findall("[abé]+", t or ""))
+        }
+        assert {k: v[0] for k, v in seen.items()} == want and sorted(owned) == sorted(want)
+        assert len({v[1] for v in seen.values()}) == len({v[0] for v in seen.values()})
+
+
+def test_long_encodings_are_spliced():
+    tokenizer = tokens.load(VOCABULARY)
+    assert tokens.spliceable(tokenizer)
+    assert not tokens.spliceable(tokens.load(public_tokenizers.path("word_bpe_49k.json")))
+    parts = ["a", "  ", " ", "\n", "é", "word", "<|endoftext|>", "<|endof", "12", "'s", "!!", "日本"]
+    rng = random.Random(2)
+    for k in range(300):
+        text = "".join(rng.choice(parts) for _ in range(rng.randint(0, 120)))
+        if k % 5 == 0:
+            text = "a" * rng.randint(0, 200) + " b" + " " * rng.randint(0, 90) + "x"
+        want = tokenizer.encode(text, add_special_tokens=False).ids
+        for chunk, overlap in ((20, 4), (40, 16), (33, 1)):
+            got = [i for ids in tokens.encode_long(tokenizer, text, chunk, overlap) for i in ids]
+            assert got == want
+
+
+def test_the_fast_encoder_gives_the_same_ids():
+    tokenizer, fast = tokens.load(VOCABULARY), packing.fast_encoder(VOCABULARY)
+    points = [*range(0x3000), *range(0x4E00, 0x4E40), *range(0x1F600, 0x1F640), 0x2028, 0xFEFF]
+    for c in points:
+        ch = chr(c)
+        text = f"a{ch}b1{ch}2 {ch}{ch} .{ch}! {ch}  {ch}x<|endoftext|>"
+        want = tokenizer.encode(text, add_special_tokens=False).ids
+        assert fast.encode(text, allowed_special="all") == want, hex(c)
+
+
+def test_packed_sequences_hold_their_pieces(spark, shared):
+    docs = spark.createDataFrame(
+        [(i, "some words to pack " * (i % 9)) for i in range(120)], "doc_id long, text string")
+    made = packing.pieces(docs, VOCABULARY, capacity=32, end_id=7, keep_ids=True).cache()
+    packed = packing.pack(made, capacity=32, shard=50).cache()
+    place = {(r.doc_id, r.piece): r for r in packed.collect()}
+    whole = {r.sequence_id: np.frombuffer(r.ids, "<u4") for r in packing.sequences(packed, made).collect()}
+    for r in made.collect():
+        p = place[r.doc_id, r.piece]
+        ids = whole[p.sequence_id][p.offset : p.offset + r.length]
+        assert ids.tobytes() == r.ids and len(whole[p.sequence_id]) <= 32
+
+
+def test_best_fit_takes_the_tightest_bin():
+    rng = random.Random(4)
+    for _ in range(100):
+        lengths = np.array(sorted((rng.randint(1, 20) for _ in range(rng.randint(1, 60))), reverse=True))
+        bins, offsets = packing.best_fit_decreasing(lengths, 20)
+        room = []
+        for length, b, offset in zip(lengths, bins, offsets):
+            fitting = [r for r in room if r >= length]
+            if fitting:
+                assert room[b] == min(fitting)
+            else:
+                assert b == len(room)
+                room.append(20)
+            assert offset == 20 - room[b]
+            room[b] -= length
+
+
+def _brute_links(keys):
+    return {frozenset((a, b)) for i, a in enumerate(keys) for b in keys[:i] if (a ^ b).bit_count() <= 2}
+
+
+def test_trie_finds_every_pair(monkeypatch):
+    monkeypatch.setattr(simhash, "FRONTIER", 16)
+    rng = random.Random(6)
+    for _ in range(40):
+        base = [rng.getrandbits(64) for _ in range(4)]
+        keys = set(base)
+        for _ in range(60):
+            k = rng.choice(base)
+            for _ in range(rng.randint(0, 4)):
+                k ^= 1 << rng.randrange(64)
+            keys.add(k)
+        keys = sorted(keys)
+        n, array = len(keys), np.array(keys, np.uint64)
+        one = [np.array([x]) for x in (0, n, 0, n, 0, 0)]
+        found = [
+            frozenset((keys[a], keys[b]))
+            for i, j in simhash.trie_links(array, *one) for a, b in zip(i, j)
+        ]
+        assert sorted(map(sorted, found)) == sorted(map(sorted, _brute_links(keys)))
+
+
+@pytest.mark.parametrize("split", [1_000_000, 4])
+def test_classes_equal_brute_force(spark, split):
+    """Groups above ``split`` fingerprints are dealt out by pairs of subtries."""
+    rng = random.Random(7)
+    base = [rng.getrandbits(64) for _ in range(12)]
+    prints = []
+    for _ in range(500):
+        k = rng.choice(base)
+        for _ in range(rng.choice([0, 1, 2, 3, 5])):
+            k ^= 1 << rng.randrange(64)
+        prints.append(k)
+    rows = [(i if i % 50 else None, k - (1 << 64) if k >> 63 else k) for i, k in enumerate(prints)]
+    marked = spark.createDataFrame(rows, "doc_id long, fp long").cache()
+    got = {(r.doc_id, r.fp): r.component_id for r in simhash.classes(marked, split).collect()}
+    distinct = sorted(set(prints))
+    group = {k: k for k in distinct}
+
+    def root(k):
+        while group[k] != k:
+            k = group[k]
+        return k
+
+    for a, b in map(tuple, _brute_links(distinct)):
+        group[root(a)] = root(b)
+    least = {}
+    for (doc_id, _), k in zip(rows, prints):
+        if doc_id is not None:
+            least[root(k)] = min(doc_id, least.get(root(k), doc_id))
+    assert got == {(d, fp): least.get(root(k)) for (d, fp), k in zip(rows, prints)}
+
+
+def test_components(spark):
+    rng = random.Random(8)
+    edges = [(i, i + 1) for i in range(200, 260)] + [(9, rng.randint(10, 60)) for _ in range(80)]
+    edges += [(rng.randint(300, 400), rng.randint(300, 400)) for _ in range(40)] + [(5, 5), (None, 6)]
+    df = spark.createDataFrame(edges, "a long, b long")
+    got = {r.node: r.component for r in components.components(df).collect()}
+    group = {}
+    for a, b in edges:
+        if a is None or a == b:
+            continue
+        joined = group.get(a, {a}) | group.get(b, {b})
+        for k in joined:
+            group[k] = joined
+    assert got == {k: min(g) for k, g in group.items()}
+
+
+def test_pii_equals_the_patterns():
+    anchors, rng = pii.automaton(), random.Random(9)
+    extra = ["4111 1111 1111 1111", "192.168.1.1.5", "+1 (375) 555-4393", "user@x.com", "iban"]
+    for alphabet in ("a@.-1 ", "+1 .(-)23", "0123456789 -", "12.5 ", "@ab.+1-é٣"):
+        for _ in range(800):
+            text = "".join(rng.choice(alphabet) for _ in range(rng.randint(0, 60))) + rng.choice(extra)
+            text += text[:9]
+            found = [s for s in pii.find(text, anchors) if s[0] in pii.BASE]
+            assert found == brute.base_spans(text)
+
+
+@pytest.mark.parametrize("text, spans, clean", [
+    ("password=e3b3ed3cc8548923d6 x", [("account", 9, 27)], "password=[ACCOUNT] x"),
+    ("IBAN: GB82WEST12345698765432.", [("account", 6, 28)], "IBAN: [ACCOUNT]."),
+    ("IBAN: GB83WEST12345698765432.", [], "IBAN: GB83WEST12345698765432."),
+    ("account no. 12345678 the", [("account", 12, 20)], "account no. [ACCOUNT] the"),
+    ("http://bob:pw@host.com/x", [("email", 11, 22), ("address", 0, 22)], "[ADDRESS]/x"),
+    ("my account is 5 x, see http://a.com/b", [], "my account is 5 x, see http://a.com/b"),
+])
+def test_added_kinds(text, spans, clean):
+    found = pii.find(text, pii.automaton())
+    assert found == spans and pii.redact(text, found) == clean
+
+
+def test_benchmark_in_blocks(spark):
+    """A benchmark above the bound takes several passes and gives the same rows."""
+    rng = random.Random(10)
+    docs = [(i, " ".join(rng.choice("abcdefg") for _ in range(60))) for i in range(30)] + [(40, None)]
+    items = [(i, " ".join(docs[i][1].split()[5:18])) for i in range(12)] + [(50, "a b c")]
+    d = spark.createDataFrame(docs, "doc_id long, text string")
+    b = spark.createDataFrame(items, "item_id long, text string")
+    one, many = decontaminate.scan(d, b), decontaminate.scan(d, b, most=100)
+    columns = ["doc_id", "n_words", "hits", "items"]
+    assert sorted(map(str, one.select(columns).collect())) == sorted(map(str, many.select(columns).collect()))
+
+
+def test_spans_are_removed(spark):
+    docs = spark.createDataFrame([(1, "Ä keep, One two THREE! end")], "doc_id long, text string")
+    items = spark.createDataFrame([(1, "one two three")], "item_id long, text string")
+    scanned = decontaminate.scan(docs, items)
+    assert decontaminate.remove_spans(scanned, "text", "hits").first().text == "Ä keep, ! end"
+
+
+def test_zip64_directory(monkeypatch):
+    monkeypatch.setattr(zipfile, "ZIP64_LIMIT", 100)
+    out = io.BytesIO()
+    with zipfile.ZipFile(out, "w") as z:
+        with z.open(zipfile.ZipInfo("a"), "w", force_zip64=True) as f:
+            f.write(b"x" * 300)
+        z.writestr("b", b"second")
+        z.writestr(zipfile.ZipInfo("c"), b"z" * 500, zipfile.ZIP_DEFLATED)
+        z.comment = b"PK\x05\x06 in a comment"
+    raw = out.getvalue()
+    assert b"PK\x06\x06" in raw
+    source = io.BytesIO(raw)
+    found = {m.name: m for m in warc.members(source, len(raw))}
+    assert list(found) == ["a", "b", "c"]
+    at, size = warc.stored_range(source, found["b"])
+    assert raw[at : at + size] == b"second"
+    at, size = warc.stored_range(source, found["a"])
+    assert raw[at : at + size] == b"x" * 300
+    with pytest.raises(ValueError):
+        warc.stored_range(source, found["c"])
+    with pytest.raises(ValueError):
+        warc.members(io.BytesIO(b"no archive"), 10)
+
+
+def test_warc_round_trip(spark, shared):
+    pages = spark.createDataFrame(
+        [(1, "http://a/\r\nb", "<p>é</p>"), (2, None, None)], "page_id long, url string, html string")
+    rows = {r.id: r for r in warc.read_packages(warc.write_packages(spark, pages)).collect()}
+    assert bytes(rows["1"].payload).decode() == "<p>é</p>" and rows["1"].url == "http://a/%0D%0Ab"
+    assert bytes(rows["2"].payload) == b"" and rows["2"].url is None
+
+
+def test_templates_that_could_be_forged_are_refused():
+    with pytest.raises(ValueError):
+        chat.Template(roles={"user": chat.Turn("<u>", "")})
+    with pytest.raises(ValueError):
+        chat.Template(roles={"user": chat.Turn("<<x>", "<x>>")})
+
+
+def test_anchors_do_not_depend_on_context(spark):
+    text = " ".join(f"w{i % 37}x{i % 11}" for i in range(200))
+    rows = [(text, f"other words before it {text} and some after")]
+    df = spark.createDataFrame(rows, "a string, b string").select(
+        syncmers.anchors(F.col("a")).alias("a"), syncmers.anchors(F.col("b")).alias("b"))
+    r = df.select("a", "b", syncmers.shared_passages(F.col("a"), F.col("b")).alias("both")).first()
+    assert [x.pos for x in r.a] == brute.anchors(text)
+    inside = {x.hash for x in r.b}
+    assert all(x.hash in inside for x in r.a) and len(r.both) == len(r.a)
+    assert {x.pos + 4 for x in r.a} <= {x.pos for x in r.b}
+
+
+def test_rules_of_the_same_length_allow(spark):
+    rules = [("block", "a.com/x/"), ("allow", "a.com/x/"), ("block", "com/")]
+    row = spark.range(1).select(urls.rule_of(F.lit("b.a.com"), F.lit("/x/y"), rules).alias("r")).first()
+    assert row.r.verdict == "allow"
