@@ -24,11 +24,12 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
 from docintake.llm import bytewords
+from docintake.session import cut
 
 BITS = 18
 SCALE = 20.0  # shares are small; this brings the weights to a usual size
@@ -153,16 +154,27 @@ def _fit_shard(config: Ftrl):
     return run
 
 
-def train(labelled: DataFrame, text: str, label: str, key: Column, config: Ftrl = Ftrl()):
-    """Weights (bias last) from the rows of ``labelled`` with a label of 0 or 1."""
-    rows = labelled.where(F.col(label).isin(0, 1)).select(
-        F.coalesce(F.col(text), F.lit("")).alias("_text"),
-        F.col(label).cast("double").alias("_label"),
-        F.xxhash64(key.cast("string")).alias("_order"),
+def train(
+    docs: DataFrame,
+    labels: DataFrame,
+    config: Ftrl = Ftrl(),
+    doc_id: str = "doc_id",
+    text: str = "text",
+    label: str = "quality",
+) -> np.ndarray:
+    """Weights (bias last) from the rows of ``docs`` whose id ``labels`` gives a label of 0 or 1.
+
+    The rows to fit are chosen by ids and lengths alone; only their texts are then moved.
+    """
+    given = labels.where(F.col(label).isin(0, 1)).select(
+        F.col(doc_id).alias("_id"), F.col(label).cast("double").alias("_label")
+    ).distinct()
+    sizes = docs.select(
+        F.col(doc_id).alias("_id"), F.coalesce(F.octet_length(text), F.lit(0)).alias("_size")
     )
-    total, ones, size = rows.agg(
-        F.count("*"), F.sum("_label"), F.sum(F.octet_length("_text"))
-    ).first()
+    order = F.xxhash64(F.col("_id").cast("string"))
+    labelled = cut(sizes.join(given, "_id").withColumn("_order", order))
+    total, ones, size = labelled.agg(F.count("*"), F.sum("_label"), F.sum("_size")).first()
     if not total or ones in (0, total):
         w = np.zeros((1 << BITS) + 1, np.float32)
         share = (ones / total) if total else 0.5
@@ -170,7 +182,12 @@ def train(labelled: DataFrame, text: str, label: str, key: Column, config: Ftrl
         return w
     part = min(config.max_rows / total, config.max_bytes / max(1, size))
     if part < 1:  # the rows with the smallest hashes, by share of all hashes
-        rows = rows.where(F.col("_order") < F.lit(int(part * 2**64) - 2**63))
+        labelled = labelled.where(F.col("_order") < F.lit(int(part * 2**64) - 2**63))
+    chosen = labelled.select("_id", "_label", "_order").distinct()
+    if chosen.count() <= 2 * config.max_rows:  # as expected, so it may be broadcast
+        chosen = F.broadcast(chosen)
+    texts = docs.select(F.col(doc_id).alias("_id"), F.coalesce(text, F.lit("")).alias("_text"))
+    rows = texts.join(chosen, "_id").drop("_id")
     shard = F.pmod(F.hash("_order"), F.lit(config.shards))
     fitted = (
         rows.withColumn("_shard", shard)

@@ -119,8 +119,7 @@ def quality_weights(spark, sf_dir, documents=None):
     """Weights fitted to the labelled rows outside the held-out third."""
     docs = table(spark, sf_dir, "documents") if documents is None else documents
     labels = table(spark, sf_dir, "labels").select("doc_id", "quality").where(f"NOT {HELD_OUT}")
-    labelled = docs.select("doc_id", "text").where(f"NOT {HELD_OUT}").join(labels, "doc_id")
-    return quality.train(labelled, "text", "quality", F.col("doc_id"))
+    return quality.train(docs.select("doc_id", "text"), labels)
 
 
 def op8_quality(spark, sf_dir):
