@@ -16,7 +16,6 @@ with the same doc_id and piece share a shard and no place.
 
 from __future__ import annotations
 
-import json
 import zlib
 from collections.abc import Iterator
 
@@ -26,45 +25,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType, IntegerType, LongType, StructField, StructType
 
-from docintake.llm.tokens import encode_long, load
+from docintake.llm.tokens import CHUNK, encode_long, fast_encoder, load
 from docintake.session import cut
 
 CAPACITY = 2048
 SHARD = 20_000
 FULL = 0.98
-LONG = 100_000  # characters; longer texts are encoded in chunks
-
-
-def fast_encoder(path: str):
-    """Encoder with the vocabulary of a byte-level BPE file of tokenizers; same ids.
-
-    tiktoken merges by rank, and in such a file the ids are in the order of the merges.
-    """
-    import tiktoken
-    from tokenizers import pre_tokenizers
-
-    with open(path, encoding="utf-8") as f:
-        made = json.load(f)
-    shown = sorted(pre_tokenizers.ByteLevel.alphabet())  # one character for each byte
-    plain = [b for b in range(256) if chr(b) in shown]
-    others = [b for b in range(256) if chr(b) not in shown]
-    byte = {chr(b): b for b in plain}
-    byte.update(zip([c for c in shown if c not in byte], others))
-    special = {t["content"]: t["id"] for t in made["added_tokens"]}
-    ranks = {
-        bytes(byte[c] for c in token): i
-        for token, i in made["model"]["vocab"].items()
-        if token not in special
-    }
-    # fixed values: the pattern of tokenizers' ByteLevel pre-tokenizer
-    pattern = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
-    return tiktoken.Encoding(
-        "packing", pat_str=pattern, mergeable_ranks=ranks, special_tokens=special
-    )
 
 
 def _encode(fast, tokenizer, text: str) -> np.ndarray:
-    if len(text) <= LONG:
+    if fast is not None and len(text) <= CHUNK:
         return np.array(fast.encode(text, allowed_special="all"), "<u4")
     return np.concatenate([np.array(ids, "<u4") for ids in encode_long(tokenizer, text)])
 

@@ -63,7 +63,7 @@ def test_long_encodings_are_spliced():
 
 
 def test_the_fast_encoder_gives_the_same_ids():
-    tokenizer, fast = tokens.load(VOCABULARY), packing.fast_encoder(VOCABULARY)
+    tokenizer, fast = tokens.load(VOCABULARY), tokens.fast_encoder(VOCABULARY)
     points = [*range(0x3000), *range(0x4E00, 0x4E40), *range(0x1F600, 0x1F640), 0x2028, 0xFEFF]
     for c in points:
         ch = chr(c)
@@ -272,3 +272,15 @@ def test_rules_of_the_same_length_allow(spark):
     rules = [("block", "a.com/x/"), ("allow", "a.com/x/"), ("block", "com/")]
     row = spark.range(1).select(urls.rule_of(F.lit("b.a.com"), F.lit("/x/y"), rules).alias("r")).first()
     assert row.r.verdict == "allow"
+
+
+def test_the_fast_encoder_on_mixed_texts():
+    tokenizer, fast = tokens.load(VOCABULARY), tokens.fast_encoder(VOCABULARY)
+    assert tokens.fast_encoder(public_tokenizers.path("word_bpe_49k.json")) is None
+    parts = ["a", "  ", " ", "\n", "\r\n", "é", "Word", "<|endoftext|>", "<|endof", "12", "'s", "'LL", "!!",
+             "日本", "́", " ", "　", "​", "😀", "ا", "\x00", "\x85", "½", "_", "ß"]
+    rng = random.Random(12)
+    texts = ["".join(rng.choice(parts) for _ in range(rng.randint(0, 60))) for _ in range(3000)]
+    want = [e.ids for e in tokenizer.encode_batch(texts, add_special_tokens=False)]
+    assert [fast.encode(t, allowed_special="all") for t in texts] == want
+    assert tokens.count_texts(tokenizer, texts, chunk=30, fast=fast) == [len(w) for w in want]
