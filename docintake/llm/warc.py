@@ -37,6 +37,7 @@ from docintake.session import cut, ensure_checkpoint_dir
 LEAST = 1000
 PACKAGE_BYTES = 32 << 20
 PACKAGE_RECORDS = 20_000
+READ_TASKS = 10_000  # packages beyond that share tasks
 DATA, INDEX = "archive/data.warc.gz", "indexes/index.cdxj"
 _DATE = "2000-01-01T00:00:00Z"  # pages have no time of their own
 
@@ -336,5 +337,7 @@ def _batch(rows: list[tuple]) -> pa.RecordBatch:
 
 def read_packages(manifest: DataFrame, with_payload: bool = True) -> DataFrame:
     """The records of packages (``path``, and any other columns), one row each."""
-    paths = manifest.select("path").repartition("path")
+    paths = manifest.select("path")
+    tasks = min(max(1, paths.count()), READ_TASKS)  # rows are few, so Spark would join them all
+    paths = paths.repartitionByRange(tasks, "path")
     return paths.mapInArrow(_read_batches(with_payload), RECORD)
