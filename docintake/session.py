@@ -61,8 +61,15 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return context.getCheckpointDir()
 
 
-def ship_package(spark: SparkSession) -> None:
-    """Send this package to the executors, once per application, for Python code that runs there."""
+# what a Python task holds at once; long texts make the default of 64 MB several times that
+BATCH_BYTES = 4 << 20
+
+
+def prepare_python(spark: SparkSession) -> None:
+    """Send this package to the executors, once per application, and bound Arrow batches."""
+    setting = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if spark.conf.get(setting) == "67108864b":  # the default; a chosen value stays
+        spark.conf.set(setting, str(BATCH_BYTES))
     context = spark.sparkContext
     if getattr(context, "_docintake_shipped", False):
         return
