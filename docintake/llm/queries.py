@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from docintake.llm import (
     chat, decontaminate, packing, pii, quality, simhash, syncmers, tokens, urls, warc,
 )
-from docintake.session import cut, ship_package
+from docintake.session import cut, prepare_python
 
 VOCABULARY = "byte_bpe_50k.json"
 TOKEN_LIMIT = 512
@@ -20,7 +20,7 @@ RULES = [
 
 
 def table(spark, sf_dir, name):
-    ship_package(spark)
+    prepare_python(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
