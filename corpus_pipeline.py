@@ -14,12 +14,12 @@ from pyspark.sql import functions as F
 from docintake.llm import decontaminate, packing, pii, quality, simhash
 from docintake.llm.columns import fresh
 from docintake.llm.queries import quality_weights, table, vocabulary
-from docintake.session import cut, ensure_checkpoint_dir, ship_package
+from docintake.session import cut, ensure_checkpoint_dir, prepare_python
 
 
 def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality classifier accepts (a score of at least a half)."""
-    ship_package(spark)
+    prepare_python(spark)
     (score,) = fresh(docs, "score")
     weights = quality_weights(spark, sf_dir, docs)
     return quality.score(docs, weights, name=score).where(F.col(score) >= 0.5).drop(score)
@@ -30,7 +30,7 @@ def keep_one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
     Of rows that repeat this id, one stays. Rows without an id name no class and stay.
     """
-    ship_package(spark)
+    prepare_python(spark)
     marked = cut(simhash.fingerprints(docs))
     found = simhash.classes(marked)
     keep = found.where("doc_id = component_id").select("doc_id").distinct()
@@ -44,7 +44,7 @@ def keep_one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 def keep_clean(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in which no window of a benchmark item occurs."""
-    ship_package(spark)
+    prepare_python(spark)
     names = fresh(docs, "n_words", "hits", "items")
     scanned = decontaminate.scan(docs, table(spark, sf_dir, "benchmark"), names=tuple(names))
     return scanned.where(F.size(names[1]) == 0).drop(*names)
@@ -52,7 +52,7 @@ def keep_clean(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def redact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with the kind of personal data in its place, and their new lengths."""
-    ship_package(spark)
+    prepare_python(spark)
     (spans,) = fresh(docs, "spans")
     found = pii.spans(docs, name=spans).drop(spans)
     if "n_chars" not in docs.columns:
@@ -63,7 +63,7 @@ def redact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every piece of every document with its place in a sequence."""
-    ship_package(spark)
+    prepare_python(spark)
     return packing.pack(cut(packing.pieces(docs, vocabulary())))
 
 
