@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import itertools
 from functools import reduce
 
 from pyspark.sql import DataFrame
@@ -49,87 +50,129 @@ def _origin(uri, headers, status):
     ).cast(ORIGIN)
 
 
+def current_captures(captures: DataFrame) -> DataFrame:
+    """The newest capture of each URI; a log may hold many, a server gives one answer."""
+    others = [c for c in captures.columns if c not in ("uri", "fetched")]
+    newest = F.max(F.struct("fetched", *others)).alias("newest")
+    return captures.groupBy("uri").agg(newest).select(
+        "uri", *[F.col(f"newest.{c}").alias(c) for c in captures.columns if c != "uri"]
+    )
+
+
 def _follow(
     uris: DataFrame,
-    captures: DataFrame,
+    log: DataFrame,
     statuses: tuple[int, ...],
-    max_requests: int,
+    max_requests: int | None,
     hot_rows: int | None,
 ) -> DataFrame:
-    """Walk from each distinct URI. Finished walks leave the loop after every hop."""
-    facts = captures.select(
-        F.col("uri").alias("current"),
-        F.col("status").alias("c_status"),
-        F.col("location").alias("c_location"),
-        F.col("headers").alias("c_headers"),
+    """Walk from each distinct URI over the redirects of the log.
+
+    Only redirect rows are joined hop by hop; the whole log is joined once, with the ends.
+    """
+    hops = cut(
+        log.where(F.col("status").isin(*statuses)).select(
+            F.col("uri").alias("current"),
+            F.col("status").alias("c_status"),
+            F.col("location").alias("c_location"),
+            F.col("headers").alias("c_headers"),
+        )
     )
+    none = F.lit(None)
+    is_http = F.coalesce(scheme_of(F.col("current")).isin(*HTTP_SCHEMES), F.lit(False))
     walks = uris.select("uri").where(F.col("uri").isNotNull()).distinct().select(
         "uri",
         F.col("uri").alias("current"),
         F.array().cast(f"array<{ORIGIN}>").alias("chain"),
     )
-    finished = []
-    for hop in range(max_requests):
-        # the starts are distinct; only later stops can be shared by many walks
-        joined = lookup(
-            walks, facts, "current", spread_by="uri", hot_rows=hot_rows if hop else None
+    stops, finished, n_walks = [], [], 0
+    for hop in itertools.count():
+        if hop == max_requests:
+            finished.append(
+                walks.select(
+                    "uri", "current", "chain", none.cast("int").alias("terminal_status"),
+                    F.lit("too_many_redirects").alias("error"),
+                )
+            )
+            break
+        # the starts are distinct; only later stops can be shared, and only by many walks
+        hot = hot_rows if hop and hot_rows is not None and n_walks >= hot_rows else None
+        step = lookup(walks, hops, "current", spread_by="uri", hot_rows=hot)
+        redirected = is_http & F.col("c_status").isNotNull()
+        visited = F.concat(
+            "chain", F.array(_origin(F.col("current"), F.col("c_headers"), F.col("c_status")))
         )
-        scheme = scheme_of(F.col("current"))
-        is_http = F.coalesce(scheme.isin(*HTTP_SCHEMES), F.lit(False))
-        is_ftp = F.coalesce(scheme.isin(*FTP_SCHEMES), F.lit(False))
-        redirected = is_http & F.coalesce(F.col("c_status").isin(*statuses), F.lit(False))
-        origin = F.when(
-            is_ftp,
-            _origin(F.col("current"), F.lit(None), F.lit(None).cast("int")),
-        ).otherwise(_origin(F.col("current"), F.col("c_headers"), F.col("c_status")))
-        visited = F.concat("chain", F.array(origin))
         # the log answers an address the same way each time, so coming back never ends
-        cycle = F.exists(visited, lambda o: o["uri"] == F.col("c_location"))
-        error = (
-            F.when(~is_http & ~is_ftp, scheme_status(F.col("current")))
-            .when(is_http & F.col("c_status").isNull(), F.lit("not_captured"))
-            .when(redirected & F.col("c_location").isNull(), F.lit("unable_to_follow"))
-            .when(redirected & cycle, F.lit("too_many_redirects"))
+        cycle = F.exists("visited", lambda o: o["uri"] == F.col("c_location"))
+        step = cut(
+            step.withColumn("redirected", redirected)
+            .withColumn("visited", visited)
+            .withColumn(
+                "error",
+                F.when(F.col("c_location").isNull(), F.lit("unable_to_follow")).when(
+                    cycle, F.lit("too_many_redirects")
+                ),
+            )
         )
-        step = joined.select(
+        stops.append(step.where("NOT redirected").select("uri", "current", "chain"))
+        ended = step.where("redirected AND error IS NOT NULL")
+        finished.append(
+            ended.select(
+                "uri",
+                F.coalesce("c_location", "current").alias("current"),
+                F.col("visited").alias("chain"),
+                F.when(F.col("c_location").isNull(), F.col("c_status")).alias("terminal_status"),
+                "error",
+            )
+        )
+        walks = step.where("redirected AND error IS NULL").select(
+            "uri", F.col("c_location").alias("current"), F.col("visited").alias("chain")
+        )
+        n_walks = walks.count()
+        if not n_walks:
+            break
+
+    ends = cut(reduce(DataFrame.unionByName, stops))
+    answers = log.select(
+        F.col("uri").alias("current"),
+        F.col("status").alias("c_status"),
+        F.col("headers").alias("c_headers"),
+    )
+    is_ftp = F.coalesce(scheme_of(F.col("current")).isin(*FTP_SCHEMES), F.lit(False))
+    error = F.when(~is_http & ~is_ftp, scheme_status(F.col("current"))).when(
+        is_http & F.col("c_status").isNull(), F.lit("not_captured")
+    )
+    last = F.when(is_ftp, _origin(F.col("current"), none, none.cast("int"))).otherwise(
+        _origin(F.col("current"), F.col("c_headers"), F.col("c_status"))
+    )
+    finished.append(
+        lookup(ends, answers, "current", spread_by="uri", hot_rows=hot_rows)
+        .withColumn("error", error)
+        .select(
             "uri",
-            F.when(redirected & (error.isNull() | cycle), F.col("c_location"))
-            .otherwise(F.col("current"))
-            .alias("current"),
-            F.when(error.isNull() | redirected, visited)
+            "current",
+            F.when(F.col("error").isNull(), F.concat("chain", F.array(last)))
             .otherwise(F.col("chain"))
             .alias("chain"),
-            F.when(is_http & ~F.coalesce(redirected & cycle, F.lit(False)), F.col("c_status")).alias(
-                "terminal_status"
-            ),
-            error.alias("error"),
-            (~redirected | error.isNotNull()).alias("done"),
-        )
-        step = cut(step)
-        finished.append(step.where("done").drop("done"))
-        walks = step.where("NOT done").select("uri", "current", "chain")
-        if walks.isEmpty():
-            break
-    else:
-        finished.append(
-            walks.select(
-                "uri", "current", "chain",
-                F.lit(None).cast("int").alias("terminal_status"),
-                F.lit("too_many_redirects").alias("error"),
-            )
+            F.when(is_http, F.col("c_status")).alias("terminal_status"),
+            "error",
         )
+    )
     return reduce(DataFrame.unionByName, finished)
 
 
 def resolve_redirects(
     uris: DataFrame,
-    captures: DataFrame,
+    log: DataFrame,
     statuses: tuple[int, ...] = RESOLVE_STATUSES,
-    max_requests: int = DEFAULT.max_requests,
     hot_rows: int | None = HOT_ROWS,
 ) -> DataFrame:
-    """Origin chain of each distinct URI, the canonical origin first, the start last."""
-    walked = _follow(uris, captures, statuses, max_requests, hot_rows)
+    """Origin chain of each distinct URI, the canonical origin first, the start last.
+
+    ``log`` has one capture per URI (see :func:`current_captures`). Chains may be of any
+    length; one that comes back to itself ends there.
+    """
+    walked = _follow(uris, log, statuses, None, hot_rows)
     return walked.select(
         "uri",
         F.reverse("chain").alias("chain"),
@@ -140,39 +183,57 @@ def resolve_redirects(
     )
 
 
+def _answered(df: DataFrame, n_requests, status) -> DataFrame:
+    """Ends of walks as payload facts; an end other than a 200 answer is an error."""
+    is_http = scheme_of(F.col("current")).isin(*HTTP_SCHEMES)
+    return df.select(
+        "uri",
+        F.col("current").alias("payload_uri"),
+        n_requests.cast("bigint").alias("n_requests"),
+        status.cast("bigint").alias("status"),
+        F.coalesce("error", F.when(is_http & (status != 200), F.lit("bad_status"))).alias("error"),
+    )
+
+
 def follow_to_payload(
     uris: DataFrame,
-    captures: DataFrame,
+    log: DataFrame,
     max_requests: int = DEFAULT.max_requests,
     hot_rows: int | None = HOT_ROWS,
 ) -> DataFrame:
     """Follow any redirect status to a 200 answer; every other end is an error."""
-    walked = _follow(uris, captures, FETCH_STATUSES, max_requests, hot_rows)
-    is_http = scheme_of(F.col("current")).isin(*HTTP_SCHEMES)
-    bad = is_http & (F.col("terminal_status") != 200)
-    return walked.select(
-        "uri",
-        F.col("current").alias("payload_uri"),
-        F.size("chain").cast("bigint").alias("n_requests"),
-        F.col("terminal_status").cast("bigint").alias("status"),
-        F.coalesce("error", F.when(bad, F.lit("bad_status"))).alias("error"),
-    )
+    walked = _follow(uris, log, FETCH_STATUSES, max_requests, hot_rows)
+    return _answered(walked, F.size("chain"), F.col("terminal_status"))
 
 
 def attach_payloads(
     resolved: DataFrame,
-    captures: DataFrame,
+    log: DataFrame,
     cfg: IntakeConfig = DEFAULT,
     hot_rows: int | None = HOT_ROWS,
 ) -> DataFrame:
-    """Body facts and paths of the document each resolved URI leads to."""
+    """Body facts and paths of the document each resolved URI leads to.
+
+    The payload is looked for from the end of the resolved chain on; only ends with some
+    other redirect status are walked any further.
+    """
     canonical = resolved.withColumn("origin", F.try_element_at("chain", F.lit(1))).withColumn(
         "origin_uri", F.when(F.col("error").isNull(), F.col("origin.uri"))
     )
-    fetched = follow_to_payload(
-        canonical.select(F.col("origin_uri").alias("uri")), captures, cfg.max_requests, hot_rows
+    canonical = cut(canonical)
+    ends = canonical.where("origin_uri IS NOT NULL").groupBy(F.col("origin_uri").alias("uri")).agg(
+        F.first("terminal_status").alias("terminal_status")
     )
-    bodies = captures.select(
+    more = F.coalesce(F.col("terminal_status").isin(*FETCH_STATUSES), F.lit(False))
+    direct = ends.where(~more).select(
+        "uri", F.col("uri").alias("current"), "terminal_status", F.lit(None).cast("string").alias("error")
+    )
+    fetched = _answered(direct, F.lit(1), F.col("terminal_status"))
+    further = cut(ends.where(more).select("uri"))
+    if not further.isEmpty():
+        fetched = fetched.unionByName(follow_to_payload(further, log, cfg.max_requests, hot_rows))
+    fetched = cut(fetched)
+    bodies = log.select(
         F.col("uri").alias("payload_uri"),
         F.col("headers").alias("p_headers"),
         F.col("md5").alias("hash"),
@@ -185,9 +246,14 @@ def attach_payloads(
     payloads = payloads.select(
         F.col("uri").alias("origin_uri"),
         F.col("error").alias("fetch_error"),
+        F.col("status").alias("fetch_status"),
         "p_headers", "hash", "length", "head", "payload_uri",
     )
-    joined = lookup(canonical, payloads, "origin_uri", spread_by="uri", hot_rows=hot_rows)
+    # starts that led nowhere have no origin and would all meet at one key
+    led = canonical.where("origin_uri IS NOT NULL")
+    joined = lookup(led, payloads, "origin_uri", spread_by="uri", hot_rows=hot_rows).unionByName(
+        canonical.where("origin_uri IS NULL"), allowMissingColumns=True
+    )
 
     is_http = F.col("origin.scheme").isin(*HTTP_SCHEMES)
     file_name = F.when(is_http, header_filename(F.col("p_headers")))
@@ -217,6 +283,7 @@ def attach_payloads(
         F.when(good, F.col("head")).alias("head"),
         F.when(good, detect_mimetype(F.col("head"), F.col("target_path"))).alias("mimetype"),
         "error",
+        F.coalesce("fetch_status", "terminal_status").alias("status"),
     )
 
 

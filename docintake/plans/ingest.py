@@ -37,7 +37,7 @@ from docintake.functions.validation import origin_error, validation_error
 from docintake.operators.catalog import new_catalog_rows, upsert_catalog
 from docintake.operators.lineage import delete_lineage, update_lineage
 from docintake.operators.matching import origin_uris, single_keys, superseded_rows
-from docintake.operators.redirects import attach_payloads, resolve_redirects
+from docintake.operators.redirects import attach_payloads, current_captures, resolve_redirects
 from docintake.operators.runs import mark_run_state, run_recently
 from docintake.operators.skew import HOT_ROWS, broadcast_if_small, distinct_items, lookup
 from docintake.operators.targets import (
@@ -117,11 +117,11 @@ def message_facts(
     if remote.isEmpty():
         return local
 
+    log = cut(current_captures(captures))
     resolved = resolve_redirects(
-        remote.select(F.col("raw").alias("uri")), captures, max_requests=cfg.max_requests,
-        hot_rows=hot_rows,
+        remote.select(F.col("raw").alias("uri")), log, hot_rows=hot_rows
     )
-    downloads = attach_payloads(resolved, captures, cfg, hot_rows).select(
+    downloads = attach_payloads(resolved, log, cfg, hot_rows).select(
         F.col("uri").alias("raw"),
         F.col("origin_uri").alias("match_source"),
         F.array("origin_uri").alias("sources"),

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from docintake.plans.workload import AS_OF, BODY, LANDING_PATH
+from docintake.plans.workload import AS_OF, BODY, DEEP, LANDING_PATH
 
 LANDED = f"""
 landed AS (
@@ -131,34 +131,48 @@ BASE = f"""dir || CASE WHEN disposition IS NOT NULL AND last IN ('', 'index.html
 HOSTED = "'/' || host || coalesce(location, '')"
 EXTENSION = """CASE WHEN page_id % 11 = 0 THEN '.pdf' WHEN page_id % 5 = 0 THEN '.txt' ELSE '.html' END"""
 
-CAPTURES = """
-log AS (
+_FETCHED = "TIMESTAMP '2024-05-01' + to_seconds(page_id % 1000000) AS fetched FROM pages"
+_BEFORE = "TIMESTAMP '2024-01-01' FROM pages"
+
+
+def _hop(uri: str, status: int, location: str, where: str = "true", time: str = _FETCHED) -> str:
+    return f"UNION ALL SELECT {uri}, {status}, {location}, NULL, NULL, {time} WHERE {where}"
+
+
+CAPTURES = f"""
+log_all AS (
   SELECT url AS uri, CASE WHEN page_id % 17 = 3 THEN 404 ELSE 200 END AS status,
-         CAST(NULL AS VARCHAR) AS location, html, page_id FROM pages
-  UNION ALL SELECT 'http://r1.example.com/' || page_id, 301, url, NULL, NULL FROM pages
-  UNION ALL SELECT 'http://r2.example.com/' || page_id, 302, 'http://r1.example.com/' || page_id, NULL, NULL FROM pages WHERE page_id % 7 = 0
-  UNION ALL SELECT 'http://r3.example.com/' || page_id, 307, 'http://r1.example.com/' || page_id, NULL, NULL FROM pages WHERE page_id % 13 = 0
-  UNION ALL SELECT 'http://lost.example.com/' || page_id, 301, NULL, NULL, NULL FROM pages WHERE page_id % 29 = 0
-  UNION ALL SELECT 'http://loop.example.com/' || page_id, 302, 'http://loop.example.com/' || page_id, NULL, NULL FROM pages WHERE page_id % 50 = 0
-  UNION ALL SELECT 'http://odd.example.com/' || page_id, 302, 'gopher://h/' || page_id, NULL, NULL FROM pages WHERE page_id % 31 = 0
-  UNION ALL SELECT 'http://go.example.com/' || page_id, 302, 'http://hub.example.com/', NULL, NULL FROM pages WHERE page_id % 3 = 0
-  UNION ALL SELECT 'http://hub.example.com/', 301, url, NULL, NULL FROM pages WHERE page_id = 1),
+         CAST(NULL AS VARCHAR) AS location, html, page_id, {_FETCHED}
+  {_hop("url", 301, "'http://before.example.com/' || page_id", "page_id % 9 = 0", _BEFORE)}
+  {_hop("'http://r1.example.com/' || page_id", 302, "'http://before.example.com/' || page_id", "page_id % 10 = 0", _BEFORE)}
+  {_hop("'http://r1.example.com/' || page_id", 301, "url")}
+  {_hop("'http://r2.example.com/' || page_id", 302, "'http://r1.example.com/' || page_id", "page_id % 7 = 0")}
+  {_hop("'http://r3.example.com/' || page_id", 307, "'http://r1.example.com/' || page_id", "page_id % 13 = 0")}
+  {_hop("'http://lost.example.com/' || page_id", 301, "NULL", "page_id % 29 = 0")}
+  {_hop("'http://loop.example.com/' || page_id", 302, "'http://loop.example.com/' || page_id", "page_id % 50 = 0")}
+  {_hop("'http://odd.example.com/' || page_id", 302, "'gopher://h/' || page_id", "page_id % 31 = 0")}
+  {_hop("'http://go.example.com/' || page_id", 302, "'http://hub.example.com/'", "page_id % 3 = 0")}
+  {_hop("'http://hub.example.com/'", 301, "url", "page_id = 1")}
+  UNION ALL SELECT 'http://deep.example.com/' || i, 301,
+    CASE WHEN i < {DEEP} THEN 'http://deep.example.com/' || (i + 1) ELSE url END, NULL, NULL,
+    TIMESTAMP '2024-05-01' + to_seconds(page_id) FROM pages, range(1, {DEEP} + 1) AS deep(i) WHERE page_id = 2),
+log AS (SELECT * FROM log_all QUALIFY row_number() OVER (PARTITION BY uri ORDER BY fetched DESC) = 1),
 extra AS (
   SELECT CASE WHEN page_id % 2 = 0 THEN 'ftp://bob:x@files.example.org:2121/p/' || page_id || '.txt'
     ELSE 'http://gone.example.com/' || page_id END AS uri FROM pages),
-starts AS (SELECT uri FROM log UNION ALL SELECT uri FROM extra)
+starts AS (SELECT uri FROM log_all UNION ALL SELECT uri FROM extra)
 """
 
 
-def _walk(name: str, starts: str, statuses: str) -> str:
+def _walk(name: str, starts: str, statuses: str, most: str = "20") -> str:
     """Recursive walk: ``name`` has uri, stop, hops, chain and error at the end of each walk."""
     return f"""
 {name}_steps AS (
   SELECT uri, uri AS stop, 1 AS requests, [uri] AS chain, false AS over FROM (SELECT DISTINCT uri FROM {starts})
   UNION ALL
   SELECT s.uri, l.location, requests + 1,
-         CASE WHEN requests < 20 AND NOT list_contains(chain, l.location) THEN list_append(chain, l.location) ELSE chain END,
-         requests >= 20 OR list_contains(chain, l.location)
+         CASE WHEN requests < {most} AND NOT list_contains(chain, l.location) THEN list_append(chain, l.location) ELSE chain END,
+         requests >= {most} OR list_contains(chain, l.location)
   FROM {name}_steps s JOIN log l ON l.uri = s.stop AND l.status IN ({statuses}) AND l.location IS NOT NULL
   WHERE NOT over AND (s.stop LIKE 'http://%' OR s.stop LIKE 'https://%')),
 {name}_last AS (SELECT * FROM {name}_steps QUALIFY row_number() OVER (PARTITION BY uri ORDER BY requests DESC) = 1),
@@ -175,7 +189,7 @@ def _walk(name: str, starts: str, statuses: str) -> str:
 """
 
 
-RESOLVED = _walk("resolved", "starts", "301, 302")
+RESOLVED = _walk("resolved", "starts", "301, 302", "1000000")
 FETCH = ", ".join(str(s) for s in range(300, 400))
 
 
@@ -278,7 +292,7 @@ SELECT src, ok AS is_uri, CASE WHEN ok THEN CASE WHEN remote THEN split_part(src
   nullif(regexp_extract(src, '\\?([^#]*)', 1), '') AS query, CASE WHEN src LIKE 'ftp:%' THEN 'bob:x' END AS userinfo,
   CASE WHEN remote THEN 'remote' ELSE 'local' END AS route FROM flat""",
     "scheme_support": _with(LANDED, CAPTURES)
-    + """, every AS (SELECT location AS uri FROM log WHERE location IS NOT NULL UNION ALL SELECT path FROM landed)
+    + """, every AS (SELECT location AS uri FROM log_all WHERE location IS NOT NULL UNION ALL SELECT path FROM landed)
 SELECT uri, CASE WHEN uri LIKE 'gopher%' THEN 'unsupported_scheme' WHEN uri LIKE 'http%' THEN 'supported'
   ELSE 'undefined_scheme' END AS status FROM every""",
     "remote_origins": """

@@ -30,7 +30,7 @@ from docintake.operators import (
 from docintake.plans import workload as w
 from docintake.plans.ingest import IngestResult, ingest_batch, message_facts
 from docintake.schema import HEADERS, ORIGIN
-from docintake.session import ensure_checkpoint_dir
+from docintake.session import cut, ensure_checkpoint_dir
 from docintake.sources import landing, messages as message_source, sinks, tables
 from docintake.streaming.intake import ingest_stream
 
@@ -58,6 +58,10 @@ def _pages(spark, sf_dir) -> DataFrame:
     )
 
 
+def _log(spark, sf_dir) -> DataFrame:
+    return cut(redirects.current_captures(w.captures(spark, sf_dir)))
+
+
 # --- sources and sinks ---------------------------------------------------------------
 
 
@@ -121,7 +125,7 @@ def load_catalog(spark, sf_dir):
 
 
 def attach_payloads(spark, sf_dir):
-    log = w.captures(spark, sf_dir)
+    log = _log(spark, sf_dir)
     resolved = redirects.resolve_redirects(w.start_uris(spark, sf_dir), log)
     return redirects.attach_payloads(resolved, log).select(
         "uri", "origin_uri", "temp_path", "target_path", "hash", "length", "mimetype",
@@ -389,7 +393,7 @@ def content_dedup(spark, sf_dir):
 
 
 def resolve_redirects(spark, sf_dir):
-    resolved = redirects.resolve_redirects(w.start_uris(spark, sf_dir), w.captures(spark, sf_dir))
+    resolved = redirects.resolve_redirects(w.start_uris(spark, sf_dir), _log(spark, sf_dir))
     chain = F.concat_ws(" ", F.transform("chain", lambda o: o["uri"]))
     return resolved.select(
         "uri", chain.alias("chain"), "n_origins", "terminal_status", "error",
@@ -398,7 +402,7 @@ def resolve_redirects(spark, sf_dir):
 
 
 def follow_to_payload(spark, sf_dir):
-    return redirects.follow_to_payload(w.start_uris(spark, sf_dir), w.captures(spark, sf_dir))
+    return redirects.follow_to_payload(w.start_uris(spark, sf_dir), _log(spark, sf_dir))
 
 
 def content_type_extension(spark, sf_dir):

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from docintake.schema import ATTRS, CATALOG, HEADERS, META, ORIGIN
 from docintake.sources.landing import content_facts
 
+DEEP = 21
 AS_OF = "2024-06-01 00:00:00"
 
 
@@ -203,17 +204,23 @@ END AS {HEADERS})
 
 
 def captures(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Crawl log: every page, and redirects of several kinds that lead to them."""
+    """Crawl log: every page, and redirects of several kinds that lead to them.
+
+    Some pages and redirects were captured before, with other answers.
+    """
     pages = table(spark, sf_dir, "pages")
+    fetched = F.expr("TIMESTAMP_NTZ '2024-05-01 00:00:00' + make_dt_interval(0, 0, 0, page_id % 1000000)")
     bodies = pages.select(
         F.col("url").alias("uri"),
         F.expr("CASE WHEN page_id % 17 = 3 THEN 404 ELSE 200 END").alias("status"),
         F.lit(None).cast("string").alias("location"),
         F.expr(PAGE_HEADERS).alias("headers"),
         *content_facts(F.col("html").cast("binary")),
+        fetched.alias("fetched"),
     )
 
-    def hop(where: str, uri: str, status: int, location: str) -> DataFrame:
+    def hop(where: str, uri: str, status: int, location: str, before: bool = False) -> DataFrame:
+        time = F.lit("2024-01-01").cast("timestamp_ntz") if before else fetched
         return pages.where(where).select(
             F.expr(uri).alias("uri"),
             F.lit(status).alias("status"),
@@ -222,9 +229,13 @@ def captures(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.lit(None).cast("bigint").alias("length"),
             F.lit(None).cast("string").alias("md5"),
             F.lit(None).cast("binary").alias("head"),
+            time.alias("fetched"),
         )
 
     hops = [
+        hop("page_id % 9 = 0", "url", 301, "concat('http://before.example.com/', page_id)", True),
+        hop("page_id % 10 = 0", "concat('http://r1.example.com/', page_id)", 302,
+            "concat('http://before.example.com/', page_id)", True),
         hop("true", "concat('http://r1.example.com/', page_id)", 301, "url"),
         hop("page_id % 7 = 0", "concat('http://r2.example.com/', page_id)", 302,
             "concat('http://r1.example.com/', page_id)"),
@@ -239,6 +250,12 @@ def captures(spark: SparkSession, sf_dir: str) -> DataFrame:
         hop("page_id % 3 = 0", "concat('http://go.example.com/', page_id)", 302,
             "'http://hub.example.com/'"),
         hop("page_id = 1", "'http://hub.example.com/'", 301, "url"),
+        # longer than a payload fetch may be
+        *[
+            hop("page_id = 2", f"'http://deep.example.com/{i}'", 301,
+                f"'http://deep.example.com/{i + 1}'" if i < DEEP else "url")
+            for i in range(1, DEEP + 1)
+        ],
     ]
     out = bodies
     for h in hops:

@@ -32,7 +32,7 @@ MAPPINGS = (
 FILES = "path string, length bigint, md5 string, mtime timestamp_ntz, head binary"
 CAPTURES = (
     f"uri string, status int, location string, headers {HEADERS}, "
-    "md5 string, length bigint, head binary"
+    "md5 string, length bigint, head binary, fetched timestamp_ntz"
 )
 FLAGS = (
     "doc_id string, consumer string, version string, "

@@ -59,7 +59,7 @@ def scan_landing_files(spark: SparkSession, root: str, zone: str = "") -> DataFr
 
 
 def capture_facts(captures: DataFrame) -> DataFrame:
-    """Fact rows of a crawl log (uri, status, headers as map or entries, content)."""
+    """Fact rows of a crawl log (uri, status, headers as map or entries, content, fetched)."""
     headers = F.col("headers")
     if captures.schema["headers"].dataType.typeName() == "map":
         headers = headers_from_map(headers)
@@ -70,4 +70,5 @@ def capture_facts(captures: DataFrame) -> DataFrame:
         F.get(F.get(location, F.lit(0))["values"], F.lit(0)).alias("location"),
         headers.cast(HEADERS).alias("headers"),
         *content_facts(F.col("content")),
+        F.col("fetched").cast("timestamp_ntz").alias("fetched"),
     )

@@ -101,7 +101,7 @@ def frames(spark, parts, messages):
         files=spark.createDataFrame(
             [(p, n, h, stamp(0), None) for p, (h, n) in files.items()], schema.FILES),
         captures=spark.createDataFrame(
-            [(u, s, loc, hd, h, n, None) for u, s, loc, hd, h, n in captures], schema.CAPTURES),
+            [(u, s, loc, hd, h, n, None, None) for u, s, loc, hd, h, n in captures], schema.CAPTURES),
         catalog=spark.createDataFrame(
             [(r["doc_id"], r["source"], r["hash"], "", stamp(r["created"]), stamp(r["created"]),
               r["derivative"], None, None, r["tags"], None, r["origin"], None, r["rogue"])
