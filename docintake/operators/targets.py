@@ -126,26 +126,30 @@ def path_actions(plan: DataFrame, cfg: IntakeConfig = DEFAULT) -> DataFrame:
     ).select("seq", "o.*")
 
 
-def apply_actions(files: DataFrame, actions: DataFrame, payloads: DataFrame) -> DataFrame:
-    """File table after the operations; ``payloads`` gives (seq, md5, length, mtime).
+def file_changes(actions: DataFrame, payloads: DataFrame) -> DataFrame:
+    """Paths that operations touched, with ``content`` (a struct), or NULL where none is left.
 
-    The last operation on a path decides whether and with what content it exists.
+    ``payloads`` gives (seq, md5, length, mtime, head) of what was moved. The last operation
+    on a path decides.
     """
+    facts = [c for c in ("length", "md5", "mtime", "head") if c in payloads.columns]
     moves = actions.where("op = 'move'").join(payloads, "seq")
     written = moves.select(
-        F.col("to_path").alias("path"), "seq", F.struct("md5", "length", "mtime").alias("content")
+        F.col("to_path").alias("path"), "seq", F.struct(*facts).alias("content")
     )
     gone = actions.where("op IN ('move', 'remove')").select(
         F.col("from_path").alias("path"), "seq", F.lit(None).alias("content")
     )
-    last = (
+    return (
         written.union(gone)
         .groupBy("path")
         .agg(F.max(F.struct("seq", "content"))["content"].alias("content"))
     )
-    kept = files.select("path", "length", "md5", "mtime").join(last, "path", "left_anti")
-    return kept.unionByName(
-        last.where("content IS NOT NULL").select(
-            "path", "content.length", "content.md5", "content.mtime"
-        )
-    )
+
+
+def apply_actions(files: DataFrame, actions: DataFrame, payloads: DataFrame) -> DataFrame:
+    """File table after the operations (see :func:`file_changes`)."""
+    last = file_changes(actions, payloads)
+    left = last.where("content IS NOT NULL").select("path", "content.*")
+    kept = files.select(left.columns).join(last, "path", "left_anti")
+    return kept.unionByName(left)

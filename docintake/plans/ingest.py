@@ -42,6 +42,7 @@ from docintake.operators.runs import mark_run_state, run_recently
 from docintake.operators.skew import HOT_ROWS, broadcast_if_small, distinct_items, lookup
 from docintake.operators.targets import (
     file_action,
+    file_changes,
     path_actions,
     target_columns,
     target_occupancy,
@@ -64,6 +65,10 @@ class IngestResult:
     deleted: DataFrame
     changed_flags: DataFrame
     deleted_edges: DataFrame
+    touched_edges: DataFrame
+    changed_files: DataFrame
+    deleted_files: DataFrame
+    failed: DataFrame
     rounds: int
     scratch: str
 
@@ -790,11 +795,22 @@ def _ingest(
         parents.select(F.col("doc_id").alias("parent")), "parent", "left_semi"
     ).select("mapping_id")
 
+    # edges that now have a child are those of the derived messages' paths
+    touched_edges = new_mappings.join(
+        derived.select(F.col("doc_id").alias("child")).distinct(), "child", "left_semi"
+    ).select(mappings.columns)
+    actions = cut(path_actions(outcomes.where("action IS NOT NULL"), cfg))
+    payloads = facts.select("seq", F.col("hash").alias("md5"), "length", "mtime", "head")
+    moved = cut(file_changes(actions, payloads))
+    failed = messages.join(
+        outcomes.where("outcome NOT IN ('ok', 'zero_length')").select("seq", "outcome"), "seq"
+    )
+
     return IngestResult(
         catalog=new_catalog,
         mappings=new_mappings,
         flags=new_flags,
-        actions=path_actions(outcomes.where("action IS NOT NULL"), cfg),
+        actions=actions,
         outcomes=outcomes,
         notifications=emit_notifications(outcomes),
         errors=emit_errors(outcomes),
@@ -802,6 +818,10 @@ def _ingest(
         deleted=deleted,
         changed_flags=changed_flags,
         deleted_edges=deleted_edges,
+        touched_edges=touched_edges,
+        changed_files=moved.where("content IS NOT NULL").select("path", "content.*"),
+        deleted_files=moved.where("content IS NULL").select("path"),
+        failed=failed,
         rounds=rounds,
         scratch=scratch,
     )

@@ -32,7 +32,7 @@ from docintake.plans.ingest import IngestResult, ingest_batch, message_facts
 from docintake.schema import HEADERS, ORIGIN
 from docintake.session import cut, ensure_checkpoint_dir
 from docintake.sources import landing, messages as message_source, sinks, tables
-from docintake.streaming.intake import ingest_stream
+from docintake.streaming.intake import ingest_stream, new_store
 
 
 def _big(c: Column | str) -> Column:
@@ -717,13 +717,9 @@ def message_sources(spark, sf_dir):
 def ingest_stream_catalog(spark, sf_dir):
     """Landing messages through the stream, in two micro-batches, into a table store."""
     folder = _scratch(spark)
-    store = tables.TableStore(spark, f"{folder}/store")
-    store.commit_full(
-        {
-            "catalog": w.catalog(spark, sf_dir),
-            "mappings": w.mappings(spark, sf_dir),
-            "flags": w.flags(spark, sf_dir),
-        }
+    store = new_store(
+        spark, f"{folder}/store", w.catalog(spark, sf_dir), w.mappings(spark, sf_dir),
+        w.flags(spark, sf_dir), w.stored_files(spark, sf_dir).select("path", "length", "md5", "mtime", "head"),
     )
     raw = w.messages(spark, sf_dir).select(
         "seq", F.to_json(F.struct("source", "tags", "metadata", "derivative", "verify")).alias("value")
@@ -736,8 +732,7 @@ def ingest_stream_catalog(spark, sf_dir):
         spark, "parquet", {"maxFilesPerTrigger": "1"}, f"{folder}/queue", "seq bigint, value string"
     )
     query = ingest_stream(
-        stream, store, w.stored_files(spark, sf_dir), w.captures(spark, sf_dir),
-        f"{folder}/state", w.as_of(),
+        stream, store, w.captures(spark, sf_dir), f"{folder}/state", as_of=w.as_of()
     )
     query.awaitTermination()
     return store.load("catalog").select("doc_id", "source", "hash")

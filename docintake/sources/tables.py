@@ -18,7 +18,11 @@ TABLE_KEYS = {
     "catalog": ["doc_id"],
     "mappings": ["mapping_id"],
     "flags": ["doc_id", "consumer"],
+    "files": ["path"],
+    "retries": ["seq"],
 }
+# commits after a snapshot that a load reads at most, before the next is made
+COMPACT_AFTER = 50
 
 
 def _names(spark: SparkSession, folder: str) -> list[str]:
@@ -123,9 +127,18 @@ class TableStore:
             .unionByName(live.select(columns))
         )
 
-    def compact(self) -> int:
+    def compact(self, batch_id: int | None = None) -> int:
         """Write a new full snapshot; older files stay for readers of older versions."""
-        return self.commit_full({name: self.load(name) for name in TABLE_KEYS})
+        full = f"{max(v for v, full in self.versions() if full):012d}"
+        present = [n for n in TABLE_KEYS if full in _names(self.spark, f"{self.path}/{n}/full")]
+        return self.commit_full({name: self.load(name) for name in present}, batch_id)
+
+    def compact_if_long(self) -> None:
+        """A new snapshot once loads would have to read many commits."""
+        versions = self.versions()
+        last = max(i for i, (_, full) in enumerate(versions) if full)
+        if len(versions) - last > COMPACT_AFTER:
+            self.compact(self.last_batch())
 
 
 def load_catalog(spark: SparkSession, path: str, version: int | None = None) -> DataFrame:

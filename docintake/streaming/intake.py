@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -9,35 +11,58 @@ from pyspark.sql.streaming import StreamingQuery
 from docintake.config import DEFAULT, IntakeConfig
 from docintake.operators.runs import retry_candidates
 from docintake.plans.ingest import ingest_batch
-from docintake.session import remove_folder, run_folder
+from docintake.schema import MESSAGE
+from docintake.session import cut, remove_folder, run_folder
 from docintake.sources.messages import decode_messages
 from docintake.sources.tables import TableStore
 
 
+# Fixed value: what may come right by itself, so that it is tried again.
+RETRIED = ("file_not_found", "no_document", "missing_target", "update_failed")
+
+
 def take_in(
     raw: DataFrame,
     batch_id: int,
     store: TableStore,
-    files: DataFrame,
+    landed: DataFrame | None,
     captures: DataFrame,
     as_of: Column,
     cfg: IntakeConfig = DEFAULT,
 ) -> None:
-    """Apply one micro-batch to the store; a batch already in it is left alone."""
+    """Apply one micro-batch to the store; a batch already in it is left alone.
+
+    The store's ``files`` are what the batches before this one left. ``landed`` are files
+    that have arrived since; one at a known path replaces what was there. Messages that
+    failed for want of a file or a document are in ``retries`` and come again with the
+    next batches, before its own messages, ``cfg.max_retries`` times.
+    """
     last = store.last_batch()
     if last is not None and batch_id <= last:
         return
     spark = raw.sparkSession
     with run_folder(spark) as scratch:
-        good, bad = decode_messages(raw)
-        mappings = store.load("mappings")
+        decoded, bad = decode_messages(raw)
+        waiting = store.load("retries")
+        good = cut(
+            decoded.withColumn("attempt", F.lit(0)).unionByName(
+                waiting.select(*decoded.columns, "attempt")
+            )
+        )
+        files = store.load("files")
+        if landed is not None:
+            landed = cut(landed.select(files.columns))
+            files = cut(files.join(landed, "path", "left_anti").unionByName(landed))
         result = ingest_batch(
-            good, files, captures, store.load("catalog"), mappings, store.load("flags"), as_of, cfg
+            good.drop("attempt"), files, captures, store.load("catalog"), store.load("mappings"),
+            store.load("flags"), as_of, cfg,
         )
         out = f"{store.path}/out"
         number = f"batch={batch_id}"
         result.notifications.write.mode("overwrite").text(f"{out}/notifications/{number}")
-        errors = result.errors.unionByName(
+        failed = good.join(result.failed.select("seq", "outcome"), "seq")
+        again = cut(retry_candidates(failed.where(F.col("outcome").isin(*RETRIED)), cfg.max_retries))
+        errors = result.errors.join(again.select("seq"), "seq", "left_anti").unionByName(
             bad.select(
                 "seq", F.col("value").alias("source"), "outcome",
                 F.col("error").alias("error_text"),
@@ -45,35 +70,59 @@ def take_in(
         )
         errors.write.mode("overwrite").parquet(f"{out}/errors/{number}")
         result.actions.write.mode("overwrite").parquet(f"{out}/actions/{number}")
-        new, old = result.mappings.alias("new"), mappings.alias("old")
-        same = F.col("new.mapping_id") == F.col("old.mapping_id")
-        for name in ("child", "child_path"):
-            same = same & F.col(f"new.{name}").eqNullSafe(F.col(f"old.{name}"))
-        touched_edges = new.join(old, same, "left_anti")
+        changed_files = result.changed_files.select(files.columns)
+        if landed is not None:
+            touched = changed_files.select("path").union(result.deleted_files)
+            changed_files = changed_files.unionByName(landed.join(touched, "path", "left_anti"))
         store.commit_changes(
             {
                 "catalog": result.changed_rows,
-                "mappings": touched_edges,
+                "mappings": result.touched_edges,
                 "flags": result.changed_flags,
+                "files": changed_files,
+                "retries": again.select(waiting.columns),
+            },
+            {
+                "catalog": result.deleted,
+                "mappings": result.deleted_edges,
+                "flags": result.deleted,
+                "files": result.deleted_files,
+                "retries": waiting.join(again.select("seq"), "seq", "left_anti").select("seq"),
             },
-            {"catalog": result.deleted, "mappings": result.deleted_edges, "flags": result.deleted},
             batch_id,
         )
         result.release()
     remove_folder(spark, scratch)
+    store.compact_if_long()
+
+
+def new_store(
+    spark, path: str, catalog: DataFrame, mappings: DataFrame, flags: DataFrame, files: DataFrame
+) -> TableStore:
+    """Store that a stream starts from; nothing waits to be tried again."""
+    store = TableStore(spark, path)
+    retries = spark.createDataFrame([], f"{MESSAGE}, attempt int")
+    store.commit_full(
+        {"catalog": catalog, "mappings": mappings, "flags": flags, "files": files, "retries": retries}
+    )
+    return store
 
 
 def ingest_stream(
     messages: DataFrame,
     store: TableStore,
-    files: DataFrame,
     captures: DataFrame,
     checkpoint: str,
+    landed: Callable[[int], DataFrame | None] | None = None,
     as_of: Column | None = None,
     cfg: IntakeConfig = DEFAULT,
     **trigger,
 ) -> StreamingQuery:
-    """Start taking in a stream of (seq, value); delivery at least once, effect once."""
+    """Start taking in a stream of (seq, value); delivery at least once, effect once.
+
+    ``landed`` gives, for a batch's number, the files that arrived since the batch before;
+    it must give the same ones when a batch is repeated.
+    """
     time = F.current_timestamp() if as_of is None else as_of
 
     def handle(batch: DataFrame, batch_id: int) -> None:
@@ -81,7 +130,8 @@ def ingest_stream(
         if as_of is None:
             # one clock reading for the whole batch
             now = F.lit(batch.sparkSession.range(1).select(time).first()[0])
-        take_in(batch, batch_id, store, files, captures, now, cfg)
+        arrived = landed(batch_id) if landed else None
+        take_in(batch, batch_id, store, arrived, captures, now, cfg)
 
     return (
         messages.writeStream.foreachBatch(handle)
@@ -89,11 +139,3 @@ def ingest_stream(
         .trigger(**(trigger or {"availableNow": True}))
         .start()
     )
-
-
-def with_retries(batch: DataFrame, errors: DataFrame, cfg: IntakeConfig = DEFAULT) -> DataFrame:
-    """Messages of a batch and the failed ones that have attempts left."""
-    again = retry_candidates(errors, cfg.max_retries)
-    return batch.withColumn("attempt", F.lit(0)).unionByName(
-        again.select(*batch.columns, F.col("attempt").cast("int"))
-    )
