@@ -1,4 +1,4 @@
-"""Content types from the first bytes of a file and its name."""
+"""Content types from the contents of a file and its name."""
 
 from __future__ import annotations
 
@@ -7,8 +7,6 @@ from pyspark.sql import functions as F
 
 from docintake.functions.binding import bind
 
-HEAD_BYTES = 64
-
 # Leading bytes (hex) and the type they stand for.
 MAGIC = (
     ("25504446", "application/pdf"),
@@ -31,6 +29,15 @@ ZIP_MAGIC = "504B0304"
 BY_EXTENSION = {
     "css": "text/css",
     "csv": "text/csv",
+    "gif": "image/gif",
+    "gz": "application/gzip",
+    "jpeg": "image/jpeg",
+    "jpg": "image/jpeg",
+    "pdf": "application/pdf",
+    "png": "image/png",
+    "rtf": "application/rtf",
+    "tif": "image/tiff",
+    "tiff": "image/tiff",
     "doc": "application/msword",
     "docx": "application/vnd.openxmlformats-officedocument.wordprocessingml.document",
     "htm": "text/html",
@@ -54,35 +61,58 @@ ZIP_KINDS = ("docx", "pptx", "xlsx")
 OLE_KINDS = ("doc", "ppt", "xls")
 
 
-def _begins(head: Column, digits: str) -> Column:
-    return F.startswith(head, F.unhex(F.lit(digits)))
+# Beginning of an HTML document, after white space and comments.
+HTML_BEGIN = r"(?is)^\s*+(?:<!--.*?-->\s*+)*+<(?:!doctype\s+html|html)\b"
+CONTROL = r"[\x00-\x08\x0E-\x1A\x1C-\x1F]"
+
+
+def _begins(content: Column, digits: str) -> Column:
+    return F.startswith(content, F.unhex(F.lit(digits)))
 
 
-def _decide(head: Column, extension: Column, named: Column, text: Column) -> Column:
-    result = F.when(
-        _begins(head, ZIP_MAGIC),
-        F.when(extension.isin(*ZIP_KINDS), named).otherwise(F.lit("application/zip")),
-    ).when(
-        _begins(head, "D0CF11E0A1B11AE1") & extension.isin(*OLE_KINDS), named
+def sniff(content: Column) -> Column:
+    """What the whole content shows by itself: a type, or zip, ole, html, xml, empty, binary, text."""
+    result = F.when(F.length(content) == 0, F.lit("empty")).when(
+        _begins(content, ZIP_MAGIC), F.lit("zip")
     )
     for digits, kind in MAGIC[:-1]:
-        result = result.when(_begins(head, digits), F.lit(kind))
-    begin = F.lower(F.ltrim(text))
-    html = F.startswith(begin, F.lit("<!doctype html")) | F.startswith(begin, F.lit("<html"))
-    control = text.rlike(r"[\x00-\x08\x0E-\x1A\x1C-\x1F]")
-    digits, kind = MAGIC[-1]
-    xml = F.when(extension.isin("svg", "xhtml"), named).otherwise(F.lit(kind))
+        kind = "ole" if digits == "D0CF11E0A1B11AE1" else kind
+        result = result.when(_begins(content, digits), F.lit(kind))
+
+    def by_text(v: Column) -> Column:
+        return (
+            F.when(v["text"].rlike(HTML_BEGIN), F.lit("html"))
+            .when(v["text"].startswith("<?xml"), F.lit("xml"))
+            .when(v["text"].rlike(CONTROL), F.lit("binary"))
+            .otherwise(F.lit("text"))
+        )
+
+    by_content = result.otherwise(bind(by_text, text=F.decode(content, "ISO-8859-1")))
+    return F.when(content.isNotNull(), by_content)
+
+
+def _decide(kind: Column, extension: Column, named: Column) -> Column:
+    ole = dict(MAGIC)["D0CF11E0A1B11AE1"]
     return (
-        result.when(html, F.lit("text/html"))
-        .when(_begins(head, digits), xml)
+        F.when(
+            kind == "zip",
+            F.when(extension.isin(*ZIP_KINDS), named).otherwise(F.lit("application/zip")),
+        )
+        .when(kind == "ole", F.when(extension.isin(*OLE_KINDS), named).otherwise(F.lit(ole)))
+        .when(F.contains(kind, F.lit("/")), kind)
+        .when(kind == "html", F.lit("text/html"))
+        .when(
+            kind == "xml",
+            F.when(extension.isin("svg", "xhtml"), named).otherwise(F.lit("application/xml")),
+        )
         .when(named.isNotNull() & ~extension.isin("zip", *ZIP_KINDS, *OLE_KINDS), named)
-        .when(head.isNull() | (F.length(head) == 0) | control, F.lit("application/octet-stream"))
-        .otherwise(F.lit("text/plain"))
+        .when(kind == "text", F.lit("text/plain"))
+        .otherwise(F.lit("application/octet-stream"))
     )
 
 
-def detect_mimetype(head: Column, name: Column) -> Column:
-    """Type by leading bytes, made finer by the extension; plain text if readable."""
+def detect_mimetype(kind: Column, name: Column) -> Column:
+    """Type by what :func:`sniff` found, made finer by the extension of the name."""
     table = F.create_map(*[F.lit(x) for pair in BY_EXTENSION.items() for x in pair])
 
     def by_extension(v: Column) -> Column:
@@ -90,15 +120,10 @@ def detect_mimetype(head: Column, name: Column) -> Column:
             F.contains(v["last"], F.lit(".")), F.lower(F.substring_index(v["last"], ".", -1))
         )
         return bind(
-            lambda x: _decide(x["head"], x["extension"], x["named"], x["text"]),
-            head=v["head"],
+            lambda x: _decide(x["kind"], x["extension"], x["named"]),
+            kind=v["kind"],
             extension=extension,
             named=F.try_element_at(table, extension),
-            text=F.decode(v["head"], "ISO-8859-1"),
         )
 
-    return bind(
-        by_extension,
-        head=F.substring(head, 1, HEAD_BYTES),
-        last=F.substring_index(name, "/", -1),
-    )
+    return bind(by_extension, kind=kind, last=F.substring_index(name, "/", -1))

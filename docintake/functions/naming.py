@@ -29,11 +29,21 @@ CONTENT_TYPE_EXTENSIONS = {
     "image/png": ".png",
     "image/svg+xml": ".svg",
     "image/tiff": ".tiff",
+    "image/webp": ".webp",
     "text/css": ".css",
     "text/csv": ".csv",
     "text/html": ".html",
     "text/plain": ".txt",
     "text/tab-separated-values": ".tsv",
+    "application/epub+zip": ".epub",
+    "application/javascript": ".js",
+    "application/postscript": ".ps",
+    "application/vnd.oasis.opendocument.text": ".odt",
+    "application/x-bzip2": ".bz2",
+    "application/x-7z-compressed": ".7z",
+    "audio/mpeg": ".mp3",
+    "text/markdown": ".md",
+    "video/mp4": ".mp4",
 }
 
 DEFAULT_EXTENSION = ".html"
@@ -44,13 +54,20 @@ def _or(c: Column, default: str) -> Column:
     return F.coalesce(c, F.lit(default))
 
 
-def content_type_extension(content_type: Column) -> Column:
-    """Extension of a content type without its parameters; no type means HTML."""
+def content_type_extension(
+    content_type: Column, extensions: dict[str, str] | None = None
+) -> Column:
+    """Extension of a content type without its parameters.
+
+    No type at all means HTML; a type that is not known has no extension. ``extensions``
+    adds types to the known ones.
+    """
     bare = F.lower(F.trim(F.substring_index(content_type, ";", 1)))
-    table = F.create_map(
-        *[F.lit(x) for pair in CONTENT_TYPE_EXTENSIONS.items() for x in pair]
+    known = {**CONTENT_TYPE_EXTENSIONS, **(extensions or {})}
+    table = F.create_map(*[F.lit(x) for pair in known.items() for x in pair])
+    return F.when(F.coalesce(bare, F.lit("")) == "", F.lit(DEFAULT_EXTENSION)).otherwise(
+        _or(F.try_element_at(table, bare), "")
     )
-    return _or(F.try_element_at(table, bare), DEFAULT_EXTENSION)
 
 
 def tidy_path(path: Column) -> Column:

@@ -238,7 +238,7 @@ def attach_payloads(
         F.col("headers").alias("p_headers"),
         F.col("md5").alias("hash"),
         "length",
-        "head",
+        "kind",
     )
     payloads = lookup(
         fetched.where("error IS NULL"), bodies, "payload_uri", spread_by="uri", hot_rows=hot_rows
@@ -247,7 +247,7 @@ def attach_payloads(
         F.col("uri").alias("origin_uri"),
         F.col("error").alias("fetch_error"),
         F.col("status").alias("fetch_status"),
-        "p_headers", "hash", "length", "head", "payload_uri",
+        "p_headers", "hash", "length", "kind", "payload_uri",
     )
     # starts that led nowhere have no origin and would all meet at one key
     led = canonical.where("origin_uri IS NOT NULL")
@@ -280,8 +280,8 @@ def attach_payloads(
         "target_path",
         F.when(good, F.col("hash")).alias("hash"),
         F.when(good, F.col("length")).alias("length"),
-        F.when(good, F.col("head")).alias("head"),
-        F.when(good, detect_mimetype(F.col("head"), F.col("target_path"))).alias("mimetype"),
+        F.when(good, F.col("kind")).alias("kind"),
+        F.when(good, detect_mimetype(F.col("kind"), F.col("target_path"))).alias("mimetype"),
         "error",
         F.coalesce("fetch_status", "terminal_status").alias("status"),
     )

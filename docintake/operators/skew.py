@@ -7,22 +7,25 @@ from pyspark.sql import functions as F
 
 # Only a key with this many rows can slow down a task; smaller inputs join plainly.
 HOT_ROWS = 2_000_000
-# A key above 1/HOT_KEYS of all rows is certain to be among the reported ones.
-HOT_KEYS = 64
+# Entries a sketch keeps for each key that it may have to report.
+TRACKED = 16
 SALTS = 64
 
 
 def hot_keys(df: DataFrame, key: str, hot_rows: int = HOT_ROWS) -> list[str]:
-    """Keys of at least ``hot_rows`` rows, by one pass without a shuffle of the keys.
+    """Keys of at least ``hot_rows`` rows, without a shuffle of the keys.
 
-    The sketch returns at most HOT_KEYS items, so what reaches the driver is bounded.
-    It only decides how rows are spread, never which rows are in the result.
+    There are at most rows / hot_rows such keys; the sketch reports as many, so what reaches
+    the driver is one key for each ``hot_rows`` rows. It only decides how rows are spread,
+    never which rows are in the result.
     """
-    top = (
-        df.where(F.col(key).isNotNull())
-        .agg(F.expr(f"approx_top_k(`{key}`, {HOT_KEYS}, 10000)").alias("top"))
-        .first()["top"]
-    )
+    known = df.where(F.col(key).isNotNull())
+    most = known.count() // hot_rows
+    if not most:
+        return []
+    most = min(most, 50_000)
+    tracked = min(1_000_000, max(10_000, TRACKED * most))
+    top = known.agg(F.expr(f"approx_top_k(`{key}`, {most}, {tracked})").alias("top")).first()["top"]
     return [item["item"] for item in top or [] if item["count"] >= hot_rows]
 
 
@@ -42,8 +45,18 @@ def lookup(
     ``hot_rows=None`` says that it is known to be too small to have any.
     """
     hot = [] if hot_rows is None else hot_keys(left, key, hot_rows)
-    if not hot:
-        return left.join(right, key, how)
+    if hot and how == "left":  # rows without a key would all meet at one
+        missing = left.where(F.col(key).isNull())
+        found = _salted(left.where(F.col(key).isNotNull()), right, key, how, spread_by, hot)
+        return found.unionByName(missing, allowMissingColumns=True)
+    if hot:
+        return _salted(left, right, key, how, spread_by, hot)
+    return left.join(right, key, how)
+
+
+def _salted(
+    left: DataFrame, right: DataFrame, key: str, how: str, spread_by: str, hot: list[str]
+) -> DataFrame:
 
     is_hot = F.coalesce(F.col(key).isin(hot), F.lit(False))
     none, all_salts = F.array(F.lit(0)), F.sequence(F.lit(0), F.lit(SALTS - 1))

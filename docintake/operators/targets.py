@@ -129,10 +129,10 @@ def path_actions(plan: DataFrame, cfg: IntakeConfig = DEFAULT) -> DataFrame:
 def file_changes(actions: DataFrame, payloads: DataFrame) -> DataFrame:
     """Paths that operations touched, with ``content`` (a struct), or NULL where none is left.
 
-    ``payloads`` gives (seq, md5, length, mtime, head) of what was moved. The last operation
+    ``payloads`` gives (seq, md5, length, mtime, kind) of what was moved. The last operation
     on a path decides.
     """
-    facts = [c for c in ("length", "md5", "mtime", "head") if c in payloads.columns]
+    facts = [c for c in ("length", "md5", "mtime", "kind") if c in payloads.columns]
     moves = actions.where("op = 'move'").join(payloads, "seq")
     written = moves.select(
         F.col("to_path").alias("path"), "seq", F.struct(*facts).alias("content")

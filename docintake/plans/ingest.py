@@ -103,7 +103,7 @@ def message_facts(
     base = base.withColumn("route", route(classify_source(F.col("raw"))))
 
     landing = files.select(
-        F.col("path").alias("raw"), F.col("md5").alias("hash"), "length", "mtime", "head"
+        F.col("path").alias("raw"), F.col("md5").alias("hash"), "length", "mtime", "kind"
     )
     local = lookup(base.where("route = 'local'"), landing, "raw", hot_rows=hot_rows)
     local = (
@@ -137,7 +137,7 @@ def message_facts(
         "hash",
         "length",
         _null("timestamp_ntz").alias("mtime"),
-        "head",
+        "kind",
         F.when(F.col("error").isNotNull(), F.lit("no_document")).alias("static_error"),
     )
     fetched = lookup(remote, downloads, "raw", hot_rows=hot_rows)
@@ -587,7 +587,6 @@ def _apply_store(store: DataFrame, final: DataFrame) -> DataFrame:
     return store.join(gone, "path", "left_anti").unionByName(written)
 
 
-KEYS_PER_MESSAGE = 8
 KEPT = [
     "seq", "raw", "match_source", "temp_path", "target_path", "doc_id", "doc_source",
     "new_source", "hash", "length", "is_new", "creates", "ok", "action", "error", "uri",
@@ -603,7 +602,7 @@ def _run_rounds(
     hot_rows: int | None,
 ) -> tuple[list[DataFrame], list[DataFrame], DataFrame, int]:
     rules = _rules(as_of, cfg)
-    pending = facts.drop("tags", "metadata", "derivative", "mtime", "head", "route")
+    pending = facts.drop("tags", "metadata", "derivative", "mtime", "kind", "route")
     columns = pending.columns
     done, deletions, rounds, n_pending = [], [], 0, None
     while n_pending != 0:
@@ -657,7 +656,7 @@ def _document_changes(outcomes: DataFrame, facts: DataFrame, rows: DataFrame,
     """One row per updated document: additions of all its messages, newest first."""
     ok = outcomes.where("outcome = 'ok'").select("seq", "doc_id", "action", "target_path")
     merged = ok.join(
-        facts.select("seq", "tags", "metadata", "derivative", "length", "mtime", "head"), "seq"
+        facts.select("seq", "tags", "metadata", "derivative", "length", "mtime", "kind"), "seq"
     )
     newest_first = F.struct((-F.col("seq")).alias("a"), F.col("at"))
     tags = distinct_items(
@@ -675,7 +674,7 @@ def _document_changes(outcomes: DataFrame, facts: DataFrame, rows: DataFrame,
         F.max(
             F.when(
                 F.col("action").isin("MOVE", "REPLACE"),
-                F.struct("seq", "target_path", "length", "mtime", "head"),
+                F.struct("seq", "target_path", "length", "mtime", "kind"),
             )
         ).alias("moved"),
     )
@@ -697,7 +696,7 @@ def _document_changes(outcomes: DataFrame, facts: DataFrame, rows: DataFrame,
             file_attrs(moved["target_path"], moved["length"], moved["mtime"], cfg.root),
         ).alias("attrs"),
         F.when(
-            moved.isNotNull(), detect_mimetype(moved["head"], moved["target_path"])
+            moved.isNotNull(), detect_mimetype(moved["kind"], moved["target_path"])
         ).alias("mimetype"),
     )
 
@@ -736,8 +735,9 @@ def _ingest(
     scratch: str,
 ) -> IngestResult:
     facts = cut(message_facts(messages, files, captures, cfg, hot_rows))
-    if facts.count() * KEYS_PER_MESSAGE < hot_rows:
-        hot_rows = None
+    keys = F.size("sources") + F.coalesce(F.size("msg_origins"), F.lit(0)) + 2  # hash and target
+    if (facts.agg(F.sum(F.greatest(keys, F.lit(2)))).first()[0] or 0) < hot_rows:
+        hot_rows = None  # not even all keys of all messages together are that many
     start_rows = _slice_catalog(facts, catalog, flags, cfg)
     store = _slice_store(facts, start_rows, files, cfg)
     done, deletions, rows, rounds = _run_rounds(facts, start_rows, store, as_of, cfg, hot_rows)
@@ -800,7 +800,7 @@ def _ingest(
         derived.select(F.col("doc_id").alias("child")).distinct(), "child", "left_semi"
     ).select(mappings.columns)
     actions = cut(path_actions(outcomes.where("action IS NOT NULL"), cfg))
-    payloads = facts.select("seq", F.col("hash").alias("md5"), "length", "mtime", "head")
+    payloads = facts.select("seq", F.col("hash").alias("md5"), "length", "mtime", "kind")
     moved = cut(file_changes(actions, payloads))
     failed = messages.join(
         outcomes.where("outcome NOT IN ('ok', 'zero_length')").select("seq", "outcome"), "seq"

@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-from docintake.plans.workload import AS_OF, BODY, DEEP, LANDING_PATH
+from docintake.plans.workload import AS_OF, BODY, DEEP, DOCUMENTS, LANDING_PATH
 
 LANDED = f"""
 landed AS (
   SELECT doc_id AS seq, doc_id, source AS src, lang, {LANDING_PATH} AS path, {BODY} AS body,
          md5({BODY}) AS hash, CAST(strlen({BODY}) AS BIGINT) AS length
-  FROM documents)
+  FROM {DOCUMENTS})
 """
 
 _PLACE = """CASE WHEN starts_with(path, 'ingress/remote') THEN 'remote' || substr(path, 15)
@@ -263,7 +263,8 @@ SELECT doc_id AS seq, doc_id % 19 <> 0 AND doc_id % 23 <> 0 AS good,
 FROM documents""",
     "message_stream": "SELECT doc_id AS seq, doc_id % 19 <> 0 AND doc_id % 23 <> 0 AS good FROM documents",
     "landing_facts": _with(LANDED)
-    + "SELECT seq, path, length, hash AS md5, hex(encode(body))[1:128] AS head FROM landed",
+    + """SELECT seq, path, length, hash AS md5, CASE WHEN length = 0 THEN 'empty'
+  WHEN regexp_matches(body, '[\\x00-\\x08\\x0E-\\x1A\\x1C-\\x1F]') THEN 'binary' ELSE 'text' END AS kind FROM landed""",
     "load_catalog": _with(LANDED, CATALOG)
     + """SELECT doc_id, source, hash,
   CASE WHEN doc_id LIKE 'e%' OR source LIKE '%7.txt' THEN 'text/html' ELSE 'text/plain' END AS mimetype
@@ -301,7 +302,7 @@ SELECT doc_id AS seq, CAST(CASE WHEN doc_id % 26 = 13 THEN 1 ELSE 2 END AS BIGIN
   CASE doc_id % 26 WHEN 7 THEN 'http' WHEN 9 THEN 'ftp' ELSE 'https' END AS first_scheme,
   CASE doc_id % 26 WHEN 7 THEN NULL WHEN 9 THEN source || '/x'
     ELSE 'https://' || source || '.example.com/d/' || doc_id || '.html' END AS first_uri
-FROM documents WHERE doc_id % 26 IN (0, 7, 9, 13)""",
+FROM """ + DOCUMENTS + """ WHERE doc_id % 26 IN (0, 7, 9, 13)""",
     "in_zone": _with(LANDED, CATALOG)
     + "SELECT doc_id, source LIKE 'local/%' AS in_local, source LIKE 'remote/%' AS in_remote FROM catalog",
     "lookup_target": _with(LANDED) + f"SELECT seq, path, {_PLACE} AS target FROM landed",
@@ -345,9 +346,11 @@ SELECT 'ftp' AS scheme, 'files.example.org' AS host, CAST(2121 AS BIGINT) AS por
   count(*) AS n, min('/p/' || page_id || '.txt') AS first_path FROM pages WHERE page_id % 2 = 0""",
     "detect_mimetype": _with(LANDED)
     + """SELECT url AS name, 'text/html' AS mimetype FROM pages
+UNION ALL SELECT 'late/' || page_id, 'text/html' FROM pages
+UNION ALL SELECT 'binary/' || page_id, 'application/octet-stream' FROM pages
 UNION ALL SELECT path, CASE WHEN path LIKE '%.txt' THEN 'text/plain' WHEN path LIKE '%.html' THEN 'text/html'
   WHEN path LIKE '%.csv' THEN 'text/csv' WHEN length = 0 THEN 'application/octet-stream'
-  WHEN regexp_matches(substr(body, 1, 64), '[\\x00-\\x08\\x0E-\\x1A\\x1C-\\x1F]') THEN 'application/octet-stream'
+  WHEN regexp_matches(body, '[\\x00-\\x08\\x0E-\\x1A\\x1C-\\x1F]') THEN 'application/octet-stream'
   ELSE 'text/plain' END FROM landed""",
     "file_attrs": _with(LANDED)
     + """SELECT seq, '/data/' || regexp_extract(path, '^(.*)/[^/]*$', 1) AS folder, regexp_extract(path, '([^/]*)$', 1) AS name,
@@ -393,7 +396,9 @@ FROM resolved""",
     + """SELECT uri, stop AS payload_uri, CAST(len(chain) AS BIGINT) AS n_requests,
   CAST(CASE WHEN ftp THEN NULL ELSE status END AS BIGINT) AS status,
   coalesce(error, CASE WHEN NOT ftp AND status <> 200 THEN 'bad_status' END) AS error FROM fetched""",
-    "content_type_extension": _with(PAGED) + f"SELECT page_id, {EXTENSION} AS extension FROM paged",
+    "content_type_extension": _with(PAGED) + f"""SELECT page_id, {EXTENSION} AS extension FROM paged
+UNION ALL SELECT page_id + n * 1000000000::BIGINT, extension FROM paged,
+  (VALUES (1, ''), (2, '.html'), (3, '.webp'), (4, '.mp4')) AS odd(n, extension)""",
     "document_targets": _TARGETS
     + """SELECT seq, target_path, in_place, path AS temp_path,
   concat_ws(' ', found_origin, CASE doc_id % 26 WHEN 7 THEN '- -' WHEN 9 THEN src || '/x -'

@@ -37,11 +37,23 @@ CASE doc_id % 8
   ELSE concat('ingress/', source, '/', doc_id, '.txt')
 END
 """
-BODY = "CASE WHEN doc_id % 97 = 5 THEN '' ELSE text END"
+BODY = "coalesce(text, '')"
+# The given documents and, beside them, some empty files.
+DOCUMENTS = """(
+  SELECT doc_id, text, lang, source FROM documents
+  UNION ALL SELECT doc_id + 1000000000, '', lang, source FROM documents WHERE doc_id % 97 = 5)"""
+
+
+def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    given = table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source")
+    empty = given.where("doc_id % 97 = 5").select(
+        (F.col("doc_id") + 1_000_000_000).alias("doc_id"), F.lit("").alias("text"), "lang", "source"
+    )
+    return given.unionByName(empty)
 
 
 def landing_files(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
+    docs = documents(spark, sf_dir)
     return docs.select(
         F.col("doc_id").alias("seq"),
         F.expr(LANDING_PATH).alias("path"),
@@ -59,7 +71,7 @@ def _origin(scheme: str, uri: str) -> str:
 
 def messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One message per document, in the order of their ids."""
-    docs = table(spark, sf_dir, "documents").select("doc_id", "source", "lang")
+    docs = documents(spark, sf_dir).select("doc_id", "source", "lang")
     labels = table(spark, sf_dir, "labels").groupBy("doc_id").agg(F.max("quality").alias("quality"))
     joined = docs.join(labels, "doc_id", "left")
     kept = _origin("'https'", "concat('https://', source, '.example.com/d/', doc_id, '.html')")
@@ -107,7 +119,7 @@ def raw_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def catalog(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Stored documents: a third of the given ones, with older and newer versions."""
-    docs = table(spark, sf_dir, "documents").select(
+    docs = documents(spark, sf_dir).select(
         "doc_id", "source", "lang", F.expr(LANDING_PATH).alias("path"),
         F.expr(f"md5({BODY})").alias("hash"),
         F.expr(f"md5(concat({BODY}, 'old'))").alias("old_hash"),
@@ -170,7 +182,7 @@ def stored_files(spark: SparkSession, sf_dir: str) -> DataFrame:
             "path",
             F.lit(1).cast("bigint").alias("length"),
             "md5",
-            F.lit(None).cast("binary").alias("head"),
+            F.lit(None).cast("string").alias("kind"),
             F.lit("2024-05-01").cast("timestamp_ntz").alias("mtime"),
         )
     )
@@ -228,7 +240,7 @@ def captures(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.lit(None).cast(HEADERS).alias("headers"),
             F.lit(None).cast("bigint").alias("length"),
             F.lit(None).cast("string").alias("md5"),
-            F.lit(None).cast("binary").alias("head"),
+            F.lit(None).cast("string").alias("kind"),
             time.alias("fetched"),
         )
 

@@ -29,10 +29,10 @@ MAPPINGS = (
     "mapping_id string, parent string, child string, child_path string, "
     f"metadata array<{META}>, consumer string"
 )
-FILES = "path string, length bigint, md5 string, mtime timestamp_ntz, head binary"
+FILES = "path string, length bigint, md5 string, mtime timestamp_ntz, kind string"
 CAPTURES = (
     f"uri string, status int, location string, headers {HEADERS}, "
-    "md5 string, length bigint, head binary, fetched timestamp_ntz"
+    "md5 string, length bigint, kind string, fetched timestamp_ntz"
 )
 FLAGS = (
     "doc_id string, consumer string, version string, "

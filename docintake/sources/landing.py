@@ -1,6 +1,7 @@
 """Files in the landing zones and recorded responses, as fact tables.
 
-Contents are read once, at the scan, and reduced there to hash, length and first bytes.
+Contents are read once, at the scan, and reduced there to hash, length and what
+the content shows of its type.
 """
 
 from __future__ import annotations
@@ -10,7 +11,7 @@ from pyspark.sql import functions as F
 
 from docintake.config import EMPTY_MD5
 from docintake.functions.headers import headers_from_map
-from docintake.functions.mimetypes import HEAD_BYTES
+from docintake.functions.mimetypes import sniff
 from docintake.schema import HEADERS
 
 
@@ -18,7 +19,7 @@ def content_facts(content: Column) -> list[Column]:
     return [
         F.octet_length(content).cast("bigint").alias("length"),
         F.md5(content).alias("md5"),
-        F.substring(content, 1, HEAD_BYTES).cast("binary").alias("head"),
+        sniff(content).alias("kind"),
     ]
 
 
@@ -47,13 +48,13 @@ def scan_landing_files(spark: SparkSession, root: str, zone: str = "") -> DataFr
     )
     empty = listed.join(scan.select(_relative(F.col("path"), root).alias("path")), "path",
                         "left_anti")
-    return found.select("path", "length", "md5", "mtime", "head").unionByName(
+    return found.select("path", "length", "md5", "mtime", "kind").unionByName(
         empty.select(
             "path",
             F.lit(0).cast("bigint").alias("length"),
             F.lit(EMPTY_MD5).alias("md5"),
             F.lit(None).cast("timestamp_ntz").alias("mtime"),
-            F.lit(None).cast("binary").alias("head"),
+            F.lit("empty").alias("kind"),
         )
     )
 

@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 from docintake.functions.merging import normalise_origin
 from docintake.schema import MESSAGE_JSON, ORIGIN
 
+# more than a topic may have; offsets up to 2**43 still fit a number
+MOST_PARTITIONS = 1 << 20
 DECODE_ERROR = "Unable to decode message received"
 
 
@@ -68,6 +70,8 @@ def message_stream(
         reader = reader.schema(schema)
     stream = reader.load(path) if path else reader.load()
     if "offset" in stream.columns and "seq" not in stream.columns:
-        # offsets count per partition; together they number the messages of a topic
-        stream = stream.withColumn("seq", F.col("offset") * 4096 + F.col("partition"))
+        # offsets count per partition; together they number the messages of one topic
+        if "," in options.get("subscribe", "") or "subscribePattern" in options:
+            raise ValueError("offsets of several topics collide; take in one topic per stream")
+        stream = stream.withColumn("seq", F.col("offset") * MOST_PARTITIONS + F.col("partition"))
     return stream.withColumn("value", F.col("value").cast("string"))

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from docintake.operators.skew import broadcast_if_small
+
 # Texts of failed outcomes.
 ERROR_TEXT = {
     "decode_error": "Unable to decode message received",
@@ -41,15 +43,18 @@ def emit_errors(outcomes: DataFrame) -> DataFrame:
     )
 
 
-def write_content(placed: DataFrame, store: str) -> None:
-    """Land payloads (path, seq, md5, length, content) in their zone, append only."""
+def write_content(placed: DataFrame, store: str, batch: int) -> None:
+    """Land payloads (path, seq, md5, length, content) of a batch in their zones.
+
+    Contents are written where they are read, without a shuffle, into a folder of the
+    batch; a batch that is repeated replaces what it wrote before.
+    """
     zoned = placed.withColumn("zone", F.substring_index("path", "/", 1))
-    zoned.repartition("zone", F.pmod(F.xxhash64("path"), F.lit(1024))).write.partitionBy(
-        "zone"
-    ).mode("append").parquet(store)
+    zoned.write.partitionBy("zone").mode("overwrite").parquet(f"{store}/batch={batch}")
 
 
 def read_content(stored: DataFrame) -> DataFrame:
-    """Latest write of each path, without moving the contents of older ones."""
+    """Latest write of each path. The writes are compared by number alone; their join
+    moves contents only if the list of paths is too long to be broadcast."""
     latest = stored.groupBy("path").agg(F.max("seq").alias("seq"))
-    return stored.join(latest, ["path", "seq"], "left_semi")
+    return stored.join(broadcast_if_small(latest), ["path", "seq"], "left_semi")

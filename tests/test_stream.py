@@ -11,7 +11,7 @@ from docintake.streaming.intake import new_store, take_in
 from tests.sequential_model import AS_OF_SECONDS, Model, digest
 from tests.test_ingest import frames, stamp, universe
 
-FILES = ("path", "length", "md5", "mtime", "head")
+FILES = ("path", "length", "md5", "mtime", "kind")
 
 
 def raw_of(spark, messages):
