@@ -12,6 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from docintake.session import cut
 from docintake.operators.skew import HOT_ROWS, lookup
 
 SEPARATOR = "\x01"
@@ -106,6 +107,8 @@ def match_catalog(
             _counting_keys(F.col("hash"), F.array_distinct("sources"), message_uris, with_uri)
         ).alias("e"),
     ).select("seq", "e.key", "e.sign")
+    if hot_rows is not None:
+        wanted = cut(wanted)  # looked at for hot keys first, so not to be made twice
     hits = (
         lookup(wanted, index, "key", how="inner", hot_rows=hot_rows)
         .groupBy("seq")
@@ -133,7 +136,9 @@ def latest_and_archivable(matches: DataFrame) -> DataFrame:
     )
 
 
-def superseded_rows(catalog: DataFrame, replacing: DataFrame) -> DataFrame:
+def superseded_rows(
+    catalog: DataFrame, replacing: DataFrame, hot_rows: int | None = HOT_ROWS
+) -> DataFrame:
     """doc_id of every row that a replacing message matches, but for its own document.
 
     ``replacing`` has doc_id, hash, sources and uri. Per key only the smallest and the
@@ -154,7 +159,7 @@ def superseded_rows(catalog: DataFrame, replacing: DataFrame) -> DataFrame:
         ).alias("key"),
     )
     return (
-        rows.join(kept, "key")
+        lookup(rows, kept, "key", how="inner", spread_by="doc_id", hot_rows=hot_rows)
         .where((F.col("low") != F.col("doc_id")) | (F.col("high") != F.col("doc_id")))
         .select("doc_id")
         .distinct()

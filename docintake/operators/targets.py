@@ -14,6 +14,7 @@ from docintake.functions.paths import (
     local_to_remote_target_path,
     remote_target_path,
 )
+from docintake.session import cut
 from docintake.operators.skew import HOT_ROWS, lookup
 from docintake.schema import ORIGIN
 
@@ -71,6 +72,8 @@ def target_occupancy(
 ) -> DataFrame:
     """Add the hash now stored at the target path; a free place counts as the own hash."""
     stored = files.select(F.col("path").alias("target_path"), F.col("md5").alias("stored_hash"))
+    if hot_rows is not None:
+        targets = cut(targets)  # looked at for hot paths first, so not to be made twice
     return (
         lookup(targets, stored, "target_path", hot_rows=hot_rows)
         .withColumn("occupant", F.coalesce("stored_hash", "doc_hash"))

@@ -116,6 +116,7 @@ def message_facts(
         .withColumn(
             "static_error", F.when(F.col("hash").isNull(), F.lit("file_not_found"))
         )
+        .withColumn("cause", _null("string"))
     )
 
     remote = base.where("route <> 'local'")
@@ -139,6 +140,13 @@ def message_facts(
         _null("timestamp_ntz").alias("mtime"),
         "kind",
         F.when(F.col("error").isNotNull(), F.lit("no_document")).alias("static_error"),
+        F.when(
+            F.col("error") == "bad_status",
+            F.concat(
+                F.lit("Unable to process "), "uri", F.lit(" with status code "),
+                F.col("status").cast("string"),
+            ),
+        ).when(F.col("error").isNotNull(), F.concat_ws(": ", "error", "uri")).alias("cause"),
     )
     fetched = lookup(remote, downloads, "raw", hot_rows=hot_rows)
     return local.unionByName(fetched)
@@ -602,7 +610,7 @@ def _run_rounds(
     hot_rows: int | None,
 ) -> tuple[list[DataFrame], list[DataFrame], DataFrame, int]:
     rules = _rules(as_of, cfg)
-    pending = facts.drop("tags", "metadata", "derivative", "mtime", "kind", "route")
+    pending = facts.drop("tags", "metadata", "derivative", "mtime", "kind", "route", "cause")
     columns = pending.columns
     done, deletions, rounds, n_pending = [], [], 0, None
     while n_pending != 0:
@@ -624,7 +632,7 @@ def _run_rounds(
             .drop("reads", "writes", "touches", "placed_key")
         )
         final = judged.where("NOT blocked")
-        superseded = superseded_rows(rows, final.where("action = 'REPLACE'"))
+        superseded = superseded_rows(rows, final.where("action = 'REPLACE'"), hot_rows)
         deleted = cut(
             superseded.withColumn("replaced", F.lit(True))
             .union(final.where("deletes_own").select("doc_id", F.lit(False)))
@@ -813,7 +821,7 @@ def _ingest(
         actions=actions,
         outcomes=outcomes,
         notifications=emit_notifications(outcomes),
-        errors=emit_errors(outcomes),
+        errors=emit_errors(outcomes.join(facts.select("seq", "cause"), "seq")),
         changed_rows=changed_rows,
         deleted=deleted,
         changed_flags=changed_flags,

@@ -262,6 +262,11 @@ SELECT doc_id AS seq, doc_id % 19 <> 0 AND doc_id % 23 <> 0 AS good,
   CASE WHEN doc_id % 19 <> 0 AND doc_id % 23 <> 0 THEN 'Server' END AS header
 FROM documents""",
     "message_stream": "SELECT doc_id AS seq, doc_id % 19 <> 0 AND doc_id % 23 <> 0 AS good FROM documents",
+    # a text file ends with a line feed
+    "scan_landing_files": """
+SELECT doc_id, CAST(strlen(text) + 1 AS BIGINT) AS length, md5(text || chr(10)) AS md5,
+  CASE WHEN regexp_matches(text, '[\\x00-\\x08\\x0E-\\x1A\\x1C-\\x1F]') THEN 'binary' ELSE 'text' END AS kind
+FROM documents""",
     "landing_facts": _with(LANDED)
     + """SELECT seq, path, length, hash AS md5, CASE WHEN length = 0 THEN 'empty'
   WHEN regexp_matches(body, '[\\x00-\\x08\\x0E-\\x1A\\x1C-\\x1F]') THEN 'binary' ELSE 'text' END AS kind FROM landed""",

@@ -101,7 +101,17 @@ def message_stream(spark, sf_dir):
 
 
 def scan_landing_files(spark, sf_dir):
-    return landing.scan_landing_files(spark, sf_dir).select("path", "length", "md5")
+    """The given texts as files of a landing folder, one for each document, and their facts."""
+    folder = _scratch(spark)
+    docs = w.table(spark, sf_dir, "documents").select(
+        F.concat_ws("/", "source", "doc_id").alias("file"), F.coalesce("text", F.lit("")).alias("value")
+    )
+    docs.write.partitionBy("file").text(f"{folder}/ingress")
+    found = landing.scan_landing_files(spark, folder, "ingress")
+    name = F.try_url_decode(F.regexp_extract("path", r"ingress/file=([^/]*)/", 1))
+    return found.where("path NOT LIKE '%/_SUCCESS'").select(
+        F.substring_index(name, "/", -1).cast("bigint").alias("doc_id"), "length", "md5", "kind"
+    )
 
 
 def landing_facts(spark, sf_dir):

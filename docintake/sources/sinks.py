@@ -32,14 +32,21 @@ def emit_notifications(outcomes: DataFrame) -> DataFrame:
 
 
 def emit_errors(outcomes: DataFrame) -> DataFrame:
-    """Failed messages with class and text; an empty file counts as dealt with."""
+    """Failed messages with class and text; an empty file counts as dealt with.
+
+    ``cause``, where there is such a column, says why a document could not be fetched.
+    """
     texts = F.create_map(*[F.lit(x) for pair in ERROR_TEXT.items() for x in pair])
     failed = outcomes.where("outcome NOT IN ('ok', 'zero_length')")
+    text = F.concat_ws(": ", texts[F.col("outcome")], F.col("raw"))
+    if "cause" in outcomes.columns:
+        because = F.when(F.col("outcome") == "no_document", F.col("cause"))
+        text = F.concat_ws(". ", text, because)
     return failed.select(
         "seq",
         F.col("raw").alias("source"),
         "outcome",
-        F.concat_ws(": ", texts[F.col("outcome")], F.col("raw")).alias("error_text"),
+        text.alias("error_text"),
     )
 
 
