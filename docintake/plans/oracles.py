@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from docintake.plans.workload import AS_OF, BODY, DEEP, DOCUMENTS, LANDING_PATH
+from docintake.plans.workload import AS_OF, BODY, DEEP, DOCUMENTS, FAMILY_BODY, FAMILY_PATH, LANDING_PATH
 
 LANDED = f"""
 landed AS (
@@ -515,4 +515,22 @@ SELECT uri, CASE WHEN problem IS NULL THEN origin END AS origin_uri,
   CASE WHEN problem IS NULL THEN md5(html) END AS hash,
   CASE WHEN problem IS NULL THEN CAST(strlen(html) AS BIGINT) END AS length,
   CASE WHEN problem IS NULL THEN 'text/html' END AS mimetype, problem IS NULL AS good FROM pathed""",
+    "ingest_families": f"""
+WITH d AS (SELECT doc_id, doc_id % 6 AS family, {FAMILY_PATH} AS place FROM documents),
+m AS (SELECT *, 0 AS again FROM d UNION ALL SELECT *, 1 FROM d WHERE family = 5)
+SELECT doc_id * 2 + again AS seq,
+  CASE family WHEN 3 THEN 'zero_length' WHEN 4 THEN 'rogue_file' ELSE 'ok' END AS outcome,
+  CASE WHEN family = 0 OR family = 5 AND again = 0 THEN 'MOVE' WHEN family = 1 THEN 'REPLACE'
+    WHEN family IN (2, 5) THEN 'DISCARD' WHEN family = 3 THEN 'ZERO_LENGTH' END AS action,
+  CASE family WHEN 3 THEN 'ingress/' ELSE 'local/' END || place AS new_source,
+  'local/' || place AS target_path  -- where it would go, also of a message that is refused
+FROM m""",
+    "ingest_stream_families": f"""
+WITH d AS (
+  SELECT doc_id, lang, doc_id % 6 AS family, {FAMILY_PATH} AS place, md5({FAMILY_BODY}) AS md5 FROM documents)
+SELECT 'row' AS what, 'local/' || place AS place, md5,
+  CASE family WHEN 2 THEN lang || ',stored' WHEN 4 THEN 'stored' ELSE lang END AS tags, family IN (2, 4) AS old
+FROM d WHERE family <> 3
+UNION ALL SELECT 'file', 'local/' || place, md5, NULL, NULL FROM d WHERE family <> 3
+UNION ALL SELECT 'file', 'ingress/' || place, md5, NULL, NULL FROM d WHERE family IN (3, 4)""",
 }

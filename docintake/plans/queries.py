@@ -764,6 +764,47 @@ def ingest_stream_catalog(spark, sf_dir):
     return store.load("catalog").select("doc_id", "source", "hash")
 
 
+def ingest_families(spark, sf_dir):
+    """Outcomes of one batch over families of documents whose ends are known beforehand."""
+    made = w.families(spark, sf_dir)
+    good, _ = message_source.decode_messages(made["raw"])
+    result = ingest_batch(
+        good, made["files"], w.captures(spark, sf_dir), made["catalog"],
+        w.mappings(spark, sf_dir), w.flags(spark, sf_dir).limit(0), w.as_of(),
+        IntakeConfig(recent_tolerance=None),
+    )
+    return result.outcomes.select("seq", "outcome", "action", "new_source", "target_path")
+
+
+def ingest_stream_families(spark, sf_dir):
+    """Catalog and files after the families went through the stream in two batches."""
+    made, folder = w.families(spark, sf_dir), _scratch(spark)
+    store = new_store(
+        spark, f"{folder}/store", made["catalog"], w.mappings(spark, sf_dir),
+        w.flags(spark, sf_dir).limit(0), made["files"],
+    )
+    for part in (0, 1):
+        made["raw"].where(f"batch = {part}").select("seq", "value").coalesce(1).write.mode(
+            "append"
+        ).parquet(f"{folder}/queue")
+    stream = message_source.message_stream(
+        spark, "parquet", {"maxFilesPerTrigger": "1"}, f"{folder}/queue", "seq bigint, value string"
+    )
+    ingest_stream(
+        stream, store, w.captures(spark, sf_dir), f"{folder}/state", as_of=w.as_of(),
+        cfg=IntakeConfig(recent_tolerance=None),
+    ).awaitTermination()
+    rows = store.load("catalog").select(
+        F.lit("row").alias("what"), F.col("source").alias("place"), F.col("hash").alias("md5"),
+        F.concat_ws(",", "tags").alias("tags"), F.col("doc_id").startswith("f").alias("old"),
+    )
+    files = store.load("files").select(
+        F.lit("file").alias("what"), F.col("path").alias("place"), "md5",
+        F.lit(None).cast("string").alias("tags"), F.lit(None).cast("boolean").alias("old"),
+    )
+    return rows.unionByName(files)
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -781,6 +822,6 @@ QUERIES = {
         document_size_summary, fetch_latency_summary, file_operation_summary,
         catalog_operation_summary, outcome_counts, batch_sequence, suppress_recent,
         mark_run_state, retry_candidates, message_sources, ingest_outcomes, ingest_catalog,
-        ingest_stream_catalog,
+        ingest_stream_catalog, ingest_families, ingest_stream_families,
     )
 }

@@ -356,3 +356,52 @@ def operation_log(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("value").alias("seconds"),
         F.expr("CAST(event_id * 37 % 100000 AS BIGINT)").alias("bytes"),
     )
+
+
+# Families of documents whose end is known beforehand, by doc_id % 6: new, a new version of a
+# stored one, a copy of a stored one, empty, rogue, and twice the same content.
+FAMILY_PATH = "concat('fam/', doc_id, '.txt')"
+FAMILY_BODY = "CASE WHEN doc_id % 6 = 3 THEN '' ELSE concat(coalesce(text, ''), '#', doc_id) END"
+
+
+def families(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    """Raw messages (with their batch), files and catalog of the families."""
+    docs = table(spark, sf_dir, "documents").select(
+        "doc_id", "lang", F.expr(FAMILY_PATH).alias("place"),
+        *content_facts(F.expr(FAMILY_BODY).cast("binary")),
+        (F.col("doc_id") % 6).alias("family"),
+    )
+    mtime = F.lit("2024-05-31").cast("timestamp_ntz").alias("mtime")
+    facts = ["length", "md5", mtime, "kind"]
+    copies = docs.where("family = 5").withColumn("place", F.concat(F.lit("copy/"), "place"))
+    arrived = docs.unionByName(copies)
+    landed = arrived.select(F.concat(F.lit("ingress/"), "place").alias("path"), *facts)
+    hash_ = F.when(F.col("family") == 1, F.md5(F.concat(F.lit("old"), "doc_id"))).otherwise(
+        F.col("md5")
+    )
+    known = docs.where("family IN (1, 2, 4)").withColumn("md5", hash_)
+    stored = known.select(F.concat(F.lit("local/"), "place").alias("path"), *facts)
+    day = F.lit("2024-03-01").cast("timestamp_ntz")
+    rows = known.select(
+        F.concat(F.lit("f"), F.lpad(F.col("doc_id").cast("string"), 12, "0")).alias("doc_id"),
+        F.concat(F.lit("local/"), "place").alias("source"),
+        F.col("md5").alias("hash"), F.lit("text/plain").alias("mimetype"),
+        day.alias("created"), day.alias("updated"), F.lit(False).alias("derivative"),
+        F.lit(None).cast("array<string>").alias("derivatives"),
+        F.lit(None).cast(ATTRS).alias("attrs"), F.array(F.lit("stored")).alias("tags"),
+        F.lit(None).cast(f"array<{META}>").alias("metadata"),
+        F.lit(None).cast(f"array<{ORIGIN}>").alias("origin"),
+        F.lit(None).cast("string").alias("uuid"), (F.col("family") == 4).alias("rogue_file"),
+    )
+    copy = F.col("place").startswith("copy/")
+    asked = arrived.select(
+        (F.col("doc_id") * 2 + copy.cast("int")).alias("seq"),
+        copy.cast("int").alias("batch"),
+        F.to_json(
+            F.struct(F.concat(F.lit("ingress/"), "place").alias("source"), F.array("lang").alias("tags"))
+        ).alias("value"),
+    )
+    empty = spark.createDataFrame([], CATALOG).schema
+    return {
+        "raw": asked, "files": landed.unionByName(stored), "catalog": rows.to(empty),
+    }
