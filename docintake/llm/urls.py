@@ -86,7 +86,7 @@ def page_links(pages: DataFrame, url: str = "url", html: str = "html") -> DataFr
 def rule_of(host_: Column, path_: Column, rules: list[Rule]) -> Column:
     """The rule that decides, as ``struct(rule, verdict)``, or null."""
     if len(rules) > MOST_RULES:
-        raise ValueError("too many rules for one plan; use several calls or a join")
+        raise ValueError("too many rules for one plan; give them as a table")
     found = F.lit(None).cast("struct<rule: string, verdict: string>")
     order = sorted(rules, key=lambda r: (len(r[1]), r[0] == "allow", r[1]))
     for verdict, rule in order:  # the last one that is put around the others wins
@@ -98,9 +98,50 @@ def rule_of(host_: Column, path_: Column, rules: list[Rule]) -> Column:
     return found
 
 
+def with_rule(df: DataFrame, host_: str, path_: str, rules, name: str) -> DataFrame:
+    """``df`` with column ``name``, the rule that decides (see :func:`rule_of`).
+
+    ``rules`` are a short list, or a table (verdict, rule) of any length. A table is joined
+    with the keys of the distinct hosts and paths: each of a host's suffixes with the starts
+    of the path that are as long as some rule's.
+    """
+    if not isinstance(rules, DataFrame):
+        return df.withColumn(name, rule_of(F.col(host_), F.col(path_), rules))
+    known = rules.select(F.col("rule").alias("key"), F.col("verdict").alias("does"))
+    path_length = F.length("key") - F.instr("key", F.lit("/")) + 1
+    # as many numbers as there are lengths of paths
+    lengths = sorted(r[0] for r in known.select(path_length).distinct().collect())
+    asked = df.select(F.col(host_).alias("h"), F.col(path_).alias("p")).distinct()
+    labels = F.split("h", r"\.")
+    suffixes = F.transform(
+        F.sequence(F.lit(1), F.size(labels)),
+        lambda i: F.array_join(F.slice(labels, i, F.size(labels)), "."),
+    )
+    starts = F.transform(
+        F.filter(F.array(*[F.lit(n) for n in lengths]).cast("array<int>"), lambda n: n <= F.length("p")),
+        lambda n: F.substring(F.col("p"), 1, n),
+    )
+    keys = F.flatten(
+        F.transform(suffixes, lambda s: F.transform(starts, lambda t: F.concat(s, t)))
+    )
+    best = F.max(F.struct(F.length("key").alias("n"), (F.col("does") == "allow").alias("a"), "key", "does"))
+    found = (
+        asked.select("h", "p", F.explode(F.array_distinct(keys)).alias("key"))
+        .join(known, "key")
+        .groupBy("h", "p")
+        .agg(best.alias("best"))
+        .select(
+            F.col("h").alias(host_),
+            F.col("p").alias(path_),
+            F.struct(F.col("best.key").alias("rule"), F.col("best.does").alias("verdict")).alias(name),
+        )
+    )
+    return df.join(found, [host_, path_], "left")
+
+
 def judge(
     pages: DataFrame,
-    rules: list[Rule],
+    rules: list[Rule] | DataFrame,
     redirects: DataFrame | None = None,
     url: str = "url",
     html: str = "html",
@@ -111,8 +152,10 @@ def judge(
         extra = redirects.select(node(F.col("source")).alias("a"), node(F.col("target")).alias("b"))
         links = links.unionByName(extra)
     member = cut(components(cut(links.distinct())))
-    decided = rule_of(host(F.col("node")), path(F.col("node")), rules)["verdict"]
-    blocked = member.groupBy("component").agg(F.max(decided == "block").alias("blocked"))
+    judged = member.withColumn("host", host(F.col("node"))).withColumn("path", path(F.col("node")))
+    judged = with_rule(judged, "host", "path", rules, "decided")
+    blocks = F.col("decided.verdict") == "block"
+    blocked = judged.groupBy("component").agg(F.max(blocks).alias("blocked"))
     blocked = blocked.where("blocked").join(member, "component")
 
     kept = [c for c in pages.columns if c != html]
@@ -122,9 +165,9 @@ def judge(
         pages.select(*kept)
         .withColumn(host_, host(F.col(url)))
         .withColumn(path_, path(F.col(url)))
-        .withColumn(decided_, rule_of(F.col(host_), F.col(path_), rules))
         .withColumn(alias_, node(F.col(url)))
     )
+    judged = with_rule(judged, host_, path_, rules, decided_)
     blocked = blocked.select(F.col("node").alias(alias_), F.lit("block").alias(verdict_))
     judged = judged.join(blocked, alias_, "left")
     return judged.select(

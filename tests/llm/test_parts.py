@@ -284,3 +284,18 @@ def test_the_fast_encoder_on_mixed_texts():
     want = [e.ids for e in tokenizer.encode_batch(texts, add_special_tokens=False)]
     assert [fast.encode(t, allowed_special="all") for t in texts] == want
     assert tokens.count_texts(tokenizer, texts, chunk=30, fast=fast) == [len(w) for w in want]
+
+
+def test_rules_as_a_table(spark, odd_tables):
+    rules = [
+        ("block", "net/"), ("allow", "example.net/en/"), ("block", "example.com/de/"), ("allow", "org/fr/"),
+        ("block", "org/fr"), ("allow", "z.org/"), ("block", "a.example.net/en/x"), ("block", "z.org/"),
+    ]
+    table = spark.createDataFrame(rules, "verdict string, rule string")
+    for sf_dir in (odd_tables, "/root/testdata/sf0.001"):
+        pages = spark.read.parquet(f"{sf_dir}/pages.parquet").select("page_id", "url", "html")
+        columns = ["page_id", "host", "path", "rule", "verdict"]
+        listed, joined = (
+            sorted(map(str, urls.judge(pages, r).select(columns).collect())) for r in (rules, table)
+        )
+        assert listed == joined
