@@ -217,3 +217,18 @@ def test_hot_target_needs_one_round(spark):
     assert result.rounds == 1
     targets = {r["target_path"] for r in result.outcomes.collect()}
     assert targets == {remote_path("https://h/x") + ".html", remote_path("https://h/x") + "/a.pdf"}
+
+
+def test_error_says_why_a_fetch_failed(spark):
+    captures = [("https://h/x", 404, None, [], None, None), ("https://h/y", 301, None, [], None, None)]
+    messages = [
+        dict(seq=i, source=u, origins=[], tags=[], derivative=None, verify=False)
+        for i, u in enumerate(("https://h/x", "https://h/y", "https://h/z"))
+    ]
+    data = frames(spark, ({}, captures, {}, {}, [], []), messages)
+    result = ingest_batch(**data, as_of=F.lit(stamp(AS_OF_SECONDS)).cast("timestamp"))
+    texts = {r["seq"]: r["error_text"] for r in result.errors.collect()}
+    none = "no document found for URI: "
+    assert texts[0] == none + "https://h/x. Unable to process https://h/x with status code 404"
+    assert texts[1].startswith(none + "https://h/y. unable_to_follow")
+    assert texts[2].startswith(none + "https://h/z. not_captured")
