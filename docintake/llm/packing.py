@@ -25,16 +25,17 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType, IntegerType, LongType, StructField, StructType
 
-from docintake.llm.tokens import CHUNK, encode_long, fast_encoder, load
+from docintake.llm.tokens import encode_long, fast_encoder, load
 from docintake.session import cut
 
 CAPACITY = 2048
 SHARD = 20_000
 FULL = 0.98
+LONG = 1 << 20  # characters; longer texts are encoded in chunks, so that memory is bounded
 
 
 def _encode(fast, tokenizer, text: str) -> np.ndarray:
-    if fast is not None and len(text) <= CHUNK:
+    if fast is not None and len(text) <= LONG:
         return np.array(fast.encode(text, allowed_special="all"), "<u4")
     return np.concatenate([np.array(ids, "<u4") for ids in encode_long(tokenizer, text)])
 
