@@ -4,8 +4,9 @@ Messages meet when they share a key: a content hash, a path or an origin URI. Al
 pending messages are judged against the current state. A message is final when no
 earlier pending message can change anything it depends on; the others are judged again
 against the state the final ones leave. Messages that merely find their document (all
-copies after the first) change no key and become final together, so a round is needed
-per real conflict and not per message, however many messages share a key. Every step is
+copies after the first) change no key and become final together, and so do documents
+that replace each other at one path, whether or not they came from one origin. A round
+is needed per real conflict and not per message, however many messages share a key. Every step is
 a join or an aggregation by key; the driver only sees whether rows are left.
 
 Payload facts are read once, at the start: a message naming a path that another message
@@ -316,18 +317,15 @@ def _rules(as_of: Column, cfg: IntakeConfig) -> dict[str, list[dict[str, Column]
         empty,
         F.concat(origin_uris(F.col("chain")), origin_uris(F.col("msg_origins"))),
     )
-    placed_key = F.concat(F.lit("S\x01"), F.col("target_written"))
+    # and the path it may come to be placed at
+    place = single_keys(_null("string"), F.array("target_path"), empty)
     access = {
-        # the stored path, if this message does nothing with it but to place its file there
-        "placed_key": F.when(
-            ~F.array_contains(F.concat("match_keys", before, possible), placed_key), placed_key
-        ),
         "reads": F.concat("match_keys", "file_key"),
         "writes": F.concat(
             changed_keys, F.when(F.col("consumes"), F.col("file_key")).otherwise(empty)
         ),
         "touches": F.when(
-            live, F.array_distinct(F.concat("match_keys", "file_key", before, after, possible))
+            live, F.array_distinct(F.concat("match_keys", "file_key", before, after, possible, place))
         ).otherwise(empty),
     }
     return {
@@ -388,54 +386,72 @@ def _judge(
     return _with(df, rules["act"]).drop("file_key", "match_keys", "before", "after")
 
 
-def _first_by_key(df: DataFrame, keys: str, name: str) -> DataFrame:
-    return (
-        df.select(F.explode(keys).alias("key"), "seq").groupBy("key").agg(F.min("seq").alias(name))
-    )
-
-
 def _settle(
     effects: DataFrame, rows: DataFrame, hot_rows: int | None
 ) -> tuple[DataFrame, int]:
     """Say of each judged message whether it is blocked, and how many are."""
     slim = effects.select(
         "seq", "doc_id", "raw", "hash", "sources", "uri", "ok", "action", "consumes",
-        "reads", "writes", "touches", "placed_key", "target_path", "target_read", "target_written",
-    )
-    spread = slim.select(
-        "seq", "reads", "writes", "placed_key", F.explode("touches").alias("key")
-    ).select(
-        "seq",
-        "key",
-        F.coalesce(F.col("key") == F.col("placed_key"), F.lit(False)).alias("only_placed"),
-        F.array_contains("reads", F.col("key")).alias("is_read"),
-        F.array_contains("writes", F.col("key")).alias("is_written"),
+        "reads", "writes", "touches", "target_path", "target_read", "target_written",
     )
-    per_key = spread.groupBy("key").agg(
+    # A message is free if no earlier one has to do with a key it reads: whatever else those
+    # do, it finds the same document and the same older versions.
+    per_key = slim.select(
+        "seq", F.explode("touches").alias("key"), "writes"
+    ).groupBy("key").agg(
         F.min("seq").alias("first"),
-        F.max("seq").alias("last"),
-        F.min("only_placed").alias("all_placed"),
-        F.min(F.when(F.col("is_written"), F.col("seq"))).alias("first_write"),
+        F.min(F.when(F.array_contains("writes", F.col("key")), F.col("seq"))).alias("first_write"),
     )
     per_seq = (
-        lookup(spread, per_key, "key", how="inner", hot_rows=hot_rows)
+        lookup(
+            slim.select("seq", F.explode("reads").alias("key")), per_key, "key", how="inner",
+            hot_rows=hot_rows,
+        )
         .groupBy("seq")
         .agg(
-            F.max((F.col("first") < F.col("last")) & ~F.col("all_placed")).alias("shared"),
-            F.max(
-                F.col("is_read") & F.coalesce(F.col("first_write") < F.col("seq"), F.lit(False))
-            ).alias("waits"),
+            F.min("first").alias("first"),
+            F.min("first_write").alias("first_write"),
         )
     )
+    earlier = F.coalesce(F.col("first") < F.col("seq"), F.lit(False))
     df = cut(
         slim.join(per_seq, "seq", "left")
-        .withColumn("solo", ~F.coalesce("shared", F.lit(False)))
-        .withColumn("blocked", F.coalesce("waits", F.lit(False)))
-        .drop("shared", "waits")
+        .withColumn("free", ~earlier)
+        .withColumn("blocked", F.coalesce(F.col("first_write") < F.col("seq"), F.lit(False)))
+        .drop("first", "first_write")
+    )
+
+    # Targets: a free message may follow other free ones at once, as each then simply
+    # replaces the one before; all others wait for earlier writers.
+    # A stored path that is taken away counts as written by a message that is not free.
+    aimed = df.where("target_path IS NOT NULL").select(
+        "target_path", "seq", "free", F.col("target_written").isNotNull().alias("written")
+    )
+    emptied = df.where("consumes").select(
+        F.col("raw").alias("target_path"), "seq", F.lit(False), F.lit(True)
+    )
+    per_target = aimed.union(emptied).groupBy("target_path").agg(
+        F.min(F.when(~F.col("free"), F.col("seq"))).alias("first_bound"),
+        F.min(F.when(F.col("written"), F.col("seq"))).alias("first_written"),
+    )
+    wait_for = F.when(F.col("free"), F.col("first_bound")).otherwise(
+        F.when(F.col("target_read").isNotNull(), F.col("first_written"))
+    )
+    df = cut(
+        lookup(df, per_target, "target_path", hot_rows=hot_rows)
+        .withColumn(
+            "blocked", F.col("blocked") | F.coalesce(wait_for < F.col("seq"), F.lit(False))
+        )
+        .withColumn(
+            "follows",
+            F.col("ok") & F.col("free")
+            & F.coalesce(F.col("first_written") < F.col("seq"), F.lit(False)),
+        )
+        .drop("first_bound", "first_written")
     )
 
     # Rows that a replacement may delete: whoever reads one of their keys later waits.
-    replacing = df.where("ok AND (solo OR action = 'REPLACE')").select(
+    replacing = df.where("ok AND (follows OR action = 'REPLACE')").select(
         "seq", "doc_id",
         F.explode(single_keys(F.col("hash"), F.col("sources"), F.array("uri"))).alias("key"),
     ).groupBy("key").agg(
@@ -457,36 +473,14 @@ def _settle(
     )
     late = _reading_after(df, lost, hot_rows)
 
-    # Targets: a message with keys of its own may follow other such messages at once,
-    # as each then simply replaces the one before; all others wait for earlier writers.
-    # A stored path that is taken away counts as written by a message that is not alone.
-    aimed = df.where("target_path IS NOT NULL").select(
-        "target_path", "seq", "solo", F.col("target_written").isNotNull().alias("written")
-    )
-    emptied = df.where("consumes").select(
-        F.col("raw").alias("target_path"), "seq", F.lit(False), F.lit(True)
-    )
-    per_target = aimed.union(emptied).groupBy("target_path").agg(
-        F.min(F.when(~F.col("solo"), F.col("seq"))).alias("first_shared"),
-        F.min(F.when(F.col("written"), F.col("seq"))).alias("first_written"),
-    )
-    df = lookup(df, per_target, "target_path", hot_rows=hot_rows)
-    wait_for = F.when(F.col("solo"), F.col("first_shared")).otherwise(
-        F.when(F.col("target_read").isNotNull(), F.col("first_written"))
-    )
-    df = cut(
+    df = (
         df.join(late, "seq", "left")
-        .withColumn(
-            "blocked",
-            F.col("blocked")
-            | F.coalesce(wait_for < F.col("seq"), F.lit(False))
-            | F.coalesce("late", F.lit(False)),
-        )
-        .withColumn("follows", F.coalesce(F.col("first_written") < F.col("seq"), F.lit(False)))
-        .drop("late", "first_shared", "first_written")
+        .withColumn("blocked", F.col("blocked") | F.coalesce("late", F.lit(False)))
+        .drop("late")
     )
 
-    # Whatever a blocked message may still change blocks its later readers as well.
+    # Whatever a blocked message may still change blocks its later readers as well, and
+    # whatever it still has to read those that would change it.
     target = F.when(
         F.col("target_path").isNotNull(), F.array(F.concat(F.lit("T\x01"), "target_path"))
     ).otherwise(F.array().cast("array<string>"))
@@ -499,8 +493,7 @@ def _settle(
     n_blocked = df.where("blocked").count()
     fresh = df.where("blocked") if n_blocked else None
     while fresh is not None:
-        risky = _first_by_key(fresh, "touches", "first")
-        late = cut(_reading_after(df.where("NOT blocked"), risky, hot_rows))
+        late = cut(_late_after(df.where("NOT blocked"), fresh, hot_rows))
         n_late = late.count()
         n_blocked += n_late
         fresh = None
@@ -511,7 +504,7 @@ def _settle(
                 .drop("late")
             )
             fresh = df.join(late, "seq", "left_semi")
-    return df.select("seq", "solo", "blocked", "follows"), n_blocked
+    return df.select("seq", "blocked", "follows"), n_blocked
 
 
 def _reading_after(df: DataFrame, firsts: DataFrame, hot_rows: int | None) -> DataFrame:
@@ -526,6 +519,27 @@ def _reading_after(df: DataFrame, firsts: DataFrame, hot_rows: int | None) -> Da
     )
 
 
+def _late_after(df: DataFrame, blocked: DataFrame, hot_rows: int | None) -> DataFrame:
+    """seq of messages that read what an earlier blocked one touches or write what it reads."""
+    risky = (
+        blocked.select("seq", "reads", F.explode("touches").alias("key"))
+        .groupBy("key")
+        .agg(
+            F.min("seq").alias("first"),
+            F.min(F.when(F.array_contains("reads", F.col("key")), F.col("seq"))).alias("first_read"),
+        )
+    )
+    access = df.select("seq", "reads", F.explode(F.array_union("reads", "writes")).alias("key"))
+    access = access.select("seq", "key", F.array_contains("reads", F.col("key")).alias("is_read"))
+    return (
+        lookup(access, risky, "key", how="inner", hot_rows=hot_rows)
+        .where("is_read AND first < seq OR first_read < seq")
+        .select("seq")
+        .distinct()
+        .withColumn("late", F.lit(True))
+    )
+
+
 def _apply_rows(
     rows: DataFrame, final: DataFrame, deleted: DataFrame, as_of: Column, hot_rows: int | None
 ) -> DataFrame:
@@ -617,7 +631,7 @@ def _run_rounds(
         rounds += 1
         judged = cut(_judge(pending, rows, store, rules, hot_rows))
         settled, n_pending = _settle(judged, rows, hot_rows)
-        follows = F.col("ok") & F.col("solo") & F.col("follows")
+        follows = F.col("follows")
         judged = cut(
             judged.join(settled, "seq")
             .withColumns(
@@ -629,7 +643,7 @@ def _run_rounds(
                     "consumes": F.col("consumes") | (follows & F.col("uri").isNull()),
                 }
             )
-            .drop("reads", "writes", "touches", "placed_key")
+            .drop("reads", "writes", "touches")
         )
         final = judged.where("NOT blocked")
         superseded = superseded_rows(rows, final.where("action = 'REPLACE'"), hot_rows)

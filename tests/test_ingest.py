@@ -219,6 +219,28 @@ def test_hot_target_needs_one_round(spark):
     assert targets == {remote_path("https://h/x") + ".html", remote_path("https://h/x") + "/a.pdf"}
 
 
+@pytest.mark.parametrize("fetched", [None, 0, 50])
+def test_versions_of_one_origin_need_no_round_each(spark, fetched):
+    """100 landing files say that they come from one address, which may be fetched as well."""
+    url, n = "https://h/x.txt", 100
+    files = {f"ingress/d/{i}.txt": (digest(f"v{i}"), 5) for i in range(n)}
+    chains = {url: [chain_origin(url, 200)]}
+    captures = [(url, 200, None, [], digest("body"), 5)]
+    sources = list(files)
+    if fetched is not None:
+        sources.insert(fetched, url)
+    messages = [
+        dict(seq=i, source=s, origins=[] if s == url else [origin("https", url)], tags=[f"t{i % 7}"],
+             derivative=None, verify=False)
+        for i, s in enumerate(sources)
+    ]
+    model = Model([], files, chains, {url: (digest("body"), 5)}, [], None)
+    data = frames(spark, (files, captures, {}, {}, [], []), messages)
+    result = check(spark, model, messages, data, IntakeConfig(recent_tolerance=None), 20)
+    assert result.rounds <= 2
+    assert sum(v[0] == "ok" for v in model.outcomes.values()) == len(messages)
+
+
 def test_error_says_why_a_fetch_failed(spark):
     captures = [("https://h/x", 404, None, [], None, None), ("https://h/y", 301, None, [], None, None)]
     messages = [
