@@ -320,6 +320,10 @@ def _rules(as_of: Column, cfg: IntakeConfig) -> dict[str, list[dict[str, Column]
     # and the path it may come to be placed at
     place = single_keys(_null("string"), F.array("target_path"), empty)
     access = {
+        # the address its place follows from
+        "aims": F.when(
+            F.col("ok"), single_keys(_null("string"), empty, F.array(first_uri("new_origin")))
+        ).otherwise(empty),
         "reads": F.concat("match_keys", "file_key"),
         "writes": F.concat(
             changed_keys, F.when(F.col("consumes"), F.col("file_key")).otherwise(empty)
@@ -392,7 +396,7 @@ def _settle(
     """Say of each judged message whether it is blocked, and how many are."""
     slim = effects.select(
         "seq", "doc_id", "raw", "hash", "sources", "uri", "ok", "action", "consumes",
-        "reads", "writes", "touches", "target_path", "target_read", "target_written",
+        "reads", "writes", "touches", "aims", "target_path", "target_read", "target_written",
     )
     # A message is free if no earlier one has to do with a key it reads: whatever else those
     # do, it finds the same document and the same older versions.
@@ -484,16 +488,18 @@ def _settle(
     target = F.when(
         F.col("target_path").isNotNull(), F.array(F.concat(F.lit("T\x01"), "target_path"))
     ).otherwise(F.array().cast("array<string>"))
-    df = df.withColumn("touches", F.concat("touches", target)).withColumn(
-        "reads",
-        F.when(F.col("target_read").isNotNull(), F.concat("reads", target)).otherwise(
-            F.col("reads")
-        ),
+    placing = F.when(F.col("target_read").isNotNull(), F.concat("aims", target)).otherwise(
+        F.col("aims")
+    )
+    df = cut(
+        df.withColumn("touches", F.concat("touches", target)).withColumn(
+            "reads", F.array_union("reads", placing)
+        )
     )
     n_blocked = df.where("blocked").count()
     fresh = df.where("blocked") if n_blocked else None
     while fresh is not None:
-        late = cut(_late_after(df.where("NOT blocked"), fresh, hot_rows))
+        late = cut(_late_after(df, fresh, hot_rows))
         n_late = late.count()
         n_blocked += n_late
         fresh = None
@@ -520,16 +526,35 @@ def _reading_after(df: DataFrame, firsts: DataFrame, hot_rows: int | None) -> Da
 
 
 def _late_after(df: DataFrame, blocked: DataFrame, hot_rows: int | None) -> DataFrame:
-    """seq of messages that read what an earlier blocked one touches or write what it reads."""
-    risky = (
-        blocked.select("seq", "reads", F.explode("touches").alias("key"))
-        .groupBy("key")
-        .agg(
-            F.min("seq").alias("first"),
-            F.min(F.when(F.array_contains("reads", F.col("key")), F.col("seq"))).alias("first_read"),
-        )
+    """seq of unblocked messages that read what an earlier blocked one may touch, or write
+    what it reads.
+
+    A blocked message may come to find the document of any message it shares a key with,
+    and so may come to have that one's target.
+    """
+    wanted = blocked.select("seq", F.explode("reads").alias("key")).groupBy("key").agg(
+        F.min("seq").alias("first")
+    )
+    near = df.where("target_path IS NOT NULL").select(
+        "seq", F.explode("touches").alias("key"),
+        F.concat(F.lit("T\x01"), "target_path").alias("target"),
+    )
+    targets = lookup(near, wanted, "key", how="inner", hot_rows=hot_rows).select(
+        F.col("target").alias("key"), "first", _null("bigint").alias("first_read")
+    )
+    touched = blocked.select(
+        "seq", "reads", F.explode(F.array_union("touches", "reads")).alias("key")
+    ).select(
+        "key",
+        F.col("seq").alias("first"),
+        F.when(F.array_contains("reads", F.col("key")), F.col("seq")).alias("first_read"),
+    )
+    risky = targets.union(touched).groupBy("key").agg(
+        F.min("first").alias("first"), F.min("first_read").alias("first_read")
+    )
+    access = df.where("NOT blocked").select(
+        "seq", "reads", F.explode(F.array_union("reads", "writes")).alias("key")
     )
-    access = df.select("seq", "reads", F.explode(F.array_union("reads", "writes")).alias("key"))
     access = access.select("seq", "key", F.array_contains("reads", F.col("key")).alias("is_read"))
     return (
         lookup(access, risky, "key", how="inner", hot_rows=hot_rows)
