@@ -8,7 +8,7 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from docintake.llm import decontaminate, packing, pii, quality, simhash
@@ -26,20 +26,21 @@ def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def keep_one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each class of near-duplicates, the document with the smallest id.
+    """Of each class of near-duplicates, the row with the smallest id (null ids come last).
 
-    Of rows that repeat this id, one stays. Rows without an id name no class and stay.
+    Rows are told apart by a number of their own, so repeated and null ids are rows like others:
+    of rows that share the smallest id, or that have none, the smallest hash and number stays.
     """
     prepare_python(spark)
-    marked = cut(simhash.fingerprints(docs))
-    found = simhash.classes(marked)
-    keep = found.where("doc_id = component_id").select("doc_id").distinct()
-    tie, place = fresh(docs, "tie", "place")
-    first = Window.partitionBy("doc_id").orderBy(tie)
-    named = docs.where(F.col("doc_id").isNotNull()).join(keep, "doc_id", "left_semi")
-    named = named.withColumn(tie, F.xxhash64("text")).withColumn(place, F.row_number().over(first))
-    named = named.where(F.col(place) == 1).select(docs.columns)
-    return named.unionByName(docs.where(F.col("doc_id").isNull()))
+    (row,) = fresh(docs, "row")
+    numbered = cut(docs.withColumn(row, F.monotonically_increasing_id()))
+    place = F.struct(
+        F.col("doc_id").isNull().alias("no_id"), "doc_id",
+        F.xxhash64("text").alias("tie"), F.col(row).alias("row"),
+    )
+    marked = cut(simhash.fingerprints(numbered.select(place.alias("doc_id"), "text")))
+    keep = simhash.classes(marked).select(F.col("component_id.row").alias(row)).distinct()
+    return numbered.join(keep, row, "left_semi").select(docs.columns)
 
 
 def keep_clean(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -61,3 +61,13 @@ def test_odd_tables(spark, odd_tables):
 
 def test_empty_tables(spark, empty_tables):
     assert corpus_pipeline.run(spark, empty_tables).count() == 0
+
+
+def test_one_row_of_each_class_stays(spark):
+    """Repeated ids in several classes, and rows without an id."""
+    a, b, c = (" ".join(f"{w}{i}" for i in range(40)) for w in ("apple", "brick", "cloud"))
+    rows = [(1, a), (1, b), (2, a), (3, b), (1, a), (None, c), (None, c), (None, a), (None, "")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    assert len({brute.fingerprint(t) for _, t in rows}) == 4
+    kept = pairs(corpus_pipeline.keep_one_of_each(spark, docs, ""))
+    assert Counter(kept) == Counter([(1, a), (1, b), (None, c), (None, "")])
