@@ -36,7 +36,10 @@ LONG = 1 << 20  # characters; longer texts are encoded in chunks, so that memory
 
 def _encode(fast, tokenizer, text: str) -> np.ndarray:
     if fast is not None and len(text) <= LONG:
-        return np.array(fast.encode(text, allowed_special="all"), "<u4")
+        try:
+            return np.array(fast.encode(text, allowed_special="all"), "<u4")
+        except ValueError:  # its regex engine gives up on white space of 10^6 characters
+            pass
     return np.concatenate([np.array(ids, "<u4") for ids in encode_long(tokenizer, text)])
 
 

@@ -299,3 +299,13 @@ def test_rules_as_a_table(spark, odd_tables):
             sorted(map(str, urls.judge(pages, r).select(columns).collect())) for r in (rules, table)
         )
         assert listed == joined
+
+
+def test_runs_of_a_million_blanks_are_encoded():
+    """White space on which the fast encoder's regex engine gives up."""
+    tokenizer, fast = tokens.load(VOCABULARY), tokens.fast_encoder(VOCABULARY)
+    for text in (" " * packing.LONG, "x" + "\n" * 1_040_000 + "y"):
+        with pytest.raises(ValueError):
+            fast.encode(text, allowed_special="all")
+        want = tokenizer.encode(text, add_special_tokens=False).ids
+        assert packing._encode(fast, tokenizer, text).tolist() == want
