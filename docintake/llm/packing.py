@@ -11,7 +11,7 @@ a shard loses is a few sequences. The pieces of sequences left emptier than ``FU
 packed once more, over shards of the same size. Only lengths and checksums are shuffled.
 
 Null counts as an empty text, one end id long. Repeated rows are pieces of their own; rows
-with the same doc_id and piece share a shard and no place.
+with the same doc_id and piece are dealt by their row numbers and share no place.
 """
 
 from __future__ import annotations
@@ -170,9 +170,8 @@ def _sharded(rows: DataFrame, capacity: int, shard: int, kind: int) -> DataFrame
     """``rows`` with bin, offset, filled; bins are numbered within their shard."""
     total = rows.count()
     shards = max(1, -(-total // shard))
-    dealt = rows.withColumn(
-        "shard", F.pmod(F.xxhash64("doc_id", "piece"), F.lit(shards)).cast("long") * 4 + kind
-    )
+    key = F.xxhash64("doc_id", "piece", F.monotonically_increasing_id())  # rows are materialised
+    dealt = rows.withColumn("shard", F.pmod(key, F.lit(shards)).cast("long") * 4 + kind)
     fields = [*dealt.schema.fields, *(StructField(c, LongType()) for c in ("bin", "offset", "filled"))]
     return dealt.groupBy("shard").applyInArrow(_pack_shard(capacity), StructType(fields))
 

@@ -309,3 +309,15 @@ def test_runs_of_a_million_blanks_are_encoded():
             fast.encode(text, allowed_special="all")
         want = tokenizer.encode(text, add_special_tokens=False).ids
         assert packing._encode(fast, tokenizer, text).tolist() == want
+
+
+def test_pieces_of_one_id_are_dealt_over_shards(spark, shared):
+    """Repeated and null ids do not meet in one shard."""
+    rows = [(None if i % 2 else 7, 0, 0, 5 + i % 20, i) for i in range(2000)]
+    schema = "doc_id long, piece int, start long, length long, ids_crc32 long"
+    made = packing.cut(spark.createDataFrame(rows, schema))
+    dealt = packing._sharded(made, 32, 100, 1).groupBy("shard").count().collect()
+    assert len(dealt) == 20 and max(r["count"] for r in dealt) < 200
+    packed = packing.pack(made, capacity=32, shard=100).collect()
+    assert sorted(r.ids_crc32 for r in packed) == list(range(2000))
+    assert len({(r.sequence_id, r.offset) for r in packed}) == 2000
