@@ -9,7 +9,8 @@ and that a rule blocks. Otherwise it is allowed.
 
 Aliases are connected components of the link table. Its links are the canonical link and
 the meta refresh in a page's html, each URL's own form without tracking parameters, and any
-redirect table (source, target) that is passed in. URLs are nodes without their fragment.
+redirect table (source, target) that is passed in. URLs are nodes without their fragment, with
+scheme and host in lower case; links are resolved against their page, dot segments included.
 Only SQL functions are used, and no page table is joined on a key that many rows share
 without a unique other side.
 
@@ -22,6 +23,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from docintake.functions.binding import bind
 from docintake.llm.columns import fresh
 from docintake.llm.components import components
 from docintake.session import cut
@@ -47,8 +49,19 @@ def path(url: Column) -> Column:
 
 
 def node(url: Column) -> Column:
-    """The URL without its fragment; null where it is not absolute."""
-    return F.when(F.instr(url, F.lit("://")) > 0, F.regexp_replace(url, r"(?s)#.*$", ""))
+    """The URL without its fragment, scheme and host in lower case; null where not absolute."""
+    bare = F.regexp_replace(url, r"(?s)#.*$", "")
+    parts = r"(?s)^(.*?://)((?:[^/?]*@)?)([^/?]*)(.*)$"  # scheme, user, host, the rest
+
+    def part(number: int) -> Column:
+        return F.regexp_extract(bare, parts, number)
+
+    def lower(text: Column) -> Column:
+        return F.translate(text, _UPPER, _UPPER.lower())
+
+    return F.when(
+        F.instr(url, F.lit("://")) > 0, F.concat(lower(part(1)), part(2), lower(part(3)), part(4))
+    )
 
 
 def without_tracking(url: Column) -> Column:
@@ -57,14 +70,43 @@ def without_tracking(url: Column) -> Column:
     return F.regexp_replace(bare, r"^([^?&]*)&", "$1?")
 
 
+def _without_dots(path_: Column) -> Column:
+    """A path from the root without its segments ``.`` and ``..``."""
+    parts = F.split(path_, "/")
+    kept = F.aggregate(
+        F.slice(parts, F.lit(2), F.size(parts)),
+        F.array().cast("array<string>"),
+        lambda out, p: F.when(p == "..", F.slice(out, F.lit(1), F.greatest(F.size(out) - 1, F.lit(0))))
+        .when(p == ".", out)
+        .otherwise(F.concat(out, F.array(p))),
+    )
+    open_ = path_.rlike(r"/\.\.?$")  # a last segment of dots names a directory
+    plain = bind(
+        lambda v: F.concat(
+            F.lit("/"), F.array_join(v["kept"], "/"),
+            F.when(open_ & (F.size(v["kept"]) > 0), "/").otherwise(""),
+        ),
+        kept=kept,
+    )
+    return F.when(path_.rlike(r"/\.\.?(?:/|$)"), plain).otherwise(path_)
+
+
 def _absolute(target: Column, url: Column) -> Column:
-    """``target`` as a link on the page ``url``; only whole URLs and paths from the root."""
+    """``target`` as a link on the page ``url``; null for other schemes and empty targets."""
     target = F.replace(F.trim(target), F.lit("&amp;"), F.lit("&"))
     origin = F.regexp_extract(url, r"(?s)^(.*?://[^/?#]*)", 1)
+    here = path(url)
+    folder = F.when(here == "", "/").otherwise(F.regexp_extract(here, r"(?s)^(.*/)", 1))
+    query = F.regexp_extract(target, r"(?s)[?#].*$", 0)
+    asked = F.regexp_extract(target, r"(?s)^[^?#]*", 0)
     return (
-        F.when(F.instr(target, F.lit("://")) > 0, target)
+        F.when(target.rlike(r"^[A-Za-z][A-Za-z0-9+.-]*://"), target)
+        .when((origin == "") | (target == "") | target.rlike(r"^[A-Za-z][A-Za-z0-9+.-]*:"), None)
         .when(target.startswith("//"), F.concat(F.substring_index(url, "//", 1), target))
-        .when(target.startswith("/"), F.concat(origin, target))
+        .when(target.startswith("/"), F.concat(origin, _without_dots(asked), query))
+        .when(target.startswith("?"), F.concat(origin, here, target))
+        .when(target.startswith("#"), url)
+        .otherwise(F.concat(origin, _without_dots(F.concat(folder, asked)), query))
     )
 
 

@@ -321,3 +321,42 @@ def test_pieces_of_one_id_are_dealt_over_shards(spark, shared):
     packed = packing.pack(made, capacity=32, shard=100).collect()
     assert sorted(r.ids_crc32 for r in packed) == list(range(2000))
     assert len({(r.sequence_id, r.offset) for r in packed}) == 2000
+
+
+@pytest.mark.parametrize("url, target, full", [
+    ("http://a.org/x/y.html?q=/1#t/u", "p.html", "http://a.org/x/p.html"),
+    ("http://a.org/x/y/z", "../p?k=a/../b", "http://a.org/x/p?k=a/../b"),
+    ("http://a.org/x/y/z", "../../../../p/.", "http://a.org/p/"),
+    ("http://a.org/x/y", "./", "http://a.org/x/"),
+    ("http://a.org/x/y", "/p/../q/..", "http://a.org/"),
+    ("http://a.org/x/y?old=1", "?id=3&amp;k=4", "http://a.org/x/y?id=3&k=4"),
+    ("http://a.org", "p?to=http://b.org/", "http://a.org/p?to=http://b.org/"),
+    ("http://a.org/x", "//b.org/p", "http://b.org/p"),
+    ("http://a.org/x", "HTTP://B.org/P", "HTTP://B.org/P"),
+    ("http://a.org/x", "mailto:a@b.org", None),
+    ("http://a.org/x", "", None),
+    ("no scheme", "p.html", None),
+])
+def test_links_are_resolved_against_their_page(spark, url, target, full):
+    df = spark.createDataFrame([(url, target)], "url string, target string")
+    assert df.select(urls._absolute(F.col("target"), F.col("url"))).first()[0] == full
+
+
+def test_aliases_in_other_forms_block(spark):
+    """Relative links, and hosts and schemes in the other case on either side of a link."""
+    canonical = '<link rel="canonical" href="%s">'
+    pages = [
+        (1, "http://a.org/x/y", canonical % "../bad/p"), (2, "http://a.org/x/z", canonical % "?id=3"),
+        (3, "http://a.org/x/z?id=3", '<meta http-equiv="refresh" content="0; url=y">'),
+        (4, "HTTPS://Example.ORG/p", ""), (5, "http://c.org/q", canonical % "https://example.org/p"),
+        (6, "http://d.org/r", ""), (7, "http://a.org/Case", ""),
+    ]
+    df = spark.createDataFrame(pages, "page_id long, url string, html string")
+    moved = spark.createDataFrame(
+        [("https://EXAMPLE.org/p#t", "http://A.org/bad/q"), ("http://D.org/r", "Http://d.ORG/bad/")],
+        "source string, target string")
+    rules = [("block", "a.org/bad/"), ("block", "d.org/bad/")]
+    got = {r.page_id: r.verdict for r in urls.judge(df, rules, moved).collect()}
+    assert got == {**dict.fromkeys(range(1, 7), "block"), 7: "allow"}
+    plain = spark.range(1).select(urls.node(F.lit("HTTP://Bob@A.org:80/P?Q=A@B#t"))).first()[0]
+    assert plain == "http://Bob@a.org:80/P?Q=A@B"
