@@ -1,6 +1,9 @@
 """Document fingerprints of closed syncmers.
 
-The letters are words (runs of other than white space). A k-mer is ``K`` words; its inner
+The letters are words (runs of other than white space); in a run of over ``RUN`` characters, as
+in scripts without blanks, code or long tokens, they are its shingles of ``SHINGLE`` characters,
+one from each character on. Texts of fewer than ``SHORT`` letters have, besides, the anchors
+over their characters, so that parts of them are found too. A k-mer is ``K`` words; its inner
 substrings are the ``S`` words from each of its places on, by their hashes. A k-mer is chosen
 if the smallest of them is its first or its last. The choice depends on nothing outside the
 k-mer, so equal passages have equal anchors wherever they stand, and among any K - S + 1
@@ -25,19 +28,58 @@ from docintake.session import cut
 
 K = 5
 S = 2
+RUN = 16  # characters; longer runs between white space are no words
+SHINGLE = 8  # a power of two
+SHORT = 20  # letters
 SKETCH = 32
 CELL = 1_000  # document ids that are sorted together
 
 
-def word_hashes(text: Column) -> Column:
+def _words(text: Column) -> Column:
     white = r"[ \t\n\x0B\f\r]+"
     trimmed = F.regexp_replace(F.coalesce(text, F.lit("")), rf"^{white}", "")
-    words = F.filter(F.split(trimmed, white), lambda w: w != "")
-    return F.transform(words, lambda w: F.xxhash64(w))
+    return F.filter(F.split(trimmed, white), lambda w: w != "")
+
+
+def _characters(text: Column) -> Column:
+    return F.transform(F.filter(F.split(text, ""), lambda c: c != ""), lambda c: F.xxhash64(c))
+
+
+def _shingles(run: Column) -> Column:
+    """Hashes of the ``SHINGLE`` characters from each place of a run on."""
+    out, step = _characters(run), 1
+    while step < SHINGLE:
+
+        def joined(v: Column, step: int = step) -> Column:
+            count = F.greatest(F.size(v["h"]) - step, F.lit(0))
+            return F.zip_with(
+                F.slice(v["h"], F.lit(1), count),
+                F.slice(v["h"], F.lit(step + 1), count),
+                lambda a, b: F.xxhash64(a, b),
+            )
+
+        out, step = bind(joined, h=out), 2 * step
+    return out
+
+
+def word_hashes(text: Column) -> Column:
+    """Hashes of the letters: words, and the shingles of runs longer than ``RUN``."""
+    words = _words(text)
+    dealt = F.flatten(
+        F.transform(
+            words,
+            lambda w: F.when(F.length(w) > RUN, _shingles(w)).otherwise(F.array(F.xxhash64(w))),
+        )
+    )
+    long_run = F.coalesce(text, F.lit("")).rlike(rf"[^ \t\n\x0B\f\r]{{{RUN + 1}}}")
+    return F.when(long_run, dealt).otherwise(F.transform(words, lambda w: F.xxhash64(w)))
 
 
 def anchors(text: Column, k: int = K, s: int = S) -> Column:
-    """Anchors (pos, hash) in their order; ``pos`` is the first word's number."""
+    """Anchors (pos, hash) in their order; ``pos`` is the first letter's number.
+
+    Those over the characters of a text of fewer than ``SHORT`` letters come last.
+    """
 
     def inner(v: Column) -> Column:  # hashes of s words, from each word on
         h, n = v["h"], F.size(v["h"])
@@ -73,8 +115,14 @@ def anchors(text: Column, k: int = K, s: int = S) -> Column:
             found=found,
         )
 
+    def chosen(v: Column) -> Column:
+        return bind(lambda w: choose(w), h=v["h"], m=inner(v))
+
+    characters = _characters(F.array_join(_words(text), " "))
     return bind(
-        lambda v: bind(lambda w: choose(w), h=v["h"], m=inner(v)),
+        lambda v: F.when(F.size(v["h"]) >= SHORT, chosen(v)).otherwise(
+            F.concat(chosen(v), bind(chosen, h=characters))
+        ),
         h=word_hashes(text),
     )
 

@@ -360,3 +360,23 @@ def test_aliases_in_other_forms_block(spark):
     assert got == {**dict.fromkeys(range(1, 7), "block"), 7: "allow"}
     plain = spark.range(1).select(urls.node(F.lit("HTTP://Bob@A.org:80/P?Q=A@B#t"))).first()[0]
     assert plain == "http://Bob@a.org:80/P?Q=A@B"
+
+
+def test_texts_without_blanks_have_anchors(spark):
+    """Half of a text that is kept is found again in long runs and in texts of few words."""
+    rng = random.Random(13)
+    made = [
+        "".join(chr(rng.randint(0x4E00, 0x6E00)) for _ in range(600)),
+        "".join(rng.choice("ACGT") for _ in range(600)),
+        "three words only", "\U0001F600" * 3 + "".join(chr(rng.randint(0x3041, 0x3090)) for _ in range(300)),
+    ]
+    other = ["".join(chr(rng.randint(97, 122)) for _ in range(len(t))) for t in made]
+    rows = [(t, t[: len(t) - len(t) // 2] + o[: len(t) // 2], o) for t, o in zip(made, other)]
+    sets = [syncmers.hash_set(syncmers.anchors(F.col(c))) for c in "abc"]
+    df = spark.createDataFrame(rows, "a string, b string, c string").select(
+        *[h.alias(c) for h, c in zip(sets, "abc")])
+    for r in df.select(
+        syncmers.likeness(F.col("a"), F.col("b")).alias("near"),
+        syncmers.likeness(F.col("a"), F.col("c")).alias("far"), F.size("a").alias("n"),
+    ).collect():
+        assert r.near > 0.15 and r.far < 0.05 and r.n > 3
