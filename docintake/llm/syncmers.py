@@ -10,7 +10,7 @@ k-mer, so equal passages have equal anchors wherever they stand, and among any K
 neighbouring k-mers of different inner hashes at least one is chosen.
 
 The fingerprint of a text is the set of its anchors' hashes; its string form is the ``SKETCH``
-smallest of them, in hexadecimal. Likeness is the Jaccard similarity of two sets, 1 for two
+smallest of them, in hexadecimal, and if there are more a hash of them all. Likeness is the Jaccard similarity of two sets, 1 for two
 empty ones. A text of fewer than K words, or none of whose k-mers is chosen, has one anchor, its
 whole sequence of words. A text without words (null, empty, white space) has none.
 
@@ -132,11 +132,12 @@ def hash_set(found: Column) -> Column:
 
 
 def sketch(hashes: Column, size: int = SKETCH) -> Column:
-    """String form of a sorted set of anchors' hashes."""
+    """String form of a sorted set of anchors' hashes; of a larger one, also a digest of all."""
     shown = F.transform(
         F.slice(hashes, F.lit(1), F.lit(size)), lambda h: F.lpad(F.hex(h), 16, "0")
     )
-    return F.lower(F.array_join(shown, ""))
+    digest = F.when(F.size(hashes) > size, F.lpad(F.hex(F.xxhash64(hashes)), 16, "0")).otherwise("")
+    return F.lower(F.concat(F.array_join(shown, ""), digest))
 
 
 def likeness(a: Column, b: Column) -> Column:

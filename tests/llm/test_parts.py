@@ -380,3 +380,10 @@ def test_texts_without_blanks_have_anchors(spark):
         syncmers.likeness(F.col("a"), F.col("c")).alias("far"), F.size("a").alias("n"),
     ).collect():
         assert r.near > 0.15 and r.far < 0.05 and r.n > 3
+
+
+def test_fingerprint_strings_stand_for_all_anchors(spark):
+    rows = [(list(range(100)),), (list(range(99)) + [500],), (list(range(32)),)]
+    df = spark.createDataFrame(rows, "h array<long>").select(syncmers.sketch(F.col("h")).alias("s"))
+    a, b, c = (r.s for r in df.collect())
+    assert a != b and a[:512] == b[:512] == c and len(a) == 528
