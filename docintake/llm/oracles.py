@@ -119,9 +119,111 @@ SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit,
 FROM doc LEFT JOIN n USING (row) LEFT JOIN i USING (row)
 """
 
+_CRC32 = """xor(list_reduce(list_prepend(4294967295::BIGINT,
+    list_transform(string_split({0}::VARCHAR, ''), lambda c: ascii(c)::BIGINT)),
+    lambda acc, b: list_reduce([xor(acc, b), 0, 0, 0, 0, 0, 0, 0, 0],
+        lambda v, i: xor(v >> 1, 3988292384 * (v & 1)))), 4294967295)"""
+
+OP11 = rf"""
+WITH doc AS (
+    SELECT row_number() OVER () AS row, doc_id, lang, {_CRC32.format('doc_id')} % 3 = 1 AS held_out,
+        trim(regexp_replace(lower(coalesce(text, '')), '[^\p{{L}}]+', ' ', 'g')) AS letters
+    FROM documents
+), sign AS (
+    SELECT row, lang, held_out, unnest(c) AS a, generate_subscripts(c, 1) AS pos
+    FROM (SELECT *, string_split(' ' || letters || ' ', '') AS c FROM doc WHERE letters <> '')
+), ahead AS (
+    SELECT row, lang, held_out, a, lead(a) OVER w AS b, lead(a, 2) OVER w AS c
+    FROM sign WINDOW w AS (PARTITION BY row ORDER BY pos)
+), gram AS (
+    SELECT row, lang, held_out, a AS gram FROM ahead WHERE a <> ' '
+    UNION ALL SELECT row, lang, held_out, a || b FROM ahead WHERE b IS NOT NULL
+    UNION ALL SELECT row, lang, held_out, a || b || c FROM ahead WHERE b <> ' ' AND c IS NOT NULL
+), text_gram AS (SELECT row, lang, held_out, gram, count(*) AS n FROM gram GROUP BY ALL),
+text_profile AS (
+    SELECT row, gram, row_number() OVER (PARTITION BY row ORDER BY n DESC, gram) - 1 AS rank
+    FROM text_gram QUALIFY rank < 400
+), lang_profile AS (
+    SELECT lang, gram, row_number() OVER (PARTITION BY lang ORDER BY n DESC, gram) - 1 AS rank
+    FROM (SELECT lang, gram, sum(n) AS n FROM text_gram WHERE NOT held_out AND lang IS NOT NULL GROUP BY ALL)
+    QUALIFY rank < 400
+), away AS (
+    SELECT t.row, l.lang, sum(coalesce(abs(t.rank - p.rank), 400)) AS distance, count(*) * 400 AS most
+    FROM text_profile t CROSS JOIN (SELECT DISTINCT lang FROM lang_profile) l
+    LEFT JOIN lang_profile p ON p.lang = l.lang AND p.gram = t.gram GROUP BY ALL
+), nearest AS (
+    SELECT * FROM away QUALIFY row_number() OVER (PARTITION BY row ORDER BY distance, lang) = 1
+)
+SELECT doc_id, held_out, coalesce(nearest.lang, 'und') AS lang_pred,
+    coalesce(1 - (distance::DOUBLE / most), 0) AS score
+FROM doc LEFT JOIN nearest USING (row)
+"""
+
+OP12 = f"""
+WITH item AS (SELECT DISTINCT item_id, unnest({_WORDS}) AS term FROM benchmark),
+doc AS (SELECT row_number() OVER () AS row, doc_id, {_WORDS} AS w FROM documents),
+corpus AS (SELECT count(*) FILTER (len(w) > 0) AS texts, sum(len(w))::BIGINT AS terms FROM doc),
+occurs AS (SELECT row, term, count(*) AS tf FROM (SELECT row, unnest(w) AS term FROM doc)
+    WHERE term IN (SELECT term FROM item) GROUP BY ALL),
+weight AS (SELECT term, floor(1000 * ln((2 * texts + 2) / (2 * count(*) + 1)))::BIGINT AS weight
+    FROM occurs CROSS JOIN corpus GROUP BY term, texts),
+part AS (
+    SELECT row, doc_id, term, weight * ((1000000000 * tf) // (1000 * tf + 8 *
+        (10 + (90 * len(w) * texts) // terms))) AS part
+    FROM occurs JOIN weight USING (term) JOIN doc USING (row) CROSS JOIN corpus
+), scored AS (
+    SELECT item_id, row, doc_id, sum(part)::BIGINT AS score FROM part JOIN item USING (term) GROUP BY ALL
+)
+SELECT item_id, rank, doc_id, score FROM (
+    SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id NULLS LAST)::INTEGER AS rank
+    FROM scored WHERE score > 0) WHERE rank <= 10
+"""
+
+OP13 = rf"""
+WITH said AS (
+    SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text, row_number() OVER (
+        PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) AS i
+    FROM conversations WHERE conv_id IS NOT NULL
+), own AS (
+    SELECT conv_id, conv_id - conv_id % 20 AS base, {_CRC32.format('conv_id')} % 4 AS h, count(*) AS n
+    FROM said GROUP BY conv_id
+), conv AS (
+    SELECT own.*, least(own.h, coalesce(b.n, 0)) AS taken FROM own LEFT JOIN own b ON b.conv_id = own.base
+), turns AS (
+    SELECT conv.conv_id, i AS depth, role, text FROM conv JOIN said ON said.conv_id = base AND i <= h
+    UNION ALL
+    SELECT conv_id, taken + i - h, role, text FROM conv JOIN said USING (conv_id) WHERE i > h
+), path AS (
+    SELECT conv_id, depth, sha256(string_agg(length(role) || ':' || role || length(text) || ':' || text, '')
+            OVER (PARTITION BY conv_id ORDER BY depth)) AS node,
+        len(regexp_extract_all(text, '[^ 	-
+]+')) AS words
+    FROM turns UNION ALL SELECT conv_id, 0, 'root', 0 FROM conv
+), linked AS (
+    SELECT *, lag(node) OVER (PARTITION BY conv_id ORDER BY depth) AS parent,
+        lead(node) OVER (PARTITION BY conv_id ORDER BY depth) IS NULL AS ends FROM path
+), node AS (
+    SELECT node, min(conv_id) AS conv_id, any_value(depth) AS depth, any_value(parent) AS parent,
+        count(*) AS n_convs, (count(*) - 1) * any_value(words) AS cost,
+        sha256(coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (ends), '')) AS ends_sha256
+    FROM linked GROUP BY node
+), child AS (SELECT parent AS node, count(*) AS n_children FROM node WHERE parent IS NOT NULL GROUP BY ALL),
+known AS (SELECT node.*, coalesce(n_children, 0) AS n_children FROM node LEFT JOIN child USING (node)),
+rolled AS (
+    SELECT path.node, count(*) FILTER (n_children = 0) AS n_leaves, sum(cost)::BIGINT AS saved_tokens
+    FROM known JOIN path ON path.conv_id = known.conv_id AND path.depth <= known.depth GROUP BY path.node
+)
+SELECT known.conv_id, known.depth, up.conv_id AS parent_conv_id, known.n_convs, known.n_children,
+    n_leaves, saved_tokens, known.ends_sha256
+FROM known JOIN rolled USING (node) LEFT JOIN node up ON up.node = known.parent
+"""
+
 ORACLES = {
     "op1_chat_format": OP1,
     "op3_warc": OP3,
     "op4_url_filter": OP4,
     "op10_decontaminate": OP10,
+    "op11_language_id": OP11,
+    "op12_lexical_search": OP12,
+    "op13_prefix_trie": OP13,
 }

@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from docintake.llm import (
-    chat, decontaminate, packing, pii, quality, simhash, syncmers, tokens, urls, warc,
+    chat, decontaminate, langid, packing, pii, quality, search, simhash, syncmers, tokens, trie,
+    urls, warc,
 )
 from docintake.session import cut, prepare_python
 
@@ -152,6 +153,22 @@ def op10_decontaminate(spark, sf_dir):
     )
 
 
+def op11_language_id(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    learned = langid.profiles(docs.where(f"NOT {HELD_OUT}"))
+    found = langid.identify(docs.select("doc_id", "text"), learned)
+    return found.select("doc_id", F.expr(HELD_OUT).alias("held_out"), "lang_pred", "score")
+
+
+def op12_lexical_search(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return search.search(docs, table(spark, sf_dir, "benchmark"))
+
+
+def op13_prefix_trie(spark, sf_dir):
+    return trie.prefix_trie(table(spark, sf_dir, "conversations")).drop("node")
+
+
 QUERIES = {
     name: query for name, query in list(globals().items()) if name.startswith("op") and name[2].isdigit()
 }
