@@ -2,10 +2,9 @@
 
 from __future__ import annotations
 
-import itertools
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from docintake.config import DEFAULT, FTP_SCHEMES, HTTP_SCHEMES, IntakeConfig
@@ -59,6 +58,55 @@ def current_captures(captures: DataFrame) -> DataFrame:
     )
 
 
+def _walks(
+    starts: DataFrame, hops: DataFrame, most: int | None, hot_rows: int | None
+) -> DataFrame:
+    """``uri, pos, node`` of each walk from a distinct URI over ``hops`` (node, to).
+
+    Walks double: with the jumps of ``reach`` hops at hand, the nodes at places ``reach`` to
+    ``2 * reach - 1`` follow from those before them, and a jump of a jump reaches twice as
+    far. So n hops take about log2(n) rounds, and a walk that has ended is left alone. A walk
+    that comes back to one of its nodes ends before it does, any walk after ``most`` nodes.
+    """
+    node, repeat = Window.partitionBy("uri", "node").orderBy("pos"), Window.partitionBy("uri")
+    jumps, reach, done = hops, 1, []
+    active = starts.select("uri", F.lit(0).cast("bigint").alias("pos"), F.col("uri").alias("node"))
+    while True:
+        # starts are distinct; only nodes further on are shared, and only by many walks
+        hot = hot_rows if reach > 1 else None
+        new = lookup(active, jumps, "node", how="inner", spread_by="uri", hot_rows=hot).select(
+            "uri", (F.col("pos") + reach).alias("pos"), F.col("to").alias("node")
+        )
+        if most is not None:
+            new = new.where(F.col("pos") < most)
+        again = F.when(F.lag("pos").over(node).isNotNull(), F.col("pos"))
+        state = cut(
+            active.unionByName(new)
+            .repartition("uri")
+            .withColumn("again", again)
+            .withColumns(
+                {"stop": F.min("again").over(repeat), "n": F.count(F.lit(1)).over(repeat)}
+            )
+            .where("stop IS NULL OR pos < stop")
+            .select("uri", "pos", "node", (F.col("stop").isNull() & (F.col("n") == 2 * reach)).alias("goes_on"))
+        )
+        if most is not None and 2 * reach >= most:
+            done.append(state.select("uri", "pos", "node"))
+            break
+        done.append(state.where("NOT goes_on").select("uri", "pos", "node"))
+        active = state.where("goes_on").select("uri", "pos", "node")
+        if active.isEmpty():
+            break
+        jumps = cut(
+            lookup(
+                jumps.select(F.col("node").alias("from"), F.col("to").alias("node")), jumps, "node",
+                how="inner", spread_by="from", hot_rows=hot_rows,
+            ).select(F.col("from").alias("node"), "to")
+        )
+        reach *= 2
+    return reduce(DataFrame.unionByName, done)
+
+
 def _follow(
     uris: DataFrame,
     log: DataFrame,
@@ -68,97 +116,58 @@ def _follow(
 ) -> DataFrame:
     """Walk from each distinct URI over the redirects of the log.
 
-    Only redirect rows are joined hop by hop; the whole log is joined once, with the ends.
+    Only redirect rows are jumped over; the whole log is joined once, with the nodes of all
+    walks, and each chain is put together once.
     """
+    none = F.lit(None)
+    is_http = F.coalesce(scheme_of(F.col("node")).isin(*HTTP_SCHEMES), F.lit(False))
+    is_ftp = F.coalesce(scheme_of(F.col("node")).isin(*FTP_SCHEMES), F.lit(False))
     hops = cut(
-        log.where(F.col("status").isin(*statuses)).select(
-            F.col("uri").alias("current"),
-            F.col("status").alias("c_status"),
-            F.col("location").alias("c_location"),
-            F.col("headers").alias("c_headers"),
-        )
+        log.where(F.col("status").isin(*statuses) & F.col("location").isNotNull())
+        .select(F.col("uri").alias("node"), F.col("location").alias("to"))
+        .where(is_http)
     )
-    none = F.lit(None)
-    is_http = F.coalesce(scheme_of(F.col("current")).isin(*HTTP_SCHEMES), F.lit(False))
-    walks = uris.select("uri").where(F.col("uri").isNotNull()).distinct().select(
-        "uri",
-        F.col("uri").alias("current"),
-        F.array().cast(f"array<{ORIGIN}>").alias("chain"),
+    starts = uris.select("uri").where(F.col("uri").isNotNull()).distinct()
+    walks = _walks(starts, hops, max_requests, hot_rows)
+    answers = log.select(F.col("uri").alias("node"), "status", "location", "headers")
+    redirected = is_http & F.coalesce(F.col("status").isin(*statuses), F.lit(False))
+    error = (
+        F.when(redirected, F.when(F.col("location").isNull(), F.lit("unable_to_follow")))
+        .when(~is_http & ~is_ftp, scheme_status(F.col("node")))
+        .when(is_http & F.col("status").isNull(), F.lit("not_captured"))
     )
-    stops, finished, n_walks = [], [], 0
-    for hop in itertools.count():
-        if hop == max_requests:
-            finished.append(
-                walks.select(
-                    "uri", "current", "chain", none.cast("int").alias("terminal_status"),
-                    F.lit("too_many_redirects").alias("error"),
-                )
-            )
-            break
-        # the starts are distinct; only later stops can be shared, and only by many walks
-        hot = hot_rows if hop and hot_rows is not None and n_walks >= hot_rows else None
-        step = lookup(walks, hops, "current", spread_by="uri", hot_rows=hot)
-        redirected = is_http & F.col("c_status").isNotNull()
-        visited = F.concat(
-            "chain", F.array(_origin(F.col("current"), F.col("c_headers"), F.col("c_status")))
-        )
-        # the log answers an address the same way each time, so coming back never ends
-        cycle = F.exists("visited", lambda o: o["uri"] == F.col("c_location"))
-        step = cut(
-            step.withColumn("redirected", redirected)
-            .withColumn("visited", visited)
-            .withColumn(
-                "error",
-                F.when(F.col("c_location").isNull(), F.lit("unable_to_follow")).when(
-                    cycle, F.lit("too_many_redirects")
-                ),
-            )
-        )
-        stops.append(step.where("NOT redirected").select("uri", "current", "chain"))
-        ended = step.where("redirected AND error IS NOT NULL")
-        finished.append(
-            ended.select(
-                "uri",
-                F.coalesce("c_location", "current").alias("current"),
-                F.col("visited").alias("chain"),
-                F.when(F.col("c_location").isNull(), F.col("c_status")).alias("terminal_status"),
-                "error",
-            )
-        )
-        walks = step.where("redirected AND error IS NULL").select(
-            "uri", F.col("c_location").alias("current"), F.col("visited").alias("chain")
-        )
-        n_walks = walks.count()
-        if not n_walks:
-            break
-
-    ends = cut(reduce(DataFrame.unionByName, stops))
-    answers = log.select(
-        F.col("uri").alias("current"),
-        F.col("status").alias("c_status"),
-        F.col("headers").alias("c_headers"),
+    visited = F.when(is_ftp, _origin(F.col("node"), none, none.cast("int"))).otherwise(
+        _origin(F.col("node"), F.col("headers"), F.col("status"))
     )
-    is_ftp = F.coalesce(scheme_of(F.col("current")).isin(*FTP_SCHEMES), F.lit(False))
-    error = F.when(~is_http & ~is_ftp, scheme_status(F.col("current"))).when(
-        is_http & F.col("c_status").isNull(), F.lit("not_captured")
+    nodes = (
+        lookup(walks if hot_rows is None else cut(walks), answers, "node", spread_by="uri", hot_rows=hot_rows)
+        .withColumns({"redirected": redirected, "error": error})
+        .withColumns(
+            {
+                "visited": F.when(F.col("redirected") | F.col("error").isNull(), visited),
+                # the log answers an address the same way each time, so a walk that could
+                # go on after its last node came back, or went too far
+                "after": F.when(
+                    F.col("redirected"), F.coalesce("location", "node")
+                ).otherwise(F.col("node")),
+                "status": F.when(is_http & ~(F.col("redirected") & F.col("location").isNotNull()), F.col("status")),
+                "error": F.when(
+                    F.col("redirected") & F.col("location").isNotNull(), F.lit("too_many_redirects")
+                ).otherwise(F.col("error")),
+            }
+        )
     )
-    last = F.when(is_ftp, _origin(F.col("current"), none, none.cast("int"))).otherwise(
-        _origin(F.col("current"), F.col("c_headers"), F.col("c_status"))
+    ended = nodes.groupBy("uri").agg(
+        F.array_sort(F.collect_list(F.when(F.col("visited").isNotNull(), F.struct("pos", "visited")))).alias("places"),
+        F.max(F.struct("pos", F.struct("after", "status", "error").alias("end")))["end"].alias("end"),
     )
-    finished.append(
-        lookup(ends, answers, "current", spread_by="uri", hot_rows=hot_rows)
-        .withColumn("error", error)
-        .select(
-            "uri",
-            "current",
-            F.when(F.col("error").isNull(), F.concat("chain", F.array(last)))
-            .otherwise(F.col("chain"))
-            .alias("chain"),
-            F.when(is_http, F.col("c_status")).alias("terminal_status"),
-            "error",
-        )
+    return ended.select(
+        "uri",
+        F.col("end.after").alias("current"),
+        F.transform("places", lambda p: p["visited"]).alias("chain"),
+        F.col("end.status").alias("terminal_status"),
+        F.col("end.error").alias("error"),
     )
-    return reduce(DataFrame.unionByName, finished)
 
 
 def resolve_redirects(
