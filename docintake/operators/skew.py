@@ -102,6 +102,40 @@ def numbered(df: DataFrame, key: str, seq: str, width: int, name: str = "nth") -
     )
 
 
+def previous(
+    df: DataFrame, key: str, seq: str, value: str, name: str, width: int | None
+) -> DataFrame:
+    """Add the last value that is not NULL among the earlier rows of the same key.
+
+    The composition of steps that each set a state or leave it as it is: steps are composed
+    inside (key, range of ``width`` seqs) pieces, and only the pieces' results meet in a window
+    over the key. ``width=None`` says that no key has many rows.
+    """
+    from pyspark.sql import Window
+
+    def before(*keys: str, order: str, column: str) -> Column:
+        earlier = Window.partitionBy(*keys).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
+        return F.last(column, ignorenulls=True).over(earlier)
+
+    if width is None:
+        return df.withColumn(name, before(key, order=seq, column=value))
+    pieces = df.withColumn("_piece", F.floor(F.col(seq) / F.lit(width)))
+    results = (
+        pieces.where(F.col(value).isNotNull())
+        .groupBy(key, "_piece")
+        .agg(F.max_by(value, seq).alias("_result"))
+    )
+    # a piece may have no result of its own, so every piece is looked up among the results
+    starts = pieces.select(key, "_piece").distinct().join(results, [key, "_piece"], "left")
+    starts = starts.select(key, "_piece", before(key, order="_piece", column="_result").alias("_before"))
+    return (
+        pieces.withColumn("_inside", before(key, "_piece", order=seq, column=value))
+        .join(starts, [key, "_piece"])
+        .withColumn(name, F.coalesce("_inside", "_before"))
+        .drop("_piece", "_inside", "_before")
+    )
+
+
 def distinct_items(
     df: DataFrame, group: str, item: Column, order: Column, name: str
 ) -> DataFrame:

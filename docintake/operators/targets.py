@@ -68,17 +68,24 @@ def document_targets(found: DataFrame, cfg: IntakeConfig = DEFAULT) -> DataFrame
 
 
 def target_occupancy(
-    targets: DataFrame, files: DataFrame, hot_rows: int | None = HOT_ROWS
+    targets: DataFrame,
+    files: DataFrame,
+    hot_rows: int | None = HOT_ROWS,
+    vacant: str | None = None,
 ) -> DataFrame:
-    """Add the hash now stored at the target path; a free place counts as the own hash."""
+    """Add the hash now stored at the target path; a free place counts as the own hash.
+
+    ``vacant`` names a column that says whether the place is free.
+    """
     stored = files.select(F.col("path").alias("target_path"), F.col("md5").alias("stored_hash"))
     if hot_rows is not None:
         targets = cut(targets)  # looked at for hot paths first, so not to be made twice
-    return (
-        lookup(targets, stored, "target_path", hot_rows=hot_rows)
-        .withColumn("occupant", F.coalesce("stored_hash", "doc_hash"))
-        .drop("stored_hash")
+    found = lookup(targets, stored, "target_path", hot_rows=hot_rows).withColumn(
+        "occupant", F.coalesce("stored_hash", "doc_hash")
     )
+    if vacant is not None:
+        found = found.withColumn(vacant, F.col("stored_hash").isNull())
+    return found.drop("stored_hash")
 
 
 def file_action() -> Column:

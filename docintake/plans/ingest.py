@@ -5,8 +5,13 @@ pending messages are judged against the current state. A message is final when n
 earlier pending message can change anything it depends on; the others are judged again
 against the state the final ones leave. Messages that merely find their document (all
 copies after the first) change no key and become final together, and so do documents
-that replace each other at one path, whether or not they came from one origin. A round
-is needed per real conflict and not per message, however many messages share a key. Every step is
+that replace each other at one path, whether or not they came from one origin.
+
+At a path each message is a step that maps what is stored there to what is stored after it:
+its own content, if it moves a file there or finds its document in place, or what was there.
+Steps compose, so what every message finds follows from one segmented prefix scan over the
+path's messages, whatever contents take turns there. A round is needed per conflict over
+rows or origins and not per message, however many messages share a key. Every step is
 a join or an aggregation by key; the driver only sees whether rows are left.
 
 Payload facts are read once, at the start: a message naming a path that another message
@@ -40,7 +45,13 @@ from docintake.operators.lineage import delete_lineage, update_lineage
 from docintake.operators.matching import origin_uris, single_keys, superseded_rows
 from docintake.operators.redirects import attach_payloads, current_captures, resolve_redirects
 from docintake.operators.runs import mark_run_state, run_recently
-from docintake.operators.skew import HOT_ROWS, broadcast_if_small, distinct_items, lookup
+from docintake.operators.skew import (
+    HOT_ROWS,
+    broadcast_if_small,
+    distinct_items,
+    lookup,
+    previous,
+)
 from docintake.operators.targets import (
     file_action,
     file_changes,
@@ -53,6 +64,10 @@ from docintake.session import cut, remove_folder, run_folder
 from docintake.sources.sinks import emit_errors, emit_notifications
 
 
+#: Arrival numbers whose steps are composed together where a path may have many messages.
+PIECE = 100_000
+
+
 @dataclass
 class IngestResult:
     catalog: DataFrame
@@ -325,13 +340,26 @@ def _rules(as_of: Column, cfg: IntakeConfig) -> dict[str, list[dict[str, Column]
             F.col("ok"), single_keys(_null("string"), empty, F.array(first_uri("new_origin")))
         ).otherwise(empty),
         "reads": F.concat("match_keys", "file_key"),
-        "writes": F.concat(
-            changed_keys, F.when(F.col("consumes"), F.col("file_key")).otherwise(empty)
-        ),
+        "row_changes": changed_keys,
         "touches": F.when(
             live, F.array_distinct(F.concat("match_keys", "file_key", before, after, possible, place))
         ).otherwise(empty),
     }
+    settles = {
+        "writes": F.concat(
+            "row_changes", F.when(F.col("consumes"), F.col("file_key")).otherwise(empty)
+        ),
+        # it finds its document, and no other, in place and changes no row's keys, so that
+        # whatever is stored there, only its file is moved or removed
+        "steady": F.coalesce(
+            F.col("ok") & ~F.col("is_new") & F.col("in_place")
+            & (F.col("low") == F.col("doc_id")) & (F.col("high") == F.col("doc_id"))
+            & (F.col("target_path") == F.col("doc_source"))
+            & (F.col("temp_path") != F.col("target_path"))
+            & (F.size("row_changes") == 0),
+            F.lit(False),
+        ),
+    }
     return {
         "judge": [document, {"error": error}, *target_columns(cfg)],
         "act": [
@@ -340,6 +368,7 @@ def _rules(as_of: Column, cfg: IntakeConfig) -> dict[str, list[dict[str, Column]
             origin_after,
             row,
             access,
+            settles,
         ],
     }
 
@@ -371,7 +400,11 @@ def _judge(
             ).alias("row"),
         )
         .groupBy("key")
-        .agg(F.max("row").alias("newest"))
+        .agg(
+            F.max("row").alias("newest"),
+            F.min("row.doc_id").alias("low"),
+            F.max("row.doc_id").alias("high"),
+        )
     )
     wanted = pending.where("static_error IS NULL").select(
         "seq",
@@ -380,14 +413,18 @@ def _judge(
     best = (
         lookup(wanted, index, "key", how="inner", hot_rows=hot_rows)
         .groupBy("seq")
-        .agg(F.max("newest").alias("newest"))
+        .agg(
+            F.max("newest").alias("newest"), F.min("low").alias("low"), F.max("high").alias("high")
+        )
     )
     df = _with(pending.join(best, "seq", "left"), rules["judge"])
     df = df.drop("newest", "consolidated", "first_remote")
     if hot_rows is not None:
         df = cut(df)
-    df = target_occupancy(df, store.select("path", "md5"), hot_rows)
-    return _with(df, rules["act"]).drop("file_key", "match_keys", "before", "after")
+    df = target_occupancy(df, store.select("path", "md5"), hot_rows, vacant="vacant")
+    return _with(df, rules["act"]).drop(
+        "file_key", "match_keys", "before", "after", "low", "high", "row_changes"
+    )
 
 
 def _settle(
@@ -397,6 +434,7 @@ def _settle(
     slim = effects.select(
         "seq", "doc_id", "raw", "hash", "sources", "uri", "ok", "action", "consumes",
         "reads", "writes", "touches", "aims", "target_path", "target_read", "target_written",
+        "steady", "vacant", "in_place", "temp_path",
     )
     # A message is free if no earlier one has to do with a key it reads: whatever else those
     # do, it finds the same document and the same older versions.
@@ -425,20 +463,42 @@ def _settle(
         .drop("first", "first_write")
     )
 
-    # Targets: a free message may follow other free ones at once, as each then simply
-    # replaces the one before; all others wait for earlier writers.
+    # Targets: steps of free and of steady messages compose, so each of them follows the ones
+    # before it at once; all others wait for earlier writers, and these for all others.
     # A stored path that is taken away counts as written by a message that is not free.
+    moves = F.col("temp_path") != F.col("target_path")
+    df = df.withColumn("composes", F.col("ok") & (F.col("free") | (F.col("steady") & ~F.col("blocked"))))
+    steps = df.where("composes AND target_path IS NOT NULL").select(
+        "target_path", "seq", F.when(moves, F.col("hash")).alias("leaves"),
+        F.when(moves & ~F.col("in_place"), F.col("seq")).alias("filled"),
+    )
+    fills = steps.groupBy("target_path").agg(F.min("filled").alias("first_fill"))
+    steps = previous(steps, "target_path", "seq", "leaves", "left", None if hot_rows is None else PIECE)
+    df = lookup(
+        df.join(steps.select("seq", "left"), "seq", "left"), fills, "target_path", hot_rows=hot_rows
+    )
+    # where nothing is stored, a document in place changes nothing
+    met = F.when(~F.col("vacant") | (F.col("first_fill") < F.col("seq")), F.col("left"))
+    becomes = F.when(met != F.col("hash"), F.lit("REPLACE")).when(
+        F.col("steady") & (met == F.col("hash")), F.lit("DISCARD")
+    )
+    df = cut(
+        df.withColumn("becomes", F.when(F.col("composes"), becomes)).drop("left", "first_fill")
+    )
+    written = F.coalesce(F.col("becomes") == "REPLACE", F.lit(False)) | (
+        F.col("target_written").isNotNull() & F.col("becomes").isNull()
+    )
     aimed = df.where("target_path IS NOT NULL").select(
-        "target_path", "seq", "free", F.col("target_written").isNotNull().alias("written")
+        "target_path", "seq", "composes", written.alias("written")
     )
     emptied = df.where("consumes").select(
         F.col("raw").alias("target_path"), "seq", F.lit(False), F.lit(True)
     )
     per_target = aimed.union(emptied).groupBy("target_path").agg(
-        F.min(F.when(~F.col("free"), F.col("seq"))).alias("first_bound"),
+        F.min(F.when(~F.col("composes"), F.col("seq"))).alias("first_bound"),
         F.min(F.when(F.col("written"), F.col("seq"))).alias("first_written"),
     )
-    wait_for = F.when(F.col("free"), F.col("first_bound")).otherwise(
+    wait_for = F.when(F.col("composes"), F.col("first_bound")).otherwise(
         F.when(F.col("target_read").isNotNull(), F.col("first_written"))
     )
     df = cut(
@@ -446,16 +506,12 @@ def _settle(
         .withColumn(
             "blocked", F.col("blocked") | F.coalesce(wait_for < F.col("seq"), F.lit(False))
         )
-        .withColumn(
-            "follows",
-            F.col("ok") & F.col("free")
-            & F.coalesce(F.col("first_written") < F.col("seq"), F.lit(False)),
-        )
-        .drop("first_bound", "first_written")
+        .withColumn("action", F.coalesce("becomes", "action"))
+        .drop("first_bound", "first_written", "composes", "vacant", "in_place")
     )
 
     # Rows that a replacement may delete: whoever reads one of their keys later waits.
-    replacing = df.where("ok AND (follows OR action = 'REPLACE')").select(
+    replacing = df.where("ok AND action = 'REPLACE'").select(
         "seq", "doc_id",
         F.explode(single_keys(F.col("hash"), F.col("sources"), F.array("uri"))).alias("key"),
     ).groupBy("key").agg(
@@ -510,7 +566,7 @@ def _settle(
                 .drop("late")
             )
             fresh = df.join(late, "seq", "left_semi")
-    return df.select("seq", "blocked", "follows"), n_blocked
+    return df.select("seq", "blocked", "becomes"), n_blocked
 
 
 def _reading_after(df: DataFrame, firsts: DataFrame, hot_rows: int | None) -> DataFrame:
@@ -656,16 +712,18 @@ def _run_rounds(
         rounds += 1
         judged = cut(_judge(pending, rows, store, rules, hot_rows))
         settled, n_pending = _settle(judged, rows, hot_rows)
-        follows = F.col("follows")
+        replaces = F.coalesce(F.col("becomes") == "REPLACE", F.lit(False))
+        moves = F.col("temp_path") != F.col("target_path")
         judged = cut(
             judged.join(settled, "seq")
             .withColumns(
                 {
-                    "action": F.when(follows, F.lit("REPLACE")).otherwise(F.col("action")),
-                    "new_source": F.when(follows, F.col("target_path")).otherwise(
+                    "action": F.coalesce("becomes", "action"),
+                    "new_source": F.when(replaces, F.col("target_path")).otherwise(
                         F.col("new_source")
                     ),
-                    "consumes": F.col("consumes") | (follows & F.col("uri").isNull()),
+                    "consumes": F.col("consumes")
+                    | (replaces & F.col("uri").isNull() & moves),
                 }
             )
             .drop("reads", "writes", "touches")

@@ -241,6 +241,33 @@ def test_versions_of_one_origin_need_no_round_each(spark, fetched):
     assert sum(v[0] == "ok" for v in model.outcomes.values()) == len(messages)
 
 
+@pytest.mark.parametrize("stored, hot_rows", [(False, 10), (True, 10**6)])
+def test_contents_taking_turns_at_one_path(spark, monkeypatch, stored, hot_rows):
+    """1,000 files of three contents come from one address, so that each meets another's file."""
+    monkeypatch.setattr("docintake.plans.ingest.PIECE", 64)
+    url, n, rng = "https://h/x.txt", 1000, random.Random(7)
+    hashes = [digest(f"turn {i}") for i in range(3)]
+    files = {f"ingress/d/{i}.txt": (hashes[i % 2] if i % 50 else rng.choice(hashes), 5) for i in range(n)}
+    target = remote_path(url)
+    catalog = []
+    if stored:  # a row in place whose file may be missing, and one that gets in the way
+        catalog = [dict(
+            doc_id=f"old-{i}", source=target, hash=hashes[i], created=AS_OF_SECONDS - 100 - i,
+            origin=[origin("https", url)], tags=[], derivative=False, rogue=None, started=None,
+        ) for i in range(2)]
+    messages = [
+        dict(seq=i, source=s, origins=[origin("https", url)], tags=[f"t{i % 7}"], derivative=None,
+             verify=False)
+        for i, s in enumerate(files)
+    ]
+    model = Model(catalog, files, {}, {}, [], None)
+    data = frames(spark, (files, [], {}, {}, catalog, []), messages)
+    result = check(spark, model, messages, data, IntakeConfig(recent_tolerance=None), hot_rows)
+    assert result.rounds <= 12
+    replaced = result.outcomes.where("action = 'REPLACE'").count()
+    assert replaced > 800
+
+
 def test_error_says_why_a_fetch_failed(spark):
     captures = [("https://h/x", 404, None, [], None, None), ("https://h/y", 301, None, [], None, None)]
     messages = [
