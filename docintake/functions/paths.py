@@ -33,11 +33,28 @@ def lookup_target(raw: Column, cfg: IntakeConfig = DEFAULT) -> Column:
     )
 
 
+def _derivatives_once(path: Column, folder: str) -> Column:
+    """Runs of the folder as one, by parts: a pattern with a repeated group recurses in Java."""
+
+    def once(v: Column) -> Column:
+        parts = v["parts"]
+
+        def stays(part: Column, i: Column) -> Column:
+            again = (part == folder) & (F.get(parts, i - 1) == folder)
+            return (i == 0) | (i == F.size(parts) - 1) | ~F.coalesce(again, F.lit(False))
+
+        return F.array_join(F.filter(parts, stays), "/")
+
+    tidy = F.regexp_replace(path, "/+", "/")
+    split = bind(once, parts=F.split(tidy, "/"))
+    return F.when(F.contains(tidy, F.lit(f"{folder}/{folder}/")), split).otherwise(path)
+
+
 def zone_target_path(src: Column, base: str, cfg: IntakeConfig = DEFAULT) -> Column:
     """Path of a source below a zone: landing prefix off, repeats of derivatives off."""
-    bare = F.regexp_replace(src, f"^{re.escape(cfg.ingress)}/+", "")
-    repeated = f"(^|/)(?:{re.escape(cfg.derivatives)}/+)+"
-    bare = F.regexp_replace(bare, repeated, f"$1{cfg.derivatives}/")
+    bare = _derivatives_once(
+        F.regexp_replace(src, f"^{re.escape(cfg.ingress)}/+", ""), cfg.derivatives
+    )
     placed = bind(
         lambda v: F.when(in_zone(v["bare"], base), v["bare"]).otherwise(
             F.concat(F.lit(f"{base}/"), v["bare"])

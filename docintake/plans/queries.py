@@ -740,6 +740,20 @@ def message_sources(spark, sf_dir):
     )
 
 
+def _queue(spark, batches, folder, rows_per_file=50_000):
+    """A stream that takes each of ``batches`` in one trigger, from as many files as it needs."""
+    batches = [b.persist() for b in batches]
+    files = max(1, -(-max(b.count() for b in batches) // rows_per_file))
+    for batch in batches:
+        # rows are dealt in turn, so that no file is empty and a trigger takes one batch
+        batch.repartition(files).write.mode("append").parquet(f"{folder}/queue")
+        batch.unpersist()
+    options = {"maxFilesPerTrigger": str(files)}
+    return message_source.message_stream(
+        spark, "parquet", options, f"{folder}/queue", "seq bigint, value string"
+    )
+
+
 def ingest_stream_catalog(spark, sf_dir):
     """Landing messages through the stream, in two micro-batches, into a table store."""
     folder = _scratch(spark)
@@ -750,13 +764,8 @@ def ingest_stream_catalog(spark, sf_dir):
     raw = w.messages(spark, sf_dir).select(
         "seq", F.to_json(F.struct("source", "tags", "metadata", "derivative", "verify")).alias("value")
     )
-    for part in (0, 1):
-        raw.where(F.pmod(F.floor(F.col("seq") / 8), F.lit(2)) == part).coalesce(1).write.mode(
-            "append"
-        ).parquet(f"{folder}/queue")
-    stream = message_source.message_stream(
-        spark, "parquet", {"maxFilesPerTrigger": "1"}, f"{folder}/queue", "seq bigint, value string"
-    )
+    half = F.pmod(F.floor(F.col("seq") / 8), F.lit(2))
+    stream = _queue(spark, [raw.where(half == part) for part in (0, 1)], folder)
     query = ingest_stream(
         stream, store, w.captures(spark, sf_dir), f"{folder}/state", as_of=w.as_of()
     )
@@ -783,13 +792,8 @@ def ingest_stream_families(spark, sf_dir):
         spark, f"{folder}/store", made["catalog"], w.mappings(spark, sf_dir),
         w.flags(spark, sf_dir).limit(0), made["files"],
     )
-    for part in (0, 1):
-        made["raw"].where(f"batch = {part}").select("seq", "value").coalesce(1).write.mode(
-            "append"
-        ).parquet(f"{folder}/queue")
-    stream = message_source.message_stream(
-        spark, "parquet", {"maxFilesPerTrigger": "1"}, f"{folder}/queue", "seq bigint, value string"
-    )
+    halves = [made["raw"].where(f"batch = {part}").select("seq", "value") for part in (0, 1)]
+    stream = _queue(spark, halves, folder)
     ingest_stream(
         stream, store, w.captures(spark, sf_dir), f"{folder}/state", as_of=w.as_of(),
         cfg=IntakeConfig(recent_tolerance=None),
