@@ -15,10 +15,14 @@ Added kinds:
 
 - address: a URL's scheme and authority where the authority names a user (``user@host``), and
   what follows ``mailto:`` or ``tel:``
-- account: the value after a cue such as ``password=``, ``IBAN:`` or ``account no.``: 6 to 64
-  letters, digits, ``_`` or ``-``, with at least one digit; an IBAN must pass its check sum
-
-Positions are code points, ends exclusive. Null and empty texts have no spans.
+- account: the value after a cue such as ``password =``, ``"token":``, ``IBAN`` or ``account no.``,
+  in any case. All cues but ``IBAN`` and ``Bearer`` are common words and need ``=``, ``:``, ``#`` or
+  a word for number after them; each asks for a length and a number of digits (``CUES``). An
+  IBAN must pass its check sum. Access keys with a known beginning and length need no cue.
+
+Anchors are looked for in the text with A-Z in lower case, which has the same positions.
+Positions are code points, ends exclusive. Null and empty texts have no spans. Rows are read
+one by one, whatever repeats; an empty table gives an empty one; texts of any length are whole.
 """
 
 from __future__ import annotations
@@ -33,16 +37,26 @@ from pyspark.sql.types import ArrayType, LongType, StringType, StructField, Stru
 BASE = ("email", "ip", "card", "phone")
 KINDS = (*BASE, "address", "account")
 SCHEMES = ("://", "mailto:", "tel:")
-CUES = (
-    "password", "passwd", "pwd", "passcode", "api_key", "apikey", "api-key", "secret",
-    "access_token", "auth_token", "iban", "account", "acct", "passport", "ssn", "tax id",
-)
+#: Cue: (shortest value, fewest digits in it).
+CUES = {
+    **dict.fromkeys(("password", "passwd", "pwd", "passcode", "passphrase"), (6, 1)),
+    **dict.fromkeys(("api_key", "apikey", "api-key", "api key", "access_key", "access key"), (8, 1)),
+    **dict.fromkeys(("secret", "secret_key", "private_key", "client_secret"), (8, 1)),
+    **dict.fromkeys(("token", "access_token", "auth_token", "bearer"), (16, 1)),
+    **dict.fromkeys(("account", "acct", "passport", "ssn", "tax id"), (6, 4)),
+    "iban": (15, 2),
+}
+LONGEST_VALUE = 512
+#: Beginnings of access keys and how many letters and digits follow.
+KEYS = {"AKIA": 16, "ASIA": 16, "AIza": 35, "ghp_": 36, "gho_": 36, "ghs_": 36}
 
 _DIGITS = frozenset("0123456789")
 _ALNUM = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz") | _DIGITS
 _LOCAL = _ALNUM | frozenset("._%+-")
 _LABEL = _ALNUM | frozenset("-")
 _VALUE = _ALNUM | frozenset("_-")
+_SECRET = _VALUE | frozenset("./+=~$!@%^&*")
+_LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
 _PHONE = _DIGITS | frozenset(" ().-")
 _CLUSTER = frozenset(" .-")
 
@@ -178,32 +192,44 @@ class _Parsers:
             self.address_end = stop
 
     def cue(self, at: int, end: int) -> None:
-        text = self.text
-        if at and text[at - 1] in _VALUE:
+        text, word = self.text, self.text[at:end].lower()
+        if at and text[at - 1] in _ALNUM:
             return  # inside another word
-        stop = end
-        for word in (" no.", " no", " number", " id"):
-            if text[stop : stop + len(word)].lower() == word:
-                stop += len(word)
+        stop, marked = end, word in ("iban", "bearer")
+        for more in (" number", " no.", " no", " id"):
+            if text[stop : stop + len(more)].lower() == more:
+                stop, marked = stop + len(more), True
                 break
         mark = stop
-        while stop < len(text) and text[stop] in " :=#\"'" and stop - mark < 4:
+        while stop < len(text) and text[stop] in " \t=:#>\"'`" and stop - mark < 8:
+            marked |= text[stop] in "=:#"
             stop += 1
-        if stop == mark:
+        if stop == mark or not marked:
             return
-        iban = text[at:end].lower() == "iban"
-        close = _run(text, stop, _VALUE)
-        if iban:  # may be written in groups of four
+        if word == "iban":
+            close = _run(text, stop, _VALUE)
             while close + 1 < len(text) and text[close] == " " and text[close + 1] in _DIGITS:
-                close = _run(text, close + 1, _VALUE)
-        value = text[stop:close].replace(" ", "")
-        if iban:
+                close = _run(text, close + 1, _VALUE)  # may be written in groups of four
+            value = text[stop:close].replace(" ", "")
             good = 15 <= len(value) <= 34 and value[:2].isalpha() and iban_valid(value)
         else:
-            good = 6 <= len(value) <= 64 and any(c in _DIGITS for c in value)
+            shortest, digits = CUES[word]
+            numeric = digits > 1
+            close = _run(text, stop, _VALUE if numeric else _SECRET)
+            while close > stop and text[close - 1] in ".!":
+                close -= 1  # the end of a sentence
+            value = text[stop:close]
+            good = shortest <= len(value) <= (64 if numeric else LONGEST_VALUE)
+            good = good and sum(c in _DIGITS for c in value) >= digits and "://" not in value
         if good:
             self.spans.append(("account", stop, close))
 
+    def key(self, at: int, end: int) -> None:
+        text = self.text
+        length = KEYS.get(text[at:end])
+        if length and not (at and text[at - 1] in _ALNUM) and _run(text, end, _VALUE) == end + length:
+            self.spans.append(("account", at, end + length))
+
 
 def automaton():
     """Aho-Corasick automaton of the anchors; a match gives (kind of anchor, its length)."""
@@ -213,11 +239,11 @@ def automaton():
     for c in "@+0123456789":
         found.add_word(c, (c, 1))
     for mark in SCHEMES:
-        for spelled in {mark, mark.capitalize(), mark.upper()}:
-            found.add_word(spelled, ("scheme", len(mark)))
+        found.add_word(mark, ("scheme", len(mark)))
     for cue in CUES:
-        for spelled in {cue, cue.capitalize(), cue.title(), cue.upper()}:
-            found.add_word(spelled, ("cue", len(cue)))
+        found.add_word(cue, ("cue", len(cue)))
+    for beginning in KEYS:
+        found.add_word(beginning.lower(), ("key", len(beginning)))
     found.make_automaton()
     return found
 
@@ -225,7 +251,8 @@ def automaton():
 def find(text: str, anchors) -> list[Span]:
     """Spans (kind, start, end) by kind as listed, then start."""
     parsers = _Parsers(text)
-    for last, (kind, length) in anchors.iter(text):
+    lower = text.encode("utf-8").translate(_LOWER).decode("utf-8")
+    for last, (kind, length) in anchors.iter(lower):
         if kind == "@":
             parsers.at_sign(last)
         elif kind == "+":
@@ -234,6 +261,8 @@ def find(text: str, anchors) -> list[Span]:
             parsers.scheme(last + 1 - length, last + 1)
         elif kind == "cue":
             parsers.cue(last + 1 - length, last + 1)
+        elif kind == "key":
+            parsers.key(last + 1 - length, last + 1)
         elif last >= parsers.number_end:
             parsers.digit(last)
     return sorted(set(parsers.spans), key=lambda s: (KINDS.index(s[0]), s[1], s[2]))
