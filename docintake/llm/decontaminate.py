@@ -2,13 +2,15 @@
 
 Words are runs of ASCII digits, letters (A-Z in lower case) and characters beyond ASCII. A
 window is ``WINDOW`` consecutive words of a benchmark item, or all words of a shorter item.
-The distinct windows' hashes are a sorted array that goes to the tasks; a text's windows are
-hashed as they pass, looked up, and compared word by word before they count as hits. Every
-word inside a hit is hit.
+The distinct windows are sorted arrays of hashes, places and items that go to the tasks; a
+text's windows are hashed as they pass, looked up, and compared word by word before they count
+as hits. Every word inside a hit is hit.
 
-The benchmark is taken in blocks of at most ``BLOCK_CHARS`` characters (or one item), so
-what is broadcast is bounded however large it is: each block is one pass over the texts, and
-the passes' hits are put together per row. One block is the usual case and needs no shuffle.
+The benchmark is taken in blocks of at most ``BLOCK_CHARS`` characters, so what is broadcast is
+bounded however large it is: each block is one pass over the texts, and the passes' hits are
+put together per row. One block is the usual case and needs no shuffle. Repeated items count
+once, and longer ones are taken in pieces that share ``WINDOW - 1`` words, so that every window
+is in one of them; only a window that is longer by itself makes a block longer.
 
 Null and empty texts have no words and no hits; null or empty items have no windows. Items
 with the same id are one item. Items whose id is null hit words but are not listed. Rows of
@@ -17,7 +19,8 @@ the texts are judged one by one, whatever repeats.
 
 from __future__ import annotations
 
-from collections import defaultdict
+import re
+from collections import deque
 from collections.abc import Iterator
 
 import numpy as np
@@ -59,11 +62,13 @@ def _words_of(texts: pa.Array, overlap: int):
 
 
 class Windows:
-    """Windows of some benchmark items, by their number of words."""
+    """Distinct windows of some benchmark items, by their number of words."""
 
     def __init__(self, items: list[tuple[str | None, str | None]], window: int):
-        found: dict[int, dict[int, dict[tuple, set]]] = defaultdict(lambda: defaultdict(dict))
+        numbers: dict[str | None, int] = {}
+        texts, found, base = [], {}, 0
         for item, text in items:
+            number = numbers.setdefault(item, len(numbers))
             words, hashes = [], []
             for part, h in _words_of(pa.array([text], pa.large_string()), 0):
                 raw = part.data.tobytes()
@@ -72,39 +77,77 @@ class Windows:
             if not words:
                 continue
             size = min(window, len(words))
-            for at, h in enumerate(_window_hashes(np.concatenate(hashes), size).tolist()):
-                same = found[size][h]
-                same.setdefault(tuple(words[at : at + size]), set()).add(item)
-        self.by_size = {size: dict(f) for size, f in found.items()}
-        self.sorted = {size: np.sort(np.array(list(f), np.uint64)) for size, f in found.items()}
+            ends = np.cumsum([len(w) + 1 for w in words]) - 1
+            starts = ends - np.array([len(w) for w in words])
+            texts.append(b" ".join(words))
+            h = _window_hashes(np.concatenate(hashes), size)
+            first, last = starts[: len(h)] + base, ends[size - 1 :] + base
+            found.setdefault(size, []).append((h, first, last, np.full(len(h), number)))
+            base += len(texts[-1])
+        self.names = list(numbers)
+        self.text = b"".join(texts)
         self.longest = max(found, default=0)
+        self.by_size = {size: self._distinct(parts) for size, parts in found.items()}
         self.filters = {}
-        for size, hashes in self.sorted.items():
+        for size, (hashes, *_) in self.by_size.items():
             seen = np.zeros(1 << _FILTER_BITS, bool)
             seen[hashes >> np.uint64(64 - _FILTER_BITS)] = True
             self.filters[size] = seen
 
+    def _distinct(self, parts):
+        """Sorted hashes of the distinct windows, their places, and from where on their items are."""
+        h, first, last, item = (np.concatenate(column) for column in zip(*parts))
+        order = np.lexsort((item, h))
+        h, first, last, item = h[order], first[order], last[order], item[order]
+        kind = np.cumsum(np.concatenate([[False], h[1:] != h[:-1]]))  # windows of one text
+        leader = np.flatnonzero(np.concatenate([[True], h[1:] != h[:-1]]))[kind]
+        others: dict[tuple[int, bytes], int] = {}  # texts with the hash of another one
+        for k in np.flatnonzero(leader != np.arange(len(h))).tolist():
+            text = self.text[first[k] : last[k]]
+            if text != self.text[first[leader[k]] : last[leader[k]]]:
+                kind[k] = others.setdefault((int(h[k]), text), len(h) + len(others))
+        order = np.lexsort((item, kind, h))
+        kind, item = kind[order], item[order]
+        new = np.concatenate([[True], (kind[1:] != kind[:-1])])
+        again = ~new & np.concatenate([[False], item[1:] == item[:-1]])
+        items = item[~again].astype(np.int32)
+        starts = np.flatnonzero(new[~again])
+        at = order[np.flatnonzero(new)]
+        return (
+            h[at], first[at].astype(np.int64), last[at].astype(np.int64),
+            np.append(starts, len(items)).astype(np.int64), items,
+        )
+
     def hits(self, words: bytewords.Words, h: np.ndarray):
-        """(first word, number of words, items) of every verified window of the block."""
+        """(first word, number of words, number of the window) of every verified window."""
         doc = words.doc
-        for size, hashes in self.sorted.items():
+        for size, (hashes, first, last, *_) in self.by_size.items():
             w = _window_hashes(h, size)[: words.own]
             at = np.flatnonzero(self.filters[size][w >> np.uint64(64 - _FILTER_BITS)])
             at = at[doc[at] == doc[at + size - 1]]
             place = np.searchsorted(hashes, w[at])
-            at = at[hashes[np.minimum(place, len(hashes) - 1)] == w[at]]
-            for k in at.tolist():
-                text = tuple(
+            same = hashes[np.minimum(place, len(hashes) - 1)] == w[at]
+            for k, p in zip(at[same].tolist(), place[same].tolist()):
+                text = b" ".join(
                     words.data[words.start[i] : words.end[i]].tobytes() for i in range(k, k + size)
                 )
-                items = self.by_size[size][int(w[k])].get(text)
-                if items:
-                    yield k, size, items
-
-
-def _scan_batches(items, window: int, text: str, names: list[str]):
+                while p < len(hashes) and hashes[p] == w[k]:
+                    if self.text[first[p] : last[p]] == text:
+                        yield k, size, p
+                        break
+                    p += 1
+
+    def items(self, found: set[tuple[int, int]]) -> list[str]:
+        """Names of the items that have any of the windows (number of words, number)."""
+        numbers = set()
+        for size, p in found:
+            *_, starts, items = self.by_size[size]
+            numbers.update(items[starts[p] : starts[p + 1]].tolist())
+        return sorted(name for name in (self.names[k] for k in numbers) if name is not None)
+
+
+def _scan_batches(windows: Windows, text: str, names: list[str]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        windows = Windows(items, window)
         for batch in batches:
             n = batch.num_rows
             n_words = np.zeros(n, np.int64)
@@ -112,12 +155,12 @@ def _scan_batches(items, window: int, text: str, names: list[str]):
             found: list[set] = [set() for _ in range(n)]
             for words, h in _words_of(batch.column(text), max(0, windows.longest - 1)):
                 n_words += np.bincount(words.doc[: words.own], minlength=n)
-                for k, size, ids in windows.hits(words, h):
+                for k, size, window in windows.hits(words, h):
                     row, first = int(words.doc[k]), int(words.index[k])
                     hit[row].append((first, first + size))
-                    found[row] |= ids
+                    found[row].add((size, window))
             spans = [_merged(sorted(s)) for s in hit]
-            ids = [sorted(i for i in s if i is not None) for s in found]
+            ids = [windows.items(s) for s in found]
             flat = [{"first": a, "end": b} for s in spans for a, b in s]
             ends = pa.array(np.cumsum([0, *map(len, spans)]), pa.int32())
             kind = pa.struct([("first", pa.int64()), ("end", pa.int64())])
@@ -145,23 +188,57 @@ def _merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
     return [tuple(s) for s in out]
 
 
+def in_pieces(text: str, window: int, most: int) -> Iterator[str]:
+    """A text in pieces of about ``most`` characters that share ``window - 1`` words."""
+    begin, recent = 0, deque(maxlen=max(1, window - 1))
+    own = 0  # words of the piece that the one before did not have
+    for word in re.finditer(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+", text):
+        recent.append(word.start())
+        own += 1
+        if word.end() - begin > most and own > window:
+            yield text[begin : word.end()]
+            begin, own = (recent[0] if window > 1 else word.end()), 0
+    if own:
+        yield text[begin:]
+
+
 def benchmark_blocks(
-    benchmark: DataFrame, item_id: str = "item_id", text: str = "text", most: int = BLOCK_CHARS
+    benchmark: DataFrame,
+    item_id: str = "item_id",
+    text: str = "text",
+    most: int = BLOCK_CHARS,
+    window: int = WINDOW,
 ) -> Iterator[list[tuple[str | None, str]]]:
-    """The items, some million characters at a time, read block by block."""
-    items = benchmark.select(
-        F.col(item_id).cast("string").alias("item"), F.col(text).alias("text")
-    ).where(F.length("text") > 0)
-    size = items.agg(F.sum(F.length("text"))).first()[0] or 0
-    blocks = max(1, -(-2 * size // most)) if size > most else 1
-    if blocks == 1:
-        yield [tuple(r) for r in items.collect()]
+    """The distinct items, at most ``most`` characters at a time, read block by block."""
+
+    def cut_long(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for item, words in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                pieces = list(in_pieces(words, window, most // 4)) if len(words) > most // 2 else [words]
+                for piece in pieces:
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array([item], pa.string()), pa.array([piece], pa.string())], ["item", "text"]
+                    )
+
+    items = (
+        benchmark.select(F.col(item_id).cast("string").alias("item"), F.col(text).alias("text"))
+        .where(F.length("text") > 0)
+        .mapInArrow(cut_long, "item string, text string")
+    )
+    yield from _dealt(cut(items.distinct()), most, 0)
+
+
+def _dealt(items: DataFrame, most: int, level: int) -> Iterator[list[tuple[str | None, str]]]:
+    """Deal items by a hash until every part is small enough; parts without items do not arise."""
+    n, size = items.agg(F.count("*"), F.sum(F.length("text"))).first()
+    if n < 2 or size <= most:
+        if n or not level:
+            yield [tuple(r) for r in items.collect()]
         return
-    # the hash deals items evenly enough for blocks of half the bound to stay below it;
-    # one that does not is only that much larger
-    dealt = cut(items.withColumn("block", F.pmod(F.xxhash64("item", "text"), F.lit(blocks))))
-    for block in range(blocks):
-        yield [tuple(r) for r in dealt.where(F.col("block") == block).drop("block").collect()]
+    part = F.pmod(F.xxhash64(F.lit(level), "item", "text"), F.lit(-(-2 * size // most)))
+    dealt = items.withColumn("part", part)
+    for (number,) in dealt.select("part").distinct().orderBy("part").collect():
+        yield from _dealt(dealt.where(F.col("part") == number).drop("part"), most, level + 1)
 
 
 SPANS = ArrayType(StructType([StructField("first", LongType()), StructField("end", LongType())]))
@@ -182,11 +259,11 @@ def scan(
     result = None
     kinds = (LongType(), SPANS, ArrayType(StringType()))
     fields = [StructField(c, kind) for c, kind in zip(names, kinds)]
-    blocks = benchmark_blocks(benchmark, most=most)
-    block, later = next(blocks, []), next(blocks, None)
+    blocks = (Windows(b, window) for b in benchmark_blocks(benchmark, most=most, window=window))
+    block, later = next(blocks), next(blocks, None)
     if later is None:
         schema = StructType([*docs.schema.fields, *fields])
-        return docs.mapInArrow(_scan_batches(block, window, text, list(names)), schema)
+        return docs.mapInArrow(_scan_batches(block, text, list(names)), schema)
 
     # more than one pass: rows are numbered once, and each pass returns what it hit
     (row,) = fresh(docs, "row")
@@ -194,7 +271,7 @@ def scan(
     thin = numbered.select(row, text)
     while True:
         schema = StructType([*thin.schema.fields, *fields])
-        part = thin.mapInArrow(_scan_batches(block, window, text, list(names)), schema).drop(text)
+        part = thin.mapInArrow(_scan_batches(block, text, list(names)), schema).drop(text)
         part = cut(part if result is None else part.where(F.size(names[1]) > 0))
         result = part if result is None else result.unionByName(part)
         if later is None:
