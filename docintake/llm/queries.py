@@ -87,6 +87,13 @@ def op5_syncmers(spark, sf_dir):
         syncmers.sketch(F.col("edited_own")).alias("edited_fingerprint"),
         syncmers.likeness(F.col("own"), F.col("edited_own")).alias("near_edited"),
         syncmers.likeness(F.col("own"), F.col("next_own")).alias("near_next"),
+        F.array_join(
+            F.transform(
+                syncmers.passages_in_place(F.col("own_anchors"), F.col("edited_anchors")),
+                lambda p: F.concat_ws(":", p["start"], p["end"]),
+            ),
+            ",",
+        ).alias("passages"),
     )
 
 

@@ -1,21 +1,25 @@
 """Document fingerprints of closed syncmers.
 
-The letters are words (runs of other than white space); in a run of over ``RUN`` characters, as
-in scripts without blanks, code or long tokens, they are its shingles of ``SHINGLE`` characters,
-one from each character on. Texts of fewer than ``SHORT`` letters have, besides, the anchors
-over their characters, so that parts of them are found too. A k-mer is ``K`` words; its inner
-substrings are the ``S`` words from each of its places on, by their hashes. A k-mer is chosen
-if the smallest of them is its first or its last. The choice depends on nothing outside the
-k-mer, so equal passages have equal anchors wherever they stand, and among any K - S + 1
-neighbouring k-mers of different inner hashes at least one is chosen.
+Letters are the bytes of a text in UTF-8, for texts of every size and script. A k-mer is ``K``
+bytes, its inner substrings are the ``S`` bytes from each of its places on, by their hashes. A
+k-mer is chosen if the smallest of them is its first or its last. The choice depends on nothing
+outside the k-mer, so equal passages have equal anchors wherever they stand, and of any K - S
+neighbouring k-mers at least one is chosen. An anchor is a place and a hash of the k-mer there.
 
-The fingerprint of a text is the set of its anchors' hashes; its string form is the ``SKETCH``
-smallest of them, in hexadecimal, and if there are more a hash of them all. Likeness is the Jaccard similarity of two sets, 1 for two
-empty ones. A text of fewer than K words, or none of whose k-mers is chosen, has one anchor, its
-whole sequence of words. A text without words (null, empty, white space) has none.
+As the choice is free of context, a text put together from parts of others has their anchors,
+and only the k-mers across a seam are looked at again: the anchors of an edited text cost next
+to nothing beside those of the two texts it is made of.
 
-All of it is SQL functions over arrays of hashes: each text is split once, and a word, an
-inner substring and a k-mer each cost one hash.
+The fingerprint of a text is the set of its anchors' hashes; its string form is the ``SKETCH``
+smallest of them, in hexadecimal, and if there are more a hash of them all. Likeness is the
+Jaccard similarity of two sets, 1 for two empty ones. A text none of whose k-mers is chosen (one
+of fewer than K bytes, or hardly more) has one anchor, its whole. Null and empty texts have none.
+Anchors that two texts have at the same places give the passages they share in place;
+:func:`shared_passages` finds those at any places, for any pairs of texts.
+
+All of it is SQL functions. A text is worked through in pieces of ``PIECE`` bytes that overlap
+by K - 1, so only the anchors of a long text are held at once. Repeated rows are rows like
+others; empty tables give empty results.
 """
 
 from __future__ import annotations
@@ -24,106 +28,77 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from docintake.functions.binding import bind
+from docintake.operators.skew import broadcast_if_small, previous
 from docintake.session import cut
 
-K = 5
-S = 2
-RUN = 16  # characters; longer runs between white space are no words
-SHINGLE = 8  # a power of two
-SHORT = 20  # letters
+K = 8  # bytes
+S = 5
 SKETCH = 32
-CELL = 1_000  # document ids that are sorted together
-
+PIECE = 1 << 16
+CELL_BYTES = 32 << 20  # of texts that are put in order together
+TIE_BITS = 60
+_ROW_BITS = 20
 
-def _words(text: Column) -> Column:
-    white = r"[ \t\n\x0B\f\r]+"
-    trimmed = F.regexp_replace(F.coalesce(text, F.lit("")), rf"^{white}", "")
-    return F.filter(F.split(trimmed, white), lambda w: w != "")
 
+def _smer_hashes(raw: Column, k: int, s: int) -> Column:
+    n = F.octet_length(raw)
+    places = F.when(n >= k, F.sequence(F.lit(1), n - (s - 1)))
+    return F.transform(places, lambda i: F.xxhash64(F.substr(raw, i, F.lit(s))))
 
-def _characters(text: Column) -> Column:
-    return F.transform(F.filter(F.split(text, ""), lambda c: c != ""), lambda c: F.xxhash64(c))
 
+def _chosen(m: Column, k: int, s: int) -> Column:
+    """Places of the chosen k-mers, by the hashes of all inner substrings."""
+    wide = k - s  # the last inner substring is ``wide`` after the first
 
-def _shingles(run: Column) -> Column:
-    """Hashes of the ``SHINGLE`` characters from each place of a run on."""
-    out, step = _characters(run), 1
-    while step < SHINGLE:
+    def closed(i: Column) -> Column:
+        inner = [F.get(m, i + j) for j in range(wide + 1)]
+        between = F.least(*inner[1:-1]) if wide > 2 else inner[1]
+        return F.least(inner[0], inner[-1]) <= between
 
-        def joined(v: Column, step: int = step) -> Column:
-            count = F.greatest(F.size(v["h"]) - step, F.lit(0))
-            return F.zip_with(
-                F.slice(v["h"], F.lit(1), count),
-                F.slice(v["h"], F.lit(step + 1), count),
-                lambda a, b: F.xxhash64(a, b),
-            )
+    return F.filter(F.sequence(F.lit(0), F.size(m) - (wide + 1)), closed)
 
-        out, step = bind(joined, h=out), 2 * step
-    return out
 
+def _piece_anchors(raw: Column, start: Column, k: int, s: int) -> Column:
+    """Anchors of one piece of bytes; NULL if it has no k-mer."""
+    wide = k - s
 
-def word_hashes(text: Column) -> Column:
-    """Hashes of the letters: words, and the shingles of runs longer than ``RUN``."""
-    words = _words(text)
-    dealt = F.flatten(
-        F.transform(
-            words,
-            lambda w: F.when(F.length(w) > RUN, _shingles(w)).otherwise(F.array(F.xxhash64(w))),
+    def anchors_at(v: Column) -> Column:
+        m = v["m"]
+        found = F.transform(
+            _chosen(m, k, s),
+            lambda i: F.struct(
+                (i + start).alias("pos"),
+                # inner substrings that cover the k-mer
+                F.xxhash64(*[F.get(m, i + j) for j in [*range(0, wide, s), wide]]).alias("hash"),
+            ),
         )
-    )
-    long_run = F.coalesce(text, F.lit("")).rlike(rf"[^ \t\n\x0B\f\r]{{{RUN + 1}}}")
-    return F.when(long_run, dealt).otherwise(F.transform(words, lambda w: F.xxhash64(w)))
+        return F.when(m.isNotNull(), found)
 
+    return bind(anchors_at, m=_smer_hashes(raw, k, s))
 
-def anchors(text: Column, k: int = K, s: int = S) -> Column:
-    """Anchors (pos, hash) in their order; ``pos`` is the first letter's number.
 
-    Those over the characters of a text of fewer than ``SHORT`` letters come last.
-    """
+def kmer_anchors(raw: Column, k: int = K, s: int = S) -> Column:
+    """Anchors (pos, hash) of the chosen k-mers of bytes, in their order; ``pos`` from 0."""
+    starts = F.sequence(F.lit(0), F.greatest(F.octet_length(raw) - k, F.lit(0)), F.lit(PIECE))
+
+    def piece(start: Column) -> Column:
+        part = F.substr(raw, start + 1, F.lit(PIECE + k - 1))
+        none = F.array().cast("array<struct<pos: int, hash: bigint>>")
+        return F.coalesce(bind(lambda v: _piece_anchors(v["raw"], start, k, s), raw=part), none)
+
+    return F.flatten(F.transform(starts, piece))
 
-    def inner(v: Column) -> Column:  # hashes of s words, from each word on
-        h, n = v["h"], F.size(v["h"])
-        out = h
-        for step in range(1, s):
-            count = F.greatest(n - step, F.lit(0))
-            out = F.zip_with(
-                F.slice(out, F.lit(1), count),
-                F.slice(h, F.lit(step + 1), count),
-                lambda a, b: F.xxhash64(a, b),
-            )
-        return out
-
-    def choose(v: Column) -> Column:
-        m, wide = v["m"], k - s  # the last inner substring is ``wide`` after the first
-        count = F.greatest(F.size(m) - wide, F.lit(0))
-
-        def kmer(first: Column, i: Column) -> Column:
-            rest = [F.get(m, i + j) for j in range(1, wide + 1)]
-            edge = F.least(first, rest[-1])
-            between = F.least(*rest[:-1]) if len(rest) > 2 else rest[0]
-            cover = [first, *rest[s - 1 :: s], rest[-1]]  # inner substrings that cover the k-mer
-            return F.when(
-                edge <= between, F.struct(i.alias("pos"), F.xxhash64(*cover).alias("hash"))
-            )
-
-        found = F.array_compact(F.transform(F.slice(m, F.lit(1), count), kmer))
-        whole = F.array(F.struct(F.lit(0).alias("pos"), F.xxhash64(v["h"]).alias("hash")))
-        return bind(
-            lambda w: F.when(F.size(w["found"]) > 0, w["found"])
-            .when(F.size(v["h"]) > 0, whole)
-            .otherwise(w["found"]),
-            found=found,
-        )
 
-    def chosen(v: Column) -> Column:
-        return bind(lambda w: choose(w), h=v["h"], m=inner(v))
+def _or_whole(found: Column, raw: Column) -> Column:
+    whole = F.array(F.struct(F.lit(0).alias("pos"), F.xxhash64(raw).alias("hash")))
+    return F.when((F.size(found) == 0) & (F.octet_length(raw) > 0), whole).otherwise(found)
 
-    characters = _characters(F.array_join(_words(text), " "))
+
+def anchors(text: Column, k: int = K, s: int = S) -> Column:
+    """Anchors (pos, hash) of a text; a text without a chosen k-mer has its whole as one."""
     return bind(
-        lambda v: F.when(F.size(v["h"]) >= SHORT, chosen(v)).otherwise(
-            F.concat(chosen(v), bind(chosen, h=characters))
-        ),
-        h=word_hashes(text),
+        lambda v: bind(lambda w: _or_whole(w["found"], v["raw"]), found=kmer_anchors(v["raw"], k, s)),
+        raw=F.coalesce(text, F.lit("")).cast("binary"),
     )
 
 
@@ -150,81 +125,193 @@ def likeness(a: Column, b: Column) -> Column:
     )
 
 
-def shared_passages(a: Column, b: Column) -> Column:
-    """Places (a, b) at which two texts' anchors are the same, in the order of the first."""
-    places = F.map_from_entries(
-        F.transform(
-            F.array_distinct(F.transform(b, lambda x: x["hash"])),
-            lambda h: F.struct(h, F.filter(b, lambda x: x["hash"] == h)[0]["pos"]),
+def passages_in_place(a: Column, b: Column, k: int = K) -> Column:
+    """Passages (start, end), in bytes, that the anchors of two texts show at the same places."""
+
+    def placed(found: Column) -> Column:  # place and hash as one number
+        low = F.lit((1 << 32) - 1).cast("bigint")
+        return F.transform(
+            found, lambda x: F.shiftleft(x["pos"].cast("bigint"), 32).bitwiseOR(x["hash"].bitwiseAND(low))
+        )
+
+    def runs(v: Column) -> Column:
+        at = v["at"]
+        starts = F.filter(at, lambda p, i: (i == 0) | (p - F.get(at, i - 1) > k))
+        ends = F.filter(at, lambda p, i: (i == F.size(at) - 1) | (F.get(at, i + 1) - p > k))
+        return F.zip_with(
+            starts, ends, lambda x, y: F.struct(x.alias("start"), (y + k).alias("end"))
         )
+
+    same = F.array_intersect(placed(a), placed(b))
+    return bind(runs, at=F.transform(same, lambda x: F.shiftright(x, 32).cast("int")))
+
+
+def shared_passages(anchored: DataFrame, pairs: DataFrame, k: int = K) -> DataFrame:
+    """Passages that the texts of each pair share, at whatever places.
+
+    ``anchored`` has ``id, anchors`` (one row an id), ``pairs`` has ``a, b``. Gives ``a, b, a_start,
+    b_start, length`` in bytes: anchors of one hash are joined for each pair, and those whose
+    places differ by the same number follow one another in a passage as long as they overlap.
+    A hash that is at several places of a text is matched at the first ones in turn.
+    """
+    each = anchored.select("id", F.inline("anchors")).withColumn(
+        "nth", F.row_number().over(Window.partitionBy("id", "hash").orderBy("pos"))
     )
-    return bind(
-        lambda v: F.filter(
-            F.transform(
-                a,
-                lambda x: F.struct(
-                    x["pos"].alias("a"), F.try_element_at(v["places"], x["hash"]).alias("b")
-                ),
-            ),
-            lambda p: p["b"].isNotNull(),
-        ),
-        places=places,
+    wanted = pairs.select("a", "b").where("a IS NOT NULL AND b IS NOT NULL").distinct()
+    left = wanted.join(each.select(F.col("id").alias("a"), "hash", "nth", F.col("pos").alias("p")), "a")
+    right = each.select(F.col("id").alias("b"), "hash", "nth", F.col("pos").alias("q"))
+    met = left.join(right, ["b", "hash", "nth"]).withColumn("shift", F.col("q") - F.col("p"))
+    along = Window.partitionBy("a", "b", "shift").orderBy("p")
+    first = (F.col("p") - F.lag("p").over(along) > k) | F.lag("p").over(along).isNull()
+    number = F.sum(F.col("first").cast("int")).over(along)
+    return (
+        met.withColumn("first", first)
+        .withColumn("passage", number)
+        .groupBy("a", "b", "shift", "passage")
+        .agg(F.min("p").alias("a_start"), F.min("q").alias("b_start"), (F.max("p") - F.min("p") + k).alias("length"))
+        .select("a", "b", "a_start", "b_start", "length")
     )
 
 
 def edited_text(text: Column, following: Column, n: Column) -> Column:
     """The last half of ``text`` (``n`` code points) replaced by the start of ``following``."""
     half = F.floor(n / 2).cast("int")
-    kept = F.substr(text, F.lit(1), n.cast("int") - half)
-    return F.concat(kept, F.substr(following, F.lit(1), half))
+    return F.concat(F.substr(text, F.lit(1), n.cast("int") - half), F.substr(following, F.lit(1), half))
 
 
-def placed_by_id(rows: DataFrame) -> DataFrame:
-    """``doc_id, text`` dealt out so that each row's successor by doc_id is beside it.
+def spliced_anchors(
+    own: Column, kept: Column, other: Column, head: Column, raw: Column, k: int = K, s: int = S
+) -> Column:
+    """Anchors of the bytes ``raw``: ``kept`` bytes of a text and then ``head`` of another one.
 
-    Ids are sorted in cells of ``CELL`` numbers, so that no cell has more ids than that. A
-    cell's first row also goes to the cell before it (the first of all to the last), where it
-    closes the order with ``end`` set; those rows are found from the ids alone, one for each
-    cell. Rows with the same id follow one another by a hash; null ids come first.
+    ``own`` and ``other`` are the chosen k-mers of those two texts; only the k-mers across the
+    seam are hashed.
     """
-    key = F.coalesce(F.col("doc_id").cast("bigint"), F.lit(-(2**63)))
-    keyed = rows.withColumn("key", key).withColumn("cell", F.floor(F.col("key") / F.lit(CELL)))
-    cells = keyed.groupBy("cell").agg(F.min("key").alias("first"))
-    up, down = Window.orderBy("cell"), Window.orderBy(F.desc("cell"))
-    closing = cells.select(
-        F.col("first").alias("key"),
-        F.coalesce(F.lag("cell").over(up), F.first("cell").over(down)).alias("before"),
-    )
-    keyed = keyed.join(cut(closing), "key", "left")
 
-    def place(cell: str, end: bool) -> Column:
-        return F.struct(F.col(cell).alias("cell"), F.lit(end).alias("end"))
+    def within(found: Column, size: Column) -> Column:
+        return F.filter(found, lambda a: a["pos"] <= size - k)
+
+    def moved(found: Column, by: Column) -> Column:
+        return F.transform(found, lambda a: F.struct((a["pos"] + by).alias("pos"), a["hash"].alias("hash")))
+
+    begin = F.greatest(kept - (k - 1), F.lit(0))
+    width = kept - begin + F.least(head, F.lit(k - 1))
+    seam = kmer_anchors(F.substr(raw, begin + 1, width), k, s)
+    joined = F.concat(within(own, kept), moved(seam, begin), moved(within(other, head), kept))
+    return bind(lambda v: _or_whole(v["found"], raw), found=joined)
+
+
+def _cell(key: Column, tie: Column, bounds: list[int]) -> Column:
+    """Number of the range that a key is in; a key that fills several is dealt by ``tie``."""
+    if not bounds:
+        return F.lit(0).cast("bigint")
+    table = F.split(F.lit(",".join(map(str, bounds))), ",").cast("array<bigint>")
+    steps = [1 << b for b in reversed(range(len(bounds).bit_length()))]
+
+    def count(fits) -> Column:  # binary search for the number of bounds that fit
+        def step(low: Column, width: Column) -> Column:
+            return F.when(F.coalesce(fits(F.get(table, low + width - 1)), F.lit(False)), low + width).otherwise(low)
+
+        return F.aggregate(F.array(*map(F.lit, steps)), F.lit(0), step)
 
-    places = F.when(F.col("before").isNull(), F.array(place("cell", False))).otherwise(
-        F.array(place("cell", False), place("before", True))
+    def numbered(v: Column) -> Column:
+        many = v["upto"] - v["before"]
+        share = F.shiftright(tie, TIE_BITS - 24).cast("double") / F.lit(float(1 << 24))
+        spread = v["before"] + 1 + F.floor(share * many)
+        return F.when(many > 1, spread).otherwise(v["upto"].cast("bigint"))
+
+    return bind(numbered, before=count(lambda b: b < key), upto=count(lambda b: b <= key))
+
+
+def in_order(rows: DataFrame, cell_bytes: int = CELL_BYTES) -> DataFrame:
+    """``doc_id, text`` in cells, so that each row's successor by doc_id is beside it.
+
+    Ids are cut into ranges of about ``cell_bytes`` of text; a null or repeated id that fills
+    several ranges is dealt over them by its texts' hashes, equal texts by their row numbers.
+    Rows with the same id follow one another by these, null ids come first. The first row of the
+    next cell (after the last: the first of all) closes each cell, with ``end`` set; it is looked
+    up among first rows of cells in pieces.
+    """
+    number = F.xxhash64(F.monotonically_increasing_id())
+    keyed = rows.select(
+        "doc_id", "text",
+        F.coalesce(F.col("doc_id").cast("bigint"), F.lit(-(2**63))).alias("key"),
+        F.shiftrightunsigned(F.xxhash64("text"), 64 - TIE_BITS + _ROW_BITS).alias("mark"),
+        F.shiftrightunsigned(number, 64 - _ROW_BITS).alias("row"),
+    ).withColumn("tie", F.shiftleft("mark", _ROW_BITS).bitwiseOR(F.col("row"))).drop("mark", "row")
+    size = keyed.agg(F.sum(F.octet_length("text") + 16)).first()[0] or 0
+    cells = int(size // cell_bytes)
+    bounds = []
+    if cells:
+        shares = [i / (cells + 1) for i in range(1, cells + 1)]
+        accuracy = max(10_000, 20 * cells)
+        bounds = sorted(keyed.agg(F.percentile_approx("key", shares, accuracy).alias("b")).first()["b"])
+    # hashes of texts come first in ``tie``, so dealing by it keeps the order
+    keyed = keyed.withColumn("cell", _cell(F.col("key"), F.col("tie"), bounds))
+    firsts = cut(keyed.groupBy("cell").agg(F.min(F.struct("key", "tie")).alias("first")))
+    least = firsts.agg(F.min("first").alias("f")).first()["f"]
+    if least is None:
+        return keyed.withColumn("end", F.lit(False))
+    wrapped = F.struct(F.lit(least["key"]).alias("key"), F.lit(least["tie"]).alias("tie"))
+    following = previous(
+        firsts.select("cell", "first", F.lit(0).alias("all"), (-F.col("cell")).alias("order")),
+        "all", "order", "first", "following", 4096,
+    ).select("cell", F.coalesce("following", wrapped).alias("following"))
+    # rows that differ in their numbers alone have the same text, so any of them closes a cell
+    mark = F.shiftright("tie", _ROW_BITS)
+    wanted = following.select(
+        F.col("cell").alias("before"), "following.key", F.shiftright("following.tie", _ROW_BITS).alias("mark")
     )
-    dealt = keyed.select("doc_id", "text", "key", F.inline(places)).repartition("cell")
-    return dealt.withColumn("tie", F.xxhash64("text"))
+    closing = (
+        keyed.select("key", mark.alias("mark"), "tie", "text")
+        .join(broadcast_if_small(cut(wanted)), ["key", "mark"])
+        .groupBy("before", "key", "mark")
+        .agg(F.first("text").alias("text"), F.min("tie").alias("tie"))
+        .select(F.lit(None).cast("bigint").alias("doc_id"), "text", "key", "tie",
+                F.col("before").alias("cell"), F.lit(True).alias("end"))
+    )
+    dealt = keyed.withColumn("doc_id", F.col("doc_id").cast("bigint")).withColumn("end", F.lit(False))
+    return dealt.unionByName(closing)
 
 
-def fingerprint_pairs(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """Every row's text and edited text with their fingerprints, and the next row's.
+def fingerprint_pairs(
+    docs: DataFrame, doc_id: str = "doc_id", text: str = "text", cell_bytes: int = CELL_BYTES
+) -> DataFrame:
+    """Every row's text and edited text with their anchors and fingerprints, and the next row's.
 
-    ``doc_id, text, edited`` and the sorted hash sets ``own, edited_own, next_own``.
+    ``doc_id, text, edited, own_anchors, edited_anchors`` and the sorted hash sets ``own,
+    edited_own, next_own``.
     """
     rows = docs.select(
         F.col(doc_id).alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text")
     )
-    order = Window.partitionBy("cell").orderBy("end", "key", "tie")
+    order = ["end", "key", "tie"]
+    beside = Window.partitionBy("cell").orderBy(*order)
+    raw = F.col("text").cast("binary")
+    # anchors are made after the sort, so that only texts are moved and sorted
+    sorted_rows = in_order(rows, cell_bytes).repartition("cell").sortWithinPartitions("cell", *order)
     near = (
-        placed_by_id(rows)
-        .withColumn("own", hash_set(anchors(F.col("text"))))
-        .withColumn("following", F.lead("text").over(order))
-        .withColumn("next_own", F.lead("own").over(order))
+        sorted_rows.withColumn("kmers", kmer_anchors(raw))
+        .withColumn("own", hash_set(_or_whole(F.col("kmers"), raw)))
+        .withColumn("following", F.lead("text").over(beside))
+        .withColumn("next_kmers", F.lead("kmers").over(beside))
+        .withColumn("next_own", F.lead("own").over(beside))
         .where("NOT end")
     )
-    edited = near.select(
-        "doc_id", "text", "own", "next_own",
-        edited_text(F.col("text"), F.col("following"), F.length("text")).alias("edited"),
+    half = F.floor(F.length("text") / 2).cast("int")
+    kept = F.octet_length(F.substr("text", F.lit(1), F.length("text") - half))
+    edited = near.withColumn("kept", kept).withColumn(
+        "edited", edited_text(F.col("text"), F.col("following"), F.length("text"))
+    )
+    changed = spliced_anchors(
+        F.col("kmers"), F.col("kept"), F.col("next_kmers"), F.octet_length("edited") - F.col("kept"),
+        F.col("edited").cast("binary"),
+    )
+    return (
+        edited.withColumn("edited_anchors", changed)
+        .withColumn("edited_own", hash_set(F.col("edited_anchors")))
+        .select(
+            "doc_id", "text", "edited", _or_whole(F.col("kmers"), raw).alias("own_anchors"),
+            "edited_anchors", "own", "edited_own", "next_own",
+        )
     )
-    return edited.withColumn("edited_own", hash_set(anchors(F.col("edited"))))
