@@ -13,7 +13,7 @@ averaged. At most about ``max_rows`` labelled rows are fitted: beyond that the r
 smallest hashes are taken. Scoring covers all rows.
 
 Nulls and texts without tokens have no features; their score comes from the bias alone.
-Repeated rows are scored (and fitted) as often as they occur. Without labelled rows, or with
+Repeated rows are scored as often as they occur, and fitted once. Without labelled rows, or with
 labels of one kind only, the score is the share of label 1 (0.5 without any).
 """
 
@@ -164,15 +164,18 @@ def train(
 ) -> np.ndarray:
     """Weights (bias last) from the rows of ``docs`` whose id ``labels`` gives a label of 0 or 1.
 
-    The rows to fit are chosen by ids and lengths alone; only their texts are then moved.
+    Rows with the same id and text teach once. The rows to fit are chosen by a hash of id and
+    text, from ids, hashes and lengths alone; only their texts are then moved. A repeated id has
+    no more than its share of them, and each shard is a task of its own.
     """
     given = labels.where(F.col(label).isin(0, 1)).select(
         F.col(doc_id).alias("_id"), F.col(label).cast("double").alias("_label")
     ).distinct()
-    sizes = docs.select(
-        F.col(doc_id).alias("_id"), F.coalesce(F.octet_length(text), F.lit(0)).alias("_size")
-    )
-    order = F.xxhash64(F.col("_id").cast("string"))
+    content = F.coalesce(text, F.lit(""))
+    known = docs.select(F.col(doc_id).alias("_id"), content.alias("_text")).where("_id IS NOT NULL")
+    known = known.withColumn("_hash", F.xxhash64("_text"))
+    sizes = known.groupBy("_id", "_hash").agg(F.max(F.octet_length("_text")).alias("_size"))
+    order = F.xxhash64(F.col("_id").cast("string"), F.col("_hash"))
     labelled = cut(sizes.join(given, "_id").withColumn("_order", order))
     total, ones, size = labelled.agg(F.count("*"), F.sum("_label"), F.sum("_size")).first()
     if not total or ones in (0, total):
@@ -183,14 +186,17 @@ def train(
     part = min(config.max_rows / total, config.max_bytes / max(1, size))
     if part < 1:  # the rows with the smallest hashes, by share of all hashes
         labelled = labelled.where(F.col("_order") < F.lit(int(part * 2**64) - 2**63))
-    chosen = labelled.select("_id", "_label", "_order").distinct()
+    chosen = cut(labelled.select("_id", "_hash", "_label", "_order"))
     if chosen.count() <= 2 * config.max_rows:  # as expected, so it may be broadcast
         chosen = F.broadcast(chosen)
-    texts = docs.select(F.col(doc_id).alias("_id"), F.coalesce(text, F.lit("")).alias("_text"))
-    rows = texts.join(chosen, "_id").drop("_id")
     shard = F.pmod(F.hash("_order"), F.lit(config.shards))
+    rows = cut(
+        known.join(chosen, ["_id", "_hash"])
+        .dropDuplicates(["_id", "_hash", "_label"])
+        .select("_text", "_label", "_order", shard.alias("_shard"))
+    )
     fitted = (
-        rows.withColumn("_shard", shard)
+        rows.repartitionByRange(config.shards, "_shard")
         .groupBy("_shard")
         .applyInArrow(_fit_shard(config), "rows long, weights binary")
         .collect()  # one row for each of a few shards, 1 MB each
