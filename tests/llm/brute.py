@@ -116,7 +116,7 @@ def pieces(docs):
     return out
 
 
-def edited(docs):
+def edited_texts(docs):
     """doc_id, edited text and the next text, of (doc_id, text) in ascending order."""
     out = []
     for i, (doc_id, text) in enumerate(docs):
@@ -126,22 +126,61 @@ def edited(docs):
     return out
 
 
-def anchors(text):
-    """Word numbers of the chosen 5-mers, by pairs of words, with any injective-enough hash."""
-    from pyspark.sql import SparkSession, functions as F
-
-    spark = SparkSession.getActiveSession()
-    w = [x for x in re.split(r"[ \t\n\x0b\f\r]+", text or "") if x]
-    rows = [(i, a) for i, a in enumerate(w)]
-    if not rows:
-        return []
-    h = [r[0] for r in spark.createDataFrame(rows, "i int, w string").orderBy("i").select(
-        F.xxhash64("w")).collect()]
-    pairs = list(zip(h, h[1:]))
-    if not pairs:
-        return [0]
-    m = [r[0] for r in spark.createDataFrame(
-        [(i, a, b) for i, (a, b) in enumerate(pairs)], "i int, a long, b long"
-    ).orderBy("i").select(F.xxhash64("a", "b")).collect()]
-    chosen = [i for i in range(len(w) - 4) if min(m[i : i + 4]) in (m[i], m[i + 3])]
-    return chosen or [0]
+def smer_hash(raw):
+    h = xxhash.xxh64_intdigest(raw, seed=42)
+    return h - (1 << 64) if h >> 63 else h
+
+
+def hash_longs(values):
+    seed = 42
+    for v in values:
+        seed = xxhash.xxh64_intdigest(v.to_bytes(8, "little", signed=True), seed=seed)
+    return seed - (1 << 64) if seed >> 63 else seed
+
+
+def anchors(text, k=8, s=5):
+    """(place, hash) of the chosen k-mers of a text's bytes, or of its whole."""
+    raw, wide = (text or "").encode(), k - s
+    m = [smer_hash(raw[i : i + s]) for i in range(len(raw) - s + 1)]
+    out = [
+        (i, hash_longs([m[i], m[i + wide]]))
+        for i in range(len(raw) - k + 1)
+        if min(m[i], m[i + wide]) <= min(m[i + 1 : i + wide])
+    ]
+    return out or ([(0, smer_hash(raw))] if raw else [])
+
+
+def sketch(hashes, size=32):
+    ordered = sorted(hashes)
+    out = "".join(f"{h & (1 << 64) - 1:016x}" for h in ordered[:size])
+    if len(ordered) > size:
+        out += f"{hash_longs(ordered) & (1 << 64) - 1:016x}"
+    return out
+
+
+def jaccard(a, b):
+    return len(a & b) / len(a | b) if a | b else 1.0
+
+
+def in_place(a, b, k=8):
+    """Passages of two texts' anchors at the same places."""
+    out = []
+    for at in sorted(p for p, _ in set(a) & set(b)):
+        if out and at - (out[-1][1] - k) <= k:
+            out[-1][1] = at + k
+        else:
+            out.append([at, at + k])
+    return ",".join(f"{x}:{y}" for x, y in out)
+
+
+def syncmers(docs):
+    """Rows of op5 for (doc_id, text) in their order."""
+    out = []
+    for (doc_id, text), (_, edited, after) in zip(docs, edited_texts(docs)):
+        a, b = anchors(text), anchors(edited)
+        own, changed, follow = ({h for _, h in x} for x in (a, b, anchors(after)))
+        out.append((
+            doc_id, len(text or ""), sha256(edited), sketch(own), sketch(changed),
+            round(jaccard(own, changed), 9), round(jaccard(own, follow), 9), in_place(a, b),
+        ))
+    return out
