@@ -89,7 +89,7 @@ def op5_syncmers(spark, sf_dir):
         syncmers.likeness(F.col("own"), F.col("next_own")).alias("near_next"),
         F.array_join(
             F.transform(
-                syncmers.passages_in_place(F.col("own_anchors"), F.col("edited_anchors")),
+                syncmers.passages_in_place(F.col("own_kmers"), F.col("edited_kmers")),
                 lambda p: F.concat_ws(":", p["start"], p["end"]),
             ),
             ",",

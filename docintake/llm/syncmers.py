@@ -35,7 +35,8 @@ K = 8  # bytes
 S = 5
 SKETCH = 32
 PIECE = 1 << 16
-CELL_BYTES = 32 << 20  # of texts that are put in order together
+CELL_BYTES = 16 << 20  # of texts that are put in order together
+MOST_BOUNDS = 50_000
 TIE_BITS = 60
 _ROW_BITS = 20
 
@@ -58,52 +59,68 @@ def _chosen(m: Column, k: int, s: int) -> Column:
     return F.filter(F.sequence(F.lit(0), F.size(m) - (wide + 1)), closed)
 
 
-def _piece_anchors(raw: Column, start: Column, k: int, s: int) -> Column:
-    """Anchors of one piece of bytes; NULL if it has no k-mer."""
+def _piece_kmers(raw: Column, start: Column, k: int, s: int) -> Column:
+    """Places and hashes of the chosen k-mers of one piece of bytes; NULL if it has no k-mer."""
     wide = k - s
 
-    def anchors_at(v: Column) -> Column:
-        m = v["m"]
-        found = F.transform(
-            _chosen(m, k, s),
-            lambda i: F.struct(
-                (i + start).alias("pos"),
-                # inner substrings that cover the k-mer
-                F.xxhash64(*[F.get(m, i + j) for j in [*range(0, wide, s), wide]]).alias("hash"),
-            ),
+    def hashed(v: Column) -> Column:  # by inner substrings that cover the k-mer
+        cover = [*range(0, wide, s), wide]
+        return F.struct(
+            F.transform(v["at"], lambda i: i + start).alias("pos"),
+            F.transform(v["at"], lambda i: F.xxhash64(*[F.get(v["m"], i + j) for j in cover])).alias("hash"),
         )
-        return F.when(m.isNotNull(), found)
 
-    return bind(anchors_at, m=_smer_hashes(raw, k, s))
+    def chosen(v: Column) -> Column:
+        found = bind(hashed, m=v["m"], at=_chosen(v["m"], k, s))
+        return F.when(v["m"].isNotNull(), found)
 
+    return bind(chosen, m=_smer_hashes(raw, k, s))
 
-def kmer_anchors(raw: Column, k: int = K, s: int = S) -> Column:
-    """Anchors (pos, hash) of the chosen k-mers of bytes, in their order; ``pos`` from 0."""
+
+def kmers(raw: Column, k: int = K, s: int = S) -> Column:
+    """Struct of the places (``pos``, from 0) and hashes of the chosen k-mers of bytes, in order."""
     starts = F.sequence(F.lit(0), F.greatest(F.octet_length(raw) - k, F.lit(0)), F.lit(PIECE))
 
     def piece(start: Column) -> Column:
         part = F.substr(raw, start + 1, F.lit(PIECE + k - 1))
-        none = F.array().cast("array<struct<pos: int, hash: bigint>>")
-        return F.coalesce(bind(lambda v: _piece_anchors(v["raw"], start, k, s), raw=part), none)
+        return bind(lambda v: _piece_kmers(v["raw"], start, k, s), raw=part)
+
+    def all_of(pieces: Column, name: str, kind: str) -> Column:
+        none = F.array().cast(kind)
+        return F.flatten(F.transform(pieces, lambda p: F.coalesce(p[name], none))).alias(name)
 
-    return F.flatten(F.transform(starts, piece))
+    def joined(v: Column) -> Column:
+        return F.struct(
+            all_of(v["pieces"], "pos", "array<int>"), all_of(v["pieces"], "hash", "array<bigint>")
+        )
 
+    return bind(joined, pieces=F.transform(starts, piece))
 
-def _or_whole(found: Column, raw: Column) -> Column:
-    whole = F.array(F.struct(F.lit(0).alias("pos"), F.xxhash64(raw).alias("hash")))
-    return F.when((F.size(found) == 0) & (F.octet_length(raw) > 0), whole).otherwise(found)
+
+def or_whole(found: Column, raw: Column) -> Column:
+    """The k-mers of a text; one that has none chosen is taken as a whole."""
+    whole = F.struct(F.array(F.lit(0)).alias("pos"), F.array(F.xxhash64(raw)).alias("hash"))
+    return F.when((F.size(found["pos"]) == 0) & (F.octet_length(raw) > 0), whole).otherwise(found)
 
 
 def anchors(text: Column, k: int = K, s: int = S) -> Column:
     """Anchors (pos, hash) of a text; a text without a chosen k-mer has its whole as one."""
+
+    def zipped(v: Column) -> Column:
+        found = or_whole(v["found"], v["raw"])
+        return F.zip_with(
+            found["pos"], found["hash"], lambda p, h: F.struct(p.alias("pos"), h.alias("hash"))
+        )
+
     return bind(
-        lambda v: bind(lambda w: _or_whole(w["found"], v["raw"]), found=kmer_anchors(v["raw"], k, s)),
+        lambda v: bind(zipped, found=kmers(v["raw"], k, s), raw=v["raw"]),
         raw=F.coalesce(text, F.lit("")).cast("binary"),
     )
 
 
 def hash_set(found: Column) -> Column:
-    return F.sort_array(F.array_distinct(F.transform(found, lambda a: a["hash"])))
+    """Sorted set of the hashes of anchors."""
+    return F.sort_array(F.array_distinct(found["hash"]))
 
 
 def sketch(hashes: Column, size: int = SKETCH) -> Column:
@@ -126,12 +143,13 @@ def likeness(a: Column, b: Column) -> Column:
 
 
 def passages_in_place(a: Column, b: Column, k: int = K) -> Column:
-    """Passages (start, end), in bytes, that the anchors of two texts show at the same places."""
+    """Passages (start, end), in bytes, that two texts' k-mers show at the same places."""
 
     def placed(found: Column) -> Column:  # place and hash as one number
         low = F.lit((1 << 32) - 1).cast("bigint")
-        return F.transform(
-            found, lambda x: F.shiftleft(x["pos"].cast("bigint"), 32).bitwiseOR(x["hash"].bitwiseAND(low))
+        return F.zip_with(
+            found["pos"], found["hash"],
+            lambda p, h: F.shiftleft(p.cast("bigint"), 32).bitwiseOR(h.bitwiseAND(low)),
         )
 
     def runs(v: Column) -> Column:
@@ -179,55 +197,76 @@ def edited_text(text: Column, following: Column, n: Column) -> Column:
     return F.concat(F.substr(text, F.lit(1), n.cast("int") - half), F.substr(following, F.lit(1), half))
 
 
-def spliced_anchors(
+def spliced(
     own: Column, kept: Column, other: Column, head: Column, raw: Column, k: int = K, s: int = S
 ) -> Column:
-    """Anchors of the bytes ``raw``: ``kept`` bytes of a text and then ``head`` of another one.
+    """K-mers of the bytes ``raw``: ``kept`` bytes of a text and then ``head`` of another one.
 
     ``own`` and ``other`` are the chosen k-mers of those two texts; only the k-mers across the
     seam are hashed.
     """
 
-    def within(found: Column, size: Column) -> Column:
-        return F.filter(found, lambda a: a["pos"] <= size - k)
-
-    def moved(found: Column, by: Column) -> Column:
-        return F.transform(found, lambda a: F.struct((a["pos"] + by).alias("pos"), a["hash"].alias("hash")))
+    def within(found: Column, size: Column, by: Column | None = None) -> Column:
+        n = F.size(F.filter(found["pos"], lambda p: p <= size - k))
+        pos = F.slice(found["pos"], F.lit(1), n)
+        moved = pos if by is None else F.transform(pos, lambda p: p + by)
+        return F.struct(moved.alias("pos"), F.slice(found["hash"], F.lit(1), n).alias("hash"))
+
+    def joined(v: Column) -> Column:
+        seam = F.transform(v["seam"]["pos"], lambda p: p + begin)
+        found = F.struct(
+            F.concat(v["before"]["pos"], seam, v["after"]["pos"]).alias("pos"),
+            F.concat(v["before"]["hash"], v["seam"]["hash"], v["after"]["hash"]).alias("hash"),
+        )
+        return or_whole(found, raw)
 
     begin = F.greatest(kept - (k - 1), F.lit(0))
     width = kept - begin + F.least(head, F.lit(k - 1))
-    seam = kmer_anchors(F.substr(raw, begin + 1, width), k, s)
-    joined = F.concat(within(own, kept), moved(seam, begin), moved(within(other, head), kept))
-    return bind(lambda v: _or_whole(v["found"], raw), found=joined)
+    return bind(
+        joined,
+        before=within(own, kept),
+        seam=kmers(F.substr(raw, begin + 1, width), k, s),
+        after=within(other, head, kept),
+    )
 
 
-def _cell(key: Column, tie: Column, bounds: list[int]) -> Column:
-    """Number of the range that a key is in; a key that fills several is dealt by ``tie``."""
-    if not bounds:
-        return F.lit(0).cast("bigint")
-    table = F.split(F.lit(",".join(map(str, bounds))), ",").cast("array<bigint>")
+def _cell(key: Column, tie: Column, bounds: list[int], ends: tuple[int, int], fine: int) -> Column:
+    """Number of the range that a key is in, of ``fine`` between neighbouring bounds.
+
+    A key that fills several ranges by itself is dealt over them by ``tie``.
+    """
+    known = [ends[0], *bounds, ends[1]]
+    table = F.split(F.lit(",".join(map(str, known))), ",").cast("array<bigint>")
     steps = [1 << b for b in reversed(range(len(bounds).bit_length()))]
 
     def count(fits) -> Column:  # binary search for the number of bounds that fit
         def step(low: Column, width: Column) -> Column:
-            return F.when(F.coalesce(fits(F.get(table, low + width - 1)), F.lit(False)), low + width).otherwise(low)
+            at = low + width
+            good = (at <= len(bounds)) & F.coalesce(fits(F.get(table, at)), F.lit(False))
+            return F.when(good, at).otherwise(low)
 
-        return F.aggregate(F.array(*map(F.lit, steps)), F.lit(0), step)
+        return F.aggregate(F.array(*map(F.lit, steps)), F.lit(0), step) if steps else F.lit(0)
 
     def numbered(v: Column) -> Column:
         many = v["upto"] - v["before"]
         share = F.shiftright(tie, TIE_BITS - 24).cast("double") / F.lit(float(1 << 24))
-        spread = v["before"] + 1 + F.floor(share * many)
-        return F.when(many > 1, spread).otherwise(v["upto"].cast("bigint"))
+        low, high = (F.get(table, v["upto"] + i).cast("double") for i in (0, 1))
+        inside = F.when(high > low, (key.cast("double") - low) / (high - low)).otherwise(0.0)
+        inside = F.least(F.greatest(inside, F.lit(0.0)), F.lit(1 - 1e-9))
+        place = F.when(many > 1, v["before"] + 1 + share * (many - 1)).otherwise(v["upto"] + inside)
+        return F.floor(place * fine)
 
     return bind(numbered, before=count(lambda b: b < key), upto=count(lambda b: b <= key))
 
 
-def in_order(rows: DataFrame, cell_bytes: int = CELL_BYTES) -> DataFrame:
+def in_order(
+    rows: DataFrame, cell_bytes: int = CELL_BYTES, most_bounds: int = MOST_BOUNDS
+) -> DataFrame:
     """``doc_id, text`` in cells, so that each row's successor by doc_id is beside it.
 
-    Ids are cut into ranges of about ``cell_bytes`` of text; a null or repeated id that fills
-    several ranges is dealt over them by its texts' hashes, equal texts by their row numbers.
+    Ids are cut into ranges of about ``cell_bytes`` of text, at up to ``most_bounds`` quantiles and
+    evenly between them; a null or repeated id that fills several ranges is dealt over them by its
+    texts' hashes, equal texts by their row numbers.
     Rows with the same id follow one another by these, null ids come first. The first row of the
     next cell (after the last: the first of all) closes each cell, with ``end`` set; it is looked
     up among first rows of cells in pieces.
@@ -239,15 +278,20 @@ def in_order(rows: DataFrame, cell_bytes: int = CELL_BYTES) -> DataFrame:
         F.shiftrightunsigned(F.xxhash64("text"), 64 - TIE_BITS + _ROW_BITS).alias("mark"),
         F.shiftrightunsigned(number, 64 - _ROW_BITS).alias("row"),
     ).withColumn("tie", F.shiftleft("mark", _ROW_BITS).bitwiseOR(F.col("row"))).drop("mark", "row")
-    size = keyed.agg(F.sum(F.octet_length("text") + 16)).first()[0] or 0
-    cells = int(size // cell_bytes)
-    bounds = []
-    if cells:
-        shares = [i / (cells + 1) for i in range(1, cells + 1)]
-        accuracy = max(10_000, 20 * cells)
+    size, low, high = keyed.agg(
+        F.sum(F.octet_length("text") + 16), F.min("key"), F.max("key")
+    ).first()
+    cells = int((size or 0) // cell_bytes)
+    coarse, bounds = min(cells, most_bounds), []
+    if coarse:
+        shares = [i / (coarse + 1) for i in range(1, coarse + 1)]
+        accuracy = max(10_000, 20 * coarse)
         bounds = sorted(keyed.agg(F.percentile_approx("key", shares, accuracy).alias("b")).first()["b"])
+    fine = -(-cells // coarse) if coarse else 1
     # hashes of texts come first in ``tie``, so dealing by it keeps the order
-    keyed = keyed.withColumn("cell", _cell(F.col("key"), F.col("tie"), bounds))
+    keyed = keyed.withColumn(
+        "cell", _cell(F.col("key"), F.col("tie"), bounds, (low or 0, high or 0), fine)
+    )
     firsts = cut(keyed.groupBy("cell").agg(F.min(F.struct("key", "tie")).alias("first")))
     least = firsts.agg(F.min("first").alias("f")).first()["f"]
     if least is None:
@@ -275,12 +319,16 @@ def in_order(rows: DataFrame, cell_bytes: int = CELL_BYTES) -> DataFrame:
 
 
 def fingerprint_pairs(
-    docs: DataFrame, doc_id: str = "doc_id", text: str = "text", cell_bytes: int = CELL_BYTES
+    docs: DataFrame,
+    doc_id: str = "doc_id",
+    text: str = "text",
+    cell_bytes: int = CELL_BYTES,
+    most_bounds: int = MOST_BOUNDS,
 ) -> DataFrame:
     """Every row's text and edited text with their anchors and fingerprints, and the next row's.
 
-    ``doc_id, text, edited, own_anchors, edited_anchors`` and the sorted hash sets ``own,
-    edited_own, next_own``.
+    ``doc_id, text, edited``, the chosen k-mers ``own_kmers, edited_kmers`` and the sorted hash sets
+    ``own, edited_own, next_own``.
     """
     rows = docs.select(
         F.col(doc_id).alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text")
@@ -288,14 +336,13 @@ def fingerprint_pairs(
     order = ["end", "key", "tie"]
     beside = Window.partitionBy("cell").orderBy(*order)
     raw = F.col("text").cast("binary")
-    # anchors are made after the sort, so that only texts are moved and sorted
-    sorted_rows = in_order(rows, cell_bytes).repartition("cell").sortWithinPartitions("cell", *order)
+    # k-mers are made after the sort, so that only texts are moved and sorted
+    sorted_rows = in_order(rows, cell_bytes, most_bounds).repartition("cell")
     near = (
-        sorted_rows.withColumn("kmers", kmer_anchors(raw))
-        .withColumn("own", hash_set(_or_whole(F.col("kmers"), raw)))
+        sorted_rows.sortWithinPartitions("cell", *order)
+        .withColumn("kmers", kmers(raw))
         .withColumn("following", F.lead("text").over(beside))
         .withColumn("next_kmers", F.lead("kmers").over(beside))
-        .withColumn("next_own", F.lead("own").over(beside))
         .where("NOT end")
     )
     half = F.floor(F.length("text") / 2).cast("int")
@@ -303,15 +350,15 @@ def fingerprint_pairs(
     edited = near.withColumn("kept", kept).withColumn(
         "edited", edited_text(F.col("text"), F.col("following"), F.length("text"))
     )
-    changed = spliced_anchors(
+    changed = spliced(
         F.col("kmers"), F.col("kept"), F.col("next_kmers"), F.octet_length("edited") - F.col("kept"),
         F.col("edited").cast("binary"),
     )
-    return (
-        edited.withColumn("edited_anchors", changed)
-        .withColumn("edited_own", hash_set(F.col("edited_anchors")))
-        .select(
-            "doc_id", "text", "edited", _or_whole(F.col("kmers"), raw).alias("own_anchors"),
-            "edited_anchors", "own", "edited_own", "next_own",
-        )
-    )
+    return edited.select(
+        "doc_id", "text", "edited", or_whole(F.col("kmers"), raw).alias("own_kmers"),
+        changed.alias("edited_kmers"),
+        or_whole(F.col("next_kmers"), F.col("following").cast("binary")).alias("next_kmers"),
+    ).select(
+        "*", hash_set(F.col("own_kmers")).alias("own"), hash_set(F.col("edited_kmers")).alias("edited_own"),
+        hash_set(F.col("next_kmers")).alias("next_own"),
+    ).drop("next_kmers")

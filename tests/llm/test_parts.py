@@ -350,6 +350,10 @@ def test_shared_passages(spark):
     assert sorted(r.length > 180 for r in rows) == [True, True] and max(r.length for r in rows) > 280
 
 
+def hashes_of(column):
+    return F.sort_array(F.array_distinct(F.transform(syncmers.anchors(F.col(column)), lambda a: a["hash"])))
+
+
 def test_appended_words_keep_likeness(spark):
     """One word more than a text of 5 to 200 words of like length, at any size."""
     rng = random.Random(2)
@@ -357,7 +361,7 @@ def test_appended_words_keep_likeness(spark):
     for n in range(5, 201):
         words = ["".join(rng.choice("aeinorst") for _ in range(rng.randint(5, 7))) for _ in range(n + 1)]
         rows.append((n, " ".join(words[:-1]), " ".join(words)))
-    sets = [syncmers.hash_set(syncmers.anchors(F.col(c))) for c in "ab"]
+    sets = [hashes_of(c) for c in "ab"]
     found = spark.createDataFrame(rows, "n int, a string, b string").select("n", syncmers.likeness(*sets).alias("l"))
     near = {r.n: r.l for r in found.collect()}
     assert all(near[n] > 0.7 for n in near if n >= 8)  # a tenth of the text and less is new
@@ -365,15 +369,16 @@ def test_appended_words_keep_likeness(spark):
     assert all(near[n] > 0.93 for n in range(50, 201))
 
 
-@pytest.mark.parametrize("cell_bytes", [150, 1000, 1 << 25])
-def test_successors_over_cells(spark, cell_bytes):
+@pytest.mark.parametrize("cell_bytes, bounds", [(150, 50_000), (150, 3), (1000, 2), (1 << 25, 9)])
+def test_successors_over_cells(spark, cell_bytes, bounds):
     """Sparse, null and repeated ids, one of which fills many cells: everyone has a successor."""
     rng = random.Random(6)
     rows = [(rng.randrange(-(10**12), 10**12), f"text {i}") for i in range(60)]
     rows += [(7, f"seven {i}") for i in range(40)] + [(None, f"none {i}") for i in range(30)]
     rows += [(9, "always the same")] * 50
     docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4).cache()
-    got = syncmers.fingerprint_pairs(docs, cell_bytes=cell_bytes).select("doc_id", "text", "edited").collect()
+    pairs = syncmers.fingerprint_pairs(docs, cell_bytes=cell_bytes, most_bounds=bounds)
+    got = pairs.select("doc_id", "text", "edited").collect()
     assert Counter((r.doc_id, r.text) for r in got) == Counter(rows)
     order = sorted({(d is not None, d or 0) for d, _ in rows})
     texts = {k: [t for d, t in rows if (d is not None, d or 0) == k] for k in order}
@@ -495,7 +500,7 @@ def test_texts_without_blanks_have_anchors(spark):
     ]
     other = ["".join(chr(rng.randint(97, 122)) for _ in range(len(t))) for t in made]
     rows = [(t, t[: len(t) - len(t) // 2] + o[: len(t) // 2], o) for t, o in zip(made, other)]
-    sets = [syncmers.hash_set(syncmers.anchors(F.col(c))) for c in "abc"]
+    sets = [hashes_of(c) for c in "abc"]
     df = spark.createDataFrame(rows, "a string, b string, c string").select(
         *[h.alias(c) for h, c in zip(sets, "abc")])
     for r in df.select(
