@@ -1,18 +1,26 @@
 """Files in the landing zones and recorded responses, as fact tables.
 
-Contents are read once, at the scan, and reduced there to hash, length and what
-the content shows of its type.
+Folders are listed level by level in Spark tasks, and files are read in tasks that are dealt by
+size; neither names nor contents pass through the driver. Contents are read once, at the
+scan, and reduced there to hash, length and what the content shows of its type.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docintake.config import EMPTY_MD5
 from docintake.functions.headers import headers_from_map
 from docintake.functions.mimetypes import sniff
 from docintake.schema import HEADERS
+from docintake.session import cut, prepare_python
+
+TASK_BYTES = 64 << 20  # of files that one task reads
+TASK_FILES = 2_000
+BATCH_BYTES = 4 << 20
 
 
 def content_facts(content: Column) -> list[Column]:
@@ -23,39 +31,105 @@ def content_facts(content: Column) -> list[Column]:
     ]
 
 
-def _relative(path: Column, root: str) -> Column:
-    bare = F.regexp_replace(path, "^file:/+", "/")
-    prefix = root.rstrip("/") + "/"
-    at = F.instr(bare, F.lit(prefix))
-    return F.when(at > 0, F.substr(bare, at + F.lit(len(prefix)))).otherwise(bare)
+def _file_system(root: str):
+    from pyarrow import fs
 
+    if root.startswith("file:"):
+        return fs.LocalFileSystem(), "/" + root[len("file:") :].lstrip("/")
+    if "://" not in root:
+        return fs.LocalFileSystem(), root
+    return fs.FileSystem.from_uri(root)
+
+
+def _hidden(name: str) -> bool:
+    return name.startswith(".") or (name.startswith("_") and "=" not in name)
 
-def scan_landing_files(spark: SparkSession, root: str, zone: str = "") -> DataFrame:
-    """Facts of every file below ``root/zone``; paths are relative to the root.
 
-    Empty files have no row in a binary scan. They are the listed files the scan does not
-    return; the listing is the one Spark makes for the scan anyway.
+_LISTED = "path string, is_folder boolean, length bigint, modified bigint"
+
+
+def list_files(spark: SparkSession, root: str, zone: str = "") -> DataFrame:
+    """``path`` (below the root), ``length`` and ``mtime`` of every file below ``root/zone``.
+
+    Each round lists all folders of one level, a task for each few of them; the driver sees
+    only whether there are more. Hidden files, as Spark's own readers leave them out, are not
+    listed. A zone that does not exist has no files.
     """
-    folder = f"{root.rstrip('/')}/{zone}".rstrip("/")
-    scan = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(folder)
-    found = scan.select(
-        _relative(F.col("path"), root).alias("path"),
-        *content_facts(F.col("content")),
-        F.col("modificationTime").cast("timestamp_ntz").alias("mtime"),
-    )
-    listed = spark.createDataFrame([(p,) for p in scan.inputFiles()], "uri string").select(
-        _relative(F.try_url_decode(F.replace("uri", F.lit("+"), F.lit("%2B"))), root).alias("path")
+    prepare_python(spark)
+    root = root.rstrip("/")
+
+    def children(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from pyarrow import fs
+
+        system, base = _file_system(root)
+        for batch in batches:
+            for folder in batch.column("path").to_pylist():
+                selector = fs.FileSelector(f"{base}/{folder}".rstrip("/"), allow_not_found=True)
+                found = [i for i in system.get_file_info(selector) if not _hidden(i.base_name)]
+                for first in range(0, len(found), 10_000):
+                    some = found[first : first + 10_000]
+                    yield pa.RecordBatch.from_arrays(
+                        [
+                            pa.array([f"{folder}/{i.base_name}".lstrip("/") for i in some], pa.string()),
+                            pa.array([i.type == fs.FileType.Directory for i in some], pa.bool_()),
+                            pa.array([i.size for i in some], pa.int64()),
+                            pa.array([(i.mtime_ns or 0) // 1_000_000 for i in some], pa.int64()),
+                        ],
+                        ["path", "is_folder", "length", "modified"],
+                    )
+
+    level = spark.createDataFrame([(zone.strip("/"),)], "path string")
+    levels = []
+    while True:
+        listed = cut(level.mapInArrow(children, _LISTED))
+        levels.append(listed.where("NOT is_folder"))
+        folders = listed.where("is_folder").select("path")
+        n = folders.count()
+        if not n:
+            break
+        level = folders.repartition(max(1, min(n, 4 * spark.sparkContext.defaultParallelism)))
+    files = levels[0]
+    for other in levels[1:]:
+        files = files.unionByName(other)
+    mtime = F.timestamp_millis("modified").cast("timestamp_ntz")
+    return files.select("path", "length", mtime.alias("mtime"))
+
+
+def scan_landing_files(spark: SparkSession, root: str, zone: str = "") -> DataFrame:
+    """Facts of every file below ``root/zone``, empty ones too; paths are relative to the root."""
+    files = list_files(spark, root, zone)
+    n, size = files.agg(F.count("*"), F.sum("length")).first()
+    tasks = max(1, -(-(size or 0) // TASK_BYTES), -(-n // TASK_FILES))
+    root = root.rstrip("/")
+
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        system, base = _file_system(root)
+
+        def batch_of(rows):
+            paths, times, contents = zip(*rows)
+            return pa.RecordBatch.from_arrays(
+                [pa.array(paths, pa.string()), pa.array(times, pa.timestamp("us")), pa.array(contents, pa.binary())],
+                ["path", "mtime", "content"],
+            )
+
+        held, size = [], 0
+        for batch in batches:
+            for path, mtime in zip(batch.column("path").to_pylist(), batch.column("mtime").to_pylist()):
+                with system.open_input_stream(f"{base}/{path}") as stream:
+                    content = stream.read()
+                held.append((path, mtime, content))
+                size += len(content)
+                if size > BATCH_BYTES:
+                    yield batch_of(held)
+                    held, size = [], 0
+        if held:
+            yield batch_of(held)
+
+    contents = files.select("path", "mtime").repartition(tasks, "path").mapInArrow(
+        read, "path string, mtime timestamp_ntz, content binary"
     )
-    empty = listed.join(scan.select(_relative(F.col("path"), root).alias("path")), "path",
-                        "left_anti")
-    return found.select("path", "length", "md5", "mtime", "kind").unionByName(
-        empty.select(
-            "path",
-            F.lit(0).cast("bigint").alias("length"),
-            F.lit(EMPTY_MD5).alias("md5"),
-            F.lit(None).cast("timestamp_ntz").alias("mtime"),
-            F.lit("empty").alias("kind"),
-        )
+    return contents.select("path", *content_facts(F.col("content")), "mtime").select(
+        "path", "length", "md5", "mtime", "kind"
     )
 
 

@@ -1,10 +1,13 @@
 """Landing scan, versioned tables and summaries on small inputs."""
 
+import datetime
+import hashlib
+
 from pyspark.sql import functions as F
 
 from docintake.config import EMPTY_MD5
 from docintake.operators.skew import lookup, numbered
-from docintake.sources.landing import scan_landing_files
+from docintake.sources.landing import list_files, scan_landing_files
 from docintake.sources.tables import TableStore
 
 
@@ -19,6 +22,30 @@ def test_scan_lists_empty_files(spark, tmp_path):
     assert rows["ingress/a b%/empty.txt"]["length"] == 0
 
 
+def test_listing_by_levels(spark, tmp_path):
+    """Thousands of files at several depths, hidden ones left out, none passing the driver."""
+    want = {}
+    for i in range(3000):
+        path = tmp_path / "zone" / f"a{i % 7}" / f"k=ü {i % 3}" / f"{i}.txt"
+        path.parent.mkdir(parents=True, exist_ok=True)
+        path.write_text("x" * (i % 5))
+        want[str(path.relative_to(tmp_path))] = i % 5
+    (tmp_path / "zone" / "top.txt").write_text("top")
+    want["zone/top.txt"] = 3
+    for hidden in ("_SUCCESS", ".crc", "_tmp/x"):
+        path = tmp_path / "zone" / hidden
+        path.parent.mkdir(exist_ok=True)
+        path.write_text("h")
+    got = scan_landing_files(spark, f"file:{tmp_path}/", "zone").collect()
+    assert {r.path: r.length for r in got} == want and len(got) == len(want)
+    for r in got[:20]:
+        path = tmp_path / r.path
+        assert r.md5 == hashlib.md5(path.read_bytes()).hexdigest()
+        moment = datetime.datetime.fromtimestamp(path.stat().st_mtime, datetime.timezone.utc)
+        assert abs((r.mtime.replace(tzinfo=datetime.timezone.utc) - moment).total_seconds()) < 0.01
+    assert list_files(spark, str(tmp_path), "nowhere").count() == 0
+
+
 def test_store_versions(spark, tmp_path):
     store = TableStore(spark, str(tmp_path / "s"))
     schema = "doc_id string, hash string"
