@@ -252,7 +252,39 @@ edges AS (
     'unpack', NULL, NULL FROM documents WHERE doc_id % 8 IN (0, 5))
 """
 
+LAYERED_OPERATIONS = """
+WITH RECURSIVE changes AS (
+    SELECT 'local/p' || p_partkey AS path, CASE WHEN p_partkey % 10 = 9 THEN 'ingress/p' || p_partkey
+        WHEN p_partkey % 10 > 0 THEN 'local/p' || (p_partkey + 1) END AS source FROM part
+    UNION ALL SELECT 'local/c' || c_custkey, 'local/c' || (c_custkey - c_custkey % 4 + (c_custkey + 1) % 4) FROM customer
+    UNION ALL SELECT 'local/s' || s_suppkey, 'local/s' || (s_suppkey - s_suppkey % 5) FROM supplier
+), puts AS (SELECT * FROM changes WHERE source <> path),
+follows AS (SELECT a.path, b.path AS after FROM puts a JOIN puts b ON a.source = b.path),
+reach AS (
+    SELECT path, after FROM follows UNION SELECT reach.path, follows.after FROM reach JOIN follows ON reach.after = follows.path
+), aside AS (
+    SELECT DISTINCT min(after) AS path FROM reach WHERE path IN (SELECT path FROM reach r WHERE r.path = r.after) GROUP BY reach.path
+), open_follows AS (SELECT * FROM follows WHERE after NOT IN (SELECT path FROM aside)),
+way AS (
+    SELECT path, path AS last, 0 AS steps FROM puts WHERE path NOT IN (SELECT path FROM open_follows)
+    UNION ALL SELECT f.path, way.last, way.steps + 1 FROM way JOIN open_follows f ON f.after = way.path
+), placed AS (
+    SELECT (max(steps) OVER (PARTITION BY last) - steps + 1)::BIGINT AS layer, path AS to_path,
+        CASE WHEN source IN (SELECT path FROM aside) THEN source || '.aside' ELSE source END AS from_path
+    FROM way JOIN puts USING (path)
+), wanted AS (SELECT from_path, count(*) AS n, max(layer) AS last_read FROM placed GROUP BY ALL),
+gone AS (
+    SELECT path AS from_path FROM changes WHERE source IS NULL UNION ALL SELECT path || '.aside' FROM aside
+)
+SELECT layer, CASE WHEN n = 1 AND from_path NOT IN (SELECT path FROM changes WHERE source = path)
+    THEN 'move' ELSE 'copy' END AS op, from_path, to_path FROM placed JOIN wanted USING (from_path)
+UNION ALL SELECT 0, 'move', path, path || '.aside' FROM aside
+UNION ALL SELECT coalesce(last_read + 1, 0), 'remove', from_path, NULL FROM gone LEFT JOIN wanted USING (from_path)
+    WHERE n IS NULL OR n > 1
+"""
+
 ORACLES = {
+    "layered_operations": LAYERED_OPERATIONS,
     "decode_messages": """
 SELECT doc_id AS seq, doc_id % 19 <> 0 AND doc_id % 23 <> 0 AS good,
   CASE WHEN doc_id % 19 <> 0 AND doc_id % 23 <> 0 THEN 'ingress/' || source || '/' || doc_id || '.txt' END AS source,

@@ -22,6 +22,7 @@ from docintake.operators import (
     catalog as catalog_ops,
     lineage,
     matching,
+    ordering,
     metrics,
     redirects,
     runs,
@@ -754,6 +755,11 @@ def _queue(spark, batches, folder, rows_per_file=50_000):
     )
 
 
+def layered_operations(spark, sf_dir):
+    """Renames in chains, rings and with shared sources, as layers of file operations."""
+    return ordering.layered_operations(w.renames(spark, sf_dir))
+
+
 def ingest_stream_catalog(spark, sf_dir):
     """Landing messages through the stream, in two micro-batches, into a table store."""
     folder = _scratch(spark)
@@ -820,7 +826,7 @@ QUERIES = {
         endpoint_profile, detect_mimetype, file_attrs, catalog_source, fill_uuid,
         match_local, match_remote, latest_and_archivable, content_dedup, resolve_redirects,
         follow_to_payload, content_type_extension, document_targets, validate_messages,
-        verify_window, target_occupancy, plan_file_actions, path_actions, new_catalog_rows,
+        verify_window, target_occupancy, plan_file_actions, path_actions, layered_operations, new_catalog_rows,
         append_new, consolidate_origins, merge_tags, merge_metadata, upsert_catalog,
         delete_superseded, delete_lineage, delete_zero_length, update_lineage, confirm_updates,
         document_size_summary, fetch_latency_summary, file_operation_summary,

@@ -405,3 +405,24 @@ def families(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     return {
         "raw": asked, "files": landed.unionByName(stored), "catalog": rows.to(empty),
     }
+
+
+def renames(spark, sf_dir):
+    """Changes of paths at once: chains of parts, rings of customers, suppliers sharing files."""
+    part, ring, group = F.col("p_partkey"), F.col("c_custkey"), F.col("s_suppkey")
+
+    def path(kind, key):
+        return F.concat(F.lit(f"local/{kind}"), key.cast("string"))
+
+    chains = table(spark, sf_dir, "part").select(
+        path("p", part).alias("path"),
+        F.when(part % 10 == 9, F.concat(F.lit("ingress/p"), part.cast("string")))
+        .when(part % 10 > 0, path("p", part + 1)).alias("source"),
+    )
+    rings = table(spark, sf_dir, "customer").select(
+        path("c", ring).alias("path"), path("c", ring - ring % 4 + (ring + 1) % 4).alias("source")
+    )
+    shared = table(spark, sf_dir, "supplier").select(
+        path("s", group).alias("path"), path("s", group - group % 5).alias("source")
+    )
+    return chains.unionByName(rings).unionByName(shared)
