@@ -41,3 +41,34 @@ def latency_summary(log: DataFrame, labels: list[str]) -> DataFrame:
 
 def outcome_counts(outcomes: DataFrame) -> DataFrame:
     return outcomes.groupBy("consumer", "result").agg(F.count(F.lit(1)).alias("n"))
+
+
+# Allowed rank errors of the reported quantiles.
+RANK_ERRORS = (0.05, 0.01)
+SKETCH_K = 800  # a rank error of a third of a percent
+
+
+def summary_sketches(df: DataFrame, labels: list[str], value: str) -> DataFrame:
+    """Count, sum and a mergeable quantile sketch of ``value`` by label, for one batch.
+
+    The rows of several batches are put together by :func:`merged_summary`, so that a running
+    summary reads a row a label and batch and never the values again.
+    """
+    return df.groupBy(*labels).agg(
+        F.count(value).alias("n"),
+        F.sum(value).alias("total"),
+        F.kll_sketch_agg_double(F.col(value).cast("double"), SKETCH_K).alias("sketch"),
+    )
+
+
+def merged_summary(batches: DataFrame, labels: list[str]) -> DataFrame:
+    """Labels, n, total and the quantiles q50 and q90 over all batches' sketches."""
+    merged = batches.groupBy(*labels).agg(
+        F.sum("n").alias("n"), F.sum("total").alias("total"),
+        F.kll_merge_agg_double("sketch", SKETCH_K).alias("sketch"),
+    )
+    quantiles = [
+        F.when(F.col("n") > 0, F.kll_sketch_get_quantile_double("sketch", F.lit(q))).alias(name)
+        for q, name in zip(QUANTILES, ("q50", "q90"))
+    ]
+    return merged.select(*labels, "n", "total", *quantiles)

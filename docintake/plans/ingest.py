@@ -23,7 +23,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from docintake.config import DEFAULT, IntakeConfig
@@ -61,13 +61,17 @@ from docintake.operators.targets import (
 )
 from docintake.schema import META, ORIGIN
 from docintake.session import cut, remove_folder, run_folder
-from docintake.sources.sinks import emit_errors, emit_notifications
+from docintake.sources.sinks import ERROR_TEXT, emit_errors, emit_notifications
 
 
 #: Arrival numbers whose steps are composed together where a path may have many messages.
 PIECE = 100_000
 
 
+#: Every way a message can end.
+OUTCOMES = ("ok", "zero_length", *ERROR_TEXT)
+
+
 @dataclass
 class IngestResult:
     catalog: DataFrame
@@ -85,6 +89,7 @@ class IngestResult:
     changed_files: DataFrame
     deleted_files: DataFrame
     failed: DataFrame
+    counts: dict[str, int]
     rounds: int
     scratch: str
 
@@ -855,8 +860,12 @@ def _ingest(
     outcome = F.when(F.col("ok"), F.lit("ok")).otherwise(
         F.coalesce("error", F.lower("action"))
     )
+    # counted while they are written, without a pass of their own
+    seen = Observation()
     outcomes = cut(
-        final.withColumn("outcome", outcome).withColumn("consumer", F.lit(cfg.consumer))
+        final.withColumn("outcome", outcome)
+        .withColumn("consumer", F.lit(cfg.consumer))
+        .observe(seen, *[F.count_if(F.col("outcome") == o).alias(o) for o in OUTCOMES])
     )
 
     changes = _document_changes(outcomes, facts, rows, cfg)
@@ -927,6 +936,7 @@ def _ingest(
         changed_files=moved.where("content IS NOT NULL").select("path", "content.*"),
         deleted_files=moved.where("content IS NULL").select("path"),
         failed=failed,
+        counts={o: n for o, n in seen.get.items() if n},
         rounds=rounds,
         scratch=scratch,
     )

@@ -33,7 +33,7 @@ def _names(spark: SparkSession, folder: str) -> list[str]:
     return [s.getPath().getName() for s in fs.listStatus(path)]
 
 
-def _complete(spark: SparkSession, folder: str) -> bool:
+def is_complete(spark: SparkSession, folder: str) -> bool:
     return "_SUCCESS" in _names(spark, folder)
 
 
@@ -46,7 +46,7 @@ class TableStore:
         found = []
         for name in _names(self.spark, f"{self.path}/commits"):
             number, _, kind = name.partition("-")
-            if _complete(self.spark, f"{self.path}/commits/{name}"):
+            if is_complete(self.spark, f"{self.path}/commits/{name}"):
                 found.append((int(number), kind == "full"))
         return sorted(found)
 

@@ -9,18 +9,25 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from docintake.config import DEFAULT, IntakeConfig
+from docintake.functions.uris import scheme_label, scheme_of
+from docintake.operators.catalog import confirm_updates
+from docintake.operators.metrics import merged_summary, summary_sketches
 from docintake.operators.runs import retry_candidates
 from docintake.plans.ingest import ingest_batch
 from docintake.schema import MESSAGE
 from docintake.session import cut, remove_folder, run_folder
 from docintake.sources.messages import decode_messages
-from docintake.sources.tables import TableStore
+from docintake.sources.sinks import emit_errors
+from docintake.sources.tables import TableStore, is_complete
 
 
 # Fixed value: what may come right by itself, so that it is tried again.
 RETRIED = ("file_not_found", "no_document", "missing_target", "update_failed")
 
 
+SIZE_LABELS = ["scheme", "action"]
+
+
 def take_in(
     raw: DataFrame,
     batch_id: int,
@@ -39,6 +46,7 @@ def take_in(
     """
     last = store.last_batch()
     if last is not None and batch_id <= last:
+        confirm(store, batch_id, cfg)  # the run before may have ended between the two
         return
     spark = raw.sparkSession
     with run_folder(spark) as scratch:
@@ -70,6 +78,19 @@ def take_in(
         )
         errors.write.mode("overwrite").parquet(f"{out}/errors/{number}")
         result.actions.write.mode("overwrite").parquet(f"{out}/actions/{number}")
+        counts = spark.createDataFrame(list(result.counts.items()), "outcome string, n bigint")
+        counts.coalesce(1).write.mode("overwrite").parquet(f"{out}/counts/{number}")
+        sizes = result.outcomes.where("outcome = 'ok'").select(
+            F.coalesce(scheme_label(scheme_of(F.col("uri"))), F.lit("file")).alias("scheme"),
+            "action", "length",
+        )
+        summary_sketches(sizes, SIZE_LABELS, "length").write.mode("overwrite").parquet(
+            f"{out}/sizes/{number}"
+        )
+        updated = result.outcomes.where("outcome = 'ok'").select("seq", "doc_id").join(
+            result.changed_rows.select("doc_id"), "doc_id", "left_semi"
+        )
+        good.join(updated, "seq").write.mode("overwrite").parquet(f"{out}/expected/{number}")
         changed_files = result.changed_files.select(files.columns)
         if landed is not None:
             touched = changed_files.select("path").union(result.deleted_files)
@@ -93,9 +114,47 @@ def take_in(
         )
         result.release()
     remove_folder(spark, scratch)
+    confirm(store, batch_id, cfg)
     store.compact_if_long()
 
 
+def confirm(store: TableStore, batch_id: int, cfg: IntakeConfig = DEFAULT) -> None:
+    """Look for a committed batch's documents in what its commit wrote.
+
+    Messages whose document is not there end as ``update_failed``: they wait in ``retries``, or
+    are listed in ``out/unconfirmed`` once they were tried often enough. A batch is confirmed
+    once; a confirmation that was broken off is done again, with the same result.
+    """
+    spark, number = store.spark, f"batch={batch_id}"
+    done = f"{store.path}/out/confirmed/{number}"
+    commits = spark.read.schema("batch_id bigint").json(f"{store.path}/commits/*")
+    name = F.element_at(F.split("_metadata.file_path", "/"), -2)
+    row = commits.where((F.col("batch_id") == batch_id) & name.endswith("-part")).agg(F.min(name)).first()
+    if row[0] is None or is_complete(spark, done):
+        return
+    version = int(row[0].split("-")[0])
+    expected = spark.read.parquet(f"{store.path}/out/expected/{number}")
+    stored = spark.read.parquet(f"{store.path}/catalog/changed/version={version}")
+    with run_folder(spark) as scratch:
+        checked = cut(confirm_updates(expected, stored.select("doc_id")).where("NOT confirmed"))
+        if not checked.isEmpty():
+            waiting = store.load("retries")
+            failed = checked.withColumn("outcome", F.lit("update_failed"))
+            again = cut(retry_candidates(failed, cfg.max_retries))
+            store.commit_changes({"retries": again.select(waiting.columns)})
+            lost = failed.join(again.select("seq"), "seq", "left_anti")
+            emit_errors(lost.withColumn("raw", F.col("source"))).write.mode("overwrite").parquet(
+                f"{store.path}/out/unconfirmed/{number}"
+            )
+        remove_folder(spark, scratch)
+    spark.range(1).coalesce(1).write.mode("overwrite").json(done)
+
+
+def size_summary(store: TableStore) -> DataFrame:
+    """Sizes of all documents taken in so far by scheme and action, from the batches' sketches."""
+    return merged_summary(store.spark.read.parquet(f"{store.path}/out/sizes"), SIZE_LABELS)
+
+
 def new_store(
     spark, path: str, catalog: DataFrame, mappings: DataFrame, flags: DataFrame, files: DataFrame
 ) -> TableStore:

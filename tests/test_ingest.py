@@ -2,6 +2,7 @@
 
 import datetime
 import random
+from collections import Counter
 
 import pytest
 from pyspark.sql import functions as F
@@ -127,6 +128,7 @@ def check(spark, model, messages, data, cfg, hot_rows):
     got = {r["seq"]: (r["outcome"], r["doc_id"]) for r in result.outcomes.collect()}
     assert {k: (v, model.outcomes.get(k)) for k, v in got.items() if v != model.outcomes.get(k)} == {}
     assert len(got) == len(messages)
+    assert result.counts == Counter(outcome for outcome, _ in got.values())
 
     rows = {r["doc_id"]: r for r in result.catalog.collect()}
     assert set(rows) == set(model.catalog)

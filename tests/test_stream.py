@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from docintake.config import IntakeConfig
-from docintake.streaming.intake import new_store, take_in
+from docintake.streaming.intake import new_store, size_summary, take_in
 from tests.sequential_model import AS_OF_SECONDS, Model, digest
 from tests.test_ingest import frames, stamp, universe
 
@@ -123,3 +123,62 @@ def test_compaction_keeps_the_state(spark, tmp_path):
     before = state(store)
     store.compact(store.last_batch())
     assert state(store) == before and store.last_batch() == 4
+
+
+def test_rows_lost_in_a_commit_are_found(spark, tmp_path, monkeypatch):
+    """A row that does not reach the commit sends its message to the retries, or is reported."""
+    files = {f"ingress/{i}.txt": (digest(str(i)), 10 * i) for i in range(1, 4)}
+    data = frames(spark, (files, [], {}, {}, [], []), [])
+    store = start(spark, tmp_path, data)
+    messages = [dict(seq=i, source=f"ingress/{i}.txt", origins=[], tags=[], derivative=None, verify=False)
+                for i in range(1, 4)]
+    commit = store.commit_changes
+
+    def losing(changed, *rest):
+        if "catalog" in changed:
+            kept = changed["catalog"].where(F.col("source") != "local/2.txt")
+            changed = {**changed, "catalog": kept}
+        return commit(changed, *rest)
+
+    monkeypatch.setattr(store, "commit_changes", losing)
+    for _ in range(2):  # a repeated batch changes nothing
+        take_in(raw_of(spark, messages[:2]), 0, store, None, data["captures"], as_of(), IntakeConfig(max_retries=1))
+        assert [(r.seq, r.attempt) for r in store.load("retries").collect()] == [(2, 1)]
+    take_in(raw_of(spark, messages[2:]), 1, store, None, data["captures"], as_of(), IntakeConfig(max_retries=0))
+    assert {r.source for r in store.load("catalog").collect()} == {"local/1.txt", "local/3.txt"}
+    counts = spark.read.parquet(f"{store.path}/out/counts").groupBy("outcome").agg(F.sum("n").alias("n"))
+    assert {r.outcome: r.n for r in counts.collect()} == {"ok": 3, "file_not_found": 1}
+    sizes = [tuple(r) for r in size_summary(store).collect()]
+    assert sizes == [("file", "MOVE", 3, 60, 20.0, 30.0)]
+
+
+def test_unconfirmed_updates_are_listed(spark, tmp_path, monkeypatch):
+    data = frames(spark, ({"ingress/a.txt": (digest("a"), 1)}, [], {}, {}, [], []), [])
+    store = start(spark, tmp_path, data)
+    commit = store.commit_changes
+    monkeypatch.setattr(store, "commit_changes", lambda changed, *rest: commit(
+        {n: d.limit(0) if n == "catalog" else d for n, d in changed.items()}, *rest))
+    message = dict(seq=7, source="ingress/a.txt", origins=[], tags=[], derivative=None, verify=False)
+    take_in(raw_of(spark, [message]), 3, store, None, data["captures"], as_of(), IntakeConfig(max_retries=0))
+    rows = spark.read.parquet(f"{store.path}/out/unconfirmed").collect()
+    assert [(r.seq, r.outcome) for r in rows] == [(7, "update_failed")]
+    assert store.load("retries").count() == 0
+
+
+def test_merged_summaries(spark):
+    from docintake.operators.metrics import RANK_ERRORS, merged_summary, summary_sketches
+
+    rng = random.Random(9)
+    rows = [(f"l{i % 3}", i % 5, rng.expovariate(0.01)) for i in range(6000)] + [("none", 0, None)]
+    df = spark.createDataFrame(rows, "label string, batch int, v double")
+    parts = [summary_sketches(df.where(f"batch = {b}"), ["label"], "v") for b in range(5)]
+    stored = parts[0]
+    for part in parts[1:]:
+        stored = stored.unionByName(part)
+    got = {r.label: r for r in merged_summary(stored, ["label"]).collect()}
+    assert len(got) == 4 and got["none"].q50 is None
+    for label in ("l0", "l1", "l2"):
+        values = sorted(v for name, _, v in rows if name == label)
+        for q, allowed, found in zip((0.5, 0.9), RANK_ERRORS, (got[label].q50, got[label].q90)):
+            assert abs(sum(v <= found for v in values) / len(values) - q) <= allowed
+        assert got[label].n == len(values)
