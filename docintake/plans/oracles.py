@@ -252,6 +252,21 @@ edges AS (
     'unpack', NULL, NULL FROM documents WHERE doc_id % 8 IN (0, 5))
 """
 
+SUPPRESS_STREAM = """
+WITH RECURSIVE run AS (
+    SELECT user_id::VARCHAR AS doc_id, event_id AS seq, ts,
+        row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS nth FROM events
+), walk AS (
+    SELECT doc_id, seq, ts, nth, ts AS started, false AS too_recent FROM run WHERE nth = 1
+    UNION ALL
+    SELECT run.doc_id, run.seq, run.ts, run.nth,
+        CASE WHEN run.ts - walk.started < INTERVAL 6 HOUR THEN walk.started ELSE run.ts END,
+        run.ts - walk.started < INTERVAL 6 HOUR
+    FROM walk JOIN run ON run.doc_id = walk.doc_id AND run.nth = walk.nth + 1
+)
+SELECT doc_id, seq, too_recent FROM walk
+"""
+
 LAYERED_OPERATIONS = """
 WITH RECURSIVE changes AS (
     SELECT 'local/p' || p_partkey AS path, CASE WHEN p_partkey % 10 = 9 THEN 'ingress/p' || p_partkey
@@ -284,6 +299,10 @@ UNION ALL SELECT coalesce(last_read + 1, 0), 'remove', from_path, NULL FROM gone
 """
 
 ORACLES = {
+    "suppress_stream": SUPPRESS_STREAM,
+    "running_size_summary": _with(OPS)
+    + "SELECT scheme, mimetype, count(*) AS n, CAST(sum(bytes) AS BIGINT) AS total, "
+    "true AS q50_near, true AS q90_near FROM ops GROUP BY scheme, mimetype",
     "layered_operations": LAYERED_OPERATIONS,
     "decode_messages": """
 SELECT doc_id AS seq, doc_id % 19 <> 0 AND doc_id % 23 <> 0 AS good,

@@ -31,8 +31,9 @@ from docintake.operators import (
 from docintake.plans import workload as w
 from docintake.plans.ingest import IngestResult, ingest_batch, message_facts
 from docintake.schema import HEADERS, ORIGIN
-from docintake.session import cut, ensure_checkpoint_dir
+from docintake.session import cut, ensure_checkpoint_dir, prepare_python
 from docintake.sources import landing, messages as message_source, sinks, tables
+from docintake.streaming import suppression
 from docintake.streaming.intake import ingest_stream, new_store
 
 
@@ -741,20 +742,65 @@ def message_sources(spark, sf_dir):
     )
 
 
-def _queue(spark, batches, folder, rows_per_file=50_000):
-    """A stream that takes each of ``batches`` in one trigger, from as many files as it needs."""
+def _queue(batches, folder, rows_per_file=50_000):
+    """Write batches, each in as many files as it needs; options to read one in a trigger."""
     batches = [b.persist() for b in batches]
     files = max(1, -(-max(b.count() for b in batches) // rows_per_file))
     for batch in batches:
         # rows are dealt in turn, so that no file is empty and a trigger takes one batch
         batch.repartition(files).write.mode("append").parquet(f"{folder}/queue")
         batch.unpersist()
-    options = {"maxFilesPerTrigger": str(files)}
+    return {"maxFilesPerTrigger": str(files)}
+
+
+def _message_queue(spark, batches, folder):
+    options = _queue(batches, folder)
     return message_source.message_stream(
         spark, "parquet", options, f"{folder}/queue", "seq bigint, value string"
     )
 
 
+def suppress_stream(spark, sf_dir):
+    """Events as runs of their user's document, in two triggers, at most one in six hours."""
+    folder = _scratch(spark)
+    runs = w.table(spark, sf_dir, "events").select(
+        F.col("user_id").cast("string").alias("doc_id"), F.col("event_id").alias("seq"),
+        F.col("ts").cast("timestamp").alias("ts"),
+    )
+    middle = F.timestamp_micros(F.lit(1_705_276_800_000_000))  # the middle of the month
+    halves = [runs.where(F.col("ts") < middle), runs.where(F.col("ts") >= middle)]
+    reader = spark.readStream.options(**_queue(halves, folder)).schema("doc_id string, seq bigint, ts timestamp")
+    stream = reader.parquet(f"{folder}/queue")
+    prepare_python(spark)
+    query = (
+        suppression.mark_recent(stream, 6 * 3600).writeStream.format("parquet").outputMode("append")
+        .option("checkpointLocation", f"{folder}/state").trigger(availableNow=True)
+        .start(f"{folder}/out")
+    )
+    query.awaitTermination()
+    return spark.read.schema(suppression.MARKED).parquet(f"{folder}/out").select(
+        "doc_id", "seq", "too_recent"
+    )
+
+
+def running_size_summary(spark, sf_dir):
+    """Sizes by scheme and type from the sketches of seven batches, and if they are near enough."""
+    labels = ["scheme", "mimetype"]
+    log = w.operation_log(spark, sf_dir).withColumn("scheme", uris.scheme_label(F.col("scheme")))
+    batch = F.pmod(F.col("bytes"), F.lit(7)).alias("batch")
+    parts = cut(metrics.summary_sketches(log.select(*labels, batch, "bytes"), [*labels, "batch"], "bytes"))
+    found = metrics.merged_summary(parts, labels)
+    ranks = log.join(F.broadcast(found), labels).groupBy(*labels).agg(
+        F.any_value("n").alias("n"), F.any_value("total").alias("total"),
+        *[F.avg((F.col("bytes") <= F.col(q)).cast("int")).alias(q) for q in ("q50", "q90")],
+    )
+    near = [
+        (F.abs(F.col(q) - share) <= allowed).alias(f"{q}_near")
+        for q, share, allowed in zip(("q50", "q90"), metrics.QUANTILES, metrics.RANK_ERRORS)
+    ]
+    return ranks.select(*labels, "n", "total", *near)
+
+
 def layered_operations(spark, sf_dir):
     """Renames in chains, rings and with shared sources, as layers of file operations."""
     return ordering.layered_operations(w.renames(spark, sf_dir))
@@ -771,7 +817,7 @@ def ingest_stream_catalog(spark, sf_dir):
         "seq", F.to_json(F.struct("source", "tags", "metadata", "derivative", "verify")).alias("value")
     )
     half = F.pmod(F.floor(F.col("seq") / 8), F.lit(2))
-    stream = _queue(spark, [raw.where(half == part) for part in (0, 1)], folder)
+    stream = _message_queue(spark, [raw.where(half == part) for part in (0, 1)], folder)
     query = ingest_stream(
         stream, store, w.captures(spark, sf_dir), f"{folder}/state", as_of=w.as_of()
     )
@@ -799,7 +845,7 @@ def ingest_stream_families(spark, sf_dir):
         w.flags(spark, sf_dir).limit(0), made["files"],
     )
     halves = [made["raw"].where(f"batch = {part}").select("seq", "value") for part in (0, 1)]
-    stream = _queue(spark, halves, folder)
+    stream = _message_queue(spark, halves, folder)
     ingest_stream(
         stream, store, w.captures(spark, sf_dir), f"{folder}/state", as_of=w.as_of(),
         cfg=IntakeConfig(recent_tolerance=None),
@@ -826,7 +872,8 @@ QUERIES = {
         endpoint_profile, detect_mimetype, file_attrs, catalog_source, fill_uuid,
         match_local, match_remote, latest_and_archivable, content_dedup, resolve_redirects,
         follow_to_payload, content_type_extension, document_targets, validate_messages,
-        verify_window, target_occupancy, plan_file_actions, path_actions, layered_operations, new_catalog_rows,
+        verify_window, target_occupancy, plan_file_actions, path_actions, layered_operations,
+        new_catalog_rows, suppress_stream, running_size_summary,
         append_new, consolidate_origins, merge_tags, merge_metadata, upsert_catalog,
         delete_superseded, delete_lineage, delete_zero_length, update_lineage, confirm_updates,
         document_size_summary, fetch_latency_summary, file_operation_summary,
