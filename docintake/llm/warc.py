@@ -1,10 +1,13 @@
 """WARC records in ZIP packages: writing, and reading by ranges without extraction.
 
-A package is a ZIP archive with two stored members: ``archive/data.warc.gz``, WARC records
-that are each a gzip member of their own, and ``indexes/index.cdxj``, one line for each
-record with its offset and length. The reader parses the end record, the ZIP64 records and
-the central directory, checks the local header of a stored member to find its bytes, reads
-the index, and then reads each record by its range. Nothing is unpacked as a whole.
+A package is a ZIP archive with stored members below ``archive/`` (WARC records, plain or each
+a gzip member of its own) and indexes below ``indexes/``. The reader parses the end record, the
+ZIP64 records and the central directory, finds all members of either kind, checks the local
+header of each to find its bytes, reads the indexes (CDXJ, or CDX with or without its legend,
+also compressed), and then reads each record by its range. A member that no index line names is
+read record by record. Nothing is unpacked as a whole. Written packages have one member and
+one sorted CDXJ index. Packages of others may have records of other types, headers in any case
+and any digest; a payload is checked against a SHA-1 of its own, unless it is encoded.
 
 Tasks write packages of bounded size to a folder that all executors share, under names of
 their own; a package counts only if the manifest of the finished job lists it, so a task that
@@ -13,7 +16,8 @@ is lost or run twice leaves files that nobody reads. Readers get the manifest's
 Equal payloads of at least ``LEAST`` bytes are written once, as the response with the
 largest id; the other records are revisits that refer to it. Smaller ones are all
 responses. Null payloads are empty. Rows that repeat an id are records of their own: all
-rows of the largest id are responses. A null id is smaller than any other.
+rows of the largest id are responses. A null id is smaller than any other. Payloads of any
+length are whole records; an empty table gives an empty manifest, and that no records.
 """
 
 from __future__ import annotations
@@ -22,9 +26,11 @@ import base64
 import gzip
 import hashlib
 import json
+import re
 import struct
 import uuid
 import zipfile
+import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -125,6 +131,10 @@ def stored_range(source, member: Member) -> tuple[int, int]:
     """Where the bytes of a stored member begin, and how many they are."""
     if member.method != 0:
         raise ValueError(f"{member.name} is compressed; ranges need a stored member")
+    return _member_range(source, member)
+
+
+def _member_range(source, member: Member) -> tuple[int, int]:
     header = _at(source, member.header, 30)
     if header[:4] != b"PK\x03\x04":
         raise ValueError("broken local header")
@@ -178,22 +188,99 @@ def record_bytes(id_: str, url: str | None, payload: bytes, refers_to: str | Non
 
 
 def _fields(head: bytes) -> dict[str, str]:
-    lines = head.decode("utf-8", "surrogatepass").split("\r\n")[1:]
-    return dict(line.split(": ", 1) for line in lines if ": " in line)
+    """Header fields by lower-case name; a line that begins with a blank goes on the one before."""
+    out: dict[str, str] = {}
+    last = None
+    for line in head.decode("utf-8", "replace").replace("\r\n", "\n").split("\n")[1:]:
+        name, colon, value = line.partition(":")
+        if line[:1] in (" ", "\t") and last is not None:
+            out[last] += " " + line.strip()
+        elif colon:
+            last = name.strip().lower()
+            out[last] = value.strip()
+    return out
+
+
+def _split(data: bytes) -> tuple[bytes, bytes]:
+    """Header and what comes after its empty line."""
+    ends = [(at, len(mark)) for mark in (b"\r\n\r\n", b"\n\n") if (at := data.find(mark)) >= 0]
+    at, size = min(ends, default=(len(data), 0))
+    return data[:at], data[at + size :]
 
 
 def parse_record(raw: bytes) -> Record:
-    data = gzip.decompress(raw)
-    head, _, rest = data.partition(b"\r\n\r\n")
+    """A record, plain or as a gzip member. Only HTTP messages have a header of their own."""
+    data = gzip.decompress(raw) if raw[:2] == b"\x1f\x8b" else raw
+    head, rest = _split(data)
     headers = _fields(head)
-    block = rest[: int(headers["Content-Length"])]
-    http, _, payload = block.partition(b"\r\n\r\n")
-    return Record(headers, _fields(http), payload)
+    block = rest[: int(headers["content-length"])]
+    if headers.get("content-type", "").startswith("application/http"):
+        http, payload = _split(block)
+        return Record(headers, _fields(http), payload)
+    return Record(headers, {}, block)
+
+
+def walk(source, begin: int, size: int) -> Iterator[bytes]:
+    """Records of a member one after the other, without an index."""
+    at, end, held = begin, begin + size, b""
+
+    def more() -> bytes:
+        nonlocal at
+        part = _at(source, at, min(1 << 20, end - at))
+        at += len(part)
+        return part
+
+    while held or at < end:
+        held = held or more()
+        if held[:2] == b"\x1f\x8b":
+            unzip, out = zlib.decompressobj(31), []
+            while not unzip.eof:
+                out.append(unzip.decompress(held or more()))
+                held = unzip.unused_data
+            yield b"".join(out)
+            continue
+        held = held.lstrip(b"\r\n")
+        if not held:
+            continue
+        while len(_split(held)[0]) == len(held) and at < end:
+            held += more()
+        head, rest = _split(held)
+        need = len(held) - len(rest) + int(_fields(head)["content-length"])
+        while len(held) < need:
+            held += more()
+        yield held[:need]
+        held = held[need:]
+
+
+def index_entries(text: bytes) -> Iterator[tuple[str | None, int, int]]:
+    """File name (None: not said), offset and length of each line of a CDXJ or CDX index."""
+    legend = "N b a m s k r M S V g".split()  # the usual columns
+    for line in text.decode("utf-8", "replace").split("\n"):
+        brace, parts = line.find("{"), line.split()
+        if brace >= 0:
+            entry = json.loads(line[brace:])
+            if "offset" in entry:
+                yield entry.get("filename"), int(entry["offset"]), int(entry["length"])
+        elif parts[:1] == ["CDX"]:
+            legend = parts[1:]
+        elif parts:
+            entry = dict(zip(legend, parts))
+            yield entry.get("g"), int(entry["V"]), int(entry["S"])
 
 
 # --- packages -----------------------------------------------------------------------
 
 
+def index_key(url: str | None) -> str:
+    """Sort key of an index line: the host from its end on, then the path."""
+    scheme, mark, rest = (url or "").partition("://")
+    if not mark:
+        return "-"
+    host = re.match("[^/?#]*", rest).group()
+    key = ",".join(reversed(host.lower().split("."))) + ")" + rest[len(host) :]
+    return re.sub(r"[\s{}]", lambda m: "%" + m.group().encode().hex(), key)
+
+
 class _Package:
     """A package that is being written; its index is kept until it is closed."""
 
@@ -207,14 +294,15 @@ class _Package:
         self.size = 0
 
     def add(self, id_: str, url: str | None, raw: bytes) -> None:
-        line = {"offset": self.size, "length": len(raw), "id": id_, "url": url}
-        self.index.append(json.dumps(line))
+        entry = {"url": url, "offset": str(self.size), "length": str(len(raw)), "filename": DATA.split("/")[1]}
+        stamp = "".join(c for c in _DATE if c.isdigit())
+        self.index.append(f"{index_key(url)} {stamp} {json.dumps(entry)}")
         self.data.write(raw)
         self.size += len(raw)
 
     def close(self) -> tuple[str, int, int]:
         self.data.close()
-        self.zip.writestr(INDEX, "".join(line + "\n" for line in self.index))
+        self.zip.writestr(INDEX, "".join(line + "\n" for line in sorted(self.index)))
         self.zip.close()
         size = self.stream.tell()
         self.stream.close()
@@ -256,7 +344,7 @@ def write_packages(spark: SparkSession, pages: DataFrame, folder: str | None = N
     store.create_dir(path, recursive=True)
     rows = pages.select(
         F.coalesce(F.col("page_id").cast("string"), F.lit("")).alias("id"),
-        F.col("page_id").cast("bigint").alias("number"),
+        F.col("page_id").cast("string").try_cast("bigint").alias("number"),
         "url",
         F.coalesce(F.col("html"), F.lit("")).cast("binary").alias("payload"),
     )
@@ -264,12 +352,12 @@ def write_packages(spark: SparkSession, pages: DataFrame, folder: str | None = N
     known = rows.select(
         "id", "number", F.sha1("payload").alias("digest"), F.octet_length("payload").alias("bytes")
     ).where(F.col("bytes") >= LEAST)
-    kept = known.groupBy("digest").agg(F.count("*").alias("n"), F.max("number").alias("keeper"))
-    kept = cut(kept.where("n > 1 AND keeper IS NOT NULL").select("digest", "keeper"))
+    largest = F.max(F.struct("number", "id"))["id"].alias("keeper")  # ids that are no numbers as text
+    kept = known.groupBy("digest").agg(F.count("*").alias("n"), largest)
+    kept = cut(kept.where("n > 1 AND keeper <> ''").select("digest", "keeper"))
     digest = F.when(F.octet_length("payload") >= LEAST, F.sha1("payload"))
     marked = rows.withColumn("digest", digest).join(kept, "digest", "left")
-    revisit = F.col("keeper").isNotNull() & ~F.col("number").eqNullSafe(F.col("keeper"))
-    refers = F.when(revisit, F.col("keeper").cast("string")).alias("refers_to")
+    refers = F.when(F.col("id") != F.col("keeper"), F.col("keeper")).alias("refers_to")
     out = marked.select("id", "url", "payload", refers)
     schema = "path string, size long, records long"
     return cut(out.mapInArrow(_write_batches(folder), schema))
@@ -279,7 +367,6 @@ RECORD = (
     "id string, url string, record_type string, payload_bytes long, payload_digest string, "
     "refers_to string, payload binary"
 )
-_URN = len("<urn:page:")
 
 
 def _read_batches(with_payload: bool):
@@ -291,39 +378,72 @@ def _read_batches(with_payload: bool):
     return run
 
 
+def located(source, size: int) -> list[tuple[Member, list[tuple[int, int]]]]:
+    """Every data member of a package, and the ranges that its indexes give for it."""
+    found = members(source, size)
+    data = {
+        m.name.removeprefix("archive/"): (m, set()) for m in found
+        if m.name.startswith("archive/") and not m.name.endswith("/")
+    }
+    for member in found:
+        if not member.name.startswith("indexes/") or member.name.endswith(("/", ".idx")):
+            continue
+        text = _at(source, *_member_range(source, member))
+        text = zlib.decompress(text, -15) if member.method == 8 else text
+        for name, offset, length in index_entries(gzip.decompress(text) if text[:2] == b"\x1f\x8b" else text):
+            if name is None and len(data) == 1:
+                (name,) = data
+            name = (name or "").removeprefix("archive/")
+            if name not in data:
+                raise ValueError(f"{member.name} names {name!r}, which is not in the package")
+            data[name][1].add((offset, length))
+    return [(m, sorted(ranges)) for m, ranges in data.values()]
+
+
 def _records(path: str, with_payload: bool) -> Iterator[pa.RecordBatch]:
     store, plain = _open(path)
     with store.open_input_file(plain) as source:
-        found = {m.name: m for m in members(source, source.size())}
-        begin, _ = stored_range(source, found[DATA])
-        index_at, index_size = stored_range(source, found[INDEX])
         rows = []
-        for line in _at(source, index_at, index_size).splitlines():
-            entry = json.loads(line)
-            raw = _at(source, begin + entry["offset"], entry["length"])
-            rows.append(_row(parse_record(raw), with_payload))
-            if len(rows) >= 256:
-                yield _batch(rows)
-                rows = []
+        for member, ranges in located(source, source.size()):
+            begin, size = stored_range(source, member)
+            found = (_at(source, begin + at, n) for at, n in ranges) if ranges else walk(source, begin, size)
+            for raw in found:
+                rows.append(_row(parse_record(raw), with_payload))
+                if len(rows) >= 256:
+                    yield _batch(rows)
+                    rows = []
         if rows:
             yield _batch(rows)
 
 
+def _name(urn: str | None) -> str | None:
+    return urn and urn.removeprefix("<").removesuffix(">").removeprefix("urn:page:")
+
+
+def _sha1(declared: str | None) -> str | None:
+    """A declared SHA-1 in hexadecimal; None for another digest."""
+    kind, _, value = (declared or "").partition(":")
+    if kind.lower() != "sha1":
+        return None
+    return base64.b32decode(value.upper()).hex() if len(value) == 32 else value.lower()
+
+
 def _row(record: Record, with_payload: bool) -> tuple:
-    headers = record.headers
-    digest = base64.b32decode(headers["WARC-Payload-Digest"].removeprefix("sha1:")).hex()
-    response = headers["WARC-Type"] == "response"
-    if response and hashlib.sha1(record.payload).hexdigest() != digest:
-        raise ValueError(f"the payload of {headers['WARC-Record-ID']} has another digest")
-    refers = headers.get("WARC-Refers-To")
+    headers, http = record.headers, record.http
+    kind, declared = headers.get("warc-type", ""), headers.get("warc-payload-digest")
+    digest, size = _sha1(declared) or declared, len(record.payload)
+    if kind == "revisit":
+        size = int(http.get("content-length", 0))
+    else:
+        own = hashlib.sha1(record.payload).hexdigest()
+        encoded = "transfer-encoding" in http or "content-encoding" in http
+        if kind == "response" and not encoded and (_sha1(declared) or own) != own:
+            raise ValueError(f"the payload of {headers.get('warc-record-id')} has another digest")
+        digest = own
     return (
-        headers["WARC-Record-ID"][_URN:-1],
-        headers.get("WARC-Target-URI"),
-        headers["WARC-Type"],
-        int(record.http["Content-Length"]),
-        digest,
-        refers[_URN:-1] if refers else None,
-        record.payload if with_payload and response else None,
+        _name(headers.get("warc-record-id")), headers.get("warc-target-uri"), kind, size, digest,
+        _name(headers.get("warc-refers-to")),
+        record.payload if with_payload and kind != "revisit" else None,
     )
 
 

@@ -1,5 +1,7 @@
 """Parts of the operators by themselves."""
 
+import gzip
+import hashlib
 import io
 import random
 import re
@@ -314,6 +316,77 @@ def test_warc_round_trip(spark, shared):
     assert bytes(rows["2"].payload) == b"" and rows["2"].url is None
 
 
+def foreign_record(kind, name, payload, http=True, digest=None, gz=True):
+    block = (b"HTTP/1.1 200 OK\r\ncontent-length:%d\r\n\r\n" % len(payload) if http else b"") + payload
+    head = f"WARC/1.0\r\nwarc-type:{kind}\r\nWARC-RECORD-ID: <urn:uuid:{name}>\r\nContent-Type:"
+    head += "application/http;\r\n msgtype=response" if http else "text/plain"
+    if digest:
+        head += f"\r\nWarc-Payload-Digest:{digest}"
+    raw = f"{head}\r\nContent-Length:  {len(block)}\r\n\r\n".encode() + block + b"\r\n\r\n"
+    return gzip.compress(raw) if gz else raw
+
+
+def test_packages_of_others(spark, tmp_path):
+    """Several data members, each kind of index or none, plain records, headers in any case."""
+    sha1 = lambda b: hashlib.sha1(b).hexdigest()
+    records = [
+        ("a", foreign_record("warcinfo", "a", b"software: x", http=False)),
+        ("b", foreign_record("response", "b", b"<p>b</p>", digest="sha1:" + sha1(b"<p>b</p>"))),
+        ("c", foreign_record("resource", "c", b"plain \r\n\r\n text", http=False, digest="md5:0")),
+        ("d", foreign_record("response", "d", b"x" * 3_000_000)), ("e", foreign_record("response", "e", b"")),
+    ]
+    first, second = b"".join(r for _, r in records[:2]), b"".join(r for _, r in records[2:])
+    places, at = {}, 0
+    for k, (name, raw) in enumerate(records):
+        at = 0 if k == 2 else at
+        places[name] = (("one.warc.gz" if k < 2 else "two.warc.gz"), at, len(raw))
+        at += len(raw)
+    cdxj = "".join(f'com,x)/{n} 2020 {{"filename": "{f}", "offset": "{o}", "length": {s}}}\n'
+                   for n, (f, o, s) in places.items())
+    cdx = " CDX N b a m s k r M S V g\n" + "".join(
+        f"com,x)/{n} 2020 http://x/{n} text/html 200 - - - {s} {o} {f}\n" for n, (f, o, s) in places.items())
+    plain = b"".join(foreign_record("response", n, n.encode() * 9, gz=False) for n in "pq")
+    both = {"archive/one.warc.gz": first, "archive/two.warc.gz": second}
+    cases = {
+        "cdxj": {**both, "indexes/index.cdxj": cdxj}, "cdx": {**both, "indexes/x.cdx": cdx},
+        "gz": {**both, "indexes/index.cdx.gz": gzip.compress(cdx.encode())}, "none": {**both, "pages/p.jsonl": "{}"},
+        "plain": {"archive/p.warc": plain},
+        "one": {"archive/data.warc.gz": first, "indexes/index.cdxj": '{"offset": 0, "length": %d}' % len(records[0][1])},
+    }
+    for name, found in cases.items():
+        with zipfile.ZipFile(tmp_path / f"{name}.wacz", "w") as z:
+            for member, content in found.items():
+                deflated = member.endswith(".cdx")
+                z.writestr(member, content, zipfile.ZIP_DEFLATED if deflated else zipfile.ZIP_STORED)
+    want = {("urn:uuid:" + n, len(p), sha1(p)) for n, p in [
+        ("a", b"software: x"), ("b", b"<p>b</p>"), ("c", b"plain \r\n\r\n text"), ("d", b"x" * 3_000_000), ("e", b"")]}
+    for name in cases:
+        manifest = spark.createDataFrame([(str(tmp_path / f"{name}.wacz"),)], "path string")
+        rows = warc.read_packages(manifest).collect()
+        got = {(r.id, r.payload_bytes, r.payload_digest) for r in rows}
+        if name == "plain":
+            assert {(r.id, bytes(r.payload)) for r in rows} == {("urn:uuid:p", b"p" * 9), ("urn:uuid:q", b"q" * 9)}
+        elif name == "one":
+            assert [r.id for r in rows] == ["urn:uuid:a"]
+        else:
+            assert got == want and len(rows) == 5
+    with zipfile.ZipFile(tmp_path / "bad.wacz", "w") as z:
+        z.writestr("archive/a.warc.gz", first)
+        z.writestr("indexes/i.cdxj", '{"filename": "other.warc.gz", "offset": 0, "length": 1}')
+    with pytest.raises(Exception, match="not in the package"):
+        warc.read_packages(spark.createDataFrame([(str(tmp_path / "bad.wacz"),)], "path string")).collect()
+
+
+def test_ids_that_are_no_numbers_and_long_payloads(spark):
+    rows = [("x1", "http://a/", "y" * 2000), ("x2", "http://b/", "y" * 2000), (None, "http://c/", "y" * 2000),
+            ("long", "http://d/", "z" * 5_000_000), ("long2", None, "z" * 5_000_000)]
+    pages = spark.createDataFrame(rows, "page_id string, url string, html string").repartition(3)
+    got = {r.id: r for r in warc.read_packages(warc.write_packages(spark, pages)).collect()}
+    assert got["x2"].record_type == "response" and got["x1"].refers_to == "x2" and got[""].refers_to == "x2"
+    assert got["long"].refers_to == "long2" and got["long"].payload_bytes == 5_000_000
+    assert bytes(got["long2"].payload) == b"z" * 5_000_000
+
+
 def test_templates_that_could_be_forged_are_refused():
     with pytest.raises(ValueError):
         chat.Template(roles={"user": chat.Turn("<u>", "")})
