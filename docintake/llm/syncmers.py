@@ -1,25 +1,25 @@
 """Document fingerprints of closed syncmers.
 
-Letters are the bytes of a text in UTF-8, for texts of every size and script. A k-mer is ``K``
-bytes, its inner substrings are the ``S`` bytes from each of its places on, by their hashes. A
-k-mer is chosen if the smallest of them is its first or its last. The choice depends on nothing
-outside the k-mer, so equal passages have equal anchors wherever they stand, and of any K - S
-neighbouring k-mers at least one is chosen. An anchor is a place and a hash of the k-mer there.
-
-As the choice is free of context, a text put together from parts of others has their anchors,
-and only the k-mers across a seam are looked at again: the anchors of an edited text cost next
-to nothing beside those of the two texts it is made of.
+The letters of a text are what its characters end: each character but the lower-case ones of
+``INSIDE`` (blanks, capitals, digits, marks, everything beyond ASCII, and some of a to z) ends a
+letter. So letters are about half a word of plain prose and single characters of scripts without
+blanks, code or numbers, by one rule for texts of every size, and an edit changes only the
+letters around it. A k-mer is ``K`` letters; its inner substrings are the ``S`` letters from each
+of its places on, by their hashes. A k-mer is chosen if the smallest of them is its first or its
+last. The choice depends on nothing outside the k-mer, so equal passages have equal anchors
+wherever they stand, and of any K - S neighbouring k-mers at least one is chosen. An anchor is
+a place (a letter's number) and a hash of the k-mer there.
 
 The fingerprint of a text is the set of its anchors' hashes; its string form is the ``SKETCH``
 smallest of them, in hexadecimal, and if there are more a hash of them all. Likeness is the
 Jaccard similarity of two sets, 1 for two empty ones. A text none of whose k-mers is chosen (one
-of fewer than K bytes, or hardly more) has one anchor, its whole. Null and empty texts have none.
-Anchors that two texts have at the same places give the passages they share in place;
+of fewer than K letters, or hardly more) has one anchor, its whole. Null and empty texts have
+none. Anchors that two texts have at the same places give the passages they share in place;
 :func:`shared_passages` finds those at any places, for any pairs of texts.
 
-All of it is SQL functions. A text is worked through in pieces of ``PIECE`` bytes that overlap
-by K - 1, so only the anchors of a long text are held at once. Repeated rows are rows like
-others; empty tables give empty results.
+All of it is SQL functions over arrays of hashes: a text is split once, and a letter, an inner
+substring and a k-mer each cost one hash; texts of any length are taken whole. Repeated rows
+are rows like others; empty tables give empty results.
 """
 
 from __future__ import annotations
@@ -31,90 +31,69 @@ from docintake.functions.binding import bind
 from docintake.operators.skew import broadcast_if_small, previous
 from docintake.session import cut
 
-K = 8  # bytes
-S = 5
+K = 5  # letters
+S = 2
+INSIDE = "b-ik-pr-wy"  # characters that do not end a letter
 SKETCH = 32
-PIECE = 1 << 16
-CELL_BYTES = 16 << 20  # of texts that are put in order together
+CELL_BYTES = 8 << 20  # of texts that are put in order together
 MOST_BOUNDS = 50_000
 TIE_BITS = 60
 _ROW_BITS = 20
 
 
-def _smer_hashes(raw: Column, k: int, s: int) -> Column:
-    n = F.octet_length(raw)
-    places = F.when(n >= k, F.sequence(F.lit(1), n - (s - 1)))
-    return F.transform(places, lambda i: F.xxhash64(F.substr(raw, i, F.lit(s))))
+def letter_hashes(text: Column) -> Column:
+    letters = F.split(F.coalesce(text, F.lit("")), f"(?<=[^{INSIDE}])")
+    return F.transform(F.filter(letters, lambda x: x != ""), lambda x: F.xxhash64(x))
 
 
-def _chosen(m: Column, k: int, s: int) -> Column:
-    """Places of the chosen k-mers, by the hashes of all inner substrings."""
+def kmers(text: Column, k: int = K, s: int = S) -> Column:
+    """Struct of the places (``pos``, from 0) and hashes of a text's anchors, in order."""
     wide = k - s  # the last inner substring is ``wide`` after the first
 
-    def closed(i: Column) -> Column:
-        inner = [F.get(m, i + j) for j in range(wide + 1)]
-        between = F.least(*inner[1:-1]) if wide > 2 else inner[1]
-        return F.least(inner[0], inner[-1]) <= between
-
-    return F.filter(F.sequence(F.lit(0), F.size(m) - (wide + 1)), closed)
-
+    def inner(v: Column) -> Column:  # hashes of s letters, from each letter on
+        h = out = v["h"]
+        for step in range(1, s):
+            count = F.greatest(F.size(h) - step, F.lit(0))
+            out = F.zip_with(
+                F.slice(out, F.lit(1), count), F.slice(h, F.lit(step + 1), count),
+                lambda a, b: F.xxhash64(a, b),
+            )
+        return out
+
+    def closed(m: Column, i: Column) -> Column:
+        found = [F.get(m, i + j) for j in range(wide + 1)]
+        between = F.least(*found[1:-1]) if wide > 2 else found[1]
+        return F.least(found[0], found[-1]) <= between
 
-def _piece_kmers(raw: Column, start: Column, k: int, s: int) -> Column:
-    """Places and hashes of the chosen k-mers of one piece of bytes; NULL if it has no k-mer."""
-    wide = k - s
+    def chosen(v: Column) -> Column:
+        m, count = v["m"], F.size(v["m"]) - wide
+        places = F.when(count > 0, F.sequence(F.lit(0), count - 1)).otherwise(F.array().cast("array<int>"))
+        return F.filter(places, lambda i: closed(m, i))
 
     def hashed(v: Column) -> Column:  # by inner substrings that cover the k-mer
         cover = [*range(0, wide, s), wide]
-        return F.struct(
-            F.transform(v["at"], lambda i: i + start).alias("pos"),
+        found = F.struct(
+            v["at"].alias("pos"),
             F.transform(v["at"], lambda i: F.xxhash64(*[F.get(v["m"], i + j) for j in cover])).alias("hash"),
         )
+        whole = F.struct(F.array(F.lit(0)).alias("pos"), F.array(F.xxhash64(v["h"])).alias("hash"))
+        return F.when((F.size(v["at"]) == 0) & (F.size(v["h"]) > 0), whole).otherwise(found)
 
-    def chosen(v: Column) -> Column:
-        found = bind(hashed, m=v["m"], at=_chosen(v["m"], k, s))
-        return F.when(v["m"].isNotNull(), found)
-
-    return bind(chosen, m=_smer_hashes(raw, k, s))
-
-
-def kmers(raw: Column, k: int = K, s: int = S) -> Column:
-    """Struct of the places (``pos``, from 0) and hashes of the chosen k-mers of bytes, in order."""
-    starts = F.sequence(F.lit(0), F.greatest(F.octet_length(raw) - k, F.lit(0)), F.lit(PIECE))
-
-    def piece(start: Column) -> Column:
-        part = F.substr(raw, start + 1, F.lit(PIECE + k - 1))
-        return bind(lambda v: _piece_kmers(v["raw"], start, k, s), raw=part)
-
-    def all_of(pieces: Column, name: str, kind: str) -> Column:
-        none = F.array().cast(kind)
-        return F.flatten(F.transform(pieces, lambda p: F.coalesce(p[name], none))).alias(name)
-
-    def joined(v: Column) -> Column:
-        return F.struct(
-            all_of(v["pieces"], "pos", "array<int>"), all_of(v["pieces"], "hash", "array<bigint>")
-        )
-
-    return bind(joined, pieces=F.transform(starts, piece))
-
-
-def or_whole(found: Column, raw: Column) -> Column:
-    """The k-mers of a text; one that has none chosen is taken as a whole."""
-    whole = F.struct(F.array(F.lit(0)).alias("pos"), F.array(F.xxhash64(raw)).alias("hash"))
-    return F.when((F.size(found["pos"]) == 0) & (F.octet_length(raw) > 0), whole).otherwise(found)
+    return bind(
+        lambda v: bind(
+            lambda w: bind(hashed, h=w["h"], m=w["m"], at=chosen(w)), h=v["h"], m=inner(v)
+        ),
+        h=letter_hashes(text),
+    )
 
 
 def anchors(text: Column, k: int = K, s: int = S) -> Column:
-    """Anchors (pos, hash) of a text; a text without a chosen k-mer has its whole as one."""
-
-    def zipped(v: Column) -> Column:
-        found = or_whole(v["found"], v["raw"])
-        return F.zip_with(
-            found["pos"], found["hash"], lambda p, h: F.struct(p.alias("pos"), h.alias("hash"))
-        )
-
+    """Anchors (pos, hash) of a text."""
     return bind(
-        lambda v: bind(zipped, found=kmers(v["raw"], k, s), raw=v["raw"]),
-        raw=F.coalesce(text, F.lit("")).cast("binary"),
+        lambda v: F.zip_with(
+            v["f"]["pos"], v["f"]["hash"], lambda p, h: F.struct(p.alias("pos"), h.alias("hash"))
+        ),
+        f=kmers(text, k, s),
     )
 
 
@@ -143,7 +122,7 @@ def likeness(a: Column, b: Column) -> Column:
 
 
 def passages_in_place(a: Column, b: Column, k: int = K) -> Column:
-    """Passages (start, end), in bytes, that two texts' k-mers show at the same places."""
+    """Passages (start, end), in letters, that two texts' k-mers show at the same places."""
 
     def placed(found: Column) -> Column:  # place and hash as one number
         low = F.lit((1 << 32) - 1).cast("bigint")
@@ -168,7 +147,7 @@ def shared_passages(anchored: DataFrame, pairs: DataFrame, k: int = K) -> DataFr
     """Passages that the texts of each pair share, at whatever places.
 
     ``anchored`` has ``id, anchors`` (one row an id), ``pairs`` has ``a, b``. Gives ``a, b, a_start,
-    b_start, length`` in bytes: anchors of one hash are joined for each pair, and those whose
+    b_start, length`` in letters: anchors of one hash are joined for each pair, and those whose
     places differ by the same number follow one another in a passage as long as they overlap.
     A hash that is at several places of a text is matched at the first ones in turn.
     """
@@ -197,39 +176,6 @@ def edited_text(text: Column, following: Column, n: Column) -> Column:
     return F.concat(F.substr(text, F.lit(1), n.cast("int") - half), F.substr(following, F.lit(1), half))
 
 
-def spliced(
-    own: Column, kept: Column, other: Column, head: Column, raw: Column, k: int = K, s: int = S
-) -> Column:
-    """K-mers of the bytes ``raw``: ``kept`` bytes of a text and then ``head`` of another one.
-
-    ``own`` and ``other`` are the chosen k-mers of those two texts; only the k-mers across the
-    seam are hashed.
-    """
-
-    def within(found: Column, size: Column, by: Column | None = None) -> Column:
-        n = F.size(F.filter(found["pos"], lambda p: p <= size - k))
-        pos = F.slice(found["pos"], F.lit(1), n)
-        moved = pos if by is None else F.transform(pos, lambda p: p + by)
-        return F.struct(moved.alias("pos"), F.slice(found["hash"], F.lit(1), n).alias("hash"))
-
-    def joined(v: Column) -> Column:
-        seam = F.transform(v["seam"]["pos"], lambda p: p + begin)
-        found = F.struct(
-            F.concat(v["before"]["pos"], seam, v["after"]["pos"]).alias("pos"),
-            F.concat(v["before"]["hash"], v["seam"]["hash"], v["after"]["hash"]).alias("hash"),
-        )
-        return or_whole(found, raw)
-
-    begin = F.greatest(kept - (k - 1), F.lit(0))
-    width = kept - begin + F.least(head, F.lit(k - 1))
-    return bind(
-        joined,
-        before=within(own, kept),
-        seam=kmers(F.substr(raw, begin + 1, width), k, s),
-        after=within(other, head, kept),
-    )
-
-
 def _cell(key: Column, tie: Column, bounds: list[int], ends: tuple[int, int], fine: int) -> Column:
     """Number of the range that a key is in, of ``fine`` between neighbouring bounds.
 
@@ -335,30 +281,20 @@ def fingerprint_pairs(
     )
     order = ["end", "key", "tie"]
     beside = Window.partitionBy("cell").orderBy(*order)
-    raw = F.col("text").cast("binary")
     # k-mers are made after the sort, so that only texts are moved and sorted
     sorted_rows = in_order(rows, cell_bytes, most_bounds).repartition("cell")
     near = (
         sorted_rows.sortWithinPartitions("cell", *order)
-        .withColumn("kmers", kmers(raw))
+        .withColumn("own_kmers", kmers(F.col("text")))
+        .withColumn("own", hash_set(F.col("own_kmers")))
         .withColumn("following", F.lead("text").over(beside))
-        .withColumn("next_kmers", F.lead("kmers").over(beside))
+        .withColumn("next_own", F.lead("own").over(beside))
         .where("NOT end")
     )
-    half = F.floor(F.length("text") / 2).cast("int")
-    kept = F.octet_length(F.substr("text", F.lit(1), F.length("text") - half))
-    edited = near.withColumn("kept", kept).withColumn(
-        "edited", edited_text(F.col("text"), F.col("following"), F.length("text"))
+    edited = near.select(
+        "doc_id", "text", "own_kmers", "own", "next_own",
+        edited_text(F.col("text"), F.col("following"), F.length("text")).alias("edited"),
     )
-    changed = spliced(
-        F.col("kmers"), F.col("kept"), F.col("next_kmers"), F.octet_length("edited") - F.col("kept"),
-        F.col("edited").cast("binary"),
+    return edited.withColumn("edited_kmers", kmers(F.col("edited"))).withColumn(
+        "edited_own", hash_set(F.col("edited_kmers"))
     )
-    return edited.select(
-        "doc_id", "text", "edited", or_whole(F.col("kmers"), raw).alias("own_kmers"),
-        changed.alias("edited_kmers"),
-        or_whole(F.col("next_kmers"), F.col("following").cast("binary")).alias("next_kmers"),
-    ).select(
-        "*", hash_set(F.col("own_kmers")).alias("own"), hash_set(F.col("edited_kmers")).alias("edited_own"),
-        hash_set(F.col("next_kmers")).alias("next_own"),
-    ).drop("next_kmers")
