@@ -126,7 +126,7 @@ def edited_texts(docs):
     return out
 
 
-def smer_hash(raw):
+def text_hash(raw):
     h = xxhash.xxh64_intdigest(raw, seed=42)
     return h - (1 << 64) if h >> 63 else h
 
@@ -138,16 +138,20 @@ def hash_longs(values):
     return seed - (1 << 64) if seed >> 63 else seed
 
 
-def anchors(text, k=8, s=5):
-    """(place, hash) of the chosen k-mers of a text's bytes, or of its whole."""
-    raw, wide = (text or "").encode(), k - s
-    m = [smer_hash(raw[i : i + s]) for i in range(len(raw) - s + 1)]
+def letters(text):
+    return [x for x in re.split("(?<=[^b-ik-pr-wy])", text or "") if x]
+
+
+def anchors(text, k=5, s=2):
+    """(place, hash) of the chosen k-mers of a text's letters, or of its whole."""
+    h, wide = [text_hash(x.encode()) for x in letters(text)], k - s
+    m = [hash_longs(h[i : i + s]) for i in range(len(h) - s + 1)]
     out = [
-        (i, hash_longs([m[i], m[i + wide]]))
-        for i in range(len(raw) - k + 1)
+        (i, hash_longs([m[i], m[i + 2], m[i + 3]]))
+        for i in range(len(h) - k + 1)
         if min(m[i], m[i + wide]) <= min(m[i + 1 : i + wide])
     ]
-    return out or ([(0, smer_hash(raw))] if raw else [])
+    return out or ([(0, hash_longs(h))] if h else [])
 
 
 def sketch(hashes, size=32):
@@ -162,7 +166,7 @@ def jaccard(a, b):
     return len(a & b) / len(a | b) if a | b else 1.0
 
 
-def in_place(a, b, k=8):
+def in_place(a, b, k=5):
     """Passages of two texts' anchors at the same places."""
     out = []
     for at in sorted(p for p, _ in set(a) & set(b)):
