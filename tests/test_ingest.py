@@ -283,3 +283,23 @@ def test_error_says_why_a_fetch_failed(spark):
     assert texts[0] == none + "https://h/x. Unable to process https://h/x with status code 404"
     assert texts[1].startswith(none + "https://h/y. unable_to_follow")
     assert texts[2].startswith(none + "https://h/z. not_captured")
+
+
+def test_empty_contents_need_no_round_each(spark):
+    """Each empty file deletes the newest row of its content; refused ones may add one."""
+    empty = digest("")
+    paths = [f"ingress/z{i:02}.txt" for i in range(40)]
+    files = {p: (empty, 0) for p in paths}
+    catalog = [dict(
+        doc_id=f"{i:02}", source=f"local/z{i:02}.txt", hash=empty if i % 3 else digest(str(i)),
+        created=AS_OF_SECONDS - 1000 - i % 11, origin=None, tags=[], derivative=False,
+        rogue=True if i == 1 else None, started=None,
+    ) for i in range(30)]
+    messages = [dict(
+        seq=i, source=p, origins=[origin("http", None)] if i % 5 == 3 else [], tags=[],
+        derivative=None, verify=i % 7 == 2,
+    ) for i, p in enumerate(paths)]
+    model = Model(catalog, files, {}, {}, [], None)
+    data = frames(spark, (files, [], {}, {}, catalog, []), messages)
+    result = check(spark, model, messages, data, IntakeConfig(recent_tolerance=None), 10**6)
+    assert result.rounds <= 2
