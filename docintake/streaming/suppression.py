@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -32,17 +33,29 @@ def mark_recent(runs: DataFrame, tolerance: float, keep: float | None = None) ->
         if state.hasTimedOut:
             state.remove()
             return
-        rows = pd.concat(list(chunks)).sort_values(["ts", "seq"], kind="stable")
+        # as arrays: most documents have few runs, so what counts is the cost of a call
+        parts = list(chunks)
+        rows = parts[0] if len(parts) == 1 else pd.concat(parts)
+        times, numbers = rows["ts"].to_numpy("datetime64[us]"), rows["seq"].to_numpy()
+        order = np.lexsort((numbers, times))
+        times = times[order]
         last = state.get[0] if state.exists else None
         marks = []
-        for at in rows["ts"].astype("datetime64[us]").astype("int64"):
+        for at in times.astype("int64").tolist():
             near = last is not None and abs(at - last) < tolerance_us
             marks.append(near)
             if not near:
                 last = at if last is None else max(last, at)
         state.update((last,))
-        state.setTimeoutTimestamp(int(rows["arrived"].max().timestamp() * 1000) + keep_ms)
-        yield rows.assign(too_recent=marks)[["doc_id", "seq", "ts", "too_recent"]]
+        arrived = rows["arrived"].to_numpy("datetime64[ms]").max().astype("int64")
+        state.setTimeoutTimestamp(int(arrived) + keep_ms)
+        yield pd.DataFrame(
+            {
+                "doc_id": rows["doc_id"].to_numpy()[order], "seq": numbers[order],
+                "ts": times, "too_recent": marks,
+            },
+            copy=False,
+        )
 
     return (
         runs.select("doc_id", "seq", "ts", F.current_timestamp().alias("arrived"))
