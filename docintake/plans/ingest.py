@@ -565,22 +565,72 @@ def _judge(
     else:
         df = df.withColumn("queue", _null("string"))
     df = _with(df, rules["judge"]).drop("newest", "consolidated", "first_remote")
-    if hot_rows is not None:
-        df = cut(df)
     df = target_occupancy(df, store.select("path", "md5"), hot_rows, vacant="vacant")
     return _with(df, rules["act"]).drop(
         "file_key", "match_keys", "before", "after", "low", "high", "row_changes"
     )
 
 
+def _idle(slim: DataFrame, hot_rows: int | None) -> DataFrame:
+    """``seq`` of messages that will find their document just run, and so change nothing.
+
+    They follow an accepted message of the same stored document. No message of another document
+    touches a key that one of this document's messages reads, or reads one that it may touch, so
+    none can change what they find.
+    """
+    groups = slim.where("NOT is_new AND doc_id IS NOT NULL").groupBy("doc_id").agg(
+        F.count(F.lit(1)).alias("n"),
+        F.min(F.when(F.col("error").isNull(), F.col("seq"))).alias("first_ok"),
+        F.max(
+            F.col("queue").isNotNull() | F.coalesce(F.col("action") == "ZERO_LENGTH", F.lit(False))
+        ).alias("deletes"),
+    ).where("n > 1 AND first_ok IS NOT NULL AND NOT deletes").select("doc_id", "first_ok")
+    members = cut(
+        lookup(slim, groups, "doc_id", how="inner", hot_rows=hot_rows).select(
+            "seq", "doc_id", "first_ok", "reads", "touches"
+        )
+    )
+    is_read = F.array_contains("reads", F.col("key"))
+    keys = cut(
+        members.select("doc_id", "reads", F.explode("touches").alias("key"))
+        .groupBy("key", "doc_id").agg(F.max(is_read).alias("is_read"))
+    )
+    wanted = broadcast_if_small(keys.select("key").distinct())
+    others = (
+        slim.select("doc_id", "reads", F.explode("touches").alias("key"))
+        .join(wanted, "key", "left_semi")
+        .groupBy("key")
+        .agg(
+            F.min("doc_id").alias("low"), F.max("doc_id").alias("high"),
+            F.min(F.when(is_read, F.col("doc_id"))).alias("low_reader"),
+            F.max(F.when(is_read, F.col("doc_id"))).alias("high_reader"),
+        )
+    )
+    doc = F.col("doc_id")
+    opened = (
+        lookup(keys, others, "key", how="inner", spread_by="doc_id", hot_rows=hot_rows)
+        .where(
+            (F.col("low_reader") != doc) | (F.col("high_reader") != doc)
+            | F.col("is_read") & ((F.col("low") != doc) | (F.col("high") != doc))
+        )
+        .select("doc_id").distinct()
+    )
+    return members.where("seq > first_ok").join(opened, "doc_id", "left_anti").select(
+        "seq", F.lit(True).alias("idle")
+    )
+
+
 def _settle(
-    effects: DataFrame, rows: DataFrame, hot_rows: int | None
+    effects: DataFrame, rows: DataFrame, hot_rows: int | None, at_once: bool = True
 ) -> tuple[DataFrame, int]:
-    """Say of each judged message whether it is blocked, and how many are."""
+    """Say of each judged message whether it is blocked, and how many are.
+
+    ``at_once`` says that a document may run again at once.
+    """
     slim = effects.select(
         "seq", "doc_id", "raw", "hash", "sources", "uri", "ok", "action", "consumes",
         "reads", "writes", "touches", "aims", "target_path", "target_read", "target_written",
-        "quiet", "steady", "vacant", "in_place", "temp_path", "queue",
+        "quiet", "steady", "vacant", "in_place", "temp_path", "queue", "error", "is_new",
     )
     # A message is free if no earlier one has to do with a key it reads: whatever else those
     # do, it finds the same document and the same older versions.
@@ -610,19 +660,23 @@ def _settle(
         )
     )
     earlier = F.coalesce(F.col("first") < F.col("seq"), F.lit(False))
+    slim = slim.withColumn("idle", F.lit(False)) if at_once else slim.join(
+        _idle(slim, hot_rows), "seq", "left"
+    ).withColumn("idle", F.col("idle").isNotNull())
     df = cut(
         slim.join(per_seq, "seq", "left")
         .withColumn("free", ~earlier)
-        .withColumn("blocked", F.coalesce(F.col("first_write") < F.col("seq"), F.lit(False)))
-        .drop("first", "first_write")
+        .withColumn("blocked", F.col("idle") | F.coalesce(F.col("first_write") < F.col("seq"), F.lit(False)))
+        .drop("first", "first_write", "error", "is_new")
     )
+    # Idle messages are judged in the next round, but nothing has to wait for them.
 
     # Targets: steps of free and of quiet messages compose, so each of them follows the ones
     # before it at once; all others wait for earlier writers, and these for all others. So does
     # a quiet message that turns out to replace a content and has older versions to delete.
     # A stored path that is taken away counts as written by a message that is not free.
     moves = F.col("temp_path") != F.col("target_path")
-    df = df.withColumn("composes", F.col("ok") & (F.col("free") | (F.col("quiet") & ~F.col("blocked"))))
+    df = df.withColumn("composes", F.col("ok") & ~F.col("idle") & (F.col("free") | (F.col("quiet") & ~F.col("blocked"))))
     steps = df.where("composes AND target_path IS NOT NULL").select(
         "target_path", "seq", F.when(moves, F.col("hash")).alias("leaves"),
         F.when(moves & ~F.col("in_place"), F.col("seq")).alias("filled"),
@@ -647,10 +701,10 @@ def _settle(
     written = F.coalesce(F.col("becomes") == "REPLACE", F.lit(False)) | (
         F.col("target_written").isNotNull() & F.col("becomes").isNull()
     )
-    aimed = df.where("target_path IS NOT NULL").select(
+    aimed = df.where("target_path IS NOT NULL AND NOT idle").select(
         "target_path", "seq", "composes", written.alias("written")
     )
-    emptied = df.where("consumes").select(
+    emptied = df.where("consumes AND NOT idle").select(
         F.col("raw").alias("target_path"), "seq", F.lit(False), F.lit(True)
     )
     per_target = aimed.union(emptied).groupBy("target_path").agg(
@@ -670,7 +724,7 @@ def _settle(
     )
 
     # Rows that a replacement may delete: whoever reads one of their keys later waits.
-    replacing = df.where("ok AND action = 'REPLACE'").select(
+    replacing = df.where("ok AND action = 'REPLACE' AND NOT idle").select(
         "seq", "doc_id",
         F.explode(single_keys(F.col("hash"), F.col("sources"), F.array("uri"))).alias("key"),
     ).groupBy("key").agg(
@@ -712,6 +766,7 @@ def _settle(
         )
     )
     n_blocked = df.where("blocked").count()
+    idle, df = df.where("idle"), df.where("NOT idle")
     fresh = df.where("blocked") if n_blocked else None
     while fresh is not None:
         late = cut(_late_after(df, fresh, hot_rows))
@@ -725,7 +780,8 @@ def _settle(
                 .drop("late")
             )
             fresh = df.join(late, "seq", "left_semi")
-    return df.select("seq", "blocked", "becomes"), n_blocked
+    settled = df.select("seq", "blocked", "becomes")
+    return settled.unionByName(idle.select("seq", "blocked", "becomes")), n_blocked
 
 
 def _reading_after(df: DataFrame, firsts: DataFrame, hot_rows: int | None) -> DataFrame:
@@ -837,6 +893,30 @@ def _apply_rows(
     )
 
 
+def _split_rows(rows: DataFrame, pending: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Rows some pending message can find, and all others, which no later round can change.
+
+    A message's own keys stay as they are, and only what it finds by them is changed or deleted.
+    Rows of one document stay together.
+    """
+    wanted = pending.where("static_error IS NULL").select(
+        F.explode(single_keys(F.col("hash"), F.col("sources"), F.array("uri"))).alias("key")
+    ).distinct()
+    keyed = rows.select(
+        "doc_id",
+        F.explode(
+            single_keys(F.col("hash"), F.array("source"), origin_uris(F.col("origin")))
+        ).alias("key"),
+    )
+    found = keyed.join(broadcast_if_small(wanted), "key", "left_semi").select("doc_id").distinct()
+    marked = cut(
+        rows.join(found.withColumn("found", F.lit(True)), "doc_id", "left").withColumn(
+            "found", F.col("found").isNotNull() | F.col("doc_id").isNull()
+        )
+    )
+    return cut(marked.where("found").drop("found")), marked.where("NOT found").drop("found")
+
+
 def _apply_store(store: DataFrame, final: DataFrame) -> DataFrame:
     written = (
         final.where("action IN ('MOVE', 'REPLACE') AND temp_path <> target_path")
@@ -866,12 +946,12 @@ def _run_rounds(
     rules = _rules(as_of, cfg)
     pending = facts.drop("tags", "metadata", "derivative", "mtime", "kind", "route", "cause")
     columns = pending.columns
-    done, deletions, rounds, n_pending = [], [], 0, None
+    done, deletions, settled_rows, rounds, n_pending = [], [], [], 0, None
     empties = not pending.where(is_zero_length(F.col("length"))).isEmpty()
     while n_pending != 0:
         rounds += 1
         judged = cut(_judge(pending, rows, store, rules, hot_rows, empties))
-        settled, n_pending = _settle(judged, rows, hot_rows)
+        settled, n_pending = _settle(judged, rows, hot_rows, not cfg.recent_tolerance)
         replaces = F.coalesce(F.col("becomes") == "REPLACE", F.lit(False))
         moves = F.col("temp_path") != F.col("target_path")
         judged = cut(
@@ -903,6 +983,8 @@ def _run_rounds(
             break
 
         store = cut(_apply_store(store, final))
+        rows, rest = _split_rows(rows, judged.where("blocked"))
+        settled_rows.append(rest)
         used = final.where("consumes").select("raw").distinct().withColumn("used", F.lit(True))
         lost = F.col("used") & F.col("uri").isNull() & F.col("static_error").isNull()
         pending = (
@@ -913,7 +995,7 @@ def _run_rounds(
             )
             .drop("used")
         )
-    return done, deletions, rows, rounds
+    return done, deletions, reduce(DataFrame.unionByName, [rows, *settled_rows]), rounds
 
 
 def _document_changes(outcomes: DataFrame, facts: DataFrame, rows: DataFrame,

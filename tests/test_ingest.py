@@ -303,3 +303,24 @@ def test_empty_contents_need_no_round_each(spark):
     data = frames(spark, (files, [], {}, {}, catalog, []), messages)
     result = check(spark, model, messages, data, IntakeConfig(recent_tolerance=None), 10**6)
     assert result.rounds <= 2
+
+
+def test_copies_that_run_again_hold_up_no_one(spark):
+    """Stored documents of one address replace each other; a copy of each comes right after it."""
+    n = 8
+    address = [origin("https", "https://h.example.com/")]
+    files = {f"ingress/{c}{i}.txt": (digest(str(i)), 5) for i in range(n) for c in "ab"}
+    catalog = [dict(
+        doc_id=f"d{i:02}", source=f"local/s{i}.txt", hash=digest(str(i)),
+        created=AS_OF_SECONDS - 1000, origin=address, tags=[], derivative=False,
+        rogue=None, started=None,
+    ) for i in range(n)]
+    messages = [
+        dict(seq=2 * i + (c == "b"), source=f"ingress/{c}{i}.txt", origins=[], tags=[],
+             derivative=None, verify=False)
+        for i in range(n) for c in "ab"
+    ]
+    model = Model(catalog, files, {}, {}, [], 10)
+    data = frames(spark, (files, [], {}, {}, catalog, []), messages)
+    result = check(spark, model, messages, data, IntakeConfig(recent_tolerance=10), 10**6)
+    assert result.rounds <= 3
