@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from docintake.schema import ATTRS, CATALOG, HEADERS, META, ORIGIN
+from docintake.session import cut
 from docintake.sources.landing import content_facts
 
 DEEP = 21
@@ -366,11 +367,12 @@ FAMILY_BODY = "CASE WHEN doc_id % 6 = 3 THEN '' ELSE concat(coalesce(text, ''),
 
 def families(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     """Raw messages (with their batch), files and catalog of the families."""
-    docs = table(spark, sf_dir, "documents").select(
+    # files and catalog are read several times; the contents are hashed once
+    docs = cut(table(spark, sf_dir, "documents").select(
         "doc_id", "lang", F.expr(FAMILY_PATH).alias("place"),
         *content_facts(F.expr(FAMILY_BODY).cast("binary")),
         (F.col("doc_id") % 6).alias("family"),
-    )
+    ))
     mtime = F.lit("2024-05-31").cast("timestamp_ntz").alias("mtime")
     facts = ["length", "md5", mtime, "kind"]
     copies = docs.where("family = 5").withColumn("place", F.concat(F.lit("copy/"), "place"))
