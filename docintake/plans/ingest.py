@@ -617,7 +617,7 @@ def _idle(slim: DataFrame, hot_rows: int | None) -> DataFrame:
     )
     return members.where("seq > first_ok").join(opened, "doc_id", "left_anti").select(
         "seq", F.lit(True).alias("idle")
-    )
+    ).distinct()
 
 
 def _settle(

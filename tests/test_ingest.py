@@ -308,7 +308,7 @@ def test_empty_contents_need_no_round_each(spark):
 def test_copies_that_run_again_hold_up_no_one(spark):
     """Stored documents of one address replace each other; a copy of each comes right after it."""
     n = 8
-    address = [origin("https", "https://h.example.com/")]
+    address = [origin("https", "https://h.example.com/all.html")]
     files = {f"ingress/{c}{i}.txt": (digest(str(i)), 5) for i in range(n) for c in "ab"}
     catalog = [dict(
         doc_id=f"d{i:02}", source=f"local/s{i}.txt", hash=digest(str(i)),
