@@ -324,3 +324,19 @@ def test_copies_that_run_again_hold_up_no_one(spark):
     data = frames(spark, (files, [], {}, {}, catalog, []), messages)
     result = check(spark, model, messages, data, IntakeConfig(recent_tolerance=10), 10**6)
     assert result.rounds <= 3
+
+
+def test_refused_copies_hold_up_no_one(spark):
+    """Every third copy of a content is refused, so it does nothing at the path of the others."""
+    n = 30
+    files = {f"ingress/c{i:02}.txt": (digest("one"), 5) for i in range(n)}
+    messages = [
+        dict(seq=i, source=p, origins=[origin("http", None)] if i % 3 == 1 else
+             [origin("https", f"https://h/{i}.txt")] if i % 3 == 2 else [], tags=[],
+             derivative=None, verify=False)
+        for i, p in enumerate(files)
+    ]
+    model = Model([], files, {}, {}, [], None)
+    data = frames(spark, (files, [], {}, {}, [], []), messages)
+    result = check(spark, model, messages, data, IntakeConfig(recent_tolerance=None), 10**6)
+    assert result.rounds <= 4
