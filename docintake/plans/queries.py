@@ -108,12 +108,7 @@ def scan_landing_files(spark, sf_dir):
     docs = w.table(spark, sf_dir, "documents").select(
         F.concat_ws("/", "source", "doc_id").alias("file"), F.coalesce("text", F.lit("")).alias("value")
     )
-    # dealt by file, at most a few thousand to a task, and put in place by the tasks: by default the
-    # driver alone renames every file when the job ends
-    tasks = max(spark.sparkContext.defaultParallelism, -(-docs.count() // landing.TASK_FILES))
-    docs.repartition(tasks, "file").write.option(
-        "mapreduce.fileoutputcommitter.algorithm.version", "2"
-    ).partitionBy("file").text(f"{folder}/ingress")
+    landing.place_texts(docs, f"{folder}/ingress")
     found = landing.scan_landing_files(spark, folder, "ingress")
     name = F.try_url_decode(F.regexp_extract("path", r"ingress/file=([^/]*)/", 1))
     return found.where("path NOT LIKE '%/_SUCCESS'").select(

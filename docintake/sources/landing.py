@@ -7,6 +7,7 @@ scan, and reduced there to hash, length and what the content shows of its type.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -95,6 +96,46 @@ def list_files(spark: SparkSession, root: str, zone: str = "") -> DataFrame:
     return files.select("path", "length", mtime.alias("mtime"))
 
 
+#: What Spark's writers escape in the name of a folder.
+_ESCAPED = re.compile("[\x01-\x1f\"#%'*/:=?\\\\\x7f{\\[\\]^]")
+_NO_NAME = "__HIVE_DEFAULT_PARTITION__"
+
+
+def place_texts(texts: DataFrame, folder: str) -> None:
+    """Write the ``value`` rows of each ``file`` as lines of ``folder/file=<file>/text.txt``.
+
+    Folders are named as by Spark's ``partitionBy``, but the tasks write each file in its place at
+    once. A task that is run again writes the same files over its own.
+    """
+    spark = texts.sparkSession
+    prepare_python(spark)
+
+    def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        system, base = _file_system(folder)
+        current, stream, written = None, None, 0
+        try:
+            for batch in batches:
+                for file, value in zip(batch.column("file"), batch.column("value")):
+                    name = file.as_py()
+                    if name != current:
+                        if stream is not None:
+                            stream.close()
+                        escaped = _ESCAPED.sub(lambda c: f"%{ord(c[0]):02X}", name) or _NO_NAME
+                        system.create_dir(f"{base}/file={escaped}", recursive=True)
+                        stream = system.open_output_stream(f"{base}/file={escaped}/text.txt")
+                        current, written = name, written + 1
+                    stream.write(value.as_buffer())
+                    stream.write(b"\n")
+        finally:
+            if stream is not None:
+                stream.close()
+        yield pa.RecordBatch.from_pydict({"written": pa.array([written], pa.int64())})
+
+    tasks = max(spark.sparkContext.defaultParallelism, -(-texts.count() // TASK_FILES))
+    dealt = texts.select("file", "value").repartition(tasks, "file").sortWithinPartitions("file")
+    dealt.mapInArrow(write, "written bigint").agg(F.sum("written")).first()
+
+
 def scan_landing_files(spark: SparkSession, root: str, zone: str = "") -> DataFrame:
     """Facts of every file below ``root/zone``, empty ones too; paths are relative to the root."""
     files = list_files(spark, root, zone)

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from docintake.config import EMPTY_MD5
 from docintake.operators.skew import lookup, numbered
+from docintake.sources import landing
 from docintake.sources.landing import list_files, scan_landing_files
 from docintake.sources.tables import TableStore
 
@@ -80,3 +81,21 @@ def test_numbering_over_pieces(spark):
     df = spark.range(100).select(F.col("id").alias("seq"), (F.col("id") % 2).alias("key"))
     rows = numbered(df, "key", "seq", 7).collect()
     assert all(r["nth"] == r["seq"] // 2 + 1 for r in rows)
+
+
+def test_texts_are_placed_by_the_tasks(spark, tmp_path):
+    """Each file is written once, in its place, under the name Spark's own writer would give it."""
+    rows = [("src1/7", "one"), ("a%b=c[d]/8", "two\nlines"), ("", "no name"), ("ü +/9", ""), ("r/1", "x"), ("r/1", "x")]
+    texts = spark.createDataFrame(rows, "file string, value string")
+    texts.write.partitionBy("file").text(f"{tmp_path}/spark")
+    landing.place_texts(texts, f"{tmp_path}/ingress")
+    names = {p.name for p in (tmp_path / "ingress").iterdir()}
+    assert names == {p.name for p in (tmp_path / "spark").iterdir() if p.is_dir()}
+    written = [p for p in (tmp_path / "ingress").rglob("*") if p.is_file()]
+    assert [p.name for p in written] == ["text.txt"] * 5
+    got = {r["path"]: r["md5"] for r in scan_landing_files(spark, str(tmp_path), "ingress").collect()}
+    want = {"src1%2F7": "one\n", "a%25b%3Dc%5Bd%5D%2F8": "two\nlines\n", "ü +%2F9": "\n",
+            "__HIVE_DEFAULT_PARTITION__": "no name\n", "r%2F1": "x\nx\n"}
+    assert got == {
+        f"ingress/file={k}/text.txt": hashlib.md5(v.encode()).hexdigest() for k, v in want.items()
+    }
